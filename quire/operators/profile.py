@@ -7,8 +7,9 @@ inside each task before anything is shuffled; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,25 +48,20 @@ def mean_lengths(clean: DataFrame) -> DataFrame:
     )
 
 
-def ingest_report(validated: DataFrame, clean: DataFrame) -> DataFrame:
-    """A4: A1 + A2 + A3 as one row, from one scan of the input.
+def ingest_report(flat: DataFrame) -> DataFrame:
+    """A4: A1 + A2 + A3 as one row, from one scan of the validated rows.
 
-    ``clean`` must be derived from ``validated`` by :func:`clean_records` (it
-    supplies the stripped texts and the domain).  The rows are grouped once by
-    (valid, domain): a small table of one row per domain, partially aggregated
-    per task; the report is a global aggregate of that table.  ``domains`` is
-    an array of (domain, n) sorted by domain, NULL first, like the
-    reference's dict (which may hold a None key).
+    ``flat`` is the output of ``validate_lines`` (``parse_ok``, ``reason`` and
+    the cleaned ``question``/``answer``/``domain``).  Rows are grouped once by
+    (valid, domain): one row per domain, partially aggregated in each task;
+    the report is a global aggregate of that small table.  ``domains`` is an
+    array of (domain, n) sorted by domain, NULL first, like the reference's
+    dict (which may hold a None key).
     """
-    from quire.operators.validate import clean_projection
-
-    proj = clean_projection(F.col("rec"))
     ok = F.col("reason").isNull()
-    per_domain = validated.select(
-        "parse_ok", ok.alias("ok"),
-        F.when(ok, proj[2]).alias("domain"),
-        F.when(ok, F.length(proj[0])).alias("qlen"),
-        F.when(ok, F.length(proj[1])).alias("alen"),
+    per_domain = flat.select(
+        "parse_ok", ok.alias("ok"), F.when(ok, F.col("domain")).alias("domain"),
+        F.when(ok, F.length("question")).alias("qlen"), F.when(ok, F.length("answer")).alias("alen"),
     ).groupBy("ok", "domain").agg(
         F.count_if("parse_ok").alias("raw"),
         F.count(F.lit(1)).alias("n"),
@@ -117,9 +113,8 @@ def tokenizer_counter(tokenizer_file: str) -> Callable[[Column], Column]:
     from pyspark.sql.types import LongType
 
     @pandas_udf(LongType())
-    def count_tokens(batches):
+    def count_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from tokenizers import Tokenizer
-        import pandas as pd
 
         tok = Tokenizer.from_file(tokenizer_file)
         for texts in batches:

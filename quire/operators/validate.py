@@ -94,15 +94,31 @@ def clean_projection(rec: Column) -> list[Column]:
     ]
 
 
-def clean_records(validated: DataFrame, id_col: str = "idx") -> DataFrame:
+def flatten(validated: DataFrame) -> DataFrame:
+    """Drops the parsed record: ``question``/``answer``/``domain`` hold the V2 values for valid rows, NULL otherwise.
+
+    The result has only plain columns, so it can be written to parquet.
+    """
+    ok = F.col("reason").isNull()
+    q, a, d = clean_projection(F.col("rec"))
+    return validated.select(
+        *[c for c in validated.columns if c not in ("rec", "line")], F.col("line"),
+        F.when(ok, q).alias("question"), F.when(ok, a).alias("answer"), F.when(ok, d).alias("domain"))
+
+
+def validate_lines(lines: DataFrame, line_col: str = "line", **limits) -> DataFrame:
+    """S2 + V1 + V2: ``(idx, ..., parse_ok, reason, line, question, answer, domain)``."""
+    return flatten(validate(parse_lines(lines, line_col), **limits))
+
+
+def clean_records(flat: DataFrame, id_col: str = "idx") -> DataFrame:
     """V2: valid rows as ``(rid, question, answer, domain)``; ``rid`` is the line index."""
-    return validated.where(F.col("reason").isNull()).select(
-        F.col(id_col).alias("rid"), *clean_projection(F.col("rec")))
+    return flat.where(F.col("reason").isNull()).select(F.col(id_col).alias("rid"), "question", "answer", "domain")
 
 
-def rejects(validated: DataFrame, id_col: str = "idx") -> DataFrame:
+def rejects(flat: DataFrame, id_col: str = "idx") -> DataFrame:
     """V3: rejected rows with the row-numbered message."""
-    return validated.where(F.col("reason").isNotNull()).select(
+    return flat.where(F.col("reason").isNotNull()).select(
         F.col(id_col).alias("idx"), "reason",
         F.concat(F.lit("Row "), F.col(id_col).cast("string"), F.lit(": "), F.col("reason")).alias("message"))
 
@@ -110,8 +126,3 @@ def rejects(validated: DataFrame, id_col: str = "idx") -> DataFrame:
 def first_rejects(reject_rows: DataFrame, n: int = 5) -> DataFrame:
     """V4: the first ``n`` rejects in file order (a top-k, not a sort of all rows)."""
     return reject_rows.orderBy("idx").limit(n)
-
-
-def validate_lines(lines: DataFrame, line_col: str = "line", **limits) -> DataFrame:
-    """S2 + V1 in one call."""
-    return validate(parse_lines(lines, line_col), **limits)
