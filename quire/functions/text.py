@@ -50,7 +50,7 @@ def strip(c: Column | str) -> Column:
 
 def split_ws(c: Column | str) -> Column:
     """Python ``str.split()`` with no argument: whitespace runs, no empty parts."""
-    return F.filter(F.split(_col(c), WS_RUN), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(_col(c), WS_RUN), "")
 
 
 def word_count(c: Column | str) -> Column:
@@ -99,7 +99,14 @@ ROUGE_SEPARATOR = "[^a-z0-9]+"
 def tokens_rouge(c: Column | str) -> Column:
     """ROUGE tokens of a text."""
     s = F.regexp_replace(F.lower(_col(c)), ROUGE_SEPARATOR, " ")
-    return F.filter(F.split(s, " "), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(s, " "), "")
+
+
+def gram_at(tokens: Column, i: Column, n: int) -> Column:
+    """The n-gram starting at 0-based position ``i`` (space-joined), NULL past the end."""
+    if n == 1:
+        return F.get(tokens, i)
+    return F.when(i + n <= F.size(tokens), F.array_join(F.slice(tokens, i + 1, n), " "))
 
 
 def ngrams(tokens: Column, n: int) -> Column:

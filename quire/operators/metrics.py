@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.lcs import lcs_length
-from quire.functions.text import ngrams, tokens_13a, tokens_rouge
+from quire.functions.text import gram_at, tokens_13a, tokens_rouge
 
 BLEU_ORDER = 4        # fixed value: BLEU's default max n-gram order
 ROUGE_ORDERS = (1, 2)  # fixed value: ROUGE-1 and ROUGE-2
@@ -28,62 +28,77 @@ REPORT_DIGITS = 4      # fixed value: the reference rounds metrics to 4 places
 LABELS = ("base", "finetuned")
 
 
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    return int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def pair_predictions(predictions: DataFrame, references: DataFrame, id_col: str = "rid",
-                     reference_col: str = "answer") -> DataFrame:
+                     reference_col: str = "answer", partitions: int | None = None) -> DataFrame:
     """``(label, rid, prediction, reference)``.
 
-    A shuffle (sort-merge) join on ``rid``: its hash partitioning on ``rid``
-    is reused by all per-row scoring below.  A broadcast would save one small
-    shuffle of references but force a shuffle of every n-gram instead.
+    Both sides are hash-partitioned on ``rid`` into the same ``partitions``
+    (default ``spark.sql.shuffle.partitions``), so the sort-merge join adds no
+    exchange and its partitioning is reused by all per-row scoring below.
+    The count is explicit because the rows are small while the n-gram work
+    per row is large: run-time coalescing by bytes would leave a few tasks
+    with all of it.  A broadcast would save one small shuffle of references
+    but force a shuffle of every n-gram instead.
     """
+    n = _partitions(predictions, partitions)
     refs = references.select(F.col(id_col).alias("rid"), F.col(reference_col).alias("reference"))
     preds = predictions.select("label", F.col(id_col).alias("rid"), "prediction")
-    return preds.join(refs.hint("merge"), "rid").select("label", "rid", "prediction", "reference")
+    return (preds.repartition(n, "rid").join(refs.repartition(n, "rid").hint("merge"), "rid")
+            .select("label", "rid", "prediction", "reference"))
 
 
-def _items(kind: str, n: int, pred: Column, ref: Column) -> Column:
-    def item(gram: Column, side: int) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("n"), gram.alias("gram"), F.lit(side).alias("side"))
+# Item kinds: BLEU n-grams of 13a tokens (1..4), ROUGE n-grams of ROUGE
+# tokens (11, 12); kind 0 is one marker per row, so that a row without any
+# token still yields a row.
+_BLEU_KINDS = list(range(1, BLEU_ORDER + 1))
+_ROUGE_KINDS = [10 + n for n in ROUGE_ORDERS]
 
-    # A NULL-gram marker keeps every (row, kind, n) group alive, so rows
-    # without any n-gram still count as rows (score 0) with no join back.
-    marker = F.array(item(F.lit(None).cast("string"), 0))
-    return F.concat(marker,
-                    F.transform(ngrams(pred, n), lambda g: item(g, 1)),
-                    F.transform(ngrams(ref, n), lambda g: item(g, 2)))
 
+def _item(kind: int, gram: Column, side: int) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), F.lit(side).alias("side"))
 
-def ngram_hits(pairs: DataFrame) -> DataFrame:
-    """Clipped n-gram matches per row: ``(label, rid, kind, n, plen, rlen, hits)``.
 
-    ``kind`` is ``bleu`` (13a tokens, n = 1..4) or ``rouge`` (ROUGE tokens,
-    n = 1..2); ``plen``/``rlen`` are the token counts of prediction/reference.
+def row_scores(pairs: DataFrame) -> DataFrame:
+    """Per-row n-gram counts: ``(label, rid, h1..h4, hr1, hr2, plen_b, rlen_b, plen_r, rlen_r)``.
+
+    ``h<n>`` are clipped BLEU n-gram matches, ``hr<n>`` clipped ROUGE-N
+    matches, ``plen``/``rlen`` token counts (the unigram totals).  Each row is
+    exploded once over token positions; at position ``i`` it emits the n-grams
+    starting there on both sides.  No lambda functions: every step is a plain
+    expression that stays in whole-stage code generation.  The two
+    aggregations are keyed by ``rid`` and run in the pairing join's
+    partitions with no exchange.
     """
     toks = pairs.select(
         "label", "rid",
         tokens_13a("prediction").alias("pb"), tokens_13a("reference").alias("rb"),
         tokens_rouge("prediction").alias("pr"), tokens_rouge("reference").alias("rr"),
     )
-    items = F.concat(*[_items("bleu", n, F.col("pb"), F.col("rb")) for n in range(1, BLEU_ORDER + 1)],
-                     *[_items("rouge", n, F.col("pr"), F.col("rr")) for n in ROUGE_ORDERS])
-    exploded = toks.select(
-        "label", "rid",
-        F.size("pb").alias("plen_b"), F.size("rb").alias("rlen_b"),
-        F.size("pr").alias("plen_r"), F.size("rr").alias("rlen_r"),
-        F.inline(items),
-    )
-    per_gram = exploded.groupBy("label", "rid", "plen_b", "rlen_b", "plen_r", "rlen_r", "kind", "n", "gram").agg(
-        F.sum(F.when(F.col("side") == 1, 1).otherwise(0)).alias("cp"),
-        F.sum(F.when(F.col("side") == 2, 1).otherwise(0)).alias("cr"),
-    )
-    per_row = per_gram.groupBy("label", "rid", "plen_b", "rlen_b", "plen_r", "rlen_r", "kind", "n").agg(
-        F.sum(F.least("cp", "cr")).cast("long").alias("hits"))
-    is_bleu = F.col("kind") == "bleu"
-    return per_row.select(
-        "label", "rid", "kind", "n",
-        F.when(is_bleu, F.col("plen_b")).otherwise(F.col("plen_r")).cast("long").alias("plen"),
-        F.when(is_bleu, F.col("rlen_b")).otherwise(F.col("rlen_r")).cast("long").alias("rlen"),
-        "hits",
+    longest = F.greatest(F.size("pb"), F.size("rb"), F.size("pr"), F.size("rr"), F.lit(1))
+    at = toks.select("label", "rid", "pb", "rb", "pr", "rr", F.explode(F.sequence(F.lit(0), longest - 1)).alias("i"))
+    i = F.col("i")
+    items = [_item(0, F.when(i == 0, F.lit("")), 0)]
+    for k in _BLEU_KINDS:
+        items += [_item(k, gram_at(F.col("pb"), i, k), 1), _item(k, gram_at(F.col("rb"), i, k), 2)]
+    for k in _ROUGE_KINDS:
+        items += [_item(k, gram_at(F.col("pr"), i, k - 10), 1), _item(k, gram_at(F.col("rr"), i, k - 10), 2)]
+    exploded = at.select("label", "rid", F.inline(F.array(*items))).where(F.col("gram").isNotNull())
+    per_gram = exploded.groupBy("label", "rid", "kind", "gram").agg(
+        F.count_if(F.col("side") == 1).alias("cp"), F.count_if(F.col("side") == 2).alias("cr"))
+    kind, clipped = F.col("kind"), F.least("cp", "cr")
+
+    def total(k: int, value: Column, name: str) -> Column:
+        return F.sum(F.when(kind == k, value).otherwise(0)).cast("long").alias(name)
+
+    return per_gram.groupBy("label", "rid").agg(
+        *[total(k, clipped, f"h{k}") for k in _BLEU_KINDS],
+        *[total(k, clipped, f"hr{k - 10}") for k in _ROUGE_KINDS],
+        total(1, F.col("cp"), "plen_b"), total(1, F.col("cr"), "rlen_b"),
+        total(11, F.col("cp"), "plen_r"), total(11, F.col("cr"), "rlen_r"),
     )
 
 
@@ -91,20 +106,36 @@ def _div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a.cast("double") / b)
 
 
-def bleu_from_hits(hits: DataFrame) -> DataFrame:
-    """Corpus BLEU per label with its parts (matches, totals, lengths, brevity)."""
-    b = hits.where(F.col("kind") == "bleu")
+def _fmeasure(hits: Column, pred_count: Column, ref_count: Column) -> Column:
+    p = hits.cast("double") / F.greatest(pred_count, F.lit(1))
+    r = hits.cast("double") / F.greatest(ref_count, F.lit(1))
+    return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
+
+
+def _rouge_n_f(rows_n: int) -> Column:
+    return _fmeasure(F.col(f"hr{rows_n}"), F.greatest(F.col("plen_r") - rows_n + 1, F.lit(0)),
+                     F.greatest(F.col("rlen_r") - rows_n + 1, F.lit(0)))
+
+
+def _rouge_l_f() -> Column:
+    plen, rlen = F.col("plen_r"), F.col("rlen_r")
+    return F.when((plen == 0) | (rlen == 0), F.lit(0.0)).otherwise(_fmeasure(F.col("lcs"), plen, rlen))
+
+
+def corpus_scores(rows: DataFrame) -> DataFrame:
+    """Per-label totals from :func:`row_scores`: BLEU parts and mean ROUGE F (one partial aggregate)."""
     aggs = []
-    for n in range(1, BLEU_ORDER + 1):
-        at_n = F.col("n") == n
-        aggs.append(F.coalesce(F.sum(F.when(at_n, F.col("hits"))), F.lit(0)).cast("long").alias(f"m{n}"))
-        aggs.append(F.coalesce(F.sum(F.when(at_n, F.greatest(F.col("plen") - n + 1, F.lit(0)))), F.lit(0))
-                    .cast("long").alias(f"t{n}"))
-    aggs.append(F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("plen"))), F.lit(0)).cast("long").alias("pred_len"))
-    aggs.append(F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("rlen"))), F.lit(0)).cast("long").alias("ref_len"))
-    counts = b.groupBy("label").agg(*aggs)
-
-    prec = [F.coalesce(_div(F.col(f"m{n}"), F.col(f"t{n}")), F.lit(0.0)) for n in range(1, BLEU_ORDER + 1)]
+    for n in _BLEU_KINDS:
+        aggs.append(F.sum(f"h{n}").cast("long").alias(f"m{n}"))
+        aggs.append(F.sum(F.greatest(F.col("plen_b") - n + 1, F.lit(0))).cast("long").alias(f"t{n}"))
+    aggs += [F.sum("plen_b").cast("long").alias("pred_len"), F.sum("rlen_b").cast("long").alias("ref_len")]
+    aggs += [F.avg(_rouge_n_f(n)).alias(f"rouge{n}") for n in ROUGE_ORDERS]
+    return rows.groupBy("label").agg(*aggs)
+
+
+def with_bleu(totals: DataFrame) -> DataFrame:
+    """Adds ``bleu`` and ``brevity_penalty`` to per-label totals."""
+    prec = [F.coalesce(_div(F.col(f"m{n}"), F.col(f"t{n}")), F.lit(0.0)) for n in _BLEU_KINDS]
     log_sum = None
     for p in prec:
         term = F.lit(1.0 / BLEU_ORDER) * F.log(p)
@@ -118,57 +149,45 @@ def bleu_from_hits(hits: DataFrame) -> DataFrame:
     # ratio > 1 -> 1; else exp(1 - 1/ratio).  No prediction tokens -> 0 (the
     # reference's library divides by zero there).
     bp = F.when(c > r, F.lit(1.0)).when(c > 0, F.exp(F.lit(1.0) - F.lit(1.0) / ratio)).otherwise(F.lit(0.0))
-    return counts.select("label", (geo * bp).alias("bleu"), bp.alias("brevity_penalty"),
-                         *[F.col(f"m{n}") for n in range(1, BLEU_ORDER + 1)],
-                         *[F.col(f"t{n}") for n in range(1, BLEU_ORDER + 1)], "pred_len", "ref_len")
+    return totals.withColumn("brevity_penalty", bp).withColumn("bleu", geo * bp)
 
 
-def _fmeasure(hits: Column, pred_count: Column, ref_count: Column) -> Column:
-    p = hits.cast("double") / F.greatest(pred_count, F.lit(1))
-    r = hits.cast("double") / F.greatest(ref_count, F.lit(1))
-    return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
-
-
-def rouge_n_rows(hits: DataFrame) -> DataFrame:
-    """Per-row ROUGE-N F-measure: ``(label, rid, n, f)``."""
-    g = hits.where(F.col("kind") == "rouge")
-    n = F.col("n")
-    return g.select("label", "rid", "n", _fmeasure(F.col("hits"), F.greatest(F.col("plen") - n + 1, F.lit(0)),
-                                                    F.greatest(F.col("rlen") - n + 1, F.lit(0))).alias("f"))
+def bleu(pairs: DataFrame) -> DataFrame:
+    """Corpus BLEU per label with its parts (matches, totals, lengths, brevity)."""
+    t = with_bleu(corpus_scores(row_scores(pairs)))
+    return t.select("label", "bleu", "brevity_penalty", *[f"m{n}" for n in _BLEU_KINDS],
+                    *[f"t{n}" for n in _BLEU_KINDS], "pred_len", "ref_len")
 
 
-def rouge_n_from_hits(hits: DataFrame) -> DataFrame:
+def rouge_n(pairs: DataFrame) -> DataFrame:
     """Mean ROUGE-1 and ROUGE-2 F-measure per label."""
-    rows = rouge_n_rows(hits)
-    return rows.groupBy("label").agg(*[F.avg(F.when(F.col("n") == k, F.col("f"))).alias(f"rouge{k}")
-                                       for k in ROUGE_ORDERS])
+    return corpus_scores(row_scores(pairs)).select("label", *[f"rouge{n}" for n in ROUGE_ORDERS])
 
 
 def rouge_l_rows(pairs: DataFrame) -> DataFrame:
-    """Per-row ROUGE-L: LCS of the ROUGE tokens (Arrow UDF, row-local)."""
+    """Per-row ROUGE-L: LCS of the ROUGE tokens (Arrow UDF, row-local, no shuffle)."""
     t = pairs.select("label", "rid", tokens_rouge("prediction").alias("pr"), tokens_rouge("reference").alias("rr"))
     t = t.withColumn("lcs", lcs_length(F.col("pr"), F.col("rr")))
-    plen, rlen, lcs = F.size("pr"), F.size("rr"), F.col("lcs").cast("double")
-    f = F.when((plen == 0) | (rlen == 0), F.lit(0.0)).otherwise(_fmeasure(F.col("lcs"), plen, rlen))
-    return t.select("label", "rid", F.col("lcs"), plen.cast("long").alias("plen"),
-                    rlen.cast("long").alias("rlen"), f.alias("f"))
+    t = t.select("label", "rid", "lcs", F.size("pr").cast("long").alias("plen_r"),
+                 F.size("rr").cast("long").alias("rlen_r"))
+    return t.withColumn("f", _rouge_l_f())
 
 
 def rouge_l(pairs: DataFrame) -> DataFrame:
-    """E5: mean ROUGE-L F-measure per label."""
+    """E5: mean ROUGE-L F-measure per label (LCS only, no n-grams)."""
     return rouge_l_rows(pairs).groupBy("label").agg(F.avg("f").alias("rougeL"))
 
 
 def metric_table(pairs: DataFrame) -> DataFrame:
     """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places, plus the unrounded ``*_raw``.
 
-    The three per-label results have one row per label, so joining them is
-    cheap whatever the data size.
+    Two branches over the same paired rows (the pair shuffle is reused):
+    n-grams for BLEU and ROUGE-1/2, LCS for ROUGE-L.  The Python step stays
+    off the n-gram branch, whose aggregation relies on the join's
+    partitioning (a Python node does not pass partitioning on).  The two
+    per-label results have one row per label.
     """
-    hits = ngram_hits(pairs)
-    raw = (bleu_from_hits(hits).select("label", "bleu")
-           .join(rouge_n_from_hits(hits), "label")
-           .join(rouge_l(pairs), "label"))
+    raw = with_bleu(corpus_scores(row_scores(pairs))).join(rouge_l(pairs), "label")
     return raw.select("label", *[F.round(F.col(m), REPORT_DIGITS).alias(m) for m in METRICS],
                       *[F.col(m).alias(f"{m}_raw") for m in METRICS])
 

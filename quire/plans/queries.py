@@ -224,13 +224,13 @@ def e2_pairs(spark, sf):
 
 
 def e3_bleu(spark, sf):
-    b = M.bleu_from_hits(M.ngram_hits(scored_pairs(spark, sf)))
+    b = M.bleu(scored_pairs(spark, sf))
     return b.select("label", _r("bleu", "bleu"), _r("brevity_penalty", "brevity_penalty"),
                     "m1", "m2", "m3", "m4", "t1", "t2", "t3", "t4", "pred_len", "ref_len")
 
 
 def e4_rouge_n(spark, sf):
-    r = M.rouge_n_from_hits(M.ngram_hits(scored_pairs(spark, sf)))
+    r = M.rouge_n(scored_pairs(spark, sf))
     return r.select("label", _r("rouge1", "rouge1"), _r("rouge2", "rouge2"))
 
 

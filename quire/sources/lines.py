@@ -28,15 +28,29 @@ from pyspark.sql import functions as F
 from quire.functions.text import strip
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, line_no, raw)`` for every physical line, blank ones included; ``line_no`` from 0 per file."""
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.option("wholetext", "false").text(paths).select(
+
+def line_columns() -> list:
+    """File path, block start and text of each line of a text scan."""
+    return [
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mid"),
         F.col("value").alias("raw"),
-    )
+    ]
+
+
+def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, block, raw)`` for every physical line of the files at ``path``."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.text(paths).select(*line_columns())
+
+
+def number_lines(scanned: DataFrame) -> DataFrame:
+    """``(file, line_no, raw)`` from a line scan with ``file`` and ``block`` columns.
+
+    ``scanned`` must come straight from a file scan (no shuffle in between),
+    so that ``monotonically_increasing_id`` is consecutive within each block.
+    """
+    raw = scanned.withColumn("mid", F.monotonically_increasing_id())
     blocks = raw.groupBy("file", "block").agg(F.min("mid").alias("first_mid"), F.count(F.lit(1)).alias("c"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.withColumn("offset", F.coalesce(F.sum("c").over(earlier), F.lit(0))).drop("c")
@@ -44,6 +58,11 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "file", (F.col("offset") + F.col("mid") - F.col("first_mid")).cast("long").alias("line_no"), "raw")
 
 
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(file, line_no, raw)`` for every physical line, blank ones included; ``line_no`` from 0 per file."""
+    return number_lines(scan_lines(spark, path))
+
+
 def content_lines(raw_lines: DataFrame, idx_col: str = "idx", raw_col: str = "raw") -> DataFrame:
     """Strip each line (Python's whitespace set) and drop blank ones, keeping the index."""
     out = raw_lines.withColumn("line", strip(raw_col)).where(F.col("line") != "").drop(raw_col)

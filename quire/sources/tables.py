@@ -22,8 +22,16 @@ FIXTURE_KEEP = "[^A-Za-z0-9 .,?]"
 PRED_DROP_EVERY = {"base": 2, "finetuned": 5}
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One parquet table; the DataFrame (a plan, not data) is reused within a session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def qa_pairs(conversations: DataFrame) -> DataFrame:

@@ -34,9 +34,8 @@ def test_no_shared_token(spark):
 
 
 def test_clipped_unigram(spark):
-    hits = M.ngram_hits(pairs_df(spark, [("the the the", "the cat")]))
-    h = {(r.kind, r.n): r.hits for r in hits.collect()}
-    assert h[("bleu", 1)] == 1 and h[("rouge", 1)] == 1
+    r = M.row_scores(pairs_df(spark, [("the the the", "the cat")])).first()
+    assert r.h1 == 1 and r.hr1 == 1 and (r.plen_b, r.rlen_b) == (3, 2)
 
 
 def test_lcs_golden():
@@ -82,7 +81,7 @@ def test_compare_delta_of_rounded(spark):
 
 def test_ngrams_not_shuffled(spark):
     """Only pair rows cross the network: no exchange between the n-gram explode and its aggregation."""
-    plan = plan_text(M.ngram_hits(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
+    plan = plan_text(M.row_scores(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
     physical = plan.split("===== Subqueries =====")[0]
     tree = physical.split("\n\n")[0]
     gen_at = tree.find("Generate")
@@ -91,6 +90,17 @@ def test_ngrams_not_shuffled(spark):
     assert "Exchange" not in above, tree
 
 
+def test_metric_table_single_pair_shuffle(spark):
+    """E6 in one pass: the pair rows are shuffled once per side, n-grams never."""
+    plan = plan_text(M.metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Generate") == 2  # positions, then the n-grams at each position
+    assert tree.count("ArrowEvalPython") == 1
+    gen_at = tree.find("Generate")
+    between = tree[tree.rfind("Exchange", 0, gen_at):gen_at]
+    assert between.count("HashAggregate") >= 4, tree  # per-gram and per-row aggregates stay in the join's stage
+
+
 def test_rouge_l_udf_is_arrow(spark):
     plan = plan_text(M.rouge_l(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan

@@ -1,0 +1,96 @@
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from quire.operators import split as D
+from quire.operators.metrics import metric_table
+from quire.plans import queries as Q
+from quire.sources import jsonl as J
+from quire.sources.lines import numbered_lines, read_jsonl_lines
+from quire.sources.sample import SEED_PAIRS, TOPICS, sample_qa
+
+
+def _write(path, lines):
+    with open(path, "w", encoding="utf-8") as f:
+        for line in lines:
+            f.write(line + "\n")
+
+
+def test_numbered_lines_many_blocks(spark, tmp_dir):
+    lines = []
+    for i in range(20000):
+        lines.append("" if i % 7 == 3 else f'{{"i": {i}, "pad": "{"x" * (i % 50)}"}}')
+    _write(f"{tmp_dir}/a.jsonl", lines)
+    _write(f"{tmp_dir}/b.jsonl", lines[:1234])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = numbered_lines(spark, tmp_dir)
+        assert df.select("file").distinct().count() == 2
+        blocks = spark.read.text(tmp_dir).select("_metadata.file_block_start").distinct().count()
+        assert blocks > 10
+        got = {(os.path.basename(r.file), r.line_no): r.raw for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expect = {("a.jsonl", i): l for i, l in enumerate(lines)}
+    expect.update({("b.jsonl", i): l for i, l in enumerate(lines[:1234])})
+    assert got == expect
+
+
+def test_read_jsonl_lines_skips_blank(spark, tmp_dir):
+    _write(f"{tmp_dir}/x.jsonl", ['  {"a": 1}  ', "", "   ", "　", '{"b": 2}'])
+    rows = sorted((r.idx, r.line) for r in read_jsonl_lines(spark, f"{tmp_dir}/x.jsonl").collect())
+    assert rows == [(0, '{"a": 1}'), (4, '{"b": 2}')]
+
+
+def test_clean_roundtrip_keeps_null_domain(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "q one?", "answer one!", None), (2, "q two?", "answer two!", "d")],
+                               "rid long, question string, answer string, domain string")
+    J.write_records(df, f"{tmp_dir}/clean")
+    text = "".join(open(os.path.join(f"{tmp_dir}/clean", p)).read() for p in os.listdir(f"{tmp_dir}/clean")
+                   if p.endswith(".json"))
+    assert '"domain":null' in text
+    back = sorted(tuple(r) for r in J.read_records(spark, f"{tmp_dir}/clean").collect())
+    assert back == [(1, "q one?", "answer one!", None), (2, "q two?", "answer two!", "d")]
+
+
+def test_split_sink_layout(spark, tmp_dir):
+    split = D.three_way_split(Q.pairs(spark, "/root/testdata/sf0.001").withColumn("domain", F.lit("x")))
+    J.write_splits(split, f"{tmp_dir}/splits")
+    assert {p for p in os.listdir(f"{tmp_dir}/splits") if p.startswith("split=")} == {"split=train", "split=val", "split=test"}
+    test = J.read_split(spark, f"{tmp_dir}/splits", "test")
+    expected = {r.rid: r.pos for r in split.where("split = 'test'").collect()}
+    assert {r.rid: r.pos for r in test.collect()} == expected
+    head = D.head_sample(test, 3).collect()
+    assert [r.pos for r in head] == sorted(expected.values())[:3]
+
+
+def test_metrics_json(spark, tmp_dir):
+    table = metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001"))
+    J.write_metrics(table, f"{tmp_dir}/metrics")
+    files = [p for p in os.listdir(f"{tmp_dir}/metrics") if p.startswith("part-")]
+    assert len(files) == 1
+    doc = json.loads(open(f"{tmp_dir}/metrics/{files[0]}").read())
+    assert set(doc) == {"base", "finetuned"}
+    assert set(doc["base"]) == {"bleu", "rouge1", "rouge2", "rougeL"}
+
+
+def test_sample_source(spark):
+    a = sample_qa(spark, 500).collect()
+    b = sample_qa(spark, 500).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert sorted(r.rid for r in a) == list(range(500))
+    pairs = {(r.domain, r.question) for r in a}
+    assert len(pairs) == 9
+    assert {r.domain for r in a} == set(TOPICS)
+    for r in a:
+        assert (r.question, r.answer) in SEED_PAIRS[r.domain]
+
+
+def test_load_or_sample(spark, tmp_dir):
+    path = f"{tmp_dir}/data/qa.jsonl"
+    assert not J.path_exists(spark, path)
+    df = J.load_or_sample(spark, path, n=50)
+    assert df.count() == 50 and J.path_exists(spark, path)
+    assert J.load_or_sample(spark, path, n=999).count() == 50
