@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.jsonl import json_ok, record_fields, variant_is_string, variant_text
 from quire.functions.text import strip
+from quire.session import ensure_conf
 
 # Reject reasons and length limits of the reference validator.
 # Rules apply in this order and the first failing one wins.
@@ -32,6 +33,7 @@ FIELDS = ["question", "answer", "domain"]
 
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Strict parse.  Adds ``parse_ok`` and ``rec`` (question/answer/domain as variants)."""
+    ensure_conf(lines.sparkSession)
     return lines.withColumn("parse_ok", json_ok(line_col)).withColumn(
         "rec", F.when(F.col("parse_ok"), record_fields(line_col, FIELDS)))
 

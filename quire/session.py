@@ -35,6 +35,7 @@ def build_session(master: str = "local[8]", app: str = "quire", shuffle_partitio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
