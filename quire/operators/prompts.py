@@ -34,7 +34,18 @@ class ChatTemplate:
     end: str = "<|eot_id|>"
     strip_content: bool = True
 
+    def render_parts(self, parts: list[tuple[str, Column]], add_generation_prompt: bool = False) -> Column:
+        """Render a fixed list of (role, content) messages with one flat ``concat`` (no lambda)."""
+        pieces = [F.lit(self.begin)]
+        for role, content in parts:
+            pieces += [F.lit(self.role_open + role + self.role_close),
+                       strip(content) if self.strip_content else content, F.lit(self.end)]
+        if add_generation_prompt:
+            pieces.append(F.lit(self.role_open + "assistant" + self.role_close))
+        return F.concat(*pieces)
+
     def render(self, messages: Column, add_generation_prompt: bool = False) -> Column:
+        """Render an ``array<struct<role, content>>`` column of any length."""
         def one(m: Column) -> Column:
             content = strip(m["content"]) if self.strip_content else m["content"]
             return F.concat(F.lit(self.role_open), m["role"], F.lit(self.role_close), content, F.lit(self.end))
@@ -60,11 +71,15 @@ def chat_messages(system: str, question: Column | str = "question", answer: Colu
     )
 
 
+def _parts(system: str) -> list[tuple[str, Column]]:
+    return [("system", F.lit(system)), ("user", F.col("question")), ("assistant", F.col("answer"))]
+
+
 def profile_chat(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE,
                  system: str = PROFILE_SYSTEM_PROMPT) -> DataFrame:
     """Messages used for token-length profiling, plus their rendered ``text``."""
     return df.withColumn("messages", chat_messages(system)).withColumn(
-        "text", template.render(F.col("messages")))
+        "text", template.render_parts(_parts(system)))
 
 
 def plain_prompt(df: DataFrame) -> DataFrame:
@@ -77,7 +92,7 @@ def train_chat(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE,
                system: str = TRAIN_SYSTEM_PROMPT) -> DataFrame:
     """Training text, another system prompt, no generation prompt."""
     return df.withColumn("messages", chat_messages(system)).withColumn(
-        "text", template.render(F.col("messages"), add_generation_prompt=False))
+        "text", template.render_parts(_parts(system), add_generation_prompt=False))
 
 
 def inference_prompt(df: DataFrame, question_col: str = "question", out_col: str = "prompt") -> DataFrame:

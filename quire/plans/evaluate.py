@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.operators import metrics as M
 from quire.operators import split as D
 from quire.operators.predict import PredictorFactory, predict
+from quire.session import scratch_path
 from quire.sources import jsonl as J
 
 
@@ -28,10 +29,21 @@ class Evaluation:
 
 
 def evaluate_rows(test: DataFrame, predictors: Mapping[str, PredictorFactory], n_samples: int = D.EVAL_SAMPLES,
-                  order_col: str = "pos", base: str = M.LABELS[0], tuned: str = M.LABELS[1]) -> Evaluation:
-    """Score ``predictors`` on the first ``n_samples`` rows of ``test`` (by ``order_col``)."""
+                  order_col: str = "pos", base: str = M.LABELS[0], tuned: str = M.LABELS[1],
+                  materialize: bool = True) -> Evaluation:
+    """Score ``predictors`` on the first ``n_samples`` rows of ``test`` (by ``order_col``).
+
+    With ``materialize`` the predictions are written once to the shared
+    checkpoint folder and scored from there: model inference is the costly
+    step, the scoring reads predictions in two branches, and a model need not
+    be deterministic for a recomputed task to agree with the first run.
+    """
     sample = D.head_sample(test, n_samples, order_col) if n_samples is not None else test
     preds = predict(sample, predictors)
+    if materialize:
+        path = scratch_path(preds.sparkSession, "predictions")
+        preds.write.parquet(path)
+        preds = preds.sparkSession.read.parquet(path)
     pairs = M.pair_predictions(preds, sample)
     table = M.metric_table(pairs)
     labels = list(predictors)

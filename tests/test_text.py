@@ -44,3 +44,14 @@ def test_ngrams(spark):
     assert got == [["a b", "b c"], [], []]
     got3 = [r[0] for r in df.select(X.ngrams(F.col("t"), 3)).collect()]
     assert got3 == [["a b c"], [], []]
+
+
+def test_template_paths_agree(spark):
+    from quire.operators import prompts as PR
+
+    df = spark.createDataFrame([(1, " q? ", "ans\n"), (2, "", "")], "rid long, question string, answer string")
+    t = PR.DEFAULT_TEMPLATE
+    a = df.select(t.render(PR.chat_messages("sys")).alias("x")).collect()
+    b = df.select(t.render_parts([("system", F.lit("sys")), ("user", F.col("question")),
+                                  ("assistant", F.col("answer"))]).alias("x")).collect()
+    assert a == b
