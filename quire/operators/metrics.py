@@ -112,9 +112,9 @@ def _fmeasure(hits: Column, pred_count: Column, ref_count: Column) -> Column:
     return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
-def _rouge_n_f(rows_n: int) -> Column:
-    return _fmeasure(F.col(f"hr{rows_n}"), F.greatest(F.col("plen_r") - rows_n + 1, F.lit(0)),
-                     F.greatest(F.col("rlen_r") - rows_n + 1, F.lit(0)))
+def _rouge_n_f(n: int) -> Column:
+    return _fmeasure(F.col(f"hr{n}"), F.greatest(F.col("plen_r") - n + 1, F.lit(0)),
+                     F.greatest(F.col("rlen_r") - n + 1, F.lit(0)))
 
 
 def _rouge_l_f() -> Column:
