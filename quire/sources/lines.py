@@ -15,9 +15,9 @@ before its block.  So:
 
 Nothing but the per-block summary is shuffled; the scan is deterministic
 (same files, same splits), so its two passes agree.  The summary holds one
-row per file split, so it grows with bytes / split size, not with rows:
-the join is left to the planner, which broadcasts it only when it is small
-(AQE measures it at run time) and sort-merges otherwise.
+row per file split, so it grows with bytes / split size, not with rows; it
+is checkpointed, counted, and broadcast only below a row bound (else a
+sort-merge join).
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import strip
+from quire.session import checkpoint_dir
 
 
 
@@ -44,17 +45,27 @@ def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(paths).select(*line_columns())
 
 
-def number_lines(scanned: DataFrame) -> DataFrame:
+# One summary row is a file path plus three longs: a million rows is well
+# under a hundred megabytes, a size executors can hold.
+MAX_BROADCAST_BLOCKS = 1_000_000
+
+
+def number_lines(scanned: DataFrame, max_broadcast_blocks: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
     """``(file, line_no, raw)`` from a line scan with ``file`` and ``block`` columns.
 
     ``scanned`` must come straight from a file scan (no shuffle in between),
     so that ``monotonically_increasing_id`` is consecutive within each block.
+    The per-block summary (one row per file split) is written as a reliable
+    checkpoint and counted; it is broadcast when it has at most
+    ``max_broadcast_blocks`` rows, otherwise joined by sort-merge.
     """
+    checkpoint_dir(scanned.sparkSession)
     raw = scanned.withColumn("mid", F.monotonically_increasing_id())
     blocks = raw.groupBy("file", "block").agg(F.min("mid").alias("first_mid"), F.count(F.lit(1)).alias("c"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("offset", F.coalesce(F.sum("c").over(earlier), F.lit(0))).drop("c")
-    return raw.join(offsets, ["file", "block"]).select(
+    offsets = blocks.withColumn("offset", F.coalesce(F.sum("c").over(earlier), F.lit(0))).drop("c").checkpoint()
+    small = offsets.count() <= max_broadcast_blocks
+    return raw.join(F.broadcast(offsets) if small else offsets, ["file", "block"]).select(
         "file", (F.col("offset") + F.col("mid") - F.col("first_mid")).cast("long").alias("line_no"), "raw")
 
 

@@ -94,3 +94,21 @@ def test_load_or_sample(spark, tmp_dir):
     df = J.load_or_sample(spark, path, n=50)
     assert df.count() == 50 and J.path_exists(spark, path)
     assert J.load_or_sample(spark, path, n=999).count() == 50
+
+
+def test_numbered_lines_without_broadcast(spark, tmp_dir):
+    from quire.sources.lines import number_lines, scan_lines
+    from tests_support import plan_text
+
+    lines = [f'{{"i": {i}}}' if i % 5 else "" for i in range(3000)]
+    _write(f"{tmp_dir}/c.jsonl", lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        big = number_lines(scan_lines(spark, f"{tmp_dir}/c.jsonl"), max_broadcast_blocks=0)
+        small = number_lines(scan_lines(spark, f"{tmp_dir}/c.jsonl"))
+        assert "BroadcastExchange" in plan_text(small)
+        assert sorted((r.line_no, r.raw) for r in big.collect()) == list(enumerate(lines))
+        assert sorted((r.line_no, r.raw) for r in small.collect()) == list(enumerate(lines))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
