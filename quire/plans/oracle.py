@@ -328,13 +328,11 @@ ORACLE: dict[str, str] = {
     "a3_doc_lengths": f"{_DOC} SELECT CAST(round_even(coalesce(avg(length(question)), 0), 0) AS BIGINT) AS avg_question_len, "
                       f"CAST(round_even(coalesce(avg(length(answer)), 0), 0) AS BIGINT) AS avg_answer_len FROM docs_clean",
     "a4_report": f"""{_VAL},
-      hist AS (SELECT domain, count(*) AS n FROM clean GROUP BY domain),
       agg AS (SELECT count(*) FILTER (WHERE ok)::BIGINT AS total_raw,
                      count(*) FILTER (WHERE reason IS NULL)::BIGINT AS total_clean,
                      count(*) FILTER (WHERE reason IS NOT NULL)::BIGINT AS dropped FROM validated)
       SELECT total_raw, total_clean, dropped,
-        (SELECT string_agg(coalesce(domain, 'null') || '=' || CAST(n AS VARCHAR), ',' ORDER BY domain NULLS FIRST) FROM hist)
-          AS domains,
+        (SELECT count(*) FROM (SELECT domain FROM clean GROUP BY domain))::BIGINT AS n_domains,
         (SELECT CAST(round_even(coalesce(avg(length(question)), 0), 0) AS BIGINT) FROM clean) AS avg_question_len,
         (SELECT CAST(round_even(coalesce(avg(length(answer)), 0), 0) AS BIGINT) FROM clean) AS avg_answer_len
       FROM agg""",

@@ -29,6 +29,7 @@ class Preprocessed:
     rejects: DataFrame     # (idx, reason, message)
     first_rejects: DataFrame
     report: DataFrame      # A4, one row
+    domains: DataFrame     # A4's histogram (domain, n)
     lengths: DataFrame     # T3, one row
     splits: DataFrame      # (rid, question, answer, domain, pos, split)
     split_sizes: DataFrame  # D3
@@ -55,7 +56,7 @@ def preprocess_lines(lines: DataFrame, max_length: int = P.DEFAULT_MAX_LENGTH, t
     profiled = P.token_lengths(PR.profile_chat(clean, template))
     return Preprocessed(
         validated=flat, clean=clean, rejects=reject_rows, first_rejects=V.first_rejects(reject_rows),
-        report=P.ingest_report(flat), lengths=P.length_report(profiled, max_length=max_length),
+        report=P.ingest_report(flat), domains=P.report_domains(flat), lengths=P.length_report(profiled, max_length=max_length),
         splits=D.three_way_split(clean, train_ratio=train_ratio, val_ratio=val_ratio, seed=seed),
         split_sizes=D.split_sizes(clean, train_ratio, val_ratio),
     )

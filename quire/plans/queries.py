@@ -127,9 +127,7 @@ def a3_doc_lengths(spark, sf):
 
 
 def a4_report(spark, sf):
-    rep = P.ingest_report(validated(spark, sf))
-    return rep.select("total_raw", "total_clean", "dropped", P.render_domains(F.col("domains")).alias("domains"),
-                      "avg_question_len", "avg_answer_len")
+    return P.ingest_report(validated(spark, sf))
 
 
 # -- P1-P5 -------------------------------------------------------------------

@@ -31,7 +31,7 @@ def line_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int
 
 
 def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
-    """One micro-batch: clean rows, rejects and the batch report, each under ``.../batch_id=N``."""
+    """One micro-batch: clean rows, rejects, the batch report and its domain histogram, each under ``.../batch_id=N``."""
     spark = batch.sparkSession
     ensure_conf(spark)
     flat = V.validate_lines(content_lines(number_lines(batch).withColumnRenamed("line_no", "idx")))
@@ -44,6 +44,7 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
                     F.concat(F.lit("Row "), F.col("idx").cast("string"), F.lit(": "), F.col("reason")).alias("message")) \
         .write.mode("overwrite").json(f"{output_dir}/rejects/{part}")
     P.ingest_report(flat).write.mode("overwrite").json(f"{output_dir}/reports/{part}")
+    P.report_domains(flat).write.mode("overwrite").options(**J._WRITE_OPTIONS).json(f"{output_dir}/domains/{part}")
 
 
 def clean_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,

@@ -51,7 +51,8 @@ def test_report_matches_parts(spark):
     assert (rep.total_raw, rep.total_clean, rep.dropped) == tuple(counts)
     from quire.operators.validate import clean_records
     hist = {r.domain: r.n for r in P.domain_histogram(clean_records(flat)).collect()}
-    assert {d.domain: d.n for d in rep.domains} == hist
+    assert {r.domain: r.n for r in P.report_domains(flat).collect()} == hist
+    assert rep.n_domains == len(hist)
     m = P.mean_lengths(clean_records(flat)).first()
     assert (rep.avg_question_len, rep.avg_answer_len) == (m.avg_question_len, m.avg_answer_len)
 
