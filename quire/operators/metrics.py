@@ -28,23 +28,21 @@ REPORT_DIGITS = 4      # fixed value: the reference rounds metrics to 4 places
 LABELS = ("base", "finetuned")
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    return int(partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def pair_predictions(predictions: DataFrame, references: DataFrame, id_col: str = "rid",
-                     reference_col: str = "answer", partitions: int | None = None) -> DataFrame:
+                     reference_col: str = "answer") -> DataFrame:
     """``(label, rid, prediction, reference)``.
 
-    Both sides are hash-partitioned on ``rid`` into the same ``partitions``
-    (default ``spark.sql.shuffle.partitions``), so the sort-merge join adds no
-    exchange and its partitioning is reused by all per-row scoring below.
-    The count is explicit because the rows are small while the n-gram work
-    per row is large: run-time coalescing by bytes would leave a few tasks
-    with all of it.  A broadcast would save one small shuffle of references
-    but force a shuffle of every n-gram instead.
+    Both sides are hash-partitioned on ``rid`` with an explicit partition
+    count, ``spark.sql.shuffle.partitions`` (Spark aligns two shuffled join
+    sides to that number), so the sort-merge join adds no exchange and its
+    partitioning is reused by all per-row scoring below.  The count is
+    explicit because a repartition by number is not coalesced at run time:
+    the pair rows are small while the n-gram work per row is large, and
+    coalescing by bytes would leave a few tasks with all of it.  A broadcast
+    would save one small shuffle of references but force a shuffle of every
+    n-gram instead.
     """
-    n = _partitions(predictions, partitions)
+    n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     refs = references.select(F.col(id_col).alias("rid"), F.col(reference_col).alias("reference"))
     preds = predictions.select("label", F.col(id_col).alias("rid"), "prediction")
     return (preds.repartition(n, "rid").join(refs.repartition(n, "rid").hint("merge"), "rid")
