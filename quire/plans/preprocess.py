@@ -37,9 +37,12 @@ class Preprocessed:
 
 def preprocess_lines(lines: DataFrame, max_length: int = P.DEFAULT_MAX_LENGTH, train_ratio: float = D.TRAIN_RATIO,
                      val_ratio: float = D.VAL_RATIO, seed: int = D.DEFAULT_SEED, materialize: bool = True,
-                     template: PR.ChatTemplate = PR.DEFAULT_TEMPLATE) -> Preprocessed:
+                     template: PR.ChatTemplate | None = PR.DEFAULT_TEMPLATE) -> Preprocessed:
     """All preprocess outputs from numbered lines ``(idx, line)``.
 
+    Token lengths are counted on the P1 chat text, or on the plain P2 text
+    when ``template`` is None (the reference's fallback without a template).
+
     With ``materialize`` the validated table is written once (parquet, shared
     checkpoint folder) and every output reads it; otherwise all outputs are
     lazy plans over the source.
@@ -53,7 +56,8 @@ def preprocess_lines(lines: DataFrame, max_length: int = P.DEFAULT_MAX_LENGTH, t
         flat = spark.read.parquet(path)
     clean = V.clean_records(flat)
     reject_rows = V.rejects(flat)
-    profiled = P.token_lengths(PR.profile_chat(clean, template))
+    formatted = PR.profile_chat(clean, template) if template is not None else PR.plain_prompt(clean)
+    profiled = P.token_lengths(formatted)
     return Preprocessed(
         validated=flat, clean=clean, rejects=reject_rows, first_rejects=V.first_rejects(reject_rows),
         report=P.ingest_report(flat), domains=P.report_domains(flat), lengths=P.length_report(profiled, max_length=max_length),
