@@ -96,21 +96,23 @@ def clean_projection(rec: Column) -> list[Column]:
     ]
 
 
-def flatten(validated: DataFrame) -> DataFrame:
+def flatten(validated: DataFrame, keep_line: bool = False) -> DataFrame:
     """Drops the parsed record: ``question``/``answer``/``domain`` hold the V2 values for valid rows, NULL otherwise.
 
-    The result has only plain columns, so it can be written to parquet.
+    The result has only plain columns, so it can be written to parquet.  The
+    raw ``line`` is dropped unless ``keep_line`` (materialising it would write
+    a second copy of the input).
     """
     ok = F.col("reason").isNull()
     q, a, d = clean_projection(F.col("rec"))
-    return validated.select(
-        *[c for c in validated.columns if c not in ("rec", "line")], F.col("line"),
-        F.when(ok, q).alias("question"), F.when(ok, a).alias("answer"), F.when(ok, d).alias("domain"))
+    kept = [c for c in validated.columns if c not in ("rec", "line")] + (["line"] if keep_line else [])
+    return validated.select(*kept, F.when(ok, q).alias("question"), F.when(ok, a).alias("answer"),
+                            F.when(ok, d).alias("domain"))
 
 
-def validate_lines(lines: DataFrame, line_col: str = "line", **limits) -> DataFrame:
-    """S2 + V1 + V2: ``(idx, ..., parse_ok, reason, line, question, answer, domain)``."""
-    return flatten(validate(parse_lines(lines, line_col), **limits))
+def validate_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False, **limits) -> DataFrame:
+    """S2 + V1 + V2: ``(idx, ..., parse_ok, reason, question, answer, domain)``."""
+    return flatten(validate(parse_lines(lines, line_col), **limits), keep_line=keep_line)
 
 
 def clean_records(flat: DataFrame, id_col: str = "idx") -> DataFrame:

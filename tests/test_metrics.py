@@ -101,6 +101,13 @@ def test_metric_table_single_pair_shuffle(spark):
     assert between.count("HashAggregate") >= 4, tree  # per-gram and per-row aggregates stay in the join's stage
 
 
+def test_pair_shuffle_reused_by_both_branches(spark):
+    df = M.metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
 def test_rouge_l_udf_is_arrow(spark):
     plan = plan_text(M.rouge_l(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
     assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan

@@ -71,7 +71,8 @@ def test_clean_projection(spark):
 
 
 def test_fixture_lines_match_python(spark):
-    rows = Q.validated(spark, "/root/testdata/sf0.01").select("idx", "line", "reason").collect()
+    rows = V.validate_lines(Q.lines(spark, "/root/testdata/sf0.01"), keep_line=True).select(
+        "idx", "line", "reason").collect()
     assert len(rows) == 213
     for r in rows:
         assert r.reason == pyref.validate(r.line), r.line
