@@ -32,11 +32,14 @@ TRAIN_EVAL_SAMPLES = 50
 TRAIN_VAL_SALT = "train_test_split"
 
 
-def order_key(id_col: str = "rid", seed: int = DEFAULT_SEED, salt: str | None = None) -> Column:
-    parts = [F.col(id_col).cast("string"), F.lit(":"), F.lit(str(seed))]
-    if salt:
-        parts += [F.lit(":"), F.lit(salt)]
-    return F.md5(F.concat(*parts))
+def _ids(id_col: str | list[str]) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def order_key(id_col: str | list[str] = "rid", seed: int = DEFAULT_SEED, salt: str | None = None) -> Column:
+    """``md5(id ':' seed)``; with several id columns ``md5(id1 ':' id2 ... ':' seed)``."""
+    parts = [F.col(c).cast("string") for c in _ids(id_col)] + [F.lit(str(seed))] + ([F.lit(salt)] if salt else [])
+    return F.md5(F.concat_ws(":", *parts))
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -44,11 +47,11 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, 2 * parts)
 
 
-def shuffle_positions(df: DataFrame, id_col: str = "rid", seed: int = DEFAULT_SEED, salt: str | None = None,
-                      buckets: int | None = None) -> DataFrame:
+def shuffle_positions(df: DataFrame, id_col: str | list[str] = "rid", seed: int = DEFAULT_SEED,
+                      salt: str | None = None, buckets: int | None = None) -> DataFrame:
     """Adds ``pos`` (0-based rank in seeded order) and ``n`` (row count).
 
-    ``id_col`` must be unique.  ``buckets`` sets how many window partitions the
+    ``id_col`` (one column or several) must identify rows uniquely.  ``buckets`` sets how many window partitions the
     ranking uses (default: twice ``spark.sql.shuffle.partitions``).
     """
     b = int(buckets or _default_buckets(df))
@@ -56,7 +59,7 @@ def shuffle_positions(df: DataFrame, id_col: str = "rid", seed: int = DEFAULT_SE
         raise ValueError("buckets must be in [1, 2^31)")
     keyed = df.withColumn("_key", order_key(id_col, seed, salt)).withColumn(
         "_bucket", F.shiftright(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * F.lit(b), 32))
-    by_bucket = Window.partitionBy("_bucket").orderBy("_key", id_col)
+    by_bucket = Window.partitionBy("_bucket").orderBy("_key", *_ids(id_col))
     ranked = keyed.withColumn("_rank", F.row_number().over(by_bucket) - 1)
     # One row per bucket: at most `b` rows, a bound fixed here, so broadcast it.
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,7 +79,7 @@ def cut_points(n: Column, train_ratio: float = TRAIN_RATIO, val_ratio: float = V
     return n_train, n_val
 
 
-def three_way_split(df: DataFrame, id_col: str = "rid", train_ratio: float = TRAIN_RATIO,
+def three_way_split(df: DataFrame, id_col: str | list[str] = "rid", train_ratio: float = TRAIN_RATIO,
                     val_ratio: float = VAL_RATIO, seed: int = DEFAULT_SEED, buckets: int | None = None) -> DataFrame:
     """Exact train/val/test split: the first ``int(n*0.8)`` positions, the next ``int(n*0.1)``, the rest."""
     pos = shuffle_positions(df, id_col, seed, buckets=buckets)
@@ -103,7 +106,7 @@ def split_sizes(df: DataFrame, train_ratio: float = TRAIN_RATIO, val_ratio: floa
     )))
 
 
-def train_val_split(df: DataFrame, id_col: str = "rid", test_size: float = TEST_SIZE, seed: int = DEFAULT_SEED,
+def train_val_split(df: DataFrame, id_col: str | list[str] = "rid", test_size: float = TEST_SIZE, seed: int = DEFAULT_SEED,
                     buckets: int | None = None) -> DataFrame:
     """Two-way split with ``ceil(test_size*n)`` validation rows first in a second seeded order."""
     pos = shuffle_positions(df, id_col, seed, salt=TRAIN_VAL_SALT, buckets=buckets)

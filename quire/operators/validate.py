@@ -116,8 +116,14 @@ def validate_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = F
 
 
 def clean_records(flat: DataFrame, id_col: str = "idx") -> DataFrame:
-    """V2: valid rows as ``(rid, question, answer, domain)``; ``rid`` is the line index."""
-    return flat.where(F.col("reason").isNull()).select(F.col(id_col).alias("rid"), "question", "answer", "domain")
+    """V2: valid rows as ``(rid, question, answer, domain)``; ``rid`` is the line index.
+
+    For input read from several files the ``file`` column is kept first:
+    ``(file, rid)`` is then the row's identity.
+    """
+    keep = ["file"] if "file" in flat.columns else []
+    return flat.where(F.col("reason").isNull()).select(*keep, F.col(id_col).alias("rid"), "question", "answer",
+                                                        "domain")
 
 
 def rejects(flat: DataFrame, id_col: str = "idx") -> DataFrame:

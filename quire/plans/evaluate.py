@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.operators import metrics as M
 from quire.operators import split as D
@@ -22,7 +23,7 @@ from quire.sources import jsonl as J
 @dataclass
 class Evaluation:
     sample: DataFrame       # D5 rows scored
-    predictions: DataFrame  # E1 (rid, label, prediction)
+    predictions: DataFrame  # E1 (rid = stored position, label, prediction)
     pairs: DataFrame        # E2
     metrics: DataFrame      # E6
     comparison: DataFrame   # E7
@@ -39,12 +40,15 @@ def evaluate_rows(test: DataFrame, predictors: Mapping[str, PredictorFactory], n
     be deterministic for a recomputed task to agree with the first run.
     """
     sample = D.head_sample(test, n_samples, order_col) if n_samples is not None else test
-    preds = predict(sample, predictors)
+    # Rows are identified by their stored position: unique within a split
+    # even when line numbers repeat across input files.
+    keyed = sample.select(F.col(order_col).alias("rid"), "question", "answer")
+    preds = predict(keyed, predictors)
     if materialize:
         path = scratch_path(preds.sparkSession, "predictions")
         preds.write.parquet(path)
         preds = preds.sparkSession.read.parquet(path)
-    pairs = M.pair_predictions(preds, sample)
+    pairs = M.pair_predictions(preds, keyed)
     table = M.metric_table(pairs)
     labels = list(predictors)
     comparison = M.compare(table, base, tuned) if base in labels and tuned in labels else None

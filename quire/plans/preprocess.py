@@ -58,10 +58,11 @@ def preprocess_lines(lines: DataFrame, max_length: int = P.DEFAULT_MAX_LENGTH, t
     reject_rows = V.rejects(flat)
     formatted = PR.profile_chat(clean, template) if template is not None else PR.plain_prompt(clean)
     profiled = P.token_lengths(formatted)
+    ids = ["file", "rid"] if "file" in clean.columns else "rid"
     return Preprocessed(
         validated=flat, clean=clean, rejects=reject_rows, first_rejects=V.first_rejects(reject_rows),
         report=P.ingest_report(flat), domains=P.report_domains(flat), lengths=P.length_report(profiled, max_length=max_length),
-        splits=D.three_way_split(clean, train_ratio=train_ratio, val_ratio=val_ratio, seed=seed),
+        splits=D.three_way_split(clean, ids, train_ratio=train_ratio, val_ratio=val_ratio, seed=seed),
         split_sizes=D.split_sizes(clean, train_ratio, val_ratio),
     )
 

@@ -63,14 +63,18 @@ def load_or_sample(spark: SparkSession, path: str, n: int = 500, seed: int = 42)
     return read_records(spark, path)
 
 
+def _source(df: DataFrame) -> list[str]:
+    return ["file"] if "file" in df.columns else []
+
+
 def write_records(clean: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Clean rows as JSONL, fields in the order rid, question, answer, domain."""
-    clean.select(*CLEAN_FIELDS).write.mode(mode).options(**_WRITE_OPTIONS).json(path)
+    """Clean rows as JSONL, fields in the order rid, question, answer, domain (``file`` first when present)."""
+    clean.select(*_source(clean), *CLEAN_FIELDS).write.mode(mode).options(**_WRITE_OPTIONS).json(path)
 
 
 def write_splits(split_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per split (``split=train`` ...), ``pos`` kept so stored order can be rebuilt."""
-    split_rows.select(*CLEAN_FIELDS, "pos", "split").write.mode(mode).partitionBy("split") \
+    split_rows.select(*_source(split_rows), *CLEAN_FIELDS, "pos", "split").write.mode(mode).partitionBy("split") \
         .options(**_WRITE_OPTIONS).json(path)
 
 

@@ -33,7 +33,7 @@ def test_preprocess_file_equals_queries(spark, tmp_dir):
     src = f"{tmp_dir}/qa.jsonl"
     _fixture_file(spark, src)
     res = preprocess(spark, src, output_path=f"{tmp_dir}/clean", splits_path=f"{tmp_dir}/splits")
-    clean = sorted(tuple(r) for r in res.clean.collect())
+    clean = sorted(tuple(r) for r in res.clean.drop("file").collect())
     assert clean == sorted(tuple(r) for r in Q.v2_clean(spark, SF).collect())
     rep = res.report.first()
     a1 = Q.a1_counts(spark, SF).first()
@@ -90,3 +90,19 @@ def test_streaming_ingest(spark, tmp_dir):
     assert got == want
     rej = spark.read.json(f"{out}/rejects").count()
     assert rej == Q.v3_rejects(spark, SF).count()
+
+
+def test_preprocess_folder_of_files(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    for name in ("a", "b"):
+        with open(f"{tmp_dir}/in/{name}.jsonl", "w") as f:
+            for i in range(40):
+                f.write(f'{{"question": "question {name} {i}?", "answer": "long enough answer {i}"}}\n')
+    res = preprocess(spark, f"{tmp_dir}/in")
+    rows = res.splits.collect()
+    assert len(rows) == 80 and len({(r.file, r.rid) for r in rows}) == 80
+    assert sorted(r.pos for r in rows) == list(range(80))
+    again = {(r.file, r.rid): r.pos for r in res.splits.collect()}
+    assert again == {(r.file, r.rid): r.pos for r in rows}
+    sizes = {s: sum(1 for r in rows if r.split == s) for s in ("train", "val", "test")}
+    assert (sizes["train"], sizes["val"], sizes["test"]) == (64, 8, 8)
