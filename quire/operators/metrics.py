@@ -60,7 +60,7 @@ def _item(kind: int, gram: Column, side: int) -> Column:
     return F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), F.lit(side).alias("side"))
 
 
-def row_scores(pairs: DataFrame) -> DataFrame:
+def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True) -> DataFrame:
     """Per-row n-gram counts: ``(label, rid, h1..h4, hr1, hr2, plen_b, rlen_b, plen_r, rlen_r)``.
 
     ``h<n>`` are clipped BLEU n-gram matches, ``hr<n>`` clipped ROUGE-N
@@ -69,20 +69,22 @@ def row_scores(pairs: DataFrame) -> DataFrame:
     starting there on both sides.  No lambda functions: every step is a plain
     expression that stays in whole-stage code generation.  The two
     aggregations are keyed by ``rid`` and run in the pairing join's
-    partitions with no exchange.
+    partitions with no exchange.  ``bleu``/``rouge`` choose which n-grams
+    are emitted (the other counts are 0); unused tokenizers are pruned.
     """
     toks = pairs.select(
         "label", "rid",
         tokens_13a("prediction").alias("pb"), tokens_13a("reference").alias("rb"),
         tokens_rouge("prediction").alias("pr"), tokens_rouge("reference").alias("rr"),
     )
-    longest = F.greatest(F.size("pb"), F.size("rb"), F.size("pr"), F.size("rr"), F.lit(1))
+    sizes = ([F.size("pb"), F.size("rb")] if bleu else []) + ([F.size("pr"), F.size("rr")] if rouge else [])
+    longest = F.greatest(*sizes, F.lit(1))
     at = toks.select("label", "rid", "pb", "rb", "pr", "rr", F.explode(F.sequence(F.lit(0), longest - 1)).alias("i"))
     i = F.col("i")
     items = [_item(0, F.when(i == 0, F.lit("")), 0)]
-    for k in _BLEU_KINDS:
+    for k in _BLEU_KINDS if bleu else []:
         items += [_item(k, gram_at(F.col("pb"), i, k), 1), _item(k, gram_at(F.col("rb"), i, k), 2)]
-    for k in _ROUGE_KINDS:
+    for k in _ROUGE_KINDS if rouge else []:
         items += [_item(k, gram_at(F.col("pr"), i, k - 10), 1), _item(k, gram_at(F.col("rr"), i, k - 10), 2)]
     exploded = at.select("label", "rid", F.inline(F.array(*items))).where(F.col("gram").isNotNull())
     per_gram = exploded.groupBy("label", "rid", "kind", "gram").agg(
@@ -152,14 +154,14 @@ def with_bleu(totals: DataFrame) -> DataFrame:
 
 def bleu(pairs: DataFrame) -> DataFrame:
     """Corpus BLEU per label with its parts (matches, totals, lengths, brevity)."""
-    t = with_bleu(corpus_scores(row_scores(pairs)))
+    t = with_bleu(corpus_scores(row_scores(pairs, rouge=False)))
     return t.select("label", "bleu", "brevity_penalty", *[f"m{n}" for n in _BLEU_KINDS],
                     *[f"t{n}" for n in _BLEU_KINDS], "pred_len", "ref_len")
 
 
 def rouge_n(pairs: DataFrame) -> DataFrame:
     """Mean ROUGE-1 and ROUGE-2 F-measure per label."""
-    return corpus_scores(row_scores(pairs)).select("label", *[f"rouge{n}" for n in ROUGE_ORDERS])
+    return corpus_scores(row_scores(pairs, bleu=False)).select("label", *[f"rouge{n}" for n in ROUGE_ORDERS])
 
 
 def rouge_l_rows(pairs: DataFrame) -> DataFrame:
