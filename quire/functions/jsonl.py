@@ -9,9 +9,10 @@ Python worker:
 * ``{"r":line}`` must parse without a corrupt record: catches ``{..}] xyz``.
 
 Any trailing text has to start with ``,`` or ``]`` to survive the first parse
-and neither survives the second.  The record's fields are then read once as
-``variant`` values, which keeps key presence (``null`` vs absent), the JSON
-type (string vs number) and last-wins duplicate keys.
+and neither survives the second.  The second parse reads the value as a
+``variant``, so the record's fields come from it with no third parse, keeping
+key presence (``null`` vs absent), the JSON type (string vs number) and
+last-wins duplicate keys.
 """
 
 from __future__ import annotations
@@ -37,24 +38,44 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _as_array(line: Column) -> Column:
+    return F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT_OPTIONS)
+
+
+def _as_member(line: Column) -> Column:
+    """``{"r": line}`` parsed with ``r`` as a variant: the value itself, or a corrupt record."""
+    return F.from_json(F.concat(F.lit('{"r":'), line, F.lit("}")), f"r variant, {_CORRUPT} string",
+                       {**STRICT_OPTIONS, "columnNameOfCorruptRecord": _CORRUPT})
+
+
+def parse_json(line: Column | str) -> Column:
+    """``struct(ok boolean, value variant)``: strict validity and the parsed value, in two parses.
+
+    ``value`` is NULL unless ``ok``.  Duplicate keys keep the last value
+    (``spark.sql.variant.allowDuplicateKeys``); NaN and Infinity are values.
+    """
+    line = _col(line)
+    member = _as_member(line)
+    ok = F.coalesce((F.size(_as_array(line)) == 1) & member[_CORRUPT].isNull(), F.lit(False))
+    return F.struct(ok.alias("ok"), F.when(ok, member["r"]).alias("value"))
+
+
 def json_ok(line: Column | str) -> Column:
     """True when the line is exactly one JSON value, as ``json.loads`` decides."""
-    line = _col(line)
-    as_array = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT_OPTIONS)
-    as_member = F.from_json(
-        F.concat(F.lit('{"r":'), line, F.lit("}")),
-        f"r string, {_CORRUPT} string",
-        {**STRICT_OPTIONS, "columnNameOfCorruptRecord": _CORRUPT},
-    )
-    return F.coalesce((F.size(as_array) == 1) & as_member[_CORRUPT].isNull(), F.lit(False))
+    return parse_json(line)["ok"]
 
 
-def record_fields(line: Column | str, names: list[str]) -> Column:
-    """The named top-level fields as ``variant`` values.
+def fields(value: Column, names: list[str]) -> Column:
+    """The named top-level fields of a parsed value as variants.
 
-    Absent key -> NULL; JSON null -> a variant null; a non-object line -> all
-    NULL.  Duplicate keys keep the last value.
+    Absent key -> NULL; JSON null -> a variant null; a value that is not an
+    object -> all NULL.
     """
+    return F.struct(*[F.try_variant_get(value, f"$.{n}", "variant").alias(n) for n in names])
+
+
+def record_fields(line: Column | str, names: list[str]) -> Column:
+    """The named top-level fields of a line as variants (one parse, no strictness check)."""
     schema = ", ".join(f"`{n}` variant" for n in names)
     return F.from_json(_col(line), schema, STRICT_OPTIONS)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.jsonl import json_ok, record_fields, variant_is_string, variant_text
+from quire.functions.jsonl import fields, parse_json, variant_is_string, variant_text
 from quire.functions.text import strip
 from quire.session import ensure_conf
 
@@ -34,8 +34,9 @@ FIELDS = ["question", "answer", "domain"]
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Strict parse.  Adds ``parse_ok`` and ``rec`` (question/answer/domain as variants)."""
     ensure_conf(lines.sparkSession)
-    return lines.withColumn("parse_ok", json_ok(line_col)).withColumn(
-        "rec", F.when(F.col("parse_ok"), record_fields(line_col, FIELDS)))
+    parsed = lines.withColumn("_json", parse_json(line_col))
+    return parsed.withColumn("parse_ok", F.col("_json.ok")).withColumn(
+        "rec", F.when(F.col("parse_ok"), fields(F.col("_json.value"), FIELDS))).drop("_json")
 
 
 def reason_expr(rec: Column, parse_ok: Column,
