@@ -59,3 +59,36 @@ def test_spark_split_disjoint_and_exact(spark, n, buckets):
 @settings(max_examples=40, deadline=None)
 def test_bleu_of_identity_is_one(text):
     assert abs(pyref.bleu([text], [text]) - 1.0) < 1e-12
+
+
+texts = st.text(alphabet=list("abc xyz.,-'\n") + ["é", "Q"], min_size=0, max_size=40)
+
+
+@given(st.lists(st.tuples(texts, texts), min_size=1, max_size=6))
+@settings(max_examples=12, deadline=None)
+def test_spark_scores_equal_python(spark, rows):
+    import pytest
+
+    from quire.operators import metrics as M
+
+    df = spark.createDataFrame([("m", i, p, r) for i, (p, r) in enumerate(rows)],
+                               "label string, rid long, prediction string, reference string")
+    t = M.metric_table(df).first()
+    preds, refs = [p for p, _ in rows], [r for _, r in rows]
+    n = len(rows)
+    assert t.bleu_raw == pytest.approx(pyref.bleu(preds, refs), abs=1e-12)
+    assert t.rouge1_raw == pytest.approx(sum(pyref.rouge_n(p, r, 1) for p, r in rows) / n, abs=1e-12)
+    assert t.rouge2_raw == pytest.approx(sum(pyref.rouge_n(p, r, 2) for p, r in rows) / n, abs=1e-12)
+    assert t.rougeL_raw == pytest.approx(sum(pyref.rouge_l(p, r) for p, r in rows) / n, abs=1e-12)
+    for v in (t.bleu_raw, t.rouge1_raw, t.rouge2_raw, t.rougeL_raw):
+        assert 0.0 <= v <= 1.0 + 1e-12
+
+
+@given(st.text(alphabet="ab cd", min_size=0, max_size=30).filter(lambda s: len(s.split()) >= 4))
+@settings(max_examples=6, deadline=None)
+def test_spark_bleu_identity(spark, text):
+    from quire.operators import metrics as M
+
+    df = spark.createDataFrame([("m", 1, text, text)], "label string, rid long, prediction string, reference string")
+    t = M.metric_table(df).first()
+    assert abs(t.bleu_raw - 1.0) < 1e-12 and abs(t.rougeL_raw - 1.0) < 1e-12
