@@ -309,6 +309,10 @@ e6 AS (SELECT b.label, round(geo * bpen, 4) AS bleu, round(rouge1, 4) AS rouge1,
        FROM bleu b JOIN rn USING (label) JOIN rl USING (label))"""
 
 ORACLE: dict[str, str] = {
+    "s1_doc_lines": f"""SELECT rid, idx, line FROM (
+        SELECT doc_id AS rid, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS BIGINT) AS idx,
+               {trim('unnest(string_split(text, chr(10)))')} AS line
+        FROM documents) WHERE line <> ''""",
     "s2_strict_json": f"{_VAL} SELECT idx, ok AS parse_ok FROM parsed",
     "v1_reasons": f"{_VAL} SELECT idx, reason FROM validated",
     "v1_doc_reasons": f"{_DOC} SELECT rid, reason FROM docs_v",

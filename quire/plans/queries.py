@@ -73,7 +73,15 @@ def chat_lengths(df: DataFrame) -> DataFrame:
     return P.token_lengths(PR.profile_chat(df)).select("rid", "n_tokens")
 
 
-# -- S2, V1-V4 ---------------------------------------------------------------
+# -- S1, S2, V1-V4 -----------------------------------------------------------
+
+def s1_doc_lines(spark, sf):
+    """S1's numbering and strip/skip rules over the stored document texts (one text = one file)."""
+    from quire.sources.lines import text_lines
+
+    docs = T.table(spark, sf, "documents").select(F.col("doc_id").alias("rid"), "text")
+    return text_lines(docs, "rid")
+
 
 def s2_strict_json(spark, sf):
     ensure_conf(spark)
@@ -246,7 +254,7 @@ def e7_compare(spark, sf):
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
-        s2_strict_json, v1_reasons, v1_doc_reasons, v2_clean, v2_doc_clean, v3_rejects, v4_first_rejects,
+        s1_doc_lines, s2_strict_json, v1_reasons, v1_doc_reasons, v2_clean, v2_doc_clean, v3_rejects, v4_first_rejects,
         a1_counts, a2_domains, a2_doc_domains, a3_lengths, a3_doc_lengths, a4_report,
         p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
         t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,

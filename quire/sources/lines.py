@@ -80,6 +80,16 @@ def content_lines(raw_lines: DataFrame, idx_col: str = "idx", raw_col: str = "ra
     return out.withColumnRenamed(idx_col, "idx") if idx_col != "idx" else out
 
 
+def text_lines(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """S1 over texts held in a table: each text is one "file" split at ``\\n``.
+
+    ``(id_col, idx, line)``: 0-based line index within the text (blank lines
+    use up an index), stripped, blank lines dropped.  Row-local, no shuffle.
+    """
+    raw = df.select(id_col, F.posexplode(F.split(F.col(text_col), "\n")).alias("idx", "raw"))
+    return content_lines(raw).select(id_col, F.col("idx").cast("long").alias("idx"), "line")
+
+
 def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, idx, line)`` for the non-blank, stripped lines; ``idx`` counts from 0 in each file."""
     numbered = numbered_lines(spark, path)

@@ -112,3 +112,13 @@ def test_numbered_lines_without_broadcast(spark, tmp_dir):
         assert sorted((r.line_no, r.raw) for r in small.collect()) == list(enumerate(lines))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_text_lines_match_python(spark):
+    from quire.sources.lines import text_lines
+
+    texts = ["a\n\n  b  \n", "", "\n\n", "x\r\ny　\nz", "one line"]
+    df = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    got = sorted((r.rid, r.idx, r.line) for r in text_lines(df, "rid").collect())
+    want = sorted((i, k, l.strip()) for i, t in enumerate(texts) for k, l in enumerate(t.split("\n")) if l.strip())
+    assert got == want
