@@ -25,7 +25,7 @@ CLEAN_FIELDS = ["rid", "question", "answer", "domain"]
 
 # Null fields are written as null (``"domain": null``), as json.dumps does;
 # dropping them would turn a null domain into "general" on the next read.
-_WRITE_OPTIONS = {"ignoreNullFields": "false", "encoding": "UTF-8"}
+WRITE_OPTIONS = {"ignoreNullFields": "false", "encoding": "UTF-8"}
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType = CLEAN_SCHEMA) -> DataFrame:
@@ -69,13 +69,13 @@ def _source(df: DataFrame) -> list[str]:
 
 def write_records(clean: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Clean rows as JSONL, fields in the order rid, question, answer, domain (``file`` first when present)."""
-    clean.select(*_source(clean), *CLEAN_FIELDS).write.mode(mode).options(**_WRITE_OPTIONS).json(path)
+    clean.select(*_source(clean), *CLEAN_FIELDS).write.mode(mode).options(**WRITE_OPTIONS).json(path)
 
 
 def write_splits(split_rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per split (``split=train`` ...), ``pos`` kept so stored order can be rebuilt."""
     split_rows.select(*_source(split_rows), *CLEAN_FIELDS, "pos", "split").write.mode(mode).partitionBy("split") \
-        .options(**_WRITE_OPTIONS).json(path)
+        .options(**WRITE_OPTIONS).json(path)
 
 
 def metrics_json(table: DataFrame) -> DataFrame:

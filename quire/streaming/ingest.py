@@ -38,13 +38,13 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
     part = f"batch_id={batch_id}"
     clean = flat.where(F.col("reason").isNull()).select("file", F.col("idx").alias("rid"), "question", "answer",
                                                           "domain")
-    clean.write.mode("overwrite").options(**J._WRITE_OPTIONS).json(f"{output_dir}/clean/{part}")
+    clean.write.mode("overwrite").options(**J.WRITE_OPTIONS).json(f"{output_dir}/clean/{part}")
     rejected = flat.where(F.col("reason").isNotNull())
     rejected.select("file", "idx", "reason",
                     F.concat(F.lit("Row "), F.col("idx").cast("string"), F.lit(": "), F.col("reason")).alias("message")) \
         .write.mode("overwrite").json(f"{output_dir}/rejects/{part}")
     P.ingest_report(flat).write.mode("overwrite").json(f"{output_dir}/reports/{part}")
-    P.report_domains(flat).write.mode("overwrite").options(**J._WRITE_OPTIONS).json(f"{output_dir}/domains/{part}")
+    P.report_domains(flat).write.mode("overwrite").options(**J.WRITE_OPTIONS).json(f"{output_dir}/domains/{part}")
 
 
 def clean_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,

@@ -106,3 +106,19 @@ def test_preprocess_folder_of_files(spark, tmp_dir):
     assert again == {(r.file, r.rid): r.pos for r in rows}
     sizes = {s: sum(1 for r in rows if r.split == s) for s in ("train", "val", "test")}
     assert (sizes["train"], sizes["val"], sizes["test"]) == (64, 8, 8)
+
+
+def test_stream_batch_retry_is_idempotent(spark, tmp_dir):
+    from quire.sources.lines import scan_lines
+    from quire.streaming.ingest import process_batch
+
+    with open(f"{tmp_dir}/x.jsonl", "w") as f:
+        f.write('{"question": "what is it?", "answer": "a long enough answer"}\n\nnot json\n')
+    batch = scan_lines(spark, f"{tmp_dir}/x.jsonl")
+    out = f"{tmp_dir}/out"
+    process_batch(batch, 7, out)
+    process_batch(batch, 7, out)  # a retried batch replaces its own output
+    assert spark.read.json(f"{out}/clean").count() == 1
+    assert spark.read.json(f"{out}/rejects").count() == 1
+    rep = spark.read.json(f"{out}/reports").collect()
+    assert len(rep) == 1 and rep[0].total_raw == 1 and rep[0].dropped == 1
