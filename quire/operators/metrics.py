@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.lcs import lcs_length
+from quire.functions.numeric import py_round
 from quire.functions.text import gram_at, tokens_13a, tokens_rouge
 
 BLEU_ORDER = 4        # fixed value: BLEU's default max n-gram order
@@ -179,7 +180,7 @@ def rouge_l(pairs: DataFrame) -> DataFrame:
 
 
 def metric_table(pairs: DataFrame) -> DataFrame:
-    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places, plus the unrounded ``*_raw``.
+    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places as Python rounds, plus ``*_raw``.
 
     Two branches over the same paired rows (the pair shuffle is reused):
     n-grams for BLEU and ROUGE-1/2, LCS for ROUGE-L.  The Python step stays
@@ -188,7 +189,7 @@ def metric_table(pairs: DataFrame) -> DataFrame:
     per-label results have one row per label.
     """
     raw = with_bleu(corpus_scores(row_scores(pairs))).join(rouge_l(pairs), "label")
-    return raw.select("label", *[F.round(F.col(m), REPORT_DIGITS).alias(m) for m in METRICS],
+    return raw.select("label", *[py_round(F.col(m), REPORT_DIGITS).alias(m) for m in METRICS],
                       *[F.col(m).alias(f"{m}_raw") for m in METRICS])
 
 
@@ -203,7 +204,7 @@ def compare(table: DataFrame, base: str = LABELS[0], tuned: str = LABELS[1]) ->
     """``(metric, base, finetuned, delta)``; delta of the rounded values, rounded again."""
     wide = metrics_long(table).groupBy("metric").pivot("label", [base, tuned]).agg(F.first("value"))
     return wide.select("metric", F.col(base).alias("base"), F.col(tuned).alias("finetuned"),
-                       F.round(F.col(tuned) - F.col(base), REPORT_DIGITS).alias("delta"))
+                       py_round(F.col(tuned) - F.col(base), REPORT_DIGITS).alias("delta"))
 
 
 def score(predictions: DataFrame, references: DataFrame, id_col: str = "rid",
