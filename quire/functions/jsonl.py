@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Jackson settings closest to Python's json module.  NaN and +/-Infinity are
-# accepted by both (Spark also takes "+INF"; a known difference).
+# Jackson settings closest to Python's json module.  NaN, Infinity and
+# -Infinity are accepted by both.
 STRICT_OPTIONS = {
     "allowSingleQuotes": "false",
     "allowUnquotedFieldNames": "false",
@@ -33,6 +33,12 @@ STRICT_OPTIONS = {
 
 _CORRUPT = "_corrupt"
 
+# Non-numeric number tokens Jackson also accepts but Python's json rejects
+# (fixed values: Python takes exactly NaN, Infinity and -Infinity).
+_PYTHON_REJECTS = ["INF", "+INF", "-INF", "+Infinity", "+NaN", "-NaN"]
+_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+_EXTRA_TOKEN = r"(?:^|[^A-Za-z0-9_])(?:\+?INF|-INF|\+Infinity|\+NaN|-NaN)(?:$|[^A-Za-z0-9_])"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -57,9 +63,21 @@ def parse_json(line: Column | str) -> Column:
     line = _col(line)
     member = _as_member(line)
     ok = F.coalesce((F.size(_as_array(line)) == 1) & member[_CORRUPT].isNull(), F.lit(False))
+    ok = ok & ~_has_extra_token(line)
     return F.struct(ok.alias("ok"), F.when(ok, member["r"]).alias("value"))
 
 
+def _has_extra_token(line: Column) -> Column:
+    """True when a non-numeric token Python rejects occurs outside string literals.
+
+    The string-blanking regex only runs on lines that contain ``INF``, ``+``
+    or ``-NaN`` at all, so ordinary lines pay one substring search.
+    """
+    maybe = (F.instr(line, "INF") > 0) | (F.instr(line, "+") > 0) | (F.instr(line, "-NaN") > 0)
+    outside = F.regexp_replace(line, _STRING_LITERAL, '""')
+    return F.when(maybe, outside.rlike(_EXTRA_TOKEN)).otherwise(F.lit(False))
+
+
 def json_ok(line: Column | str) -> Column:
     """True when the line is exactly one JSON value, as ``json.loads`` decides."""
     return parse_json(line)["ok"]

@@ -10,10 +10,12 @@ from tests_support import lines_df, plan_text
 
 import pyref
 
-ACCEPTED = ['{}', '[1,2]', '3', '"question"', 'null', '{"a":1,"a":2}', 'NaN', '-Infinity',
-            '{"a":{"b":[1,{"c":null}]}}', '{"a":NaN}', '"\\u00e9"']
+ACCEPTED = ['{}', '[1,2]', '3', '"question"', 'null', '{"a":1,"a":2}', 'NaN', '-Infinity', 'Infinity',
+            '{"a":{"b":[1,{"c":null}]}}', '{"a":NaN}', '"\\u00e9"', '{"q": "INF and +INF"}', '[1e+5, -2]',
+            '{"a": "x\\" +INF"}']
 REJECTED = ["{'a':1}", '{a:1}', '01', '[1,2,]', 'tru', '"\\q"', '"a\tb"', '{"a":1', '{"a":1} xyz',
-            '{"a":1}] xyz', '{"a":1}} xyz', '{"a":1},{"b":2}', '{"a":1} // c', '1 2', '{"q":1}[']
+            '{"a":1}] xyz', '{"a":1}} xyz', '{"a":1},{"b":2}', '{"a":1} // c', '1 2', '{"q":1}[',
+            '+INF', 'INF', '-INF', '[+Infinity]', '{"a": +NaN}', '{"a": -NaN}', '{"a": INF}']
 
 
 def test_strict_json_golden(spark):
