@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -27,6 +27,7 @@ def test_python_rounding_random(spark, digits):
 
 
 @given(st.lists(st.floats(min_value=-3.0, max_value=3.0, allow_nan=False), min_size=1, max_size=40))
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.too_slow, HealthCheck.function_scoped_fixture])
 def test_python_rounding_property(spark, vals):
     assert _rounded(spark, vals) == [round(v, 4) for v in vals]
