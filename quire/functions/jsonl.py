@@ -92,12 +92,6 @@ def fields(value: Column, names: list[str]) -> Column:
     return F.struct(*[F.try_variant_get(value, f"$.{n}", "variant").alias(n) for n in names])
 
 
-def record_fields(line: Column | str, names: list[str]) -> Column:
-    """The named top-level fields of a line as variants (one parse, no strictness check)."""
-    schema = ", ".join(f"`{n}` variant" for n in names)
-    return F.from_json(_col(line), schema, STRICT_OPTIONS)
-
-
 def variant_type(v: Column) -> Column:
     """JSON type of a variant: STRING, BIGINT, DOUBLE, BOOLEAN, VOID (null), OBJECT<..>, ARRAY<..>."""
     return F.schema_of_variant(v)
