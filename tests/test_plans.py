@@ -122,3 +122,21 @@ def test_stream_batch_retry_is_idempotent(spark, tmp_dir):
     assert spark.read.json(f"{out}/rejects").count() == 1
     rep = spark.read.json(f"{out}/reports").collect()
     assert len(rep) == 1 and rep[0].total_raw == 1 and rep[0].dropped == 1
+
+
+def test_streaming_two_batches_number_each_file(spark, tmp_dir):
+    inp, out, ck = f"{tmp_dir}/in2", f"{tmp_dir}/out2", f"{tmp_dir}/ck2"
+    os.makedirs(inp)
+    good = '{"question": "what is new here?", "answer": "an answer long enough"}'
+    with open(f"{inp}/a.jsonl", "w") as f:
+        f.write(good + "\n\nbad\n" + good + "\n")
+    clean_stream(spark, inp, out, ck, available_now=True).awaitTermination(300)
+    with open(f"{inp}/b.jsonl", "w") as f:
+        f.write("\n\n\n" + good + "\n")
+    clean_stream(spark, inp, out, ck, available_now=True).awaitTermination(300)
+    batches = sorted(p for p in os.listdir(f"{out}/clean") if p.startswith("batch_id="))
+    assert batches == ["batch_id=0", "batch_id=1"]
+    rows = sorted((os.path.basename(r.file), r.rid) for r in spark.read.json(f"{out}/clean").collect())
+    assert rows == [("a.jsonl", 0), ("a.jsonl", 3), ("b.jsonl", 3)]
+    rej = [(os.path.basename(r.file), r.idx, r.reason) for r in spark.read.json(f"{out}/rejects").collect()]
+    assert rej == [("a.jsonl", 2, "JSON parse error")]
