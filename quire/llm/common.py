@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import checkpoint_dir
@@ -23,6 +23,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch folder this package wrote, in whatever store it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+# Rows of a few numbers and a name, under 300 bytes each: 15 MB at most are broadcast.
+MAX_BROADCAST_ROWS = 50_000
+
+
+def counted_broadcast(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A checkpointed table of narrow rows with a broadcast hint if it has at most ``limit`` rows, else as it is.
+
+    Without the hint Spark joins by sorting and splits the rows of hot keys.
+    """
+    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+
+
 def word_array(text: Column) -> Column:
     """The words of a text in order; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")
@@ -46,12 +64,11 @@ def running_total(df: DataFrame, group: str, keys: list[str], value: str, out: s
     from pyspark.sql import Window
 
     counted = df.groupBy(group).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(rows))).alias("_n"))
-    # Groups are joined by sorting and merging or by broadcast, as Spark's size estimate says; a hot group's rows are split.
-    cut = df.join(counted, group).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.col("_n"))).drop("_n")
+    cut = df.join(counted_broadcast(checkpointed(counted)), group).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.col("_n"))).drop("_n")
     sums = cut.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    starts = checkpointed(sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start")))
     inside = Window.partitionBy(group, "_bucket").orderBy(*keys, value).rowsBetween(Window.unboundedPreceding, -1)
     ranked = cut.withColumn("_before", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    return ranked.join(starts, [group, "_bucket"]).withColumn(out, (F.col("_start") + F.col("_before")).cast("long")).drop(
+    return ranked.join(counted_broadcast(starts), [group, "_bucket"]).withColumn(out, (F.col("_start") + F.col("_before")).cast("long")).drop(
         "_bucket", "_start", "_before")
