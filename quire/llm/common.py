@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from quire.session import checkpoint_dir
 
 # Words are runs of anything but space and the controls 9 to 13.
-SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 

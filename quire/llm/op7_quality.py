@@ -24,9 +24,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import SPACES, checkpointed, word_array
+from quire.llm.common import checkpointed, counted_broadcast, word_array
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
+SPACE_CHAR = r"[\x20\x09-\x0D]"
+NO_SPACE = r"[^\x20\x09-\x0D]"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -58,20 +60,22 @@ MEASURES = (
 )
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
-
-
 def _let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once a row: the optimizer copies a column into every place that names it."""
     return F.transform(F.array(value), use)[0]
 
 
 def _windows(hashes: Column) -> Column:
-    n = F.size(hashes)
-    return F.when(n >= WINDOW, F.transform(F.slice(hashes, F.lit(1), n - (WINDOW - 1)),
-                                           lambda x, i: F.xxhash64(F.slice(hashes, i + 1, F.lit(WINDOW))))
-                  ).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of all windows of ``WINDOW`` words: pairs of words, pairs of pairs, and so on by doubling."""
+    def pairs(of: Column, apart: int) -> Column:
+        return F.transform(of, lambda x, i: F.xxhash64(x, F.get(of, i + apart)))
+
+    def doubled(of: Column, size: int) -> Column:
+        if size == WINDOW:
+            return F.slice(of, F.lit(1), F.greatest(F.size(of) - (WINDOW - 1), F.lit(0)))
+        return _let(pairs(of, size), lambda x: doubled(x, 2 * size))
+
+    return doubled(hashes, 1)
 
 
 def _covered(windows: Column) -> Column:
@@ -108,12 +112,11 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(F.size(lines).cast("long").alias("n"),
                         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("dup"))
 
-    lines = F.filter(F.split(t, "\n"), lambda x: _without(x, SPACES) != "")
-    n = F.length(t)
+    lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(NO_SPACE))
     return docs.withColumns({
         "_q_w": _let(word_array(F.col(text_col)), of_words), "_q_l": _let(lines, of_lines),
-        "_q_chars": F.length(_without(t, SPACES)).cast("long"),
-        "_q_symbols": (n - F.length(_without(t, SYMBOLS))).cast("long"),
+        "_q_chars": (F.length(t) - F.regexp_count(t, F.lit(SPACE_CHAR))).cast("long"),
+        "_q_symbols": F.regexp_count(t, F.lit(SYMBOL)).cast("long"),
     }).withColumns({"_q_words": F.col("_q_w.n"), "_q_repeat": F.col("_q_w.repeat"),
                     "_q_lines": F.col("_q_l.n"), "_q_dup": F.col("_q_l.dup")}).drop("_q_w", "_q_l")
 
@@ -172,33 +175,32 @@ def fences(sketches: DataFrame, min_group: int = MIN_GROUP, iqr_factor: int = 3)
     return chosen.groupBy("_lang", "_source").agg(*columns)
 
 
-def quality(docs: DataFrame, text_col: str = "text", lang: str = "lang", source: str = "source",
+def quality(docs: DataFrame, keys: list[str], text_col: str = "text", lang: str = "lang", source: str = "source",
             min_group: int = MIN_GROUP, max_broadcast: int = MAX_BROADCAST_GROUPS) -> DataFrame:
-    """``docs`` plus the five statistics, ``base_failed`` and ``kept``; every row stays.
+    """The columns ``keys`` of every row plus the five statistics, ``base_failed`` and ``kept``.
 
-    The fence table is written and counted first.  Up to ``max_broadcast``
-    groups it is broadcast, beyond that joined by (group, salt), so that a
-    group holding a third of the documents is spread.  Texts are measured
-    twice, once for the sketches and once for the verdict; writing them
-    between the passes would cost more disk than the second pass costs time.
+    Texts are measured once; the narrow statistics are checkpointed, so the
+    sketches and the verdicts read them and not the texts.  The fence table
+    is written and counted.  Up to ``max_broadcast`` groups it is broadcast,
+    beyond that joined by (group, salt), so that a group holding a third of
+    the documents is spread.
 
     Null text: empty, so ``base_failed``.  Null language or source: a group of
     its own.  Repeated rows each count and each get a verdict.  An empty table
-    gives an empty result.  Columns of ``docs`` named as a statistic are
-    replaced; its other columns stay.
+    gives an empty result.  Columns that are not named are not read, so their
+    names cannot clash; ``keys`` must not hold a name that is added here.
     """
-    clash = [c for c in docs.columns if c in (*STATS, "base_failed", "kept") and c not in (text_col, lang, source)]
-    docs = docs.drop(*clash)
-    stats = text_stats(docs, text_col)
-    limits = checkpointed(fences(sketch(stats, lang, source), min_group))
-    groups = limits.count()
-    match = stats[lang].cast("string").eqNullSafe(F.col("_lang")) & stats[source].cast("string").eqNullSafe(F.col("_source"))
-    if groups <= max_broadcast:
+    narrow = docs.select(*[F.col(k) for k in keys], F.col(lang).cast("string").alias("_q_lang"),
+                         F.col(source).cast("string").alias("_q_source"), F.col(text_col).cast("string").alias("_q_text"))
+    stats = checkpointed(text_stats(narrow, "_q_text").drop("_q_text"))
+    limits = checkpointed(fences(sketch(stats, "_q_lang", "_q_source"), min_group))
+    match = F.col("_q_lang").eqNullSafe(F.col("_lang")) & F.col("_q_source").eqNullSafe(F.col("_source"))
+    if limits.limit(max_broadcast + 1).count() <= max_broadcast:
         joined = stats.join(F.broadcast(limits), match, "left")
     else:
         salted = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        stats = stats.withColumn("_q_salt", F.pmod(F.xxhash64(*[F.col(c) for c in docs.columns]), F.lit(SALTS)).cast("int"))
-        joined = stats.join(salted, match & (F.col("_q_salt") == F.col("_salt")), "left").drop("_q_salt", "_salt")
+        stats = stats.withColumn("_q_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
+        joined = stats.join(salted, match & (F.col("_q_salt") == F.col("_salt")), "left")
     inside = F.lit(True)
     for m in MEASURES:
         value = F.expr(m.expr)
@@ -206,13 +208,23 @@ def quality(docs: DataFrame, text_col: str = "text", lang: str = "lang", source:
     failed = base_failed()
     kept = F.when(failed, F.lit(False)).otherwise(F.coalesce(inside, F.lit(True)))
     names = dict(zip(STATS, ("_q_words", "_q_chars", "_q_symbols", "_q_dup", "_q_repeat"), strict=True))
-    return joined.select(*docs.columns, *[F.col(c).alias(s) for s, c in names.items()],
+    return joined.select(*[F.col(k) for k in keys], *[F.col(c).alias(s) for s, c in names.items()],
                          failed.alias("base_failed"), kept.alias("kept"))
 
 
+def keep_good(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` whose verdict is ``kept``.
+
+    A verdict follows from a row's values, so rejected rows are named by a
+    hash of all columns: few are broadcast, many are joined by that hash.
+    """
+    hashed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    bad = checkpointed(quality(hashed, ["_row"], **settings).where(~F.col("kept")).select("_row").distinct())
+    return hashed.join(counted_broadcast(bad), "_row", "left_anti").select(*docs.columns)
+
+
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return quality(docs).select("doc_id", *STATS, "base_failed", "kept")
+    return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
 
 
 STAT_SQL = r"""
