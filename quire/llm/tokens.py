@@ -24,8 +24,6 @@ PIECE = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n\n| \n|\n ")
 MAX_PIECES = 400_000     # pieces a worker keeps; about 100 MB
 
-_LOADED: dict[str, Encoder] = {}
-
 
 class _Table(dict):
     """Piece -> its place in the encoder's table; unknown pieces are queued for encoding as they come."""
@@ -118,10 +116,17 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder of a tokenizer file; it is kept between tasks."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+    """The worker's encoder of a tokenizer file, kept between tasks.
+
+    This package travels to workers by value, so its own module variables
+    start anew in each task; the encoders hang on the tokenizers module.
+    """
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def chunks(texts: pa.Array, rows: int = 64, size: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
