@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
-from quire.llm import op5_simhash, op7_quality
+from quire.llm import (
+    op1_mixing,
+    op2_toxicity,
+    op3_html,
+    op4_packing,
+    op5_simhash,
+    op6_rans,
+    op7_quality,
+    op8_topk,
+    op9_warc,
+    op10_suffix,
+)
 
 QUERIES = {
+    "op1_mix_sources": op1_mixing.op1_mix_sources,
+    "op2_toxicity": op2_toxicity.op2_toxicity,
+    "op3_html_text": op3_html.op3_html_text,
+    "op4_packing": op4_packing.op4_packing,
     "op5_simhash": op5_simhash.op5_simhash,
+    "op6_rans": op6_rans.op6_rans,
     "op7_quality_rules": op7_quality.op7_quality_rules,
+    "op8_topk": op8_topk.op8_topk,
+    "op9_warc": op9_warc.op9_warc,
+    "op10_suffix_dedup": op10_suffix.op10_suffix_dedup,
 }
 
+# The others need fingerprints, tokenizers, Newton's method or page parsing: tests hold them against brute force.
 ORACLE = {
     "op7_quality_rules": op7_quality.ORACLE,
+    "op8_topk": op8_topk.ORACLE,
+    "op9_warc": op9_warc.ORACLE,
 }
