@@ -435,15 +435,17 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     A character stays in part only if some of its bytes are covered; such
     torn characters are dropped.  Null texts stay null.
     """
-    result = remove_repeats(docs, id_col, text_col, **settings)
-    names = docs.columns
+    # Under names of its own, so that no column clashes with the result's.
+    place = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    result = remove_repeats(docs.toDF(*place.values()), place[id_col], place[text_col], **settings)
+    old = F.col(place[text_col])
+    same = (F.col("n_removed") == 0) | old.isNull()
     # Bytes that no longer form a character are left out, others are as they were.
-    text = F.when(F.col(text_col).isNull(), F.lit(None)).otherwise(F.when(F.col("n_removed") == 0, F.col(text_col)).otherwise(
-        F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")))
-    out = result.withColumn(text_col, text)
-    if count_col in names:
-        out = out.withColumn(count_col, F.when(F.col("n_removed") == 0, F.col(count_col)).otherwise(F.length(text_col).cast("long")))
-    return out.select(*names)
+    text = F.when(same, old).otherwise(F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    new = {text_col: text}
+    if count_col in place:
+        new[count_col] = F.when(same, F.col(place[count_col])).otherwise(F.length(text).cast(docs.schema[count_col].dataType))
+    return result.select(*[new.get(c, F.col(place[c])).alias(c) for c in docs.columns])
 
 
 def op10_suffix_dedup(spark, sf_dir: str) -> DataFrame:

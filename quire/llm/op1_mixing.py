@@ -15,9 +15,11 @@ bracket around each root turns a step that would leave it into a bisection.
 
 Rates become whole copies by error diffusion: in an order that depends on the
 rows alone, largest sizes first, a document's copies are the rate's words plus
-the error carried so far, in whole copies.  What is left at the end of a
-bucket is about the size of its smallest documents.  A source is cut into hash
-buckets of bounded size, so a hot source is spread over tasks.
+the error carried so far, in whole copies.  Where the documents behind it are
+too small to take up what rounding leaves, a document is also taken in part:
+so many of its first words that no error remains.  Thus every source meets its
+target but for the rounding of single words.  A source is cut into hash buckets of
+bounded size, so a hot source is spread over tasks.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import checkpointed, counted_broadcast, n_words
+from quire.llm.common import checkpointed, counted_broadcast, n_words, word_array
 
 WEIGHTS = (3, 1, 2)       # by the source's place in code point order, repeating
 SHARE = 1.5               # of all sizes
@@ -116,7 +118,8 @@ def solve(histogram: DataFrame, targets: DataFrame, cap: int = MAX_COPIES, max_r
 
 def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", keys: list[str] | None = None,
         weights: tuple = WEIGHTS, share: float = SHARE, cap: int = MAX_COPIES) -> DataFrame:
-    """The columns ``keys`` of every row plus ``size, source_size, target, rate, copies, taken``.
+    """The columns ``keys`` of every row plus ``size, source_size, target, rate, copies, part, taken``;
+    ``taken`` = ``copies * size + part``, with ``part`` < ``size`` words of a cut copy.
 
     Null or empty text: size 0, rate 1, no copy.  A null source is a source of
     its own, in the last place.  Repeated rows are documents of their own;
@@ -141,49 +144,61 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", key
     rated = joined.select(*[F.col(k) for k in keys], F.col("_source"), F.col("_n").alias("size"), "source_size", "target",
                           F.coalesce(rate, F.lit(1.0)).alias("rate"),
                           F.when(F.col("_n") > 0, F.pmod(F.xxhash64(*keys), F.col("_buckets"))).alias("_bucket"))
-    empty = rated.where("size = 0").withColumns({"copies": F.lit(0).cast("long"), "taken": F.lit(0).cast("long")})
-    dealt = rated.where("size > 0").repartition("_source", "_bucket").sortWithinPartitions(
-        F.col("_source"), F.col("_bucket"), F.col("size").desc(), F.xxhash64(*keys), *keys)
-    at = dealt.columns.index
+    empty = rated.where("size = 0").withColumns({c: F.lit(0).cast("long") for c in ("copies", "part", "taken")})
+    order = [F.col("size").desc(), F.xxhash64(*keys), *[F.col(k) for k in keys]]
+    behind = Window.partitionBy("_source", "_bucket").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    # How many words the documents behind this one can take less or more than their rates say.
+    less, more = F.col("rate") * F.col("size"), (cap - F.col("rate")) * F.col("size")
+    dealt = rated.where("size > 0").withColumns({
+        "_less": F.coalesce(F.sum(less).over(behind), F.lit(0.0)), "_more": F.coalesce(F.sum(more).over(behind), F.lit(0.0))})
+    dealt = dealt.sortWithinPartitions("_source", "_bucket", *order)  # the window dealt the buckets out already
+    at = {c: i for i, c in enumerate(dealt.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         error, now = 0.0, None
         for batch in batches:
-            size, rate = batch.column(at("size")).to_pylist(), batch.column(at("rate")).to_pylist()
-            groups = zip(batch.column(at("_source")).to_pylist(), batch.column(at("_bucket")).to_pylist(), strict=True)
-            copies = np.empty(len(size), np.int64)
-            for i, (g, s, r) in enumerate(zip(groups, size, rate, strict=True)):
+            source, bucket, size, rate, less, more = (
+                batch.column(at[c]).to_pylist() for c in ("_source", "_bucket", "size", "rate", "_less", "_more"))
+            taken = np.empty(len(size), np.int64)
+            for i, (g, s, r, low, high) in enumerate(zip(zip(source, bucket, strict=True), size, rate, less, more, strict=True)):
                 if g != now:
                     now, error = g, 0.0
                 want = s * r + error
-                n = min(cap, max(0, int(want / s + 0.5)))
-                copies[i] = n
-                error = want - n * s
-            taken = copies * np.array(size, np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(copies), pa.array(taken)],
-                                             [*batch.schema.names, "copies", "taken"])
+                n = min(cap, max(0, int(want / s + 0.5))) * s
+                if not -high <= n - want <= low:  # more words than the others can do without, or fewer than they can add
+                    n = min(cap * s, max(0, int(want + 0.5)))
+                taken[i] = n
+                error = want - n
+            sizes = np.array(size, np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(taken // sizes), pa.array(taken % sizes), pa.array(taken)],
+                                             [*batch.schema.names, "copies", "part", "taken"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema) + ", copies bigint, taken bigint"
-    return dealt.mapInArrow(run, schema).unionByName(empty).drop("_source", "_bucket")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema) + ", copies bigint, part bigint, taken bigint"
+    return dealt.mapInArrow(run, schema).drop("_less", "_more").unionByName(empty).drop("_source", "_bucket")
 
 
-def repeat(docs: DataFrame, text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it has copies (0 to ``cap`` times).
+def repeat(docs: DataFrame, text_col: str = "text", source_col: str = "source", count_col: str = "n_chars", **settings) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it has copies, and once cut to its first words if it is taken in part.
 
-    Copies are found for (id, source, size) of all columns' hash, then joined
-    back: the hash of a row is the key, so repeated rows share a key and are
-    counted together.
+    A cut text's words are joined by single spaces; ``count_col`` (if there is
+    one) is counted anew for it.  Rows are named by the hash of all columns; rows that
+    share it are equal, and each takes one of their results.
     """
     hashed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    copies = mix(hashed, source_col, text_col, ["_row"], **settings).select("_row", "copies")
-    # Rows that are equal in every column: the n-th of them takes the n-th number of copies.
-    nth = Window.partitionBy("_row").orderBy(F.lit(1))
-    left = hashed.withColumn("_nth", F.row_number().over(nth))
-    right = copies.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy("copies")))
-    return left.join(right.where("copies > 0"), ["_row", "_nth"]).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    found = mix(hashed, source_col, text_col, ["_row"], **settings).select("_row", "copies", "part")
+    left = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(1))))
+    right = found.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy("copies", "part"))).where("copies + part > 0")
+    # One entry per row that comes out: 0 for a whole copy, else the words of a cut one.
+    outs = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("copies").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
+    rows = left.join(right, ["_row", "_nth"]).withColumn("_words", F.explode(outs))
+    words = word_array(F.col(text_col))
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), " ")
+    new = {text_col: F.when(F.col("_words") > 0, cut).otherwise(F.col(text_col))}
+    if count_col in docs.columns:
+        new[count_col] = F.when(F.col("_words") > 0, F.length(cut).cast(docs.schema[count_col].dataType)).otherwise(F.col(count_col))
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies", "part")

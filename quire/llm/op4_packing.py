@@ -1,20 +1,22 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
-Each source is a queue of its documents' tokens.  A window is one sequence of
-``capacity`` tokens.  With N_s tokens in queue s and N in all, a window adds
-``capacity * N_s / N`` to the deficit of s; the queue serves whole tokens, and
-the fraction of a token stays as deficit for the next window.  Queues are
-served in turn, and a queue's turn ends where the running total of the quanta
-ends, rounded down.  So with C_s the tokens of queues 0 to s and E the end of a
-window in the whole stream, queues 0 to s have served
-
-    served(s, E) = C_s * E div N
-
-tokens by then.  Every window is full, no queue is ever more than one token
-away from its share, and all queues run dry in the same, last window.  A
-window's state follows from its number alone, so every document finds its
-windows and places by itself, in any task, with the deficits of all windows
-before it carried exactly.  No task holds a queue.
+Each source is a queue of its documents' tokens, and a window is one sequence
+of ``capacity`` tokens that takes each queue's share of them.  Shares are not
+whole, so a queue serves whole tokens, and the rest is a deficit that later
+windows serve.
+
+The deficits of all windows are carried along a binary tree over the windows.
+Its root holds all tokens, as running totals C_1 <= C_2 <= ... over the queues
+in turn.  A node with T tokens gives its left half, with L of them,
+``C * L div T`` of each total, and the right half what is left: a fraction of a
+token that the left half could not serve is the deficit its right neighbour
+serves.  Totals stay in order, so each half serves every queue its share,
+rounded up or down, and both halves are full.  At a leaf, the totals are the
+places in the sequence where the queues' turns begin and end.
+
+A queue's way down the tree needs its own two totals only.  So a document
+finds its windows and places by itself, in any task, in steps logarithmic in the
+number of windows; no task holds a queue, and all queues run dry in the last window.
 
 The last ``N mod capacity`` tokens fill sequences whose lengths are powers of
 two, so nothing is padded.
@@ -85,10 +87,10 @@ def queue_starts(tokens: DataFrame) -> DataFrame:
 
 
 class Windows:
-    """The end of each sequence in the stream of all tokens: full windows, then powers of two."""
+    """The sequences: full windows, then powers of two."""
 
     def __init__(self, total: int, capacity: int):
-        self.total, self.capacity, self.full = total, capacity, total // capacity
+        self.capacity, self.full = capacity, total // capacity
         rest, at = total % capacity, self.full * capacity
         self.tail = [at]
         size = 1 << max(0, capacity.bit_length() - 1)
@@ -99,40 +101,35 @@ class Windows:
             self.tail.append(self.tail[-1] + size)
 
     def edge(self, w: int) -> int:
-        """Tokens of all queues in the sequences before number w."""
+        """Tokens in the sequences before number w."""
         return w * self.capacity if w <= self.full else self.tail[w - self.full]
 
-    def number(self, at: int) -> int:
-        """The sequence that holds place ``at`` of the stream."""
-        if at < self.full * self.capacity:
-            return at // self.capacity
-        w = self.full
-        while self.tail[w - self.full + 1] <= at:
-            w += 1
-        return w
-
-
-def cut(start: int, n: int, below: int, own: int, total: int, windows: Windows) -> Iterator[tuple[int, int, int, int]]:
-    """(from, length, sequence, offset) of the pieces of a document at places start .. start + n of its queue."""
-    def served(w: int) -> int:  # tokens of this queue in the sequences before number w
-        e = windows.edge(w)
-        return (below + own) * e // total - below * e // total
-
-    at, end = start, start + n
-    w = windows.number(min(total - 1, at * total // own))
-    while served(w) > at:
-        w -= 1
-    while served(w + 1) <= at:
-        w += 1
-    first = served(w)
-    while at < end:
-        last = served(w + 1)
-        if last > at:
-            stop = min(end, last)
-            turn = below * windows.edge(w + 1) // total - below * windows.edge(w) // total
-            yield at - start, stop - at, w, turn + at - first
-            at = stop
-        w, first = w + 1, last
+    @property
+    def count(self) -> int:
+        return self.full + len(self.tail) - 1
+
+
+def cut(start: int, n: int, below: int, own: int, windows: Windows) -> list[tuple[int, int, int, int]]:
+    """(from, length, sequence, offset) of the pieces of a document at places start .. start + n of its queue,
+    which has ``own`` tokens behind ``below`` of the queues before it."""
+    end, out = start + n, []
+    # Nodes to visit: windows [first, last), the queue's totals in the node, and the queue's place where the node begins.
+    todo = [(0, windows.count, below, below + own, 0)]
+    while todo:
+        first, last, low, high, at = todo.pop()
+        if low == high or at >= end or at + high - low <= start:
+            continue
+        if last - first == 1:
+            a, b = max(start, at), min(end, at + high - low)
+            out.append((a - start, b - a, first, low + a - at))
+            continue
+        middle = (first + last) // 2
+        left = windows.edge(middle) - windows.edge(first)
+        total = windows.edge(last) - windows.edge(first)
+        low_left, high_left = low * left // total, high * left // total
+        todo.append((middle, last, low - low_left, high - high_left, at + high_left - low_left))
+        todo.append((first, middle, low_left, high_left, at))
+    return out
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",
@@ -170,7 +167,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                 windows = windows or Windows(total[i], capacity)
                 data = batch.column(6)[i].as_buffer()
                 ids = np.frombuffer(data, "<u2" if data.size == 2 * ns[i] else "<u4").astype("<u4")
-                for at, length, sequence, offset in cut(starts[i], ns[i], below[i], own[i], total[i], windows):
+                for at, length, sequence, offset in cut(starts[i], ns[i], below[i], own[i], windows):
                     raw = ids[at:at + length].tobytes()
                     rows.append(i)
                     for c, v in zip(columns, (at, length, zlib.crc32(raw), ns[i], sequence, offset, raw), strict=False):

@@ -167,6 +167,8 @@ class Block:
             taken = np.cumsum(short, axis=1)
             if taken[:, -1].any():
                 where = (at[:, None] + taken - 1)[short]
+                if where.max() >= len(self.words):
+                    raise ValueError("a block's stream ends too early")
                 y[short] = (y[short] << np.uint64(32)) | self.words[where]
                 at += taken[:, -1]
             x[:, :width] = y

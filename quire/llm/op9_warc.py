@@ -154,7 +154,7 @@ def _unpack(content: bytes, at: int) -> tuple[bytes, int]:
 def _record(data: bytes, at: int, alone: bool) -> tuple[dict, int]:
     """The record at ``at`` as a row, and the offset behind it; ``alone``: it must end with ``data``."""
     end = data.find(b"\r\n\r\n", at)
-    if not START.match(data, at) or end < 0:
+    if not START.match(data, at) or end < 0 or START.search(data, at + 1, end):
         raise Damaged("version line or header")
     lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}

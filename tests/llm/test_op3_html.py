@@ -1,0 +1,60 @@
+import pytest
+
+from quire.llm import op3_html as op
+
+SENTENCE = "This is a sentence of the article that says something at some length. "
+PAGE = f"""<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{{margin:0}}</style><script>var t="</p><p>no</p>";</script></head>
+<body><header><h1>Site</h1></header><nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>
+<!-- a > comment --><div class="ad">Buy this now, it is very cheap and very good and you want it.</div>
+<div class="cookie-notice"><p>We use cookies, all of them, for your own good and for ours as well.</p></div>
+<article><h1>Title &lt;1&gt;</h1><p><b>{SENTENCE * 2}<br><p>Short.</p><p>Two   {SENTENCE}\n\tend</p><aside><p>{SENTENCE}</p></aside><p>Last&nbsp;words</p></article>
+<form><label>Name</label><input name=x><textarea>text</textarea></form>
+<section id="comments"><div><p>{SENTENCE * 3}</p></div></section><footer>&copy; x &middot; {SENTENCE}</footer></body></html>"""
+TEXT = "\n".join(["Title <1>", (SENTENCE * 2).strip(), "Short.", f"Two {SENTENCE.strip()} end", "Last words"])
+
+
+def test_article_without_page_parts():
+    assert op.main_text(PAGE) == TEXT
+
+
+def test_cut_off_pages_keep_what_is_there():
+    cut = PAGE[:PAGE.index("end</p>")]
+    assert op.main_text(cut) == TEXT[:TEXT.index(" end")]
+    assert op.main_text(cut + "end <a hre") == TEXT[:TEXT.index("\nLast")]
+    assert op.main_text("<p>" + SENTENCE + "&am") == SENTENCE + "&am"
+
+
+def test_page_without_an_article_element():
+    page = PAGE.replace("<article>", "<div>").replace("</article>", "</div>")
+    assert op.main_text(page) == TEXT
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("", ""), ("plain text &amp; more", "plain text & more"), ("<nav>only a menu</nav>", ""), ("<p><a href=x>link only</a></p>", ""),
+    ("<p>a<p>b", "a\nb"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<p title='>'>x</p>", "x"), ('<p title=">x</p>', "x"),
+    ("<div class=ad>never closed<article><p>text here</p></article>", "text here"), ("<p>&#233;&eacute;&#x1F600;</p>", "éé😀"),
+])
+def test_small_pages(page, text):
+    assert op.main_text(page) == text
+
+
+def test_hostile_markup_takes_linear_time():
+    for part in ("<a ", "<p title=\"", "<!--", "<div class='ad'>", "<script>", "&", "<<<"):
+        op.main_text(part * 30_000)
+
+
+def test_surge_and_dive():
+    menu = "".join(f"<li>item {i}</li>" for i in range(3))
+    gap = "<p><a href=x>more</a></p>" * 4
+    body = f"<ul>{menu}</ul>{gap}<p>{SENTENCE * 5}</p><p>tail</p>{gap}<p>end</p>"
+    assert op.main_text(body) == f"{(SENTENCE * 5).strip()}\ntail"
+
+
+def test_rows(spark):
+    rows = [(1, "u", PAGE, "x", 7), (2, None, None, "y", 8), (1, "u", PAGE, "x", 7), (None, "v", "", None, None)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string, n_chars int")
+    out = op.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (2, None, "", 0), (None, "v", "", 0)], key=str)
+    assert op.extract(df.limit(0)).count() == 0
