@@ -348,17 +348,20 @@ def covered(keyed: DataFrame, tied: bool, text_col: str, length: int, hot: int,
     merged = merge_blocks(block_rows(texts.dropDuplicates(["d", "e"]) if tied else texts, length), length, hot)
     # A document's blocks that are asked for, as one row.
     wanted = merged.where(F.col("kind") != COVERED).groupBy("d", "e").agg(F.collect_list(F.struct("kind", "anchor", "first", "last")).alias("_wanted"))
-    both = keyed.join(wanted, ["d", "e"]).select("d", "e", F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_text"), "_wanted")
+    # All columns go along, so that this join and the last one share one shuffle of the documents.
+    both = keyed.join(wanted, ["d", "e"]).select(*keyed.columns, "_wanted")
     if tied:
         both = both.dropDuplicates(["d", "e"])
+    places = [both.columns.index(c) for c in ("d", "e", text_col, "_wanted")]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(2 * (256 + length))
         names = ["kind", "anchor", "block", "d", "e", "first", "bytes"]
         for batch in batches:
             rows: list[tuple] = []
-            for d, e, text, wanted_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for w in wanted_:
+            for d, e, text, wanted_ in zip(*(batch.column(i) for i in places), strict=True):
+                d, e, text = d.as_py(), e.as_py(), (text.as_py() or "").encode()
+                for w in wanted_.as_py():
                     data = text[w["first"]:w["last"] + length]
                     if w["kind"] == DISTINCT:
                         rows.append((DISTINCT, w["anchor"], 0, d, e, w["first"], data))
@@ -399,15 +402,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length must be over {GRAM}")
     keyed, tied = _keyed(docs, id_col, text_col)
     spans = covered(keyed, tied, text_col, length, hot, text_bytes)
-    joined = keyed.join(spans, ["d", "e"], "left").select(
-        *docs.columns, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_text"), "_spans")
+    joined = keyed.join(spans, ["d", "e"], "left").select(*docs.columns, "_spans")
     names = [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept"]
+    place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers, kept = [], []
-            for text, spans_ in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1), strict=True):
-                data = text.as_py()
+            for text, spans_ in zip(batch.column(place), batch.column(batch.num_columns - 1), strict=True):
+                data = (text.as_py() or "").encode()
                 left, end, removed, runs, at = [], -1, 0, 0, 0
                 for first, last in sorted((s["first"], s["last"]) for s in spans_.as_py() or ()):
                     if first > end:  # runs that touch are one
@@ -423,7 +426,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 numbers.append((len(data), removed, runs))
                 kept.append(b"".join(left))
             columns = [pa.array([n[i] for n in numbers], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns, pa.array(kept, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns, pa.array(kept, pa.binary())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return joined.mapInArrow(cut, schema + ", n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
