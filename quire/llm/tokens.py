@@ -10,9 +10,10 @@ piece of their own.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,41 @@ ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2
 MAX_PIECES = 400_000     # pieces a worker keeps; about 100 MB
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level tokenizers write bytes (fixed values): printable Latin-1 as it is, the others from U+0100 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def _direct(file: dict) -> Callable[[str], list[str] | None] | None:
+    """For byte-level tokenizers: what a piece of letters only (up to U+012F), or letters and one full stop or
+    comma, is to the model, as one or two words; None for other pieces.
+
+    The pattern takes the letters whole, alone or with the space before them
+    if it takes one, and the mark behind them by itself.  Normalization is
+    lower-casing, if any.
+    """
+    letters, pre, norm = _byte_letters(), file["pre_tokenizer"] or {}, file["normalizer"]
+    steps = [s.get("type") for s in pre.get("pretokenizers", [])]
+    kinds = [s.get("type") for s in (norm or {}).get("normalizers", [])]
+    spaced = norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+    lower = steps == ["Split", "ByteLevel"] and kinds == ["NFC", "Replace", "Lowercase"] and not any(
+        s.get("use_regex") or s.get("add_prefix_space") for s in pre["pretokenizers"])
+    if not spaced and not lower:
+        return None
+
+    def words(piece: str) -> list[str] | None:
+        core, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
+        bare = core[1:] if core[:1] == " " else core
+        if not bare.isalpha() or not (bare.isascii() or max(bare) < "\u0130"):
+            return None
+        word = (core if spaced else bare.lower()).encode().decode("latin-1").translate(letters)
+        return [word, mark] if mark else [word]
+
+    return words
+
+
 class _Table(dict):
     """Piece -> its place in the encoder's table; unknown pieces are queued for encoding as they come."""
 
@@ -65,6 +101,7 @@ class Encoder:
         self.tokenizer.no_padding()
         # The strings of special tokens end a run of white space, so texts that hold one are encoded whole.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.direct = _direct(json.loads(self.tokenizer.to_str()))
         self.clear()
 
     def clear(self) -> None:
@@ -91,6 +128,13 @@ class Encoder:
                 out.append(self.plain[" "])
         return out
 
+    def _encode(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of new pieces.  What the steps before the model leave whole goes to the tokenizer's model at once."""
+        words = [self.direct(p) for p in pieces] if self.direct else [None] * len(pieces)
+        rest = iter(self.tokenizer.encode_batch_fast([p for p, w in zip(pieces, words, strict=True) if w is None], add_special_tokens=False))
+        tokenize = self.tokenizer.model.tokenize
+        return [next(rest).ids if w is None else [t.id for x in w for t in tokenize(x)] for w in words]
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text as uint32."""
         if self.n > MAX_PIECES or self.flat.n > 16 * MAX_PIECES:
@@ -98,7 +142,7 @@ class Encoder:
         whole = [any(s in t for s in self.special) for t in texts]
         places = [np.array([] if w else self._places(t), np.int64) for w, t in zip(whole, texts, strict=True)]
         if self.queue:
-            new = [e.ids for e in self.tokenizer.encode_batch_fast(self.queue, add_special_tokens=False)]
+            new = self._encode(self.queue)
             lengths = np.fromiter(map(len, new), np.int64, len(new))
             self.ends.extend(self.flat.n + np.cumsum(lengths))
             self.flat.extend(np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(lengths.sum())))

@@ -23,7 +23,7 @@ def test_pieces_encode_as_whole_texts(name):
     encoder, whole = Encoder(path), Tokenizer.from_file(path)
     rng = random.Random(1)
     parts = ["a", "Word", "ß", "é", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "　", "'s", "'ll", "12", ".", "!!", "中文",
-             "🙂", "Σ", "İ", "́", "\x00", "<|endoftext|>", "<|startoftext|>", "​", "\x0b"]
+             "🙂", "Σ", "İ", "́", "\x00", "<|endoftext|>", "<|startoftext|>", "​", "\x0b", ",", "ñandú", "Ÿ", "ĳ", "straße", "DON'T", "ªº"]
     texts = ["", " ", "\n"] + ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(4000)]
     got = [ids.tolist() for i in range(0, len(texts), 64) for ids in encoder.ids(texts[i:i + 64])]
     assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
