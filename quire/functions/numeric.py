@@ -12,11 +12,10 @@ arithmetic:
 2. ``N * 10^d`` divided by ``2^k`` in ``decimal(38,0)``: quotient and
    remainder are exact; the remainder against ``2^k / 2`` decides the
    rounding, ties to even;
-3. the result is ``q / 10^d`` in double arithmetic, the double nearest the
-   rounded decimal, as Python returns.
+3. the result is the double nearest the decimal ``q / 10^d``, as Python returns.
 
-Valid for |x| < 2^40 (beyond that plain ``round`` is used); |x| below
-2^-16 rounds to 0 at 4 places or fewer.
+From 2^52 on a double is an integer and stays as it is; below half a unit of
+the last place the result is a zero of x's sign.
 """
 
 from __future__ import annotations
@@ -47,12 +46,11 @@ def py_round(x: Column, digits: int = 4) -> Column:
     q0 = F.floor(num / den).cast(_DEC)
     twice_rem = (num - q0 * den) * F.lit(2).cast(_DEC)
     up = F.when(twice_rem > den, 1).when(twice_rem < den, 0).otherwise((q0 % 2).cast("int"))
-    q = (q0 + up).cast("double")
-    exact = F.signum(x) * q / F.lit(float(10 ** digits))
-    small = a < F.lit(2.0 ** -16)
+    q = ((q0 + up).cast("decimal(31,0)") / F.lit(10 ** digits).cast("decimal(7,0)")).cast("double")
+    exact = F.signum(x) * q
     return (F.when(x.isNull(), F.lit(None).cast("double"))
             .when(F.isnan(x), x)
             .when(a == 0, x)
-            .when(a >= F.lit(2.0 ** 40), F.round(x, digits))
-            .when(small & (digits <= 4), F.signum(x) * F.lit(0.0))
+            .when(a >= F.lit(2.0 ** 52), x)
+            .when(a < F.lit(0.4 * 10.0 ** -digits), F.signum(x) * F.lit(0.0))
             .otherwise(exact))
