@@ -1,8 +1,8 @@
-"""Longest common subsequence length of two token arrays (for ROUGE-L).
+"""Row-local scoring of two token arrays: clipped n-gram matches and the longest common subsequence.
 
-LCS is row-local, so it needs no shuffle; it is the one piece of scoring
-that Spark's array functions cannot express in linear space.  It runs in an
-Arrow-batched pandas UDF with the bit-parallel algorithm of Crochemore,
+Both compare the tokens of one row, so they need no shuffle, and neither a
+join nor an aggregate per n-gram: rows go through Python once, in Arrow
+batches.  The common subsequence uses the bit-parallel algorithm of Crochemore,
 Iliopoulos, Pinzon and Reid (2001): one pass over the longer text, each step
 a few word-parallel operations on a bit vector as long as the shorter one,
 i.e. O(m * n / 64) machine words instead of an O(m * n) Python loop.
@@ -10,12 +10,11 @@ i.e. O(m * n / 64) machine words instead of an O(m * n) Python loop.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import LongType
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 
 def lcs_len(a: Sequence[str], b: Sequence[str]) -> int:
@@ -37,23 +36,35 @@ def lcs_len(a: Sequence[str], b: Sequence[str]) -> int:
     return len(b) - v.bit_count()
 
 
-def lcs_len_dp(a: Sequence[str], b: Sequence[str]) -> int:
-    """Textbook dynamic programme; the brute-force check for :func:`lcs_len`."""
-    prev = [0] * (len(b) + 1)
-    for x in a:
-        cur = [0]
-        for j, y in enumerate(b):
-            cur.append(prev[j] + 1 if x == y else max(prev[j + 1], cur[j]))
-        prev = cur
-    return prev[-1]
+def clipped_matches(a: Sequence, b: Sequence, order: int) -> int:
+    """N-grams of ``order`` that both sequences hold, each as often as in the one that has fewer."""
+    if len(a) < order or len(b) < order:
+        return 0
+    if order == 1:
+        return (Counter(a) & Counter(b)).total()
+    return (Counter(zip(*(a[i:] for i in range(order)), strict=False)) & Counter(zip(*(b[i:] for i in range(order)), strict=False))).total()
 
 
-@pandas_udf(LongType())
-def _lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_len(x if x is not None else (), y if y is not None else ()) for x, y in zip(a, b)],
-                     dtype="int64")
+def count_matches(rows: DataFrame, keys: list[str], grams: dict[str, tuple[str, str, int]], lcs: dict[str, tuple[str, str]]) -> DataFrame:
+    """The columns ``keys`` and one count (long) per name: clipped matches ``(left, right, order)`` of ``grams``, common
+    subsequence lengths ``(left, right)`` of ``lcs``, of the token arrays in the named columns."""
+    arrays = sorted({c for left, right, _ in grams.values() for c in (left, right)} | {c for pair in lcs.values() for c in pair})
+    sizes = [f"n_{c}" for c in arrays]
+    names = [*keys, *sizes, *grams, *lcs]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: dict[str, list[int]] = {n: [] for n in names[len(keys):]}
+            for row in zip(*(batch.column(len(keys) + i).to_pylist() for i in range(len(arrays))), strict=True):
+                tokens = {c: t or [] for c, t in zip(arrays, row, strict=True)}
+                for c, n in zip(arrays, sizes, strict=True):
+                    columns[n].append(len(tokens[c]))
+                for n, (left, right, order) in grams.items():
+                    columns[n].append(clipped_matches(tokens[left], tokens[right], order))
+                for n, (left, right) in lcs.items():
+                    columns[n].append(lcs_len(tokens[left], tokens[right]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], *[pa.array(c, pa.int64()) for c in columns.values()]], names)
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """LCS length of two ``array<string>`` columns (Arrow batches, one Python call per batch)."""
-    return _lcs_udf(a, b)
+    picked = rows.select(*keys, *arrays)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in picked.select(*keys).schema)
+    return picked.mapInArrow(run, schema + ", ".join(f"{n} bigint" for n in names[len(keys):]))

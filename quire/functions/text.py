@@ -110,22 +110,3 @@ def tokens_rouge(c: Column | str) -> Column:
     """ROUGE tokens of a text."""
     s = F.regexp_replace(F.lower(_col(c)), ROUGE_SEPARATOR, " ")
     return F.array_remove(F.split(s, " "), "")
-
-
-def gram_at(tokens: Column, i: Column, n: int) -> Column:
-    """The n-gram starting at 0-based position ``i`` (space-joined), NULL past the end."""
-    if n == 1:
-        return F.get(tokens, i)
-    return F.when(i + n <= F.size(tokens), F.array_join(F.slice(tokens, i + 1, n), " "))
-
-
-def ngrams(tokens: Column, n: int) -> Column:
-    """The n-grams of a token array as space-joined strings, in order.
-
-    Tokens never hold whitespace, so the space join is unambiguous.
-    """
-    if n == 1:
-        return tokens
-    grams = F.transform(F.sequence(F.lit(0), F.size(tokens) - n),
-                        lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))

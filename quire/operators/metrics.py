@@ -1,11 +1,11 @@
 """Scoring predictions against references.
 
 Plan shape: predictions are paired with references by a shuffle join on
-``rid`` (E2).  Everything after that is keyed by ``rid`` too, so the n-gram
-explosion and its per-row counts run in the join's partitions with no
-further exchange: only rows are shuffled, never n-grams.  Corpus values are
-global aggregates per ``label`` (partial aggregation first, so a label that
-holds most rows is no hotter than any other).
+``rid`` (E2).  Clipped n-gram matches and the longest common subsequence compare
+the two texts of one row, so they are counted inside the row, in Arrow batches:
+only rows are shuffled, never n-grams, and one pass gives all metrics.  Corpus
+values are global aggregates per ``label`` (partial aggregation first, so a
+label that holds most rows is no hotter than any other).
 
 BLEU: corpus BLEU-4, no smoothing, 13a tokens, one reference per row.
 ROUGE-1/2/L: F-measure per row, no stemming; the corpus value is the mean of
@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.lcs import lcs_length
+from quire.functions.lcs import count_matches
 from quire.functions.numeric import py_round
-from quire.functions.text import gram_at, tokens_13a, tokens_rouge
+from quire.functions.text import tokens_13a, tokens_rouge
 
 BLEU_ORDER = 4        # fixed value: BLEU's default max n-gram order
 ROUGE_ORDERS = (1, 2)  # fixed value: ROUGE-1 and ROUGE-2
@@ -30,77 +30,44 @@ LABELS = ("base", "finetuned")
 
 
 def pair_predictions(predictions: DataFrame, references: DataFrame, id_col: str = "rid",
-                     reference_col: str = "answer") -> DataFrame:
+                     reference_col: str = "answer", partitions: int | None = None) -> DataFrame:
     """``(label, rid, prediction, reference)``.
 
-    Both sides are hash-partitioned on ``rid`` with an explicit partition
-    count, ``spark.sql.shuffle.partitions`` (Spark aligns two shuffled join
-    sides to that number), so the sort-merge join adds no exchange and its
-    partitioning is reused by all per-row scoring below.  The count is
-    explicit because a repartition by number is not coalesced at run time:
-    the pair rows are small while the n-gram work per row is large, and
-    coalescing by bytes would leave a few tasks with all of it.  A broadcast
-    would save one small shuffle of references but force a shuffle of every
-    n-gram instead.
+    The scoring behind it costs far more than its rows' bytes suggest, so rows
+    are dealt to an explicit number of ``partitions`` (default:
+    ``spark.sql.shuffle.partitions``), which Spark does not merge by bytes.
     """
-    n = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = partitions or int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     refs = references.select(F.col(id_col).alias("rid"), F.col(reference_col).alias("reference"))
     preds = predictions.select("label", F.col(id_col).alias("rid"), "prediction")
     return (preds.repartition(n, "rid").join(refs.repartition(n, "rid").hint("merge"), "rid")
             .select("label", "rid", "prediction", "reference"))
 
 
-# Item kinds: BLEU n-grams of 13a tokens (1..4), ROUGE n-grams of ROUGE
-# tokens (11, 12); kind 0 is one marker per row, so that a row without any
-# token still yields a row.
 _BLEU_KINDS = list(range(1, BLEU_ORDER + 1))
-_ROUGE_KINDS = [10 + n for n in ROUGE_ORDERS]
 
 
-def _item(kind: int, gram: Column, side: int) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), F.lit(side).alias("side"))
-
-
-def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True) -> DataFrame:
-    """Per-row n-gram counts: ``(label, rid, h1..h4, hr1, hr2, plen_b, rlen_b, plen_r, rlen_r)``.
+def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True, lcs: bool = True) -> DataFrame:
+    """Per-row counts: ``(label, rid, h1..h4, hr1, hr2, lcs, plen_b, rlen_b, plen_r, rlen_r)``.
 
     ``h<n>`` are clipped BLEU n-gram matches, ``hr<n>`` clipped ROUGE-N
-    matches, ``plen``/``rlen`` token counts (the unigram totals).  Each row is
-    exploded once over token positions; at position ``i`` it emits the n-grams
-    starting there on both sides.  No lambda functions: every step is a plain
-    expression that stays in whole-stage code generation.  The two
-    aggregations are keyed by ``rid`` and run in the pairing join's
-    partitions with no exchange.  ``bleu``/``rouge`` choose which n-grams
-    are emitted (the other counts are 0); unused tokenizers are pruned.
+    matches, ``plen``/``rlen`` token counts (the unigram totals).  ``bleu``,
+    ``rouge`` and ``lcs`` choose what is counted; the others are 0.
     """
-    toks = pairs.select(
-        "label", "rid",
-        tokens_13a("prediction").alias("pb"), tokens_13a("reference").alias("rb"),
-        tokens_rouge("prediction").alias("pr"), tokens_rouge("reference").alias("rr"),
-    )
-    sizes = ([F.size("pb"), F.size("rb")] if bleu else []) + ([F.size("pr"), F.size("rr")] if rouge else [])
-    longest = F.greatest(*sizes, F.lit(1))
-    at = toks.select("label", "rid", "pb", "rb", "pr", "rr", F.explode(F.sequence(F.lit(0), longest - 1)).alias("i"))
-    i = F.col("i")
-    items = [_item(0, F.when(i == 0, F.lit("")), 0)]
-    for k in _BLEU_KINDS if bleu else []:
-        items += [_item(k, gram_at(F.col("pb"), i, k), 1), _item(k, gram_at(F.col("rb"), i, k), 2)]
-    for k in _ROUGE_KINDS if rouge else []:
-        items += [_item(k, gram_at(F.col("pr"), i, k - 10), 1), _item(k, gram_at(F.col("rr"), i, k - 10), 2)]
-    exploded = at.select("label", "rid", F.inline(F.array(*items))).where(F.col("gram").isNotNull())
-    per_gram = exploded.groupBy("label", "rid", "kind", "gram").agg(
-        F.count_if(F.col("side") == 1).alias("cp"), F.count_if(F.col("side") == 2).alias("cr"))
-    kind, clipped = F.col("kind"), F.least("cp", "cr")
-
-    def total(k: int, value: Column, name: str) -> Column:
-        return F.sum(F.when(kind == k, value).otherwise(0)).cast("long").alias(name)
-
-    return per_gram.groupBy("label", "rid").agg(
-        *[total(k, clipped, f"h{k}") for k in _BLEU_KINDS],
-        *[total(k, clipped, f"hr{k - 10}") for k in _ROUGE_KINDS],
-        total(1, F.col("cp"), "plen_b"), total(1, F.col("cr"), "rlen_b"),
-        total(11, F.col("cp"), "plen_r"), total(11, F.col("cr"), "rlen_r"),
-    )
+    texts = {}
+    if bleu:
+        texts |= {"pb": tokens_13a("prediction"), "rb": tokens_13a("reference")}
+    if rouge or lcs:
+        texts |= {"pr": tokens_rouge("prediction"), "rr": tokens_rouge("reference")}
+    grams = {f"h{n}": ("pb", "rb", n) for n in _BLEU_KINDS if bleu} | {f"hr{n}": ("pr", "rr", n) for n in ROUGE_ORDERS if rouge}
+    counted = count_matches(pairs.select("label", "rid", *[c.alias(n) for n, c in texts.items()]), ["label", "rid"], grams,
+                            {"lcs": ("pr", "rr")} if lcs else {})
+    sizes = {"plen_b": "n_pb", "rlen_b": "n_rb", "plen_r": "n_pr", "rlen_r": "n_rr"}
+    zero = F.lit(0).cast("long")
+    values = [f"h{n}" for n in _BLEU_KINDS] + [f"hr{n}" for n in ROUGE_ORDERS] + ["lcs"]
+    return counted.select(
+        "label", "rid", *[F.col(v) if v in counted.columns else zero.alias(v) for v in values],
+        *[(F.col(c) if c in counted.columns else zero).alias(n) for n, c in sizes.items()])
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -130,7 +97,7 @@ def corpus_scores(rows: DataFrame) -> DataFrame:
         aggs.append(F.sum(f"h{n}").cast("long").alias(f"m{n}"))
         aggs.append(F.sum(F.greatest(F.col("plen_b") - n + 1, F.lit(0))).cast("long").alias(f"t{n}"))
     aggs += [F.sum("plen_b").cast("long").alias("pred_len"), F.sum("rlen_b").cast("long").alias("ref_len")]
-    aggs += [F.avg(_rouge_n_f(n)).alias(f"rouge{n}") for n in ROUGE_ORDERS]
+    aggs += [F.avg(_rouge_n_f(n)).alias(f"rouge{n}") for n in ROUGE_ORDERS] + [F.avg(_rouge_l_f()).alias("rougeL")]
     return rows.groupBy("label").agg(*aggs)
 
 
@@ -155,40 +122,24 @@ def with_bleu(totals: DataFrame) -> DataFrame:
 
 def bleu(pairs: DataFrame) -> DataFrame:
     """Corpus BLEU per label with its parts (matches, totals, lengths, brevity)."""
-    t = with_bleu(corpus_scores(row_scores(pairs, rouge=False)))
+    t = with_bleu(corpus_scores(row_scores(pairs, rouge=False, lcs=False)))
     return t.select("label", "bleu", "brevity_penalty", *[f"m{n}" for n in _BLEU_KINDS],
                     *[f"t{n}" for n in _BLEU_KINDS], "pred_len", "ref_len")
 
 
 def rouge_n(pairs: DataFrame) -> DataFrame:
     """Mean ROUGE-1 and ROUGE-2 F-measure per label."""
-    return corpus_scores(row_scores(pairs, bleu=False)).select("label", *[f"rouge{n}" for n in ROUGE_ORDERS])
-
-
-def rouge_l_rows(pairs: DataFrame) -> DataFrame:
-    """Per-row ROUGE-L: LCS of the ROUGE tokens (Arrow UDF, row-local, no shuffle)."""
-    t = pairs.select("label", "rid", tokens_rouge("prediction").alias("pr"), tokens_rouge("reference").alias("rr"))
-    t = t.withColumn("lcs", lcs_length(F.col("pr"), F.col("rr")))
-    t = t.select("label", "rid", "lcs", F.size("pr").cast("long").alias("plen_r"),
-                 F.size("rr").cast("long").alias("rlen_r"))
-    return t.withColumn("f", _rouge_l_f())
+    return corpus_scores(row_scores(pairs, bleu=False, lcs=False)).select("label", *[f"rouge{n}" for n in ROUGE_ORDERS])
 
 
 def rouge_l(pairs: DataFrame) -> DataFrame:
-    """E5: mean ROUGE-L F-measure per label (LCS only, no n-grams)."""
-    return rouge_l_rows(pairs).groupBy("label").agg(F.avg("f").alias("rougeL"))
+    """E5: mean ROUGE-L F-measure per label."""
+    return corpus_scores(row_scores(pairs, bleu=False, rouge=False)).select("label", "rougeL")
 
 
 def metric_table(pairs: DataFrame) -> DataFrame:
-    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places as Python rounds, plus ``*_raw``.
-
-    Two branches over the same paired rows (the pair shuffle is reused):
-    n-grams for BLEU and ROUGE-1/2, LCS for ROUGE-L.  The Python step stays
-    off the n-gram branch, whose aggregation relies on the join's
-    partitioning (a Python node does not pass partitioning on).  The two
-    per-label results have one row per label.
-    """
-    raw = with_bleu(corpus_scores(row_scores(pairs))).join(rouge_l(pairs), "label")
+    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places as Python rounds, plus ``*_raw``; one pass over the pairs."""
+    raw = with_bleu(corpus_scores(row_scores(pairs)))
     return raw.select("label", *[py_round(F.col(m), REPORT_DIGITS).alias(m) for m in METRICS],
                       *[F.col(m).alias(f"{m}_raw") for m in METRICS])
 
@@ -205,9 +156,3 @@ def compare(table: DataFrame, base: str = LABELS[0], tuned: str = LABELS[1]) ->
     wide = metrics_long(table).groupBy("metric").pivot("label", [base, tuned]).agg(F.first("value"))
     return wide.select("metric", F.col(base).alias("base"), F.col(tuned).alias("finetuned"),
                        py_round(F.col(tuned) - F.col(base), REPORT_DIGITS).alias("delta"))
-
-
-def score(predictions: DataFrame, references: DataFrame, id_col: str = "rid",
-          reference_col: str = "answer") -> DataFrame:
-    """E2 -> E6 in one plan."""
-    return metric_table(pair_predictions(predictions, references, id_col, reference_col))

@@ -79,36 +79,19 @@ def test_compare_delta_of_rounded(spark):
         assert r.delta == round(r.finetuned - r.base, 4)
 
 
-def test_ngrams_not_shuffled(spark):
-    """Only pair rows cross the network: no exchange between the n-gram explode and its aggregation."""
-    plan = plan_text(M.row_scores(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
-    physical = plan.split("===== Subqueries =====")[0]
-    tree = physical.split("\n\n")[0]
-    gen_at = tree.find("Generate")
-    assert gen_at > 0
-    above = tree[:gen_at]
-    assert "Exchange" not in above, tree
-
-
-def test_metric_table_single_pair_shuffle(spark):
-    """E6 in one pass: the pair rows are shuffled once per side, n-grams never."""
+def test_ngrams_are_counted_in_their_row(spark):
+    """No row, join or aggregate per n-gram: the aggregate is per label."""
     plan = plan_text(M.metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
-    tree = plan.split("\n\n")[0]
-    assert tree.count("Generate") == 2  # positions, then the n-grams at each position
-    assert tree.count("ArrowEvalPython") == 1
-    gen_at = tree.find("Generate")
-    between = tree[tree.rfind("Exchange", 0, gen_at):gen_at]
-    assert between.count("HashAggregate") >= 4, tree  # per-gram and per-row aggregates stay in the join's stage
-
-
-def test_pair_shuffle_reused_by_both_branches(spark):
-    df = M.metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001"))
-    df.collect()
-    final = plan_text(df).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
+    assert "Generate" not in plan and "gram" not in plan
+    aggregates = [x for x in plan.split("\n") if x.startswith("Keys [")]
+    assert aggregates and all(x.startswith("Keys [1]: [label") for x in aggregates)
 
 
-def test_rouge_l_udf_is_arrow(spark):
-    plan = plan_text(M.rouge_l(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
-    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
-    assert F is not None
+def test_metric_table_reads_the_pairs_once(spark):
+    """E6 in one pass: the pair rows are shuffled once per side, scored in Arrow batches, and added up per label."""
+    plan = plan_text(M.metric_table(Q.scored_pairs(spark, "/root/testdata/sf0.001")))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("MapInArrow") == 1
+    assert "BatchEvalPython" not in plan
+    above = tree[:tree.find("MapInArrow")]
+    assert above.count("Exchange") == 1

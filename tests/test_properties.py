@@ -3,7 +3,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from quire.functions.lcs import lcs_len, lcs_len_dp
+from quire.functions.lcs import clipped_matches, lcs_len
 from quire.operators import split as D
 
 import pyref
@@ -16,7 +16,7 @@ tokens = st.lists(st.sampled_from(list("abcdefg")), max_size=40)
 @given(tokens, tokens)
 @settings(max_examples=300, deadline=None)
 def test_lcs_bitparallel_equals_dp(a, b):
-    assert lcs_len(a, b) == lcs_len_dp(a, b) == lcs_len(b, a)
+    assert lcs_len(a, b) == pyref.lcs_len_dp(a, b) == lcs_len(b, a)
     assert lcs_len(a, b) <= min(len(a), len(b))
 
 
@@ -35,7 +35,7 @@ def test_scores_bounded(preds, refs):
 
 @given(st.integers(min_value=0, max_value=100000), st.floats(0.0, 1.0), st.floats(0.0, 1.0))
 def test_expected_sizes_partition_n(n, tr, vr):
-    a, b, c = D.expected_sizes(n, tr, vr)
+    a, b, c = pyref.expected_sizes(n, tr, vr)
     assert a + b + c == n and min(a, b) >= 0
 
 
@@ -54,7 +54,7 @@ def test_spark_split_disjoint_and_exact(spark, n, buckets):
     rows = D.three_way_split(spark.range(n).withColumnRenamed("id", "rid"), buckets=buckets).collect()
     assert sorted(r.pos for r in rows) == list(range(n))
     sizes = tuple(sum(1 for r in rows if r.split == s) for s in ("train", "val", "test"))
-    assert sizes == D.expected_sizes(n)
+    assert sizes == pyref.expected_sizes(n)
 
 
 @given(st.lists(st.sampled_from(["a", "b", "ab"]), min_size=4, max_size=10).map(" ".join))
@@ -94,3 +94,12 @@ def test_spark_bleu_identity(spark, text):
     df = spark.createDataFrame([("m", 1, text, text)], "label string, rid long, prediction string, reference string")
     t = M.metric_table(df).first()
     assert abs(t.bleu_raw - 1.0) < 1e-12 and abs(t.rougeL_raw - 1.0) < 1e-12
+
+
+@given(tokens, tokens, st.integers(1, 5))
+def test_clipped_matches(a, b, n):
+    def grams(x):
+        return [tuple(x[i:i + n]) for i in range(len(x) - n + 1)]
+
+    left, right = grams(a), grams(b)
+    assert clipped_matches(a, b, n) == sum(min(left.count(g), right.count(g)) for g in set(left))

@@ -38,14 +38,6 @@ def test_rouge_tokens_match_python(spark):
     assert col_values(spark, samples, X.tokens_rouge) == [pyref.tok_rouge(s) for s in samples]
 
 
-def test_ngrams(spark):
-    df = spark.createDataFrame([(["a", "b", "c"],), ([],), (["x"],)], "t array<string>")
-    got = [r[0] for r in df.select(X.ngrams(F.col("t"), 2)).collect()]
-    assert got == [["a b", "b c"], [], []]
-    got3 = [r[0] for r in df.select(X.ngrams(F.col("t"), 3)).collect()]
-    assert got3 == [["a b c"], [], []]
-
-
 def test_template_paths_agree(spark):
     from quire.operators import prompts as PR
 
