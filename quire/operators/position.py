@@ -1,13 +1,11 @@
-"""Dense 0-based row index in a total order, without a single-partition sort.
-
-``row_number() over (order by k)`` moves every row into one task.  Instead:
-range-partition on the key, sort inside partitions, write the result as a
-reliable checkpoint (under the cluster's ``spark.checkpoint.dir``), then add
-to each row its position inside its partition plus the row count of all
-earlier partitions.  The offset table has one row per partition and is
-broadcast.  The checkpoint fixes the partitioning, so the count pass and the
-numbering pass read the same partitions, and a lost executor recomputes
-nothing upstream.
+"""Dense 0-based rank of unique integer ids, without a single-partition sort.
+
+``row_number() over (order by id)`` moves every row into one task.  Instead
+an id's bucket is ``id >> bits``, so buckets are in the order of their ids and
+hold at most ``2 ** bits`` rows; ranks inside a bucket come from a window per
+bucket, and bucket offsets from running counts over one row per bucket.
+Everything is a pure function of the ids: a lost task or a second evaluation
+gives the same ranks, and nothing needs to be written in between.
 """
 
 from __future__ import annotations
@@ -15,28 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.session import checkpoint_dir
-
-_LOW33 = (1 << 33) - 1  # monotonically_increasing_id: partition id << 33 | row in partition
-
+BUCKET_BITS = 20  # at most a million ids in a bucket; a range of 2^40 ids has a million buckets
 
-def dense_index(df: DataFrame, order_cols: list[str], out_col: str = "idx", partitions: int | None = None) -> DataFrame:
-    """Adds ``out_col`` = rank of the row in ``order_cols`` order, from 0.
 
-    ``order_cols`` must identify rows uniquely (a total order).
-    """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n_parts = int(partitions or spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ordered = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-    fixed = ordered.checkpoint(eager=True)
-    tagged = fixed.withColumn("_part", F.spark_partition_id()).withColumn(
-        "_local", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
-    # One row per partition: bounded by the partition count chosen above.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_c"))
-               .withColumn("_offset", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-               .select("_part", "_offset"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-            .withColumn(out_col, (F.col("_offset") + F.col("_local")).cast("long"))
-            .drop("_part", "_local", "_offset"))
+def dense_index(ids: DataFrame, id_col: str, out_col: str = "idx", bits: int = BUCKET_BITS) -> DataFrame:
+    """``(id_col, out_col)``: the rank of each id, from 0.  Ids must be unique integers, not null."""
+    rows = ids.select(id_col, F.shiftright(F.col(id_col).cast("long"), bits).alias("_bucket"))
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_bucket").orderBy(id_col)) - 1)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return ranked.join(offsets, "_bucket").select(id_col, (F.col("_offset") + F.col("_rank")).cast("long").alias(out_col))

@@ -17,8 +17,6 @@ evaluating the plan twice gives the same ``pos``; no cache is needed.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +28,8 @@ TEST_SIZE = 0.1
 EVAL_SAMPLES = 100
 TRAIN_EVAL_SAMPLES = 50
 TRAIN_VAL_SALT = "train_test_split"
+# So many buckets a partition that hashing them to partitions leaves no straggler.
+BUCKETS_PER_PARTITION = 64
 
 
 def _ids(id_col: str | list[str]) -> list[str]:
@@ -37,14 +37,20 @@ def _ids(id_col: str | list[str]) -> list[str]:
 
 
 def order_key(id_col: str | list[str] = "rid", seed: int = DEFAULT_SEED, salt: str | None = None) -> Column:
-    """``md5(id ':' seed)``; with several id columns ``md5(id1 ':' id2 ... ':' seed)``."""
-    parts = [F.col(c).cast("string") for c in _ids(id_col)] + [F.lit(str(seed))] + ([F.lit(salt)] if salt else [])
+    """``md5(id ':' seed)``; with several id columns ``md5(id1 ':' id2 ... ':' seed)``.
+
+    A null id is an error: all such rows would share one key.
+    """
+    def known(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.raise_error(F.lit(f"null in the id column {c}")).cast("string"))
+
+    parts = [known(c) for c in _ids(id_col)] + [F.lit(str(seed))] + ([F.lit(salt)] if salt else [])
     return F.md5(F.concat_ws(":", *parts))
 
 
 def _default_buckets(df: DataFrame) -> int:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, 2 * parts)
+    return max(1, BUCKETS_PER_PARTITION * parts)
 
 
 def shuffle_positions(df: DataFrame, id_col: str | list[str] = "rid", seed: int = DEFAULT_SEED,
@@ -52,8 +58,16 @@ def shuffle_positions(df: DataFrame, id_col: str | list[str] = "rid", seed: int
     """Adds ``pos`` (0-based rank in seeded order) and ``n`` (row count).
 
     ``id_col`` (one column or several) must identify rows uniquely.  ``buckets`` sets how many window partitions the
-    ranking uses (default: twice ``spark.sql.shuffle.partitions``).
+    ranking uses (default: 64 times ``spark.sql.shuffle.partitions``).  The ids
+    alone are ranked; other columns are joined to their positions by id.
     """
+    ids = _ids(id_col)
+    ranked = _positions(df.select(*ids), ids, seed, salt, buckets)
+    return ranked if set(df.columns) == set(ids) else df.join(ranked, ids)
+
+
+def _positions(df: DataFrame, id_col: list[str], seed: int, salt: str | None, buckets: int | None) -> DataFrame:
+    """The id columns plus ``pos`` and ``n``."""
     b = int(buckets or _default_buckets(df))
     if b < 1 or b >= 2**31:
         raise ValueError("buckets must be in [1, 2^31)")
@@ -114,18 +128,16 @@ def train_val_split(df: DataFrame, id_col: str | list[str] = "rid", test_size: f
     return pos.withColumn("split", F.when(F.col("pos") < n_val, F.lit("val")).otherwise(F.lit("train"))).drop("n")
 
 
-def head_sample(df: DataFrame, n: int = EVAL_SAMPLES, order_col: str = "pos") -> DataFrame:
-    """The first ``min(n, rows)`` rows in stored order (a top-k)."""
+def head_sample(df: DataFrame, n: int = EVAL_SAMPLES, order_col: str = "pos", dense: bool = True) -> DataFrame:
+    """The first ``min(n, rows)`` rows in stored order.
+
+    Positions of a split are consecutive (``dense``), so its head is a filter
+    against the least one: no sort, and rows stay in their partitions.  Other
+    orders take a top-k and are then dealt out again for what follows.
+    """
     if n < 0:
         raise ValueError("n must be >= 0")
-    return df.orderBy(order_col).limit(n)
-
-
-def expected_sizes(n: int, train_ratio: float = TRAIN_RATIO, val_ratio: float = VAL_RATIO) -> tuple[int, int, int]:
-    """Split sizes as the reference computes them, for checks."""
-    n_train, n_val = int(n * train_ratio), int(n * val_ratio)
-    return n_train, n_val, n - n_train - n_val
-
-
-def expected_val_size(n: int, test_size: float = TEST_SIZE) -> int:
-    return math.ceil(test_size * n)
+    if dense:
+        return df.where(F.col(order_col) < df.select(F.min(order_col)).scalar() + n)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.orderBy(order_col).limit(n).repartition(parts, order_col)

@@ -22,16 +22,9 @@ FIXTURE_KEEP = "[^A-Za-z0-9 .,?]"
 PRED_DROP_EVERY = {"base": 2, "finetuned": 5}
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table; the DataFrame (a plan, not data) is reused within a session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """One parquet table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def qa_pairs(conversations: DataFrame) -> DataFrame:
@@ -79,8 +72,8 @@ def _line(q, a, domain):
 def defective_lines(pairs: DataFrame) -> DataFrame:
     """one JSONL line per pair with a defect chosen by ``rid % 11``, numbered in ``rid`` order.
 
-    ``idx`` is the dense rank by ``rid`` (the line's index in the file),
-    computed by :func:`dense_index` without a single-partition sort.
+    ``idx`` is the dense rank by ``rid`` (the line's index in the file).  Only
+    the ids are ranked; the rank is joined to the texts by ``rid``.
     """
     q, a = _safe(F.col("question")), _safe(F.col("answer"))
     dom = F.concat(F.lit('"d'), (F.floor(F.col("rid") / TURN_STRIDE) % 3).cast("string"), F.lit('"'))
@@ -98,7 +91,7 @@ def defective_lines(pairs: DataFrame) -> DataFrame:
             .when(k == 9, F.lit(""))
             .otherwise(_line(F.concat(F.lit("  "), q, F.lit("  ")), F.concat(F.lit("  "), a, F.lit("  ")), dom)))
     lines = pairs.withColumn("_good", good).select("rid", line.alias("raw"))
-    return dense_index(lines, ["rid"], out_col="idx").select("idx", "raw")
+    return lines.join(dense_index(pairs.select("rid"), "rid"), "rid").select("idx", "raw")
 
 
 def predictions_fixture(pairs: DataFrame) -> DataFrame:

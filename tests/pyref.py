@@ -121,3 +121,24 @@ def validate(line: str):
 def p95(values):
     s = sorted(values)
     return s[int(0.95 * len(s))]
+
+
+def lcs_len_dp(a, b):
+    """Textbook dynamic programme for the longest common subsequence."""
+    prev = [0] * (len(b) + 1)
+    for x in a:
+        cur = [0]
+        for j, y in enumerate(b):
+            cur.append(prev[j] + 1 if x == y else max(prev[j + 1], cur[j]))
+        prev = cur
+    return prev[-1]
+
+
+def expected_sizes(n, train_ratio=0.8, val_ratio=0.1):
+    """Split sizes as the reference computes them."""
+    n_train, n_val = int(n * train_ratio), int(n * val_ratio)
+    return n_train, n_val, n - n_train - n_val
+
+
+def expected_val_size(n, test_size=0.1):
+    return math.ceil(test_size * n)

@@ -9,6 +9,8 @@ from quire.operators.position import dense_index
 from quire.plans import queries as Q
 from tests_support import plan_text
 
+import pyref
+
 
 def ids(spark, n):
     return spark.range(n).select((F.col("id") * 7 + 3).alias("rid"))
@@ -16,7 +18,7 @@ def ids(spark, n):
 
 @pytest.mark.parametrize("n,sizes", [(10, (8, 1, 1)), (9, (7, 0, 2)), (1, (0, 0, 1)), (0, (0, 0, 0)), (233, (186, 23, 24))])
 def test_split_sizes_golden(spark, n, sizes):
-    assert D.expected_sizes(n) == sizes
+    assert pyref.expected_sizes(n) == sizes
     got = {r.split: r.n for r in D.split_sizes(ids(spark, n)).collect()}
     assert (got["train"], got["val"], got["test"]) == sizes
     rows = D.three_way_split(ids(spark, n), buckets=4).collect()
@@ -49,7 +51,7 @@ def test_split_is_stable_under_repartition(spark):
 def test_train_val_split(spark):
     rows = D.train_val_split(ids(spark, 233)).collect()
     n_val = sum(1 for r in rows if r.split == "val")
-    assert n_val == D.expected_val_size(233) == 24
+    assert n_val == pyref.expected_val_size(233) == 24
     assert sorted(r.pos for r in rows) == list(range(233))
     first = {r.rid for r in D.three_way_split(ids(spark, 233)).collect() if r.pos < 24}
     assert first != {r.rid for r in rows if r.split == "val"}  # a second, independent order
@@ -71,10 +73,42 @@ def test_no_single_partition_row_shuffle(spark):
 
 
 def test_dense_index(spark):
-    df = spark.range(0, 3000, 3).select((F.col("id") * 13 % 3001).alias("k"))
-    got = dense_index(df, ["k"], partitions=6).collect()
-    ks = sorted(r.k for r in got)
-    assert sorted((r.idx, r.k) for r in got) == list(enumerate(ks))
+    df = spark.range(0, 3000, 3).select((F.col("id") * 13 % 3001 - 500).alias("k"))
+    for bits in (0, 4, 20):
+        got = dense_index(df, "k", bits=bits)
+        assert "heckpoint" not in plan_text(got)
+        ks = sorted(r.k for r in got.collect())
+        assert sorted((r.idx, r.k) for r in got.collect()) == list(enumerate(ks))
+
+
+def test_null_ids_are_an_error(spark):
+    df = spark.createDataFrame([(1,), (None,)], "rid long")
+    with pytest.raises(Exception, match="null in the id column rid"):
+        D.shuffle_positions(df).collect()
+
+
+def test_partitions_are_even(spark):
+    """Buckets hashed to 200 partitions: the largest is under 1.5 times the mean."""
+    n = 200
+    buckets = spark.range(n * D.BUCKETS_PER_PARTITION).select(F.col("id").alias("b")).repartition(n, "b")
+    sizes = [r[0] for r in buckets.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(sizes) == n and max(sizes) < 1.5 * D.BUCKETS_PER_PARTITION
+
+
+def test_texts_are_not_in_the_ranking(spark):
+    df = spark.range(50).select(F.col("id").alias("rid"), F.lit("text").alias("text"))
+    plan = plan_text(D.shuffle_positions(df))
+    assert all("text" not in line for line in plan.split("\n") if "hashpartitioning(_bucket" in line)
+    assert sorted(r.pos for r in D.shuffle_positions(df).collect()) == list(range(50))
+
+
+def test_head_is_a_filter(spark):
+    test = D.three_way_split(ids(spark, 500)).where("split = 'test'")
+    plan = plan_text(D.head_sample(test, 20))
+    assert "TakeOrdered" not in plan
+    assert sorted(r.pos for r in D.head_sample(test, 20).collect()) == list(range(450, 470))
+    loose = spark.createDataFrame([(3,), (9,), (5,)], "pos long")
+    assert sorted(r.pos for r in D.head_sample(loose, 2, dense=False).collect()) == [3, 5]
 
 
 def test_f3_index_is_row_number(spark):
