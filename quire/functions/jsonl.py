@@ -1,4 +1,4 @@
-"""Strict JSON line expressions (S2) and typed field access.
+"""Strict JSON line expressions (S2), the class of a parse error, and typed field access.
 
 Python's ``json.loads`` rejects anything after the first value; Spark's
 ``from_json`` stops after it.  Two wrapped parses close that gap without a
@@ -33,10 +33,10 @@ STRICT_OPTIONS = {
 
 _CORRUPT = "_corrupt"
 
+# Possessive quantifiers: Java matches them in a loop, so a string of any length needs no stack.
+_STRING_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 # Non-numeric number tokens Jackson also accepts but Python's json rejects
 # (fixed values: Python takes exactly NaN, Infinity and -Infinity).
-_PYTHON_REJECTS = ["INF", "+INF", "-INF", "+Infinity", "+NaN", "-NaN"]
-_STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
 _EXTRA_TOKEN = r"(?:^|[^A-Za-z0-9_])(?:\+?INF|-INF|\+Infinity|\+NaN|-NaN)(?:$|[^A-Za-z0-9_])"
 
 
@@ -78,9 +78,23 @@ def _has_extra_token(line: Column) -> Column:
     return F.when(maybe, outside.rlike(_EXTRA_TOKEN)).otherwise(F.lit(False))
 
 
-def json_ok(line: Column | str) -> Column:
-    """True when the line is exactly one JSON value, as ``json.loads`` decides."""
-    return parse_json(line)["ok"]
+# Classes of parse errors, for reject messages.
+TRAILING_TEXT, BAD_TOKEN, TRUNCATED, BAD_VALUE = "text after the value", "bad token", "truncated", "invalid value"
+
+
+def parse_error_class(line: Column | str) -> Column:
+    """Why a line that is not one JSON value fails: text behind a first valid value, a number token Python does not know, an
+    object, array or string that does not end, or something else."""
+    line = _col(line)
+    bare = F.rtrim(line)
+    opens = F.substring(F.ltrim(line), 1, 1)
+    ends = F.when(opens == "{", bare.endswith("}")).when(opens == "[", bare.endswith("]")).when(
+        opens == '"', bare.endswith('"') & (F.length(bare) > 1)).otherwise(F.lit(True))
+    first = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT_OPTIONS)
+    behind = F.from_json(F.concat(F.lit("["), F.regexp_replace(line, r"[^}\]\"]*+$", ""), F.lit("]")), "array<string>", STRICT_OPTIONS)
+    return (F.when(_has_extra_token(line), F.lit(BAD_TOKEN)).when(F.size(first) > 1, F.lit(TRAILING_TEXT))
+            .when(~ends & (F.coalesce(F.size(behind), F.lit(0)) == 1) & (F.length(bare) > 0), F.lit(TRAILING_TEXT))
+            .when(~ends, F.lit(TRUNCATED)).otherwise(F.lit(BAD_VALUE)))
 
 
 def fields(value: Column, names: list[str]) -> Column:

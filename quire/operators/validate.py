@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.jsonl import fields, parse_json, variant_is_string, variant_text
+from quire.functions.jsonl import fields, parse_error_class, parse_json, variant_is_string, variant_text
 from quire.functions.text import strip
 from quire.session import ensure_conf
 
@@ -111,9 +111,12 @@ def flatten(validated: DataFrame, keep_line: bool = False) -> DataFrame:
                             F.when(ok, d).alias("domain"))
 
 
-def validate_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False, **limits) -> DataFrame:
-    """S2 + V1 + V2: ``(idx, ..., parse_ok, reason, question, answer, domain)``."""
-    return flatten(validate(parse_lines(lines, line_col), **limits), keep_line=keep_line)
+def validate_lines(lines: DataFrame, line_col: str = "line", keep_line: bool = False, error_class: bool = False, **limits) -> DataFrame:
+    """S2 + V1 + V2: ``(idx, ..., parse_ok, reason, question, answer, domain)``; with ``error_class`` also ``parse_error``."""
+    checked = validate(parse_lines(lines, line_col), **limits)
+    if error_class:
+        checked = checked.withColumn("parse_error", F.when(~F.col("parse_ok"), parse_error_class(line_col)))
+    return flatten(checked, keep_line=keep_line)
 
 
 def clean_records(flat: DataFrame, id_col: str = "idx") -> DataFrame:
@@ -128,12 +131,17 @@ def clean_records(flat: DataFrame, id_col: str = "idx") -> DataFrame:
 
 
 def rejects(flat: DataFrame, id_col: str = "idx") -> DataFrame:
-    """V3: rejected rows with the row-numbered message."""
+    """V3: rejected rows with the row-numbered message, and with their file where rows come from files.
+
+    The message of a line that does not parse also names the class of its error, if ``flat`` has it (``parse_error``).
+    """
+    detail = F.when(F.col("parse_error").isNotNull(), F.concat(F.lit(" ("), F.col("parse_error"), F.lit(")"))) \
+        if "parse_error" in flat.columns else F.lit(None).cast("string")
     return flat.where(F.col("reason").isNotNull()).select(
-        F.col(id_col).alias("idx"), "reason",
-        F.concat(F.lit("Row "), F.col(id_col).cast("string"), F.lit(": "), F.col("reason")).alias("message"))
+        *(["file"] if "file" in flat.columns else []), F.col(id_col).alias("idx"), "reason",
+        F.concat(F.lit("Row "), F.col(id_col).cast("string"), F.lit(": "), F.col("reason"), F.coalesce(detail, F.lit(""))).alias("message"))
 
 
 def first_rejects(reject_rows: DataFrame, n: int = 5) -> DataFrame:
-    """V4: the first ``n`` rejects in file order (a top-k, not a sort of all rows)."""
-    return reject_rows.orderBy("idx").limit(n)
+    """V4: the first ``n`` rejects by file and line (a top-k, not a sort of all rows)."""
+    return reject_rows.orderBy(*[c for c in ("file", "idx") if c in reject_rows.columns]).limit(n)

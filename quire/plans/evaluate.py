@@ -8,7 +8,7 @@ pivot of the per-label table (one row per label).
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quire.operators import metrics as M
 from quire.operators import split as D
 from quire.operators.predict import PredictorFactory, predict
-from quire.session import scratch_path
+from quire.session import remove_path, scratch_path
 from quire.sources import jsonl as J
 
 
@@ -27,39 +27,58 @@ class Evaluation:
     pairs: DataFrame        # E2
     metrics: DataFrame      # E6
     comparison: DataFrame   # E7
+    scratch: list[str] = field(default_factory=list)  # tables written on the way
+
+    def cleanup(self) -> None:
+        """Deletes the written tables; the DataFrames above cannot be read after it."""
+        for path in self.scratch:
+            remove_path(self.sample.sparkSession, path)
+        self.scratch.clear()
 
 
 def evaluate_rows(test: DataFrame, predictors: Mapping[str, PredictorFactory], n_samples: int = D.EVAL_SAMPLES,
                   order_col: str = "pos", base: str = M.LABELS[0], tuned: str = M.LABELS[1],
-                  materialize: bool = True) -> Evaluation:
+                  materialize: bool = True, dense: bool = True) -> Evaluation:
     """Score ``predictors`` on the first ``n_samples`` rows of ``test`` (by ``order_col``).
 
+    ``dense`` says that positions are consecutive, as those of a split are; the
+    head is then a filter.
+
     With ``materialize`` the predictions are written once to the shared
     checkpoint folder and scored from there: model inference is the costly
     step, the scoring reads predictions in two branches, and a model need not
     be deterministic for a recomputed task to agree with the first run.
     """
-    sample = D.head_sample(test, n_samples, order_col) if n_samples is not None else test
+    sample = D.head_sample(test, n_samples, order_col, dense) if n_samples is not None else test
     # Rows are identified by their stored position: unique within a split
     # even when line numbers repeat across input files.
     keyed = sample.select(F.col(order_col).alias("rid"), "question", "answer")
     preds = predict(keyed, predictors)
+    scratch = []
     if materialize:
-        path = scratch_path(preds.sparkSession, "predictions")
-        preds.write.parquet(path)
-        preds = preds.sparkSession.read.parquet(path)
+        # The sample too: it feeds every predictor and the pairing.
+        spark = preds.sparkSession
+        scratch += [scratch_path(spark, "sample"), scratch_path(spark, "predictions")]
+        keyed.write.parquet(scratch[0])
+        keyed = spark.read.parquet(scratch[0])
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        predict(keyed.repartition(parts, "rid"), predictors).write.parquet(scratch[1])
+        preds = spark.read.parquet(scratch[1])
     pairs = M.pair_predictions(preds, keyed)
     table = M.metric_table(pairs)
     labels = list(predictors)
     comparison = M.compare(table, base, tuned) if base in labels and tuned in labels else None
-    return Evaluation(sample=sample, predictions=preds, pairs=pairs, metrics=table, comparison=comparison)
+    return Evaluation(sample=sample, predictions=preds, pairs=pairs, metrics=table, comparison=comparison,
+                      scratch=scratch)
 
 
 def evaluate(spark: SparkSession, test_path: str, predictors: Mapping[str, PredictorFactory],
              n_samples: int = D.EVAL_SAMPLES, output_path: str | None = None) -> Evaluation:
     """The reference's evaluation stage over a test split written by S7 (or any JSONL with ``pos``)."""
     test = J.read_records(spark, test_path, J.SPLIT_SCHEMA)
-    result = evaluate_rows(test, predictors, n_samples)
+    # Line numbers of files with blank lines, or a part of a split, have holes.
+    span = test.agg(F.count("pos").alias("n"), (F.max("pos") - F.min("pos") + 1).alias("range")).first()
+    result = evaluate_rows(test, predictors, n_samples, dense=span["n"] == span["range"])
     if output_path:
         J.write_metrics(result.metrics, output_path)
     return result

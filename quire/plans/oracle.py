@@ -8,9 +8,31 @@ lambdas and a recursive query for LCS.  Doubles are rounded to 6 places.
 
 from __future__ import annotations
 
-from quire.functions.text import WORD_RUN, WS, WS_RUN
-from quire.operators import prompts as PR
-from quire.operators import validate as V
+from types import SimpleNamespace
+
+# Fixed values, written out here so that the SQL does not lean on the code it checks.
+# Python's white space: 29 code points.
+WS_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+WS = "".join(map(chr, WS_CODES))
+_CLASS = "".join(f"\\x{{{c:X}}}" for c in WS_CODES)
+WS_RUN, WORD_RUN = f"[{_CLASS}]+", f"[^{_CLASS}]+"
+V = SimpleNamespace(
+    PARSE_ERROR="JSON parse error", MISSING_QUESTION="missing or empty 'question'", MISSING_ANSWER="missing or empty 'answer'",
+    BAD_TYPE_QUESTION="bad type for 'question'", BAD_TYPE_ANSWER="bad type for 'answer'",
+    SHORT_QUESTION="question too short", SHORT_ANSWER="answer too short")
+PR = SimpleNamespace(
+    PROFILE_SYSTEM_PROMPT="You are a helpful assistant.",
+    TRAIN_SYSTEM_PROMPT="You are a helpful AI assistant. Answer questions accurately and concisely.",
+    PLAIN_PREFIX_Q="Q: ", PLAIN_PREFIX_A="\nA: ", INFER_PREFIX="<|user|>\n", INFER_SUFFIX="\n<|assistant|>\n",
+    DEFAULT_TEMPLATE=SimpleNamespace(begin="<|begin_of_text|>", role_open="<|start_header_id|>", role_close="<|end_header_id|>\n\n",
+                                     end="<|eot_id|>", strip_content=True))
+# The 13a tokenizer's rules.
+TOK13A_RULES = [
+    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([^0-9])([\.,])", "$1 $2 "),
+    (r"([\.,])([^0-9])", " $1 $2"),
+    (r"([0-9])(-)", "$1 $2 "),
+]
 
 
 def lit(s: str) -> str:
@@ -196,8 +218,6 @@ e2 AS (SELECT p.label, p.rid, p.prediction, q.answer AS reference FROM preds p J
 
 
 def tok13a(x: str) -> str:
-    from quire.functions.text import TOK13A_RULES
-
     s = x
     s = f"replace(replace({s}, '<skipped>', ''), '-' || chr(10), '')"
     s = f"replace({s}, chr(10), ' ')"
@@ -314,6 +334,8 @@ ORACLE: dict[str, str] = {
                {trim('unnest(string_split(text, chr(10)))')} AS line
         FROM documents) WHERE line <> ''""",
     "s2_strict_json": f"{_VAL} SELECT idx, ok AS parse_ok FROM parsed",
+    "s2_doc_json": f"{_DOC} SELECT rid, json_valid(to_json({{'question': question, 'answer': answer, 'domain': domain}})::VARCHAR) AS parse_ok FROM docs",
+    "v2_doc_json": f"{_DOC} SELECT rid, question, answer, coalesce(domain, 'general') AS domain FROM docs_clean",
     "v1_reasons": f"{_VAL} SELECT idx, reason FROM validated",
     "v1_doc_reasons": f"{_DOC} SELECT rid, reason FROM docs_v",
     "v2_clean": f"{_VAL} SELECT rid, question, answer, domain FROM clean",
@@ -374,6 +396,8 @@ ORACLE: dict[str, str] = {
     "e4_rouge_n": f"{_SCORE}, {ROUGE_N} SELECT label, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM rn",
     "e5_rouge_l": f"{_SCORE}, {ROUGE_L} SELECT label, round(rougeL, 6) AS rougeL FROM rl",
     "e6_metrics": f"{METRICS4} SELECT label, bleu, rouge1, rouge2, rougeL FROM e6",
+    "e6_doc_metrics": f"""{with_(DOCS, "pairs AS (SELECT rid, question, answer FROM docs_clean)", PREDS, TOKS)}, {BLEU}, {ROUGE_N}
+      SELECT label, round(geo * bpen, 4) AS bleu, round(rouge1, 4) AS rouge1, round(rouge2, 4) AS rouge2 FROM bleu b JOIN rn USING (label)""",
     "e7_compare": f"""{METRICS4},
       lng AS (SELECT label, 'bleu' AS metric, bleu AS value FROM e6 UNION ALL SELECT label, 'rouge1', rouge1 FROM e6
               UNION ALL SELECT label, 'rouge2', rouge2 FROM e6 UNION ALL SELECT label, 'rougeL', rougeL FROM e6)

@@ -88,6 +88,23 @@ def s2_strict_json(spark, sf):
     return V.parse_lines(lines(spark, sf)).select("idx", "parse_ok")
 
 
+def doc_json_lines(spark, sf):
+    """Whole document texts, of any characters, as JSON lines: question = first line, answer = the rest."""
+    return doc_pairs(spark, sf).select("rid", F.to_json(F.struct("question", "answer", "domain")).alias("line"))
+
+
+def s2_doc_json(spark, sf):
+    ensure_conf(spark)
+    return V.parse_lines(doc_json_lines(spark, sf)).select("rid", "parse_ok")
+
+
+def v2_doc_json(spark, sf):
+    """S2, V1 and V2 over JSON lines of whole document texts."""
+    ensure_conf(spark)
+    flat = V.validate_lines(doc_json_lines(spark, sf))
+    return V.clean_records(flat, "rid")
+
+
 def v1_reasons(spark, sf):
     return validated(spark, sf).select("idx", "reason")
 
@@ -199,11 +216,11 @@ def t4_doc_answer_p95(spark, sf):
 # -- D1-D5 -------------------------------------------------------------------
 
 def d1_shuffle(spark, sf):
-    return D.shuffle_positions(pairs(spark, sf)).select("rid", "pos")
+    return D.shuffle_positions(pairs(spark, sf).select("rid")).select("rid", "pos")
 
 
 def d2_split(spark, sf):
-    return D.three_way_split(pairs(spark, sf)).select("rid", "pos", "split")
+    return D.three_way_split(pairs(spark, sf).select("rid")).select("rid", "pos", "split")
 
 
 def d3_sizes(spark, sf):
@@ -211,11 +228,11 @@ def d3_sizes(spark, sf):
 
 
 def d4_trainval(spark, sf):
-    return D.train_val_split(pairs(spark, sf)).select("rid", "pos", "split")
+    return D.train_val_split(pairs(spark, sf).select("rid")).select("rid", "pos", "split")
 
 
 def d5_head(spark, sf):
-    test = D.three_way_split(pairs(spark, sf)).where(F.col("split") == "test")
+    test = D.three_way_split(pairs(spark, sf).select("rid")).where(F.col("split") == "test")
     return D.head_sample(test, D.EVAL_SAMPLES).select("rid", "pos")
 
 
@@ -248,17 +265,24 @@ def e6_metrics(spark, sf):
     return M.metric_table(scored_pairs(spark, sf)).select("label", *M.METRICS)
 
 
+def e6_doc_metrics(spark, sf):
+    """E6 over long texts: the answers are whole documents (ROUGE-L, which SQL cannot score on long texts, is in the tests)."""
+    long_pairs = doc_clean(spark, sf).select("rid", "question", "answer")
+    preds = T.predictions_fixture(long_pairs).select("label", "rid", "prediction")
+    return M.metric_table(M.pair_predictions(preds, long_pairs)).select("label", "bleu", "rouge1", "rouge2")
+
+
 def e7_compare(spark, sf):
     return M.compare(M.metric_table(scored_pairs(spark, sf)))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
-        s1_doc_lines, s2_strict_json, v1_reasons, v1_doc_reasons, v2_clean, v2_doc_clean, v3_rejects, v4_first_rejects,
+        s1_doc_lines, s2_strict_json, s2_doc_json, v2_doc_json, v1_reasons, v1_doc_reasons, v2_clean, v2_doc_clean, v3_rejects, v4_first_rejects,
         a1_counts, a2_domains, a2_doc_domains, a3_lengths, a3_doc_lengths, a4_report,
         p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
         t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
         d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head,
-        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e5_rouge_l, e6_metrics, e7_compare,
+        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e5_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
     ]
 }

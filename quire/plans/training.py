@@ -32,7 +32,8 @@ class TrainingData:
 def training_tables(dataset: DataFrame, val_split: float = D.TEST_SIZE, seed: int = D.DEFAULT_SEED,
                     template: PR.ChatTemplate = PR.DEFAULT_TEMPLATE) -> TrainingData:
     """D4 then P3 on both sides."""
-    split = D.train_val_split(dataset, test_size=val_split, seed=seed)
+    ids = ["file", "rid"] if "file" in dataset.columns else "rid"
+    split = D.train_val_split(dataset, ids, test_size=val_split, seed=seed)
     text = PR.train_chat(split, template).drop("messages")
     return TrainingData(train=text.where(F.col("split") == "train").drop("split"),
                         val=text.where(F.col("split") == "val").drop("split"))

@@ -8,13 +8,16 @@ order.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quire.operators.metrics import METRICS
+from quire.sources.lines import read_jsonl_lines
 
+# ``file`` is there when rows came from files; (file, rid) is then a row's identity.
 CLEAN_SCHEMA = StructType([
+    StructField("file", StringType()),
     StructField("rid", LongType()),
     StructField("question", StringType()),
     StructField("answer", StringType()),
@@ -31,15 +34,34 @@ WRITE_OPTIONS = {"ignoreNullFields": "false", "encoding": "UTF-8"}
 def read_records(spark: SparkSession, path: str, schema: StructType = CLEAN_SCHEMA) -> DataFrame:
     """S3: a JSONL file or folder with a declared schema (no inference pass).
 
-    ``FAILFAST``: a malformed line in our own output is an error, not a NULL row.
+    ``FAILFAST``: a malformed line in our own output is an error, not a NULL
+    row.  Records without an id (``question``, ``answer``, ``domain`` only)
+    get their file and line number, and as ``pos``, where the schema has one,
+    their place in the order of files and lines.  ``file`` is left out where
+    all records come with an id of their own and none with a file.
     """
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    known = rows.agg(F.count(F.lit(1)).alias("n"), F.count("rid").alias("ids"), F.count("file").alias("files")).first()
+    if known["ids"] == known["n"]:
+        return rows if known["files"] else rows.drop("file")
+    lines = read_jsonl_lines(spark, path).withColumnRenamed("file", "_path")
+    value = F.from_json("line", schema, {"mode": "FAILFAST"})
+    rows = lines.select("_path", "idx", value.alias("_v")).select("_path", "idx", "_v.*")
+    if "pos" in schema.names:
+        counts = lines.groupBy("_path").agg((F.max("idx") + 1).alias("_n"))
+        before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+        offsets = counts.select(F.col("_path").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        rows = rows.join(offsets, F.col("_path") == F.col("_p")).withColumn("pos", F.coalesce("pos", F.col("_offset") + F.col("idx")))
+    own = F.col("rid").isNotNull()
+    return rows.withColumns({"file": F.when(own, F.col("file")).otherwise(F.col("_path")), "rid": F.coalesce("rid", "idx")}).select(*schema.names)
 
 
 def read_split(spark: SparkSession, splits_path: str, split: str | None = None) -> DataFrame:
     """S3 over the S7 layout; ``split`` filters by folder (partition pruning)."""
     schema = StructType(SPLIT_SCHEMA.fields + [StructField("split", StringType())])
     df = spark.read.schema(schema).option("mode", "FAILFAST").json(splits_path)
+    if df.where(F.col("file").isNotNull()).limit(1).count() == 0:
+        df = df.drop("file")
     return df.where(F.col("split") == split) if split else df
 
 

@@ -9,15 +9,14 @@ before its block.  So:
    ``monotonically_increasing_id`` is consecutive inside a task, and a block
    is read by one task from its start, so ``mid - min(mid) of the block`` is
    the line's index inside its block;
-2. per block: ``min(mid)`` and the line count (one row per block);
-3. running sum of the counts of earlier blocks of the same file = the
-   block's first line number; join back on (file, block).
-
-Nothing but the per-block summary is shuffled; the scan is deterministic
-(same files, same splits), so its two passes agree.  The summary holds one
-row per file split, so it grows with bytes / split size, not with rows; it
-is checkpointed, counted, and broadcast only below a row bound (else a
-sort-merge join).
+2. the scanned rows are written **once**; a second scan could be cut into
+   other blocks, as Spark chooses them by the parallelism of the moment;
+3. from the written table: per block ``min(mid)`` and the line count, a
+   running sum of the counts of earlier blocks of the same file, and a join of
+   both on (file, block).
+
+The summary has one row per file split, so it grows with bytes / split size,
+not with rows; Spark picks the join by its size.
 """
 
 from __future__ import annotations
@@ -26,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions.text import strip
-from quire.session import checkpoint_dir
-
+from quire.session import scratch_path
 
 
 def line_columns() -> list:
@@ -40,38 +38,32 @@ def line_columns() -> list:
 
 
 def scan_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, block, raw)`` for every physical line of the files at ``path``."""
+    """``(file, block, mid, raw)`` for every physical line of the files at ``path``."""
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.text(paths).select(*line_columns())
-
-
-# One summary row is a file path plus three longs: a million rows is well
-# under a hundred megabytes, a size executors can hold.
-MAX_BROADCAST_BLOCKS = 1_000_000
+    return spark.read.text(paths).select(*line_columns()).withColumn("mid", F.monotonically_increasing_id())
 
 
-def number_lines(scanned: DataFrame, max_broadcast_blocks: int = MAX_BROADCAST_BLOCKS) -> DataFrame:
-    """``(file, line_no, raw)`` from a line scan with ``file`` and ``block`` columns.
+def number_written(rows: DataFrame, out_col: str = "idx") -> DataFrame:
+    """Replaces ``block`` and ``mid`` by ``out_col``, the line's number in its file from 0.
 
-    ``scanned`` must come straight from a file scan (no shuffle in between),
-    so that ``monotonically_increasing_id`` is consecutive within each block.
-    The per-block summary (one row per file split) is written as a reliable
-    checkpoint and counted; it is broadcast when it has at most
-    ``max_broadcast_blocks`` rows, otherwise joined by sort-merge.
+    ``rows`` must be read from a table that one :func:`scan_lines` was written
+    to, with a row for every line: then both reads below see the same blocks.
     """
-    checkpoint_dir(scanned.sparkSession)
-    raw = scanned.withColumn("mid", F.monotonically_increasing_id())
-    blocks = raw.groupBy("file", "block").agg(F.min("mid").alias("first_mid"), F.count(F.lit(1)).alias("c"))
+    blocks = rows.groupBy("file", "block").agg(F.min("mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("offset", F.coalesce(F.sum("c").over(earlier), F.lit(0))).drop("c").checkpoint()
-    small = offsets.count() <= max_broadcast_blocks
-    return raw.join(F.broadcast(offsets) if small else offsets, ["file", "block"]).select(
-        "file", (F.col("offset") + F.col("mid") - F.col("first_mid")).cast("long").alias("line_no"), "raw")
+    offsets = blocks.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    number = (F.col("_offset") + F.col("mid") - F.col("_first")).cast("long")
+    return rows.join(offsets, ["file", "block"]).withColumn(out_col, number).drop("block", "mid", "_first", "_offset")
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, line_no, raw)`` for every physical line, blank ones included; ``line_no`` from 0 per file."""
-    return number_lines(scan_lines(spark, path))
+    """``(file, line_no, raw)`` for every physical line, blank ones included; ``line_no`` from 0 per file.
+
+    The lines are written under the shared checkpoint folder and read from there.
+    """
+    written = scratch_path(spark, "lines")
+    scan_lines(spark, path).write.parquet(written)
+    return number_written(spark.read.parquet(written), "line_no").select("file", "line_no", "raw")
 
 
 def content_lines(raw_lines: DataFrame, idx_col: str = "idx", raw_col: str = "raw") -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.operators import profile as P
 from quire.operators import validate as V
-from quire.session import ensure_conf
+from quire.plans.preprocess import numbered_validated, validated_lines
+from quire.session import ensure_conf, remove_path
 from quire.sources import jsonl as J
-from quire.sources.lines import content_lines, line_columns, number_lines
+from quire.sources.lines import line_columns
 
 
 def line_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,17 +35,18 @@ def process_batch(batch: DataFrame, batch_id: int, output_dir: str) -> None:
     """One micro-batch: clean rows, rejects, the batch report and its domain histogram, each under ``.../batch_id=N``."""
     spark = batch.sparkSession
     ensure_conf(spark)
-    flat = V.validate_lines(content_lines(number_lines(batch).withColumnRenamed("line_no", "idx")))
     part = f"batch_id={batch_id}"
-    clean = flat.where(F.col("reason").isNull()).select("file", F.col("idx").alias("rid"), "question", "answer",
-                                                          "domain")
-    clean.write.mode("overwrite").options(**J.WRITE_OPTIONS).json(f"{output_dir}/clean/{part}")
-    rejected = flat.where(F.col("reason").isNotNull())
-    rejected.select("file", "idx", "reason",
-                    F.concat(F.lit("Row "), F.col("idx").cast("string"), F.lit(": "), F.col("reason")).alias("message")) \
-        .write.mode("overwrite").json(f"{output_dir}/rejects/{part}")
+    # The batch's files are scanned and parsed once; numbers and all outputs come from what is written here.
+    staged = f"{output_dir}/_validated/{part}"
+    if "mid" not in batch.columns:
+        batch = batch.withColumn("mid", F.monotonically_increasing_id())
+    validated_lines(batch).write.mode("overwrite").parquet(staged)
+    flat = numbered_validated(spark.read.parquet(staged))
+    V.clean_records(flat).write.mode("overwrite").options(**J.WRITE_OPTIONS).json(f"{output_dir}/clean/{part}")
+    V.rejects(flat).write.mode("overwrite").json(f"{output_dir}/rejects/{part}")
     P.ingest_report(flat).write.mode("overwrite").json(f"{output_dir}/reports/{part}")
     P.report_domains(flat).write.mode("overwrite").options(**J.WRITE_OPTIONS).json(f"{output_dir}/domains/{part}")
+    remove_path(spark, staged)
 
 
 def clean_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_location: str,

@@ -96,22 +96,67 @@ def test_load_or_sample(spark, tmp_dir):
     assert J.load_or_sample(spark, path, n=999).count() == 50
 
 
-def test_numbered_lines_without_broadcast(spark, tmp_dir):
-    from quire.sources.lines import number_lines, scan_lines
-    from tests_support import plan_text
-
-    lines = [f'{{"i": {i}}}' if i % 5 else "" for i in range(3000)]
-    _write(f"{tmp_dir}/c.jsonl", lines)
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+def test_lines_survive_a_change_of_parallelism(spark, tmp_dir):
+    """Settings that cut files into other blocks, changed between building and reading, lose no line."""
+    lines = [f'{{"i": {i}}}' if i % 5 else "" for i in range(30000)]
+    for name in ("c", "d"):
+        _write(f"{tmp_dir}/{name}.jsonl", lines)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")
+    old = {k: spark.conf.get(k, None) for k in keys}
     try:
-        big = number_lines(scan_lines(spark, f"{tmp_dir}/c.jsonl"), max_broadcast_blocks=0)
-        small = number_lines(scan_lines(spark, f"{tmp_dir}/c.jsonl"))
-        assert "BroadcastExchange" in plan_text(small)
-        assert sorted((r.line_no, r.raw) for r in big.collect()) == list(enumerate(lines))
-        assert sorted((r.line_no, r.raw) for r in small.collect()) == list(enumerate(lines))
+        spark.conf.set(keys[0], "16384")
+        spark.conf.set(keys[1], "3")
+        numbered = numbered_lines(spark, tmp_dir)
+        for size, parts in (("7000", "5"), ("1000000", "1"), ("30000", "13")):
+            spark.conf.set(keys[0], size)
+            spark.conf.set(keys[1], parts)
+            rows = sorted((os.path.basename(r.file), r.line_no, r.raw) for r in numbered.collect())
+            assert rows == [(f"{name}.jsonl", i, x) for name in ("c", "d") for i, x in enumerate(lines)]
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_records_without_ids(spark, tmp_dir):
+    """Files of question, answer and domain only: ids are file and line; splits are stable, disjoint and complete; all rows are scored."""
+    from quire.operators.predict import first_sentence_predictor
+    from quire.plans.evaluate import evaluate
+    from quire.plans.training import training_tables
+
+    os.makedirs(f"{tmp_dir}/in")
+    for name in ("a", "b"):
+        _write(f"{tmp_dir}/in/{name}.jsonl", [x for i in range(60) for x in (
+            json.dumps({"question": f"question {name} {i}?", "answer": f"a long answer {name} {i}", "domain": "d"}), "")])
+    rows = J.read_records(spark, f"{tmp_dir}/in")
+    assert rows.count() == 120 and rows.select("file", "rid").distinct().count() == 120
+    data = training_tables(rows)
+    again = training_tables(rows.repartition(7))
+    key = lambda df: sorted((r.file, r.rid, r.pos) for r in df.collect())
+    train, val = key(data.train), key(data.val)
+    assert (train, val) == (key(again.train), key(again.val))
+    assert len(val) == 12 and len({r[:2] for r in train + val}) == 120
+    result = evaluate(spark, f"{tmp_dir}/in", {"base": first_sentence_predictor}, n_samples=70)
+    assert result.pairs.count() == 70
+    result.cleanup()
+
+
+def test_file_survives_every_stage(spark, tmp_dir):
+    from quire.plans.preprocess import preprocess
+
+    os.makedirs(f"{tmp_dir}/in")
+    for name in ("a", "b"):
+        _write(f"{tmp_dir}/in/{name}.jsonl", ["bad", json.dumps({"question": f"question {name}?", "answer": "a long answer"}), '{"question": "x"} y'])
+    result = preprocess(spark, f"{tmp_dir}/in", f"{tmp_dir}/clean", f"{tmp_dir}/splits")
+    back = J.read_records(spark, f"{tmp_dir}/clean")
+    assert sorted(os.path.basename(r.file) for r in back.collect()) == ["a.jsonl", "b.jsonl"]
+    assert {os.path.basename(r.file) for r in J.read_split(spark, f"{tmp_dir}/splits").collect()} == {"a.jsonl", "b.jsonl"}
+    first = [(os.path.basename(r.file), r.idx, r.message) for r in result.first_rejects.collect()]
+    assert [r[:2] for r in first] == [("a.jsonl", 0), ("a.jsonl", 2), ("b.jsonl", 0), ("b.jsonl", 2)]
+    assert first[0][2] == "Row 0: JSON parse error (invalid value)"
+    assert first[1][2] == "Row 2: JSON parse error (text after the value)"
+    path = result.scratch[0].removeprefix("file:")
+    result.cleanup()
+    assert not os.path.exists(path)
 
 
 def test_text_lines_match_python(spark):

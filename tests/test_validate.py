@@ -116,3 +116,27 @@ def test_no_python_in_parse_validate(spark):
 def test_typed_records(spark, q, a, expected):
     df = spark.createDataFrame([(1, q, a)], "rid long, question string, answer string")
     assert V.validate_records(df).first().reason == expected
+
+
+def test_long_strings_do_not_stop_the_parser(spark):
+    """A megabyte of text with the marks that call for the token check: +, INF, escapes."""
+    import json
+
+    from quire.operators import validate as V
+
+    text = ('x' * 5000 + ' + INF \\ " \n é ') * 250
+    lines = [json.dumps({"question": "what is it?", "answer": text}), json.dumps({"answer": text}) + " x", '{"a": +INF, "b": "' + "y" * 100_000 + '"}']
+    df = spark.createDataFrame(list(enumerate(lines)), "idx long, line string")
+    assert [r.parse_ok for r in V.parse_lines(df).orderBy("idx").collect()] == [True, False, False]
+
+
+def test_classes_of_parse_errors(spark):
+    from quire.operators import validate as V
+
+    rows = {'{"a": 1} x': "text after the value", '{"a": 1},{"b": 2}': "text after the value", '{"a": +INF}': "bad token",
+            '{"a": "b': "truncated", '{"a": [1, 2': "truncated", "not json": "invalid value", "{'a': 1}": "invalid value"}
+    df = spark.createDataFrame(list(enumerate(rows)), "idx long, line string")
+    got = {r.idx: (r.parse_error, r.message) for r in V.validate_lines(df, error_class=True).join(
+        V.rejects(V.validate_lines(df, error_class=True)).select("idx", "message"), "idx").collect()}
+    assert [got[i][0] for i in range(len(rows))] == list(rows.values())
+    assert got[0][1] == "Row 0: JSON parse error (text after the value)"
