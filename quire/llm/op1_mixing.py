@@ -86,17 +86,17 @@ def solve(histogram: DataFrame, targets: DataFrame, cap: int = MAX_COPIES, max_r
         "source", "scale", "target",
         F.when(full, F.lit(float("inf"))).when(F.col("target") <= 0, F.lit(float("-inf"))).otherwise(F.lit(0.0)).alias("lam"),
         (full | (F.col("target") <= 0)).alias("done"), F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high")))
+    kept = ["source", "scale", "target", "lam", "done", "low", "high"]
     for _ in range(max_rounds):
         if state.where("not done").limit(1).count() == 0:
-            return state.select("source", "scale", "lam")
-        s = state.where("not done").select(F.col("source").alias("_s"), F.col("scale").alias("_scale"), F.col("lam").alias("_lam"))
-        z = F.col("_lam") * F.col("size") / F.col("_scale")
-        rate = F.least(F.lit(float(cap)), F.exp(F.least(z, F.lit(50.0))))
+            break
+        # One row per source meets the histogram; its columns are the group, so the sums come with the state.
+        s = counted_broadcast(state.withColumnRenamed("source", "_s"))
+        rate = F.least(F.lit(float(cap)), F.exp(F.least(F.col("lam") * F.col("size") / F.col("scale"), F.lit(50.0))))
         words = F.col("size") * F.col("docs") * rate
-        sums = histogram.join(s, F.col("source").eqNullSafe(F.col("_s"))).groupBy(F.col("_s").alias("_g")).agg(
-            F.sum(words).alias("_words"),
-            F.sum(F.when(rate < cap, words * F.col("size") / F.col("_scale")).otherwise(F.lit(0.0))).alias("_slope"))
-        j = state.join(sums, F.col("source").eqNullSafe(F.col("_g")), "left").withColumn("_f", F.col("_words") - F.col("target"))
+        j = histogram.join(s, F.col("source").eqNullSafe(F.col("_s"))).groupBy(*kept).agg(
+            (F.sum(words) - F.col("target")).alias("_f"),
+            F.sum(F.when(rate < cap, words * F.col("size") / F.col("scale")).otherwise(F.lit(0.0))).alias("_slope"))
         j = j.withColumns({
             "low": F.when(~F.col("done") & (F.col("_f") < 0), F.col("lam")).otherwise(F.col("low")),
             "high": F.when(~F.col("done") & (F.col("_f") > 0), F.col("lam")).otherwise(F.col("high")),
@@ -146,11 +146,12 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", key
                           F.when(F.col("_n") > 0, F.pmod(F.xxhash64(*keys), F.col("_buckets"))).alias("_bucket"))
     empty = rated.where("size = 0").withColumns({c: F.lit(0).cast("long") for c in ("copies", "part", "taken")})
     order = [F.col("size").desc(), F.xxhash64(*keys), *[F.col(k) for k in keys]]
-    behind = Window.partitionBy("_source", "_bucket").orderBy(*order).rowsBetween(1, Window.unboundedFollowing)
+    bucket = Window.partitionBy("_source", "_bucket")
+    so_far = bucket.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # How many words the documents behind this one can take less or more than their rates say.
     less, more = F.col("rate") * F.col("size"), (cap - F.col("rate")) * F.col("size")
     dealt = rated.where("size > 0").withColumns({
-        "_less": F.coalesce(F.sum(less).over(behind), F.lit(0.0)), "_more": F.coalesce(F.sum(more).over(behind), F.lit(0.0))})
+        "_less": F.sum(less).over(bucket) - F.sum(less).over(so_far), "_more": F.sum(more).over(bucket) - F.sum(more).over(so_far)})
     dealt = dealt.sortWithinPartitions("_source", "_bucket", *order)  # the window dealt the buckets out already
     at = {c: i for i, c in enumerate(dealt.columns)}
 
