@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,11 @@ def counted_broadcast(table: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> Data
     return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row: the optimizer copies a column into every place that names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def word_array(text: Column) -> Column:
     """The words of a text in order; empty for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_RUN), "")

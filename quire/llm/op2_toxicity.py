@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import SPACE_RUN, checkpointed
+from quire.llm.common import SPACE_RUN, checkpointed, let
 
 MAX_TRAIN = 40_000        # labelled documents used; their ids and labels are broadcast, under 1 MB
-MAX_TERMS = 5_000         # lexicon entries, under 100 KB
+MAX_TERMS = 1_000         # lexicon entries, under 30 KB
 MAX_KNOWN = 50_000        # clean words near the lexicon that are remembered
-MIN_TOXIC = 5             # toxic documents an entry must be in
+MIN_TOXIC = 5             # words an entry must stand behind in toxic documents
 MIN_RATIO = 20.0          # times as frequent in toxic documents as in others
 STEMS = (4, 8)            # letters of a stem
 FUZZY_LETTERS = 5         # shorter entries match exactly only
@@ -160,31 +160,43 @@ def training_set(labels: DataFrame, id_col: str, label_col: str, most: int = MAX
 
 
 def _words(text: Column) -> Column:
-    """The distinct words of a text as ``normal`` gives them."""
+    """The words of a text in order, as ``normal`` gives them."""
     edge = "".join("\\" + c if c in r"\[]^-&" else c for c in EDGES)
-    return F.array_distinct(F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE_RUN),
-                                        lambda w: F.regexp_replace(w, f"^[{edge}]+|[{edge}]+$", "")))
+    return F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE_RUN), lambda w: F.regexp_replace(w, f"^[{edge}]+|[{edge}]+$", ""))
 
 
-def word_table(train: DataFrame, text_col: str) -> DataFrame:
-    """``(word, toxic, clean)``: documents of either label that hold a word; checkpointed."""
-    rows = train.select("toxic", F.explode(_words(F.col(text_col))).alias("word")).where("word <> ''")
-    return checkpointed(rows.groupBy("word").agg(
-        F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("toxic") > 0, 0).otherwise(1)).alias("clean")))
+def _support(toxic: DataFrame, text_col: str) -> DataFrame:
+    """``(word, before)``: the distinct words that stand before a word in toxic documents.
 
+    Copies and shared passages repeat a word behind the same word; a term that
+    people use stands behind many.  So a term's support is counted in these,
+    and not in documents, of which a third may be copies of one.
+    """
+    pairs = let(_words(F.col(text_col)), lambda words: F.transform(
+        words, lambda w, i: F.struct(w.alias("word"), F.coalesce(F.get(words, i - 1), F.lit("")).alias("before"))))
+    return checkpointed(toxic.select(F.inline(pairs)).where("word <> ''").distinct())
+
+
+def word_table(train: DataFrame, support: DataFrame, text_col: str) -> DataFrame:
+    """``(word, toxic, clean)``: a word's support in toxic documents, and the clean documents that hold it; checkpointed."""
+    clean = train.where("toxic <= 0").select(F.explode(F.array_distinct(_words(F.col(text_col)))).alias("word")).where("word <> ''")
+    rows = clean.groupBy("word").agg(F.lit(0).cast("long").alias("toxic"), F.count(F.lit(1)).alias("clean")).unionByName(
+        support.groupBy("word").agg(F.count(F.lit(1)).alias("toxic"), F.lit(0).cast("long").alias("clean")))
+    return checkpointed(rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
-def stem_table(train: DataFrame, table: DataFrame, text_col: str) -> DataFrame:
-    """``(word, toxic, clean)`` of stems with several forms: toxic documents that hold one, and an upper bound of the clean ones
-    (documents summed over its words)."""
+
+def stem_table(support: DataFrame, table: DataFrame) -> DataFrame:
+    """``(word, toxic, clean)`` of stems with several forms: their support, and an upper bound of the clean documents
+    (those of their words, summed)."""
     low, high = STEMS
-    stems = F.array_distinct(F.flatten(F.transform(
-        F.filter(_words(F.col(text_col)), lambda w: F.length(w) >= low),
-        lambda w: F.transform(F.sequence(F.lit(low), F.least(F.lit(high), F.length(w))), lambda n: F.substring(w, F.lit(1), n)))))
-    toxic = train.where("toxic > 0").select(F.explode(stems).alias("stem")).groupBy("stem").agg(F.count(F.lit(1)).alias("toxic")).where(
+
+    def stems(rows: DataFrame, *more: str) -> DataFrame:
+        lengths = F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.length("word")))).alias("n")
+        return rows.where(F.length("word") >= low).select("word", lengths, *more).withColumn("stem", F.expr("substring(word, 1, n)"))
+
+    toxic = stems(support, "before").groupBy("stem", "before").agg(F.count(F.lit(1))).groupBy("stem").agg(F.count(F.lit(1)).alias("toxic")).where(
         F.col("toxic") >= MIN_TOXIC)
-    forms = table.where(F.length("word") >= low).select(
-        F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.length("word")))).alias("n"), "word", F.col("clean").alias("c"))
-    clean = forms.groupBy(F.expr("substring(word, 1, n)").alias("word")).agg(F.sum("c").alias("clean"), F.count(F.lit(1)).alias("forms"))
+    clean = stems(table, "clean").groupBy(F.col("stem").alias("word")).agg(F.sum("clean").alias("clean"), F.count(F.lit(1)).alias("forms"))
     return clean.where("forms > 1").join(toxic, F.col("word") == F.col("stem")).select("word", "toxic", "clean")
 
 
@@ -270,8 +282,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     sizes = {r[0]: r[1] for r in train.groupBy(F.col("toxic") > 0).count().collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if n_toxic and n_clean:
-        table = word_table(train, "_text")
-        lexicon = learn_lexicon(table, stem_table(train, table, "_text"), n_toxic, n_clean)
+        support = _support(train.where("toxic > 0"), "_text")
+        table = word_table(train, support, "_text")
+        lexicon = learn_lexicon(table, stem_table(support, table), n_toxic, n_clean)
         lexicon = Lexicon(list(lexicon.words), list(lexicon.stems), clean_neighbours(table, lexicon))
     else:
         lexicon = Lexicon([], [])

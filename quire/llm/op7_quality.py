@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import checkpointed, counted_broadcast, word_array
+from quire.llm.common import checkpointed, counted_broadcast, let, word_array
 
 SYMBOL = "[#*$%&|<>]"
 SPACE_CHAR = r"[\x20\x09-\x0D]"
@@ -60,11 +60,6 @@ MEASURES = (
 )
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once a row: the optimizer copies a column into every place that names it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def _windows(hashes: Column) -> Column:
     """Hashes of all windows of ``WINDOW`` words: pairs of words, pairs of pairs, and so on by doubling."""
     def pairs(of: Column, apart: int) -> Column:
@@ -73,7 +68,7 @@ def _windows(hashes: Column) -> Column:
     def doubled(of: Column, size: int) -> Column:
         if size == WINDOW:
             return F.slice(of, F.lit(1), F.greatest(F.size(of) - (WINDOW - 1), F.lit(0)))
-        return _let(pairs(of, size), lambda x: doubled(x, 2 * size))
+        return let(pairs(of, size), lambda x: doubled(x, 2 * size))
 
     return doubled(hashes, 1)
 
@@ -91,7 +86,7 @@ def _covered(windows: Column) -> Column:
         return F.array_sort(F.transform(again, lambda e: e["i"]))
 
     placed = F.transform(windows, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), words(_let(F.array_sort(placed), starts))).otherwise(
+    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), words(let(F.array_sort(placed), starts))).otherwise(
         F.lit(0).cast("long"))
 
 
@@ -106,7 +101,7 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def of_words(words: Column) -> Column:
         hashes = F.transform(words, lambda w: F.xxhash64(w))
         return F.struct(F.size(words).cast("long").alias("n"),
-                        _let(hashes, lambda h: _let(_windows(h), _covered)).alias("repeat"))
+                        let(hashes, lambda h: let(_windows(h), _covered)).alias("repeat"))
 
     def of_lines(lines: Column) -> Column:
         return F.struct(F.size(lines).cast("long").alias("n"),
@@ -114,7 +109,7 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(NO_SPACE))
     return docs.withColumns({
-        "_q_w": _let(word_array(F.col(text_col)), of_words), "_q_l": _let(lines, of_lines),
+        "_q_w": let(word_array(F.col(text_col)), of_words), "_q_l": let(lines, of_lines),
         "_q_chars": (F.length(t) - F.regexp_count(t, F.lit(SPACE_CHAR))).cast("long"),
         "_q_symbols": F.regexp_count(t, F.lit(SYMBOL)).cast("long"),
     }).withColumns({"_q_words": F.col("_q_w.n"), "_q_repeat": F.col("_q_w.repeat"),
