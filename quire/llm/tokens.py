@@ -23,7 +23,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PIECE = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 # White space other than single spaces and single line ends.
 ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n\n| \n|\n ")
-MAX_PIECES = 400_000     # pieces a worker keeps; about 100 MB
+MAX_PIECES = 800_000     # pieces a worker keeps; about 200 MB
 
 
 def _byte_letters() -> dict[int, str]:
@@ -71,7 +71,8 @@ class _Table(dict):
     def __missing__(self, piece: str) -> int:
         place = self[piece] = self.encoder.n
         self.encoder.n += 1
-        self.encoder.queue.append(self.prefix + piece)
+        # Without its mark the piece may be known: its place goes along.
+        self.encoder.queue.append((self.prefix + piece, self.get(piece[:-1]) if piece[-1] in ".," else None))
         return place
 
 
@@ -101,7 +102,7 @@ class Encoder:
         self.tokenizer.no_padding()
         # The strings of special tokens end a run of white space, so texts that hold one are encoded whole.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.direct = _direct(json.loads(self.tokenizer.to_str()))
+        self.direct, self.marks = _direct(json.loads(self.tokenizer.to_str())), {}
         self.clear()
 
     def clear(self) -> None:
@@ -128,12 +129,23 @@ class Encoder:
                 out.append(self.plain[" "])
         return out
 
-    def _encode(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of new pieces.  What the steps before the model leave whole goes to the tokenizer's model at once."""
-        words = [self.direct(p) for p in pieces] if self.direct else [None] * len(pieces)
-        rest = iter(self.tokenizer.encode_batch_fast([p for p, w in zip(pieces, words, strict=True) if w is None], add_special_tokens=False))
-        tokenize = self.tokenizer.model.tokenize
-        return [next(rest).ids if w is None else [t.id for x in w for t in tokenize(x)] for w in words]
+    def _encode(self, queue: list[tuple[str, int | None]]) -> list[list[int]]:
+        """Ids of new pieces.  What the steps before the model leave whole goes to the tokenizer's model at once; a known
+        word with a mark behind it takes the word's ids."""
+        words = [self.direct(p) for p, _ in queue] if self.direct else [None] * len(queue)
+        rest = iter(self.tokenizer.encode_batch_fast([p for (p, _), w in zip(queue, words, strict=True) if w is None], add_special_tokens=False))
+        tokenize, first, out = self.tokenizer.model.tokenize, self.ends.n - 1, []
+        for (_, bare), w in zip(queue, words, strict=True):
+            if w is None:
+                out.append(next(rest).ids)
+            elif bare is None or len(w) == 1:
+                out.append([t.id for x in w for t in tokenize(x)])
+            else:
+                known = out[bare - first] if bare >= first else self.flat.values[self.ends.values[bare]:self.ends.values[bare + 1]].tolist()
+                if w[1] not in self.marks:
+                    self.marks[w[1]] = [t.id for t in tokenize(w[1])]
+                out.append(known + self.marks[w[1]])
+        return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text as uint32."""
