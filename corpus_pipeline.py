@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from quire.llm import op1_mixing, op4_packing, op5_simhash, op7_quality, op10_suffix  # noqa: E402
+from quire.llm.common import remove  # noqa: E402
 from quire.session import scratch_path  # noqa: E402
 
 
@@ -58,7 +59,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; what the stages write between them lies under ``spark.checkpoint.dir``."""
+    """The last stage's rows.  What the stages write between them lies under ``spark.checkpoint.dir`` and is deleted at the
+    end: packing has read its input into a checkpoint by then."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = scratch_path(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
@@ -66,4 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if i < len(STAGES) - 1:
             docs.write.parquet(f"{base}/{i}-{name}")
             docs = spark.read.parquet(f"{base}/{i}-{name}")
+    remove(spark, base)
     return docs
