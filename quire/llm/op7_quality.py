@@ -56,7 +56,7 @@ MEASURES = (
     Measure("symbols", "1000 * _q_symbols div greatest(_q_chars, 1)", 40),
     Measure("word_length", "100 * _q_chars div greatest(_q_words, 1)", 150, True),
     Measure("dup_lines", "1000 * _q_dup div greatest(_q_lines, 1)", 400),
-    Measure("repeats", "1000 * _q_repeat div greatest(_q_words, 1)", 250),
+    Measure("repeats", "1000 * _q_repeat div greatest(_q_words, 1)", 300),
 )
 
 
@@ -256,7 +256,7 @@ ORACLE = ("WITH" + STAT_SQL + QUANTILE_SQL.format(name="qo", by="lang, source,")
              CASE WHEN qo.n >= 30 THEN qo.q75 WHEN ql.n >= 30 THEN ql.q75 ELSE qa.q75 END AS hi
            FROM qo JOIN ql ON qo.lang IS NOT DISTINCT FROM ql.lang AND qo.measure = ql.measure JOIN qa ON qa.measure = qo.measure),
   fence AS (SELECT lang, source, measure, CASE WHEN measure = 'word_length' THEN lo - 3 * (hi - lo) - 150 ELSE -1 END AS low,
-              hi + 3 * (hi - lo) + CASE measure WHEN 'symbols' THEN 40 WHEN 'word_length' THEN 150 WHEN 'dup_lines' THEN 400 ELSE 250 END AS high
+              hi + 3 * (hi - lo) + CASE measure WHEN 'symbols' THEN 40 WHEN 'word_length' THEN 150 WHEN 'dup_lines' THEN 400 ELSE 300 END AS high
             FROM pick),
   bad AS (SELECT DISTINCT rid FROM m JOIN fence f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
             AND m.measure = f.measure WHERE v < low OR v > high)
