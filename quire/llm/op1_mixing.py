@@ -36,7 +36,7 @@ from quire.llm.common import checkpointed, counted_broadcast, n_words, word_arra
 WEIGHTS = (3, 1, 2)       # by the source's place in code point order, repeating
 SHARE = 1.5               # of all sizes
 MAX_COPIES = 2
-BUCKET_ROWS = 20_000      # documents rounded together, by one task
+BUCKET_ROWS = 2_000       # documents rounded together, by one task
 MAX_ROUNDS = 80
 TOLERANCE = 1e-9          # of a source's target
 
