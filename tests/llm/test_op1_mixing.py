@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -82,3 +83,44 @@ def test_no_words_at_all(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id bigint, text string, source string")
     assert {(r.doc_id, r.size, r.target, r.taken) for r in op.mix(df).collect()} == {(1, 0, 0.0, 0), (2, 0, 0.0, 0)}
     assert op.repeat(df).count() == 0
+
+
+def test_sources_of_many_documents_are_taken_in_whole_copies(spark, monkeypatch):
+    monkeypatch.setattr(op, "BUCKET_ROWS", 20)
+    rows = [(i, "\n".join(f"w{j}" for j in range(20 + i * i % 61)), f"s{i % 3}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    mixed = op.mix(docs).collect()
+    assert len(mixed) == 600 and {r.part for r in mixed} == {0} and {r.copies for r in mixed} == {0, 1, 2}
+    for source in {(r.source_size, r.target) for r in mixed}:
+        assert abs(sum(r.taken for r in mixed if (r.source_size, r.target) == source) - source[1]) <= 1
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r.text == texts[r.doc_id] for r in op.repeat(docs).collect())
+
+
+def test_copies_of_one_size_are_dealt_over_its_buckets(spark, monkeypatch):
+    monkeypatch.setattr(op, "BUCKET_ROWS", 10)
+    docs = spark.createDataFrame([(i, "a b c d", "hot" if i % 10 else "small") for i in range(1000)], "doc_id bigint, text string, source string")
+    mixed = [r for r in op.mix(docs).collect() if r.source_size == 3600]
+    assert len({r.rate for r in mixed}) == 1 and {r.copies for r in mixed} <= {1, 2}
+    assert sum(r.copies for r in mixed) == round(mixed[0].target / 4)
+
+
+def test_a_cut_text_keeps_its_line_breaks(spark):
+    big = " first  line\nand\tmore\n\n" * 500
+    rows = [(0, big, "a"), (1, "x y z", "a"), (2, "u v", "b")]
+    out = op.repeat(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).where("doc_id = 0").collect()
+    cut = [r.text for r in out if r.text != big]
+    assert len(cut) == 1 and big.startswith(cut[0]) and "\n\n" in cut[0]
+
+
+def test_whole_copies_of_random_sources():
+    rng = random.Random(5)
+    for _ in range(200):
+        sizes = sorted(rng.sample(range(1, 400), rng.randrange(1, 60)), reverse=True)
+        docs, rates = [rng.randrange(1, 9) for _ in sizes], [2 * rng.random() for _ in sizes]
+        copies, cut, words = op.whole_copies(sizes, docs, rates, 2)
+        assert all(0 <= k <= 2 * n for k, n in zip(copies, docs, strict=True))
+        assert cut is None or (0 < words < sizes[cut] and copies[cut] < 2 * docs[cut])
+        assert cut is None or len(sizes) < 12
+        assert abs(sum(s * k for s, k in zip(sizes, copies, strict=True)) + words - sum(
+            s * n * r for s, n, r in zip(sizes, docs, rates, strict=True))) <= 0.51
