@@ -4,7 +4,9 @@ A page is read tag by tag: block-level tags end lines, other markup goes, and
 character references are decoded.  Each line has a weight, its text's length
 outside links, without white space.  Lines of menus, page headers, footers,
 sidebars, notices, adverts, forms and reader comments weigh nothing and keep no
-text; they are known by their element, or by a word of its class, id or role.
+text; they are known by their element, or by a word of its class, id or role (not headings; an
+``article`` only where it is a reader's comment).  A dropped element whose end
+tag may be left out ends where HTML says.
 Where a page has an ``article`` or ``main`` element with text, so do lines
 outside of it.
 
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,8 +41,16 @@ DROPPED_TAGS = frozenset("nav footer aside form menu dialog button select head".
 DROPPED_WORDS = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies
     disqus footer masthead menu modal nav navbar navigation newsletter notice pagination pager popup promo related reply replies share sharing
     sidebar signup social sponsor sponsored subscribe toolbar widget widgets""".split())
+ONLY_SAY = frozenset("has no with without".split())   # first words of names that say whether a part exists
+COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[-_]?\d+)?")
 DROPPED_NAMES = frozenset("header site-header page-header top-bar topbar complementary contentinfo search".split())
 
+# Elements whose end tag may be left out, and the start tags that end them.
+ENDED_BY = {"p": BLOCK_TAGS - set("br button iframe noscript textarea select option optgroup video legend body html head".split()),
+            "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "tr": {"tr", "tbody", "tfoot", "thead"},
+            **dict.fromkeys(("td", "th"), {"td", "th", "tr", "tbody", "tfoot", "thead"})}
+NESTS = ("ul", "ol", "dl", "dir", "menu", "table", "select")  # what is in one of these ends with it
+
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^\"'<>]++|\"[^\"<]*+\"|'[^'<]*+')*+)>"
                  r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 NAME = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -47,12 +58,18 @@ NAME = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 
 def _dropped(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is a part of the page that is not its main text.  ``inside``: within article or main."""
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
         return False
     if tag in DROPPED_TAGS or (tag == "header" and not inside):
         return True
     for m in NAME.finditer(attributes):
         for name in next(g for g in m.groups() if g is not None).lower().split():
+            if tag == "article":          # only a reader's comment is an article that is not main text
+                if COMMENT.fullmatch(name):
+                    return True
+                continue
+            if re.split(r"[-_]", name)[0] in ONLY_SAY:
+                continue
             if name in DROPPED_NAMES or not DROPPED_WORDS.isdisjoint(re.split(r"[-_]", name)):
                 return True
     return False
@@ -64,6 +81,25 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     parts: list[str] = []
     weight = inside = links = 0
     drop, depth = "", 0               # the element that is being dropped, and how often its name is open
+    around: Counter = Counter()       # open block elements outside of dropped parts
+    within: Counter = Counter()       # and inside the one that is being dropped, if its end tag may be left out
+
+    def goes_on() -> bool:
+        """Whether the dropped element, whose end tag may be left out, is open behind this tag's start; counts what is in it."""
+        nested = any(within[t] for t in NESTS)
+        if not closing:
+            if not nested and tag in ENDED_BY[drop]:
+                return False
+            if tag in BLOCK_TAGS and not alone:
+                within[tag] += 1
+            return True
+        if tag in BLOCK_TAGS and within[tag]:
+            within[tag] -= 1
+            if tag in NESTS and not any(within[t] for t in NESTS):
+                for t in ENDED_BY:
+                    within[t] = 0
+            return True
+        return nested and tag not in NESTS or tag == "p" or tag not in BLOCK_TAGS or not around[tag]
 
     def end() -> None:
         nonlocal parts, weight
@@ -101,6 +137,13 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if drop:
             if tag in ("article", "main") and not closing and drop != "article":
                 drop = ""             # an unclosed part ends where the main text begins
+            elif drop in ENDED_BY:
+                if closing and tag == drop and not within[tag]:
+                    drop = ""
+                    continue
+                if goes_on():
+                    continue
+                drop = ""             # a start tag or the parent's end tag ends it and counts itself
             else:
                 if tag == drop and not alone:
                     depth += -1 if closing else 1
@@ -113,10 +156,13 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             end()
             out.append(("", 0, inside > 0))
             drop, depth = tag, 1
+            within.clear()
         elif tag in ("article", "main"):
             inside = max(0, inside + (-1 if closing else 1))
         elif tag == "a" and not alone:
             links = 0 if closing else 1
+        if tag in BLOCK_TAGS and not alone and not drop:
+            around[tag] = max(0, around[tag] + (-1 if closing else 1))
         if tag in BLOCK_TAGS and links and tag not in ("li", "br"):
             links = 0                 # an unclosed link ends with its block
     end()

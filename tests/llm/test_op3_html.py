@@ -58,3 +58,20 @@ def test_rows(spark):
     assert sorted(map(tuple, out.collect()), key=str) == sorted(
         [(1, "u", TEXT, len(TEXT)), (1, "u", TEXT, len(TEXT)), (2, None, "", 0), (None, "v", "", 0)], key=str)
     assert op.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p class=notice>ad<br>ad<p>one</p><p>two</p></article>", "one\ntwo"),
+    ("<article><div><p class=notice>ad <b>ad</b></div><p>one</p></article>", "one"),
+    ("<article><ul><li class=share>ad<ul><li>ad</li></ul><li>one<li>two</ul><p>three</p></article>", "one\ntwo\nthree"),
+    ("<article><ul><li class=share>ad<div>ad</div></ul><p>one</p></article>", "one"),
+    ("<article><ul><li class=share>ad<ul><li>ad<li>ad</ul></li>one</ul><p>two</p></article>", "one\ntwo"),
+    ("<article><dl><dt class=ad>ad<dd>one</dl><p>two</p></article>", "one\ntwo"),
+    ("<article><table><tr class=ad><td>ad<tr><td>one<tr><td class=ad>ad</table><p>two</p></article>", "one\ntwo"),
+    ("<article><p class=notice>ad</p>one</article>", "one"),
+    ('<article class="post has-sidebar"><h2 id="related-work">one</h2><h2 id="share-prices">two</h2><p>three</p></article>', "one\ntwo\nthree"),
+    ('<div class="no-sidebar with-comments"><p>one</p></div>', "one"),
+    ('<article><p>one</p></article><section id="comments"><article class="comment" id="comment-1"><p>ad</p></article></section>', "one"),
+])
+def test_dropped_parts_end_where_html_says(page, text):
+    assert op.main_text(page) == text
