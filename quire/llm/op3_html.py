@@ -7,12 +7,13 @@ sidebars, notices, adverts, forms and reader comments weigh nothing and keep no
 text; they are known by their element, or by a word of its class, id or role (not headings; an
 ``article`` only where it is a reader's comment).  A dropped element whose end
 tag may be left out ends where HTML says.
-Where a page has an ``article`` or ``main`` element with text, so do lines
-outside of it.
 
-The block distribution is the sum of weights over a window of ``WINDOW``
+Where a page has an ``article`` or ``main`` element with text outside links,
+its lines are the main text, those of links too, and no others.
+
+On other pages the block distribution decides.  It is the sum of weights over a window of ``WINDOW``
 lines.  A surge is a line with weight whose window sum reaches the threshold,
-a share of the page's largest sum; the dive behind it is the first line whose
+a share of the page's largest sum but ``ENOUGH`` characters at most; the dive behind it is the first line whose
 window sum is zero.  The text from surge to dive is kept, together with lines
 of weight right before the surge, such as a title.
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 THRESHOLD = 0.1           # of the page's largest window sum
+ENOUGH = 40               # a window sum that reaches the threshold on any page: about a sentence
 
 # HTML element names and common names of page parts.
 BLOCK_TAGS = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption
@@ -173,12 +175,12 @@ def main_text(page: str, window: int = WINDOW, threshold: float = THRESHOLD) ->
     """The blocks of a page's main text, joined by line ends; empty if there is none."""
     rows = lines(page)
     if any(w for _, w, inside in rows if inside):
-        rows = [r if r[2] else ("", 0, False) for r in rows]
+        return "\n".join(text for text, _, inside in rows if inside and text)
     weights = [w for _, w, _ in rows]
     sums = [sum(weights[i:i + window]) for i in range(len(rows))]
     if not any(sums):
         return ""
-    least = max(1, threshold * max(sums))
+    least = max(1, min(threshold * max(sums), ENOUGH))
     kept, i = [], 0
     while i < len(rows):
         if not weights[i] or sums[i] < least:

@@ -75,3 +75,16 @@ def test_rows(spark):
 ])
 def test_dropped_parts_end_where_html_says(page, text):
     assert op.main_text(page) == text
+
+
+def test_an_article_keeps_all_its_lines():
+    links = "".join(f"<li><a href=x>reference {i}</a></li>" for i in range(5))
+    page = f"<ul>{links}</ul><article><h1><a href=x>Title</a></h1><p>{SENTENCE * 50}</p><ul>{links}</ul><p>Short.</p><p><a href=x>More</a></p></article>"
+    listed = [f"reference {i}" for i in range(5)]
+    assert op.main_text(page).split("\n") == ["Title", (SENTENCE * 50).strip(), *listed, "Short.", "More"]
+
+
+def test_a_very_long_block_does_not_hide_later_paragraphs():
+    gap = "<p><a href=x>more</a></p>" * 4
+    page = f"<p>{SENTENCE * 100}</p>{gap}<p>{SENTENCE}</p>{gap}<p>end</p>"
+    assert op.main_text(page) == f"{(SENTENCE * 100).strip()}\n{SENTENCE.strip()}"
