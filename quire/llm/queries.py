@@ -13,6 +13,7 @@ from quire.llm import (
     op8_topk,
     op9_warc,
     op10_suffix,
+    op12_chat,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_topk": op8_topk.op8_topk,
     "op9_warc": op9_warc.op9_warc,
     "op10_suffix_dedup": op10_suffix.op10_suffix_dedup,
+    "op12_chat_format": op12_chat.op12_chat_format,
 }
 
 # The others need fingerprints, tokenizers, Newton's method or page parsing: tests hold them against brute force.
@@ -33,4 +35,5 @@ ORACLE = {
     "op7_quality_rules": op7_quality.ORACLE,
     "op8_topk": op8_topk.ORACLE,
     "op9_warc": op9_warc.ORACLE,
+    "op12_chat_format": op12_chat.ORACLE,
 }
