@@ -13,7 +13,9 @@ from quire.llm import (
     op8_topk,
     op9_warc,
     op10_suffix,
+    op11_importance,
     op12_chat,
+    op13_divergence,
 )
 
 QUERIES = {
@@ -27,7 +29,9 @@ QUERIES = {
     "op8_topk": op8_topk.op8_topk,
     "op9_warc": op9_warc.op9_warc,
     "op10_suffix_dedup": op10_suffix.op10_suffix_dedup,
+    "op11_importance": op11_importance.op11_importance,
     "op12_chat_format": op12_chat.op12_chat_format,
+    "op13_divergence": op13_divergence.op13_divergence,
 }
 
 # The others need fingerprints, tokenizers, Newton's method or page parsing: tests hold them against brute force.
@@ -35,5 +39,7 @@ ORACLE = {
     "op7_quality_rules": op7_quality.ORACLE,
     "op8_topk": op8_topk.ORACLE,
     "op9_warc": op9_warc.ORACLE,
+    "op11_importance": op11_importance.ORACLE,
     "op12_chat_format": op12_chat.ORACLE,
+    "op13_divergence": op13_divergence.ORACLE,
 }
