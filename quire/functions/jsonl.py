@@ -54,17 +54,23 @@ def _as_member(line: Column) -> Column:
                        {**STRICT_OPTIONS, "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def parse_json(line: Column | str) -> Column:
-    """``struct(ok boolean, value variant)``: strict validity and the parsed value, in two parses.
+def parse_parts(line: Column | str) -> Column:
+    """``struct(one boolean, member struct, extra boolean)``: the two parses of a line, and whether it holds a token that Python rejects."""
+    line = _col(line)
+    return F.struct((F.size(_as_array(line)) == 1).alias("one"), _as_member(line).alias("member"), _has_extra_token(line).alias("extra"))
+
+
+def parts_ok(parts: Column) -> Column:
+    """True when the line behind :func:`parse_parts` is exactly one JSON value."""
+    return F.coalesce(parts["one"] & parts["member"][_CORRUPT].isNull(), F.lit(False)) & ~parts["extra"]
 
-    ``value`` is NULL unless ``ok``.  Duplicate keys keep the last value
-    (``spark.sql.variant.allowDuplicateKeys``); NaN and Infinity are values.
+
+def parts_value(parts: Column) -> Column:
+    """The parsed value as a variant, for a line that is valid.
+
+    Duplicate keys keep the last value (``spark.sql.variant.allowDuplicateKeys``); NaN and Infinity are values.
     """
-    line = _col(line)
-    member = _as_member(line)
-    ok = F.coalesce((F.size(_as_array(line)) == 1) & member[_CORRUPT].isNull(), F.lit(False))
-    ok = ok & ~_has_extra_token(line)
-    return F.struct(ok.alias("ok"), F.when(ok, member["r"]).alias("value"))
+    return parts["member"]["r"]
 
 
 def _has_extra_token(line: Column) -> Column:

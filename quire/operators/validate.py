@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.jsonl import fields, parse_error_class, parse_json, variant_is_string, variant_text
+from quire.functions.jsonl import fields, parse_error_class, parse_parts, parts_ok, parts_value, variant_is_string, variant_text
 from quire.functions.text import strip
 from quire.session import ensure_conf
 
@@ -31,12 +31,23 @@ BAD_TYPE_ANSWER = "bad type for 'answer'"
 FIELDS = ["question", "answer", "domain"]
 
 
+def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a new column that is computed once a row, however often it is used.
+
+    The optimizer puts the expression of a column into every place that names
+    it, and moves filters on it below the projection.  It does neither through
+    a generator, so the value is the only element of an exploded array.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Strict parse.  Adds ``parse_ok`` and ``rec`` (question/answer/domain as variants)."""
     ensure_conf(lines.sparkSession)
-    parsed = lines.withColumn("_json", parse_json(line_col))
-    return parsed.withColumn("parse_ok", F.col("_json.ok")).withColumn(
-        "rec", F.when(F.col("parse_ok"), fields(F.col("_json.value"), FIELDS))).drop("_json")
+    parts = evaluate_once(lines, "_parts", parse_parts(line_col))
+    checked = evaluate_once(parts, "_ok", parts_ok(F.col("_parts")))
+    read = evaluate_once(checked, "rec", F.when(F.col("_ok"), fields(parts_value(F.col("_parts")), FIELDS)))
+    return read.withColumn("parse_ok", F.col("_ok")).select(*lines.columns, "parse_ok", "rec")
 
 
 def reason_expr(rec: Column, parse_ok: Column,
@@ -84,7 +95,7 @@ def validate_records(df: DataFrame, **limits) -> DataFrame:
 
 def validate(parsed: DataFrame, **limits) -> DataFrame:
     """V1: adds ``reason`` (NULL = valid) to the output of :func:`parse_lines`."""
-    return parsed.withColumn("reason", reason_expr(F.col("rec"), F.col("parse_ok"), **limits))
+    return evaluate_once(parsed, "reason", reason_expr(F.col("rec"), F.col("parse_ok"), **limits))
 
 
 def clean_projection(rec: Column) -> list[Column]:

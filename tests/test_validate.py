@@ -140,3 +140,21 @@ def test_classes_of_parse_errors(spark):
         V.rejects(V.validate_lines(df, error_class=True)).select("idx", "message"), "idx").collect()}
     assert [got[i][0] for i in range(len(rows))] == list(rows.values())
     assert got[0][1] == "Row 0: JSON parse error (text after the value)"
+
+
+@pytest.mark.parametrize("name", ["s2_strict_json", "s2_doc_json", "v1_reasons", "v2_clean", "v2_doc_json", "v3_rejects", "v4_first_rejects", "a2_domains",
+                                  "a3_lengths", "a4_report"])
+def test_a_line_is_parsed_once(spark, name):
+    """Two from_json a line, however many columns and filters use what it holds."""
+    plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2 and len(plan) < 20_000
+
+
+def test_a_value_is_computed_once(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select("id", F.lit("clash").alias("col"))
+    once = V.evaluate_once(df, "r", F.rand(7))
+    rows = once.select("id", "col", "r", (F.col("r") - F.col("r")).alias("zero"), (F.col("r") * 2).alias("twice")).where("r < 0.5").collect()
+    assert 0 < len(rows) < 100 and all(x.zero == 0 and x.twice == 2 * x.r and x.r < 0.5 for x in rows)
+    assert V.evaluate_once(df, "n", F.lit(None).cast("struct<a:int>")).count() == 100
