@@ -2,10 +2,16 @@
 
 Both compare the tokens of one row, so they need no shuffle, and neither a
 join nor an aggregate per n-gram: rows go through Python once, in Arrow
-batches.  The common subsequence uses the bit-parallel algorithm of Crochemore,
-Iliopoulos, Pinzon and Reid (2001): one pass over the longer text, each step
-a few word-parallel operations on a bit vector as long as the shorter one,
-i.e. O(m * n / 64) machine words instead of an O(m * n) Python loop.
+batches.  Tokens come as 64-bit hashes, made in the JVM.
+
+Memory is bounded by tokens, not by rows: Spark cuts its Arrow batches by
+bytes (``spark.sql.execution.arrow.maxBytesPerBatch``), and a batch is counted
+in slices of at most ``MAX_TOKENS`` tokens (or one row).  N-grams of a slice
+are numbered exactly, order by order, by sorting.  The common subsequence uses
+the bit-parallel algorithm of Crochemore, Iliopoulos, Pinzon and Reid (2001)
+in blocks of ``BLOCK`` bits: a block of the shorter text meets the whole longer
+one, and hands each position's carry to the next block, so masks take
+``BLOCK`` bits a distinct token of the block, whatever the texts' length.
 """
 
 from __future__ import annotations
@@ -13,27 +19,38 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+BLOCK = 4096
+MAX_TOKENS = 1 << 20
+
 
-def lcs_len(a: Sequence[str], b: Sequence[str]) -> int:
+def lcs_len(a: Sequence, b: Sequence, block: int = BLOCK) -> int:
     """Length of the longest common subsequence of ``a`` and ``b``."""
-    if len(a) == 0 or len(b) == 0:
-        return 0
     if len(b) > len(a):
         a, b = b, a
-    masks: dict[str, int] = {}
-    for j, tok in enumerate(b):
-        masks[tok] = masks.get(tok, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    v = full
-    for tok in a:
-        m = masks.get(tok)
-        if m:
-            u = v & m
-            v = ((v + u) | (v - u)) & full
-    return len(b) - v.bit_count()
+    shared = set(a) & set(b)
+    a, b = [t for t in a if t in shared], [t for t in b if t in shared]
+    carries, length = bytearray(len(a)), 0
+    for start in range(0, len(b), block):
+        part = b[start:start + block]
+        masks: dict = {}
+        for j, token in enumerate(part):
+            masks[token] = masks.get(token, 0) | (1 << j)
+        bits, get, last = len(part), masks.get, start + block >= len(b)
+        full = v = (1 << bits) - 1
+        for i, token in enumerate(a):
+            mask, carry = get(token, 0), carries[i]
+            if mask or carry:
+                u = v & mask
+                s = v + u + carry
+                v = (s | (v - u)) & full
+                if not last:
+                    carries[i] = s >> bits
+        length += bits - v.bit_count()
+    return length
 
 
 def clipped_matches(a: Sequence, b: Sequence, order: int) -> int:
@@ -45,26 +62,80 @@ def clipped_matches(a: Sequence, b: Sequence, order: int) -> int:
     return (Counter(zip(*(a[i:] for i in range(order)), strict=False)) & Counter(zip(*(b[i:] for i in range(order)), strict=False))).total()
 
 
-def count_matches(rows: DataFrame, keys: list[str], grams: dict[str, tuple[str, str, int]], lcs: dict[str, tuple[str, str]]) -> DataFrame:
-    """The columns ``keys`` and one count (long) per name: clipped matches ``(left, right, order)`` of ``grams``, common
-    subsequence lengths ``(left, right)`` of ``lcs``, of the token arrays in the named columns."""
-    arrays = sorted({c for left, right, _ in grams.values() for c in (left, right)} | {c for pair in lcs.values() for c in pair})
-    sizes = [f"n_{c}" for c in arrays]
-    names = [*keys, *sizes, *grams, *lcs]
+class Tokens:
+    """A column of token arrays of some rows: all tokens in one array, and where each row's start."""
+
+    def __init__(self, column: pa.Array):
+        column = column.fill_null([]) if column.null_count else column
+        ends = column.offsets.to_numpy()
+        self.flat = column.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        self.ends = ends - ends[0]
+        self.sizes = np.diff(self.ends).astype(np.int64)
+
+    def row(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i]:self.ends[i + 1]]
+
+
+def all_clipped_matches(left: Tokens, right: Tokens, orders: int) -> list[np.ndarray]:
+    """Per order 1..``orders`` and row, what :func:`clipped_matches` gives.
+
+    Grams are numbered by (row, gram) over both sides, order by order: a gram
+    is the number of its head and its last token.
+    """
+    rows, n_left = len(left.sizes), len(left.flat)
+    owner = np.concatenate([np.repeat(np.arange(rows), left.sizes), np.repeat(np.arange(rows), right.sizes)])
+    token = np.unique(np.concatenate([left.flat, right.flat]), return_inverse=True)[1].astype(np.int64)
+    kinds = int(token.max()) + 1 if len(token) else 1
+    after = np.concatenate([np.repeat(left.ends[1:], left.sizes), np.repeat(right.ends[1:] + n_left, right.sizes)])   # where the row ends
+    start, gram, out = np.arange(len(token)), owner, []
+    for order in range(1, orders + 1):
+        fits = start + order <= after[start]
+        start, gram = start[fits], gram[fits]
+        first, number = np.unique(gram * kinds + token[start + order - 1], return_index=True, return_inverse=True)[1:]
+        mine = start < n_left
+        both = np.minimum(np.bincount(number[mine], minlength=len(first)), np.bincount(number[~mine], minlength=len(first)))
+        out.append(np.bincount(owner[start[first]], weights=both, minlength=rows).astype(np.int64))
+        gram = number.astype(np.int64)
+    return out
+
+
+def _slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with at most ``limit`` tokens each, or one row."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+        yield at, to
+        at = to
+
+
+def count_matches(rows: DataFrame, keys: list[str], grams: dict[tuple[str, str], list[str]], lcs: dict[str, tuple[str, str]],
+                  max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """The columns ``keys``, the sizes ``n_<column>`` and counts (long) of pairs of columns of token arrays (``array<bigint>``).
+
+    ``grams``: a pair of columns and the names of its clipped matches of order 1, 2, ...; ``lcs``: name and pair of
+    common subsequence lengths.  A null array counts as empty.
+    """
+    pairs = [*grams, *lcs.values()]
+    arrays = sorted({c for pair in pairs for c in pair})
+    names = [f"n_{c}" for c in arrays] + [n for of in grams.values() for n in of] + list(lcs)
+
+    def count(part: pa.RecordBatch) -> list[np.ndarray]:
+        tokens = {c: Tokens(part.column(len(keys) + i)) for i, c in enumerate(arrays)}
+        out = [tokens[c].sizes for c in arrays]
+        for (left, right), of in grams.items():
+            out += all_clipped_matches(tokens[left], tokens[right], len(of))
+        for left, right in lcs.values():
+            a, b = tokens[left], tokens[right]
+            out.append(np.array([lcs_len(a.row(i).tolist(), b.row(i).tolist()) for i in range(len(part))], np.int64))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: dict[str, list[int]] = {n: [] for n in names[len(keys):]}
-            for row in zip(*(batch.column(len(keys) + i).to_pylist() for i in range(len(arrays))), strict=True):
-                tokens = {c: t or [] for c, t in zip(arrays, row, strict=True)}
-                for c, n in zip(arrays, sizes, strict=True):
-                    columns[n].append(len(tokens[c]))
-                for n, (left, right, order) in grams.items():
-                    columns[n].append(clipped_matches(tokens[left], tokens[right], order))
-                for n, (left, right) in lcs.items():
-                    columns[n].append(lcs_len(tokens[left], tokens[right]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keys)], *[pa.array(c, pa.int64()) for c in columns.values()]], names)
+            sizes = sum(np.diff(batch.column(len(keys) + i).offsets.to_numpy()).astype(np.int64) for i in range(len(arrays)))
+            for at, to in _slices(sizes, max_tokens):
+                part = batch.slice(at, to - at)
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keys)], *[pa.array(c, pa.int64()) for c in count(part)]], [*keys, *names])
 
     picked = rows.select(*keys, *arrays)
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in picked.select(*keys).schema)
-    return picked.mapInArrow(run, schema + ", ".join(f"{n} bigint" for n in names[len(keys):]))
+    return picked.mapInArrow(run, schema + ", ".join(f"`{n}` bigint" for n in names))

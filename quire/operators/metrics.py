@@ -47,21 +47,38 @@ def pair_predictions(predictions: DataFrame, references: DataFrame, id_col: str
 _BLEU_KINDS = list(range(1, BLEU_ORDER + 1))
 
 
+def token_ids(df: DataFrame, text_col: str, side: str, bleu: bool = True, rouge: bool = True) -> DataFrame:
+    """Replaces a text by its tokens' 64-bit hashes: ``<side>b`` for BLEU's tokens, ``<side>r`` for ROUGE's.
+
+    Two different tokens of a row share a hash with a chance of 1 in 10**19 a pair.
+    """
+    tokens = ({f"{side}b": tokens_13a(text_col)} if bleu else {}) | ({f"{side}r": tokens_rouge(text_col)} if rouge else {})
+    ids = [F.transform(c, lambda t: F.xxhash64(t)).alias(n) for n, c in tokens.items()]
+    return df.select(*[c for c in df.columns if c != text_col], *ids)
+
+
+def pair_tokens(predictions: DataFrame, references: DataFrame, id_col: str = "rid", reference_col: str = "answer", bleu: bool = True,
+                rouge: bool = True, partitions: int | None = None) -> DataFrame:
+    """E2 on tokens, for :func:`row_scores`: both sides are tokenized before they meet, so a reference is tokenized once for all labels."""
+    preds = token_ids(predictions.select("label", id_col, "prediction"), "prediction", "p", bleu, rouge)
+    refs = token_ids(references.select(id_col, reference_col), reference_col, "r", bleu, rouge)
+    n = partitions or int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return preds.repartition(n, id_col).join(refs.repartition(n, id_col).hint("merge"), id_col).withColumnRenamed(id_col, "rid")
+
+
 def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True, lcs: bool = True) -> DataFrame:
     """Per-row counts: ``(label, rid, h1..h4, hr1, hr2, lcs, plen_b, rlen_b, plen_r, rlen_r)``.
 
     ``h<n>`` are clipped BLEU n-gram matches, ``hr<n>`` clipped ROUGE-N
     matches, ``plen``/``rlen`` token counts (the unigram totals).  ``bleu``,
-    ``rouge`` and ``lcs`` choose what is counted; the others are 0.
+    ``rouge`` and ``lcs`` choose what is counted; the others are 0.  Pairs come
+    with texts (:func:`pair_predictions`) or tokens (:func:`pair_tokens`).
     """
-    texts = {}
-    if bleu:
-        texts |= {"pb": tokens_13a("prediction"), "rb": tokens_13a("reference")}
-    if rouge or lcs:
-        texts |= {"pr": tokens_rouge("prediction"), "rr": tokens_rouge("reference")}
-    grams = {f"h{n}": ("pb", "rb", n) for n in _BLEU_KINDS if bleu} | {f"hr{n}": ("pr", "rr", n) for n in ROUGE_ORDERS if rouge}
-    counted = count_matches(pairs.select("label", "rid", *[c.alias(n) for n, c in texts.items()]), ["label", "rid"], grams,
-                            {"lcs": ("pr", "rr")} if lcs else {})
+    if "prediction" in pairs.columns:
+        pairs = token_ids(pairs.select("label", "rid", "prediction", "reference"), "prediction", "p", bleu, rouge or lcs)
+        pairs = token_ids(pairs, "reference", "r", bleu, rouge or lcs)
+    grams = ({("pb", "rb"): [f"h{n}" for n in _BLEU_KINDS]} if bleu else {}) | ({("pr", "rr"): [f"hr{n}" for n in ROUGE_ORDERS]} if rouge else {})
+    counted = count_matches(pairs, ["label", "rid"], grams, {"lcs": ("pr", "rr")} if lcs else {})
     sizes = {"plen_b": "n_pb", "rlen_b": "n_rb", "plen_r": "n_pr", "rlen_r": "n_rr"}
     zero = F.lit(0).cast("long")
     values = [f"h{n}" for n in _BLEU_KINDS] + [f"hr{n}" for n in ROUGE_ORDERS] + ["lcs"]
@@ -137,9 +154,12 @@ def rouge_l(pairs: DataFrame) -> DataFrame:
     return corpus_scores(row_scores(pairs, bleu=False, rouge=False)).select("label", "rougeL")
 
 
-def metric_table(pairs: DataFrame) -> DataFrame:
-    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places as Python rounds, plus ``*_raw``; one pass over the pairs."""
-    raw = with_bleu(corpus_scores(row_scores(pairs)))
+def metric_table(pairs: DataFrame, lcs: bool = True) -> DataFrame:
+    """``(label, bleu, rouge1, rouge2, rougeL)`` rounded to 4 places as Python rounds, plus ``*_raw``; one pass over the pairs.
+
+    Without ``lcs``, the dearest part on long texts, ``rougeL`` is 0.
+    """
+    raw = with_bleu(corpus_scores(row_scores(pairs, lcs=lcs)))
     return raw.select("label", *[py_round(F.col(m), REPORT_DIGITS).alias(m) for m in METRICS],
                       *[F.col(m).alias(f"{m}_raw") for m in METRICS])
 

@@ -403,4 +403,14 @@ ORACLE: dict[str, str] = {
               UNION ALL SELECT label, 'rouge2', rouge2 FROM e6 UNION ALL SELECT label, 'rougeL', rougeL FROM e6)
       SELECT b.metric, b.value AS base, f.value AS finetuned, round(f.value - b.value, 4) AS delta
       FROM lng b JOIN lng f ON b.metric = f.metric AND b.label = 'base' AND f.label = 'finetuned'""",
+    "s1_file_lines": f"""WITH files AS (SELECT doc_id // 1024 AS file_no,
+        unnest(string_split(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id), chr(10))) AS raw,
+        generate_subscripts(string_split(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id), chr(10)), 1) - 1 AS idx
+        FROM documents GROUP BY doc_id // 1024)
+      SELECT file_no, idx, {trim('raw')} AS line FROM files WHERE {trim('raw')} <> ''""",
+    "s3_s6_roundtrip": f"{with_(DOCS)} SELECT rid, question, answer, CASE WHEN rid % 7 <> 0 THEN domain END AS domain FROM docs_clean",
+    "s7_splits": f"""{with_(PAIRS, positions(), SPLIT)} SELECT rid, question, answer, CAST(NULL AS VARCHAR) AS domain, pos, split
+      FROM split JOIN pairs USING (rid)""",
+    "s8_metrics": f"""{METRICS4} SELECT label, 'bleu' AS metric, bleu AS value FROM e6 UNION ALL SELECT label, 'rouge1', rouge1 FROM e6
+      UNION ALL SELECT label, 'rouge2', rouge2 FROM e6 UNION ALL SELECT label, 'rougeL', rougeL FROM e6""",
 }

@@ -19,9 +19,10 @@ from quire.operators import prompts as PR
 from quire.operators import split as D
 from quire.operators import validate as V
 from quire.operators.predict import first_sentence_predictor, predict
+from quire.plans.file_queries import FILE_QUERIES
+from quire.plans.inputs import doc_clean, doc_pairs, lines, pairs, predictions, scored_pairs, validated
 from quire.session import ensure_conf
 from quire.sources import tables as T
-from quire.sources.lines import content_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -31,43 +32,6 @@ def _r(c, name: str):
     return F.round(F.col(c) if isinstance(c, str) else c, DIGITS).alias(name)
 
 
-# -- shared inputs ------------------------------------------------------------
-
-def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """F2."""
-    return T.load_pairs(spark, sf)
-
-
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """F3 as S1 would deliver it: ``(idx, line)``, stripped, blank lines dropped."""
-    return content_lines(T.defective_lines(pairs(spark, sf)))
-
-
-def validated(spark: SparkSession, sf: str) -> DataFrame:
-    ensure_conf(spark)
-    return V.validate_lines(lines(spark, sf))
-
-
-def doc_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """F4."""
-    return T.load_doc_pairs(spark, sf)
-
-
-def doc_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """F4 validated as typed records; valid rows only, stripped."""
-    return V.validate_records(doc_pairs(spark, sf)).where(F.col("reason").isNull()).drop("reason")
-
-
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """F5 predictions ``(label, rid, prediction)``."""
-    return T.predictions_fixture(pairs(spark, sf)).select("label", "rid", "prediction")
-
-
-def scored_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """E2 on F5."""
-    return M.pair_predictions(predictions(spark, sf), pairs(spark, sf))
-
-
 def chat_lengths(df: DataFrame) -> DataFrame:
     """T1 over P1-rendered text."""
     return P.token_lengths(PR.profile_chat(df)).select("rid", "n_tokens")
@@ -265,11 +229,21 @@ def e6_metrics(spark, sf):
     return M.metric_table(scored_pairs(spark, sf)).select("label", *M.METRICS)
 
 
-def e6_doc_metrics(spark, sf):
-    """E6 over long texts: the answers are whole documents (ROUGE-L, which SQL cannot score on long texts, is in the tests)."""
+def _doc_scores(spark, sf, **kinds):
+    """Predictions and references (whole documents) as tokens, tokenized before they are paired."""
     long_pairs = doc_clean(spark, sf).select("rid", "question", "answer")
     preds = T.predictions_fixture(long_pairs).select("label", "rid", "prediction")
-    return M.metric_table(M.pair_predictions(preds, long_pairs)).select("label", "bleu", "rouge1", "rouge2")
+    return M.pair_tokens(preds, long_pairs, **kinds)
+
+
+def e5_doc_rouge_l(spark, sf):
+    """E5 over whole documents.  SQL cannot score texts of this length; a test holds it against brute force."""
+    return M.rouge_l(_doc_scores(spark, sf, bleu=False)).select("label", _r("rougeL", "rougeL"))
+
+
+def e6_doc_metrics(spark, sf):
+    """E6 over long texts: the answers are whole documents; their ROUGE-L is ``e5_doc_rouge_l``."""
+    return M.metric_table(_doc_scores(spark, sf), lcs=False).select("label", "bleu", "rouge1", "rouge2")
 
 
 def e7_compare(spark, sf):
@@ -283,6 +257,6 @@ QUERIES: dict[str, Query] = {
         p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
         t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
         d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head,
-        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e5_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
+        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
     ]
-}
+} | FILE_QUERIES

@@ -95,3 +95,83 @@ def test_metric_table_reads_the_pairs_once(spark):
     assert "BatchEvalPython" not in plan
     above = tree[:tree.find("MapInArrow")]
     assert above.count("Exchange") == 1
+
+
+LONG = "the cat sat on the mat and then the dog sat on the log "
+
+
+def long_rows():
+    import random
+
+    rng = random.Random(4)
+    words = (LONG + "a b c d e f").split()
+    texts = [" ".join(rng.choices(words, k=k)) for k in (0, 1, 5, 60, 300, 2500)]
+    return [(p, r) for p in texts for r in texts]
+
+
+@pytest.mark.parametrize(("block", "tokens"), [(4096, 1 << 20), (64, 100), (7, 1)])
+def test_long_texts_as_brute_force(spark, monkeypatch, block, tokens):
+    """Any block of bits and any slice of tokens gives the same; a row longer than a slice is one of its own."""
+    import quire.functions.lcs as L
+
+    pairs = [(p, r) for p, r in long_rows() if len(p) * len(r) < 10**7]
+    tokens_of = [[hash(t) for t in p.split()] for p, _ in pairs], [[hash(t) for t in r.split()] for _, r in pairs]
+    import pyarrow as pa
+
+    left, right = (L.Tokens(pa.array(side, pa.list_(pa.int64()))) for side in tokens_of)
+    sizes = left.sizes + right.sizes
+    assert sum((list(range(a, b)) for a, b in L._slices(sizes, tokens)), []) == list(range(len(pairs)))
+    assert all(sizes[a:b].sum() <= tokens or b == a + 1 for a, b in L._slices(sizes, tokens))
+    for i in range(0, len(pairs), 3):
+        a, b = tokens_of[0][i], tokens_of[1][i]
+        assert L.lcs_len(a, b, block) == pyref.lcs_len_dp(a, b)
+    matches = L.all_clipped_matches(left, right, 4)
+    for i, (a, b) in enumerate(zip(*tokens_of)):
+        assert [m[i] for m in matches] == [L.clipped_matches(a, b, n) for n in (1, 2, 3, 4)]
+
+
+def test_token_pairs_score_as_texts(spark):
+    rows = [*long_rows(), (None, "x y"), ("x y", None)]
+    texts = pairs_df(spark, rows)
+    want = [tuple(r) for r in M.row_scores(texts).orderBy("rid").collect()]
+    paired = M.pair_tokens(texts.select("label", "rid", "prediction"), texts.select("rid", F.col("reference").alias("answer")))
+    assert [tuple(r) for r in M.row_scores(paired).orderBy("rid").collect()] == want
+    for i, (p, r) in enumerate(rows[:30]):
+        assert want[i][2:] == tuple(pyref_row(p, r)), i
+
+
+def pyref_row(p, r):
+    from quire.functions.lcs import clipped_matches
+
+    p, r = p.split(), r.split()
+    return [*[clipped_matches(p, r, n) for n in (1, 2, 3, 4)], *[clipped_matches(p, r, n) for n in (1, 2)], pyref.lcs_len_dp(p, r),
+            len(p), len(r), len(p), len(r)]
+
+
+def test_batches_of_one_row_and_of_all_rows_agree(spark):
+    texts = pairs_df(spark, long_rows())
+    got = []
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("1", "100000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        got.append(sorted(map(tuple, M.row_scores(texts).collect())))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got[0] == got[1]
+
+
+def test_doc_rouge_l_as_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = Q.doc_clean(spark, sf).select("rid", "answer").collect()
+    got = {r.label: r.rougeL for r in Q.e5_doc_rouge_l(spark, sf).collect()}
+    answers = {r.rid: r.answer for r in docs}
+    preds = Q.T.predictions_fixture(Q.doc_clean(spark, sf)).select("label", "rid", "prediction").collect()
+    from quire.functions.lcs import lcs_len
+
+    for label in ("base", "finetuned"):
+        scores = []
+        for x in preds:
+            if x.label == label:
+                p, r = pyref.tok_rouge(x.prediction), pyref.tok_rouge(answers[x.rid])
+                n = pyref.lcs_len_dp(p, r) if len(p) * len(r) < 10**6 else lcs_len(p, r, 10**9)
+                scores.append(2 * n / (len(p) + len(r)) if p and r else 0.0)
+        assert got[label] == pytest.approx(sum(scores) / len(scores), abs=1e-6)

@@ -10,6 +10,8 @@ from quire.plans.queries import QUERIES
 from quire.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
+# Whole texts are too long for SQL: tests of their own hold these against brute force.
+NO_SQL = {"e5_doc_rouge_l"}
 
 
 def _norm(v):
@@ -33,10 +35,10 @@ def duck():
 
 
 def test_every_query_has_oracle():
-    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) - NO_SQL <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - NO_SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
