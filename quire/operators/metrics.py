@@ -107,6 +107,11 @@ def _rouge_l_f() -> Column:
     return F.when((plen == 0) | (rlen == 0), F.lit(0.0)).otherwise(_fmeasure(F.col("lcs"), plen, rlen))
 
 
+def rouge_f() -> dict[str, Column]:
+    """F-measure of a row by metric, from the counts of :func:`row_scores`."""
+    return {**{f"rouge{n}": _rouge_n_f(n) for n in ROUGE_ORDERS}, "rougeL": _rouge_l_f()}
+
+
 def corpus_scores(rows: DataFrame) -> DataFrame:
     """Per-label totals from :func:`row_scores`: BLEU parts and mean ROUGE F (one partial aggregate)."""
     aggs = []
@@ -114,7 +119,7 @@ def corpus_scores(rows: DataFrame) -> DataFrame:
         aggs.append(F.sum(f"h{n}").cast("long").alias(f"m{n}"))
         aggs.append(F.sum(F.greatest(F.col("plen_b") - n + 1, F.lit(0))).cast("long").alias(f"t{n}"))
     aggs += [F.sum("plen_b").cast("long").alias("pred_len"), F.sum("rlen_b").cast("long").alias("ref_len")]
-    aggs += [F.avg(_rouge_n_f(n)).alias(f"rouge{n}") for n in ROUGE_ORDERS] + [F.avg(_rouge_l_f()).alias("rougeL")]
+    aggs += [F.avg(f).alias(name) for name, f in rouge_f().items()]
     return rows.groupBy("label").agg(*aggs)
 
 

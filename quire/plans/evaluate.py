@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import metrics as M
 from quire.operators import split as D
+from quire.operators.bootstrap import rouge_bootstrap
 from quire.operators.predict import PredictorFactory, predict
 from quire.session import remove_path, scratch_path
 from quire.sources import jsonl as J
@@ -27,6 +28,7 @@ class Evaluation:
     pairs: DataFrame        # E2
     metrics: DataFrame      # E6
     comparison: DataFrame   # E7
+    rouge_limits: DataFrame  # bootstrap of ROUGE: low, mid and high by label and metric
     scratch: list[str] = field(default_factory=list)  # tables written on the way
 
     def cleanup(self) -> None:
@@ -66,10 +68,11 @@ def evaluate_rows(test: DataFrame, predictors: Mapping[str, PredictorFactory], n
         preds = spark.read.parquet(scratch[1])
     pairs = M.pair_predictions(preds, keyed)
     table = M.metric_table(pairs)
+    limits = rouge_bootstrap(M.row_scores(pairs, bleu=False))
     labels = list(predictors)
     comparison = M.compare(table, base, tuned) if base in labels and tuned in labels else None
     return Evaluation(sample=sample, predictions=preds, pairs=pairs, metrics=table, comparison=comparison,
-                      scratch=scratch)
+                      rouge_limits=limits, scratch=scratch)
 
 
 def evaluate(spark: SparkSession, test_path: str, predictors: Mapping[str, PredictorFactory],

@@ -34,6 +34,10 @@ TOK13A_RULES = [
     (r"([0-9])(-)", "$1 $2 "),
 ]
 
+# The bootstrap's mixing constants and Poisson chances.
+MASK, STEP, FIRST, SECOND = 2**62 - 1, 0x1E3779B97F4A7C15, 0x3F51AFD7ED558CCD, 0x04CEB9FE1A85EC53
+POISSON = [1580030168, 3160060337, 3950075421, 4213413783, 4279248373, 4292415291, 4294609777, 4294923276, 4294962463, 4294966817, 4294967252, 4294967292]
+
 
 def lit(s: str) -> str:
     """A Python string as a DuckDB string expression (newlines through chr(10))."""
@@ -413,4 +417,16 @@ ORACLE: dict[str, str] = {
       FROM split JOIN pairs USING (rid)""",
     "s8_metrics": f"""{METRICS4} SELECT label, 'bleu' AS metric, bleu AS value FROM e6 UNION ALL SELECT label, 'rouge1', rouge1 FROM e6
       UNION ALL SELECT label, 'rouge2', rouge2 FROM e6 UNION ALL SELECT label, 'rougeL', rougeL FROM e6""",
+    "e4_rouge_bootstrap": f"""{_SCORE}, {ROUGE_N}, {ROUGE_L},
+      f AS (SELECT label, rid, 'rouge' || n AS metric, CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END AS f FROM rf
+        UNION ALL SELECT label, rid, 'rougeL', CASE WHEN m = 0 OR nn = 0 OR lcs = 0 THEN 0.0 ELSE 2.0 * (lcs / CAST(m AS DOUBLE)) * (lcs / CAST(nn AS DOUBLE))
+          / (lcs / CAST(m AS DOUBLE) + lcs / CAST(nn AS DOUBLE)) END FROM lcs),
+      x0 AS (SELECT rid, b, (CAST('0x' || substr(md5(CAST(rid AS VARCHAR) || ':42'), 1, 15) AS HUGEINT) + b * {STEP}::HUGEINT) & {MASK}::HUGEINT AS x
+        FROM pairs CROSS JOIN range(1000) t(b)),
+      x1 AS (SELECT rid, b, (xor(x, x >> 31) * {FIRST}::HUGEINT) & {MASK}::HUGEINT AS x FROM x0),
+      x2 AS (SELECT rid, b, (xor(x, x >> 29) * {SECOND}::HUGEINT) & {MASK}::HUGEINT AS x FROM x1),
+      w AS MATERIALIZED (SELECT rid, b, len(list_filter({POISSON}, lambda t: t <= u)) AS w FROM (SELECT rid, b, CAST(xor(x, x >> 31) >> 30 AS BIGINT) AS u FROM x2)),
+      means AS (SELECT label, metric, b, sum(w * floor(f * 1000000000 + 0.5)) / sum(w) / 1000000000 AS mean FROM f JOIN w USING (rid) GROUP BY ALL HAVING sum(w) > 0)
+      SELECT label, metric, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid, round(quantile_cont(mean, 0.975), 6) AS high
+      FROM means GROUP BY ALL""",
 }

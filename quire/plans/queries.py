@@ -18,6 +18,7 @@ from quire.operators import profile as P
 from quire.operators import prompts as PR
 from quire.operators import split as D
 from quire.operators import validate as V
+from quire.operators.bootstrap import rouge_bootstrap
 from quire.operators.predict import first_sentence_predictor, predict
 from quire.plans.file_queries import FILE_QUERIES
 from quire.plans.inputs import doc_clean, doc_pairs, lines, pairs, predictions, scored_pairs, validated
@@ -221,6 +222,12 @@ def e4_rouge_n(spark, sf):
     return r.select("label", _r("rouge1", "rouge1"), _r("rouge2", "rouge2"))
 
 
+def e4_rouge_bootstrap(spark, sf):
+    """ROUGE as the reference's metric reports it: middle and 95% limits of 1,000 bootstrap replicates."""
+    limits = rouge_bootstrap(M.row_scores(scored_pairs(spark, sf), bleu=False))
+    return limits.select("label", "metric", *[_r(c, c) for c in ("low", "mid", "high")])
+
+
 def e5_rouge_l(spark, sf):
     return M.rouge_l(scored_pairs(spark, sf)).select("label", _r("rougeL", "rougeL"))
 
@@ -257,6 +264,6 @@ QUERIES: dict[str, Query] = {
         p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
         t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
         d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head,
-        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
+        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e4_rouge_bootstrap, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
     ]
 } | FILE_QUERIES
