@@ -10,11 +10,13 @@ gives the same ranks, and nothing needs to be written in between.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 20  # at most a million ids in a bucket; a range of 2^40 ids has a million buckets
 
+MAX_BROADCAST_FILES = 100_000  # a path and a number each: some 20 MB
+
 
 def dense_index(ids: DataFrame, id_col: str, out_col: str = "idx", bits: int = BUCKET_BITS) -> DataFrame:
     """``(id_col, out_col)``: the rank of each id, from 0.  Ids must be unique integers, not null."""
@@ -24,3 +26,19 @@ def dense_index(ids: DataFrame, id_col: str, out_col: str = "idx", bits: int = B
     offsets = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     return ranked.join(offsets, "_bucket").select(id_col, (F.col("_offset") + F.col("_rank")).cast("long").alias(out_col))
+
+
+def stored_index(spark: SparkSession, path: str, out_col: str = "idx") -> DataFrame:
+    """The rows of a written parquet table with ``out_col``, a dense number from 0 in the order of its files and their rows.
+
+    A row knows its number in its file; the files' counts, one row a file, give where each starts.  No row is
+    shuffled or sorted.  The number holds as long as the table is not written anew.
+    """
+    table = spark.read.parquet(path)
+    rows = table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)   # one row a file
+    starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    if len(table.inputFiles()) <= MAX_BROADCAST_FILES:
+        starts = F.broadcast(starts)
+    return rows.join(starts, "_file").withColumn(out_col, (F.col("_start") + F.col("_row")).cast("long")).drop("_file", "_row", "_start")

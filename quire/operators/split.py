@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.permute import permuted
+
 # The reference's defaults.
 DEFAULT_SEED = 42
 TRAIN_RATIO = 0.8
@@ -86,6 +88,21 @@ def _positions(df: DataFrame, id_col: list[str], seed: int, salt: str | None, bu
             .drop("_key", "_bucket", "_rank", "_offset"))
 
 
+def dense_positions(df: DataFrame, index_col: str, n: int | None = None, seed: int = DEFAULT_SEED, salt: str | None = None) -> DataFrame:
+    """D1 for rows numbered 0..n-1 (:func:`quire.operators.position.stored_index`, S1's line numbers): adds ``pos`` and ``n``.
+
+    ``pos`` is a keyed permutation of the numbers, a function of each row
+    alone: no sort, window or shuffle, and the record stays where it is.  A number that is null
+    or not in 0..n-1 is an error.  ``n`` is counted where it is not given.
+    """
+    n = df.count() if n is None else n
+    return df.withColumn("pos", permuted(F.col(index_col), n, seed, salt or "")).withColumn("n", F.lit(n).cast("long"))
+
+
+def _ordered(df: DataFrame, id_col: str | list[str], seed: int, salt: str | None, buckets: int | None, index_col: str | None, n: int | None) -> DataFrame:
+    return dense_positions(df, index_col, n, seed, salt) if index_col else shuffle_positions(df, id_col, seed, salt=salt, buckets=buckets)
+
+
 def cut_points(n: Column, train_ratio: float = TRAIN_RATIO, val_ratio: float = VAL_RATIO) -> tuple[Column, Column]:
     """``int(n*train_ratio)`` and ``int(n*val_ratio)`` in IEEE double arithmetic."""
     n_train = F.floor(n.cast("double") * F.lit(float(train_ratio))).cast("long")
@@ -94,9 +111,13 @@ def cut_points(n: Column, train_ratio: float = TRAIN_RATIO, val_ratio: float = V
 
 
 def three_way_split(df: DataFrame, id_col: str | list[str] = "rid", train_ratio: float = TRAIN_RATIO,
-                    val_ratio: float = VAL_RATIO, seed: int = DEFAULT_SEED, buckets: int | None = None) -> DataFrame:
-    """Exact train/val/test split: the first ``int(n*0.8)`` positions, the next ``int(n*0.1)``, the rest."""
-    pos = shuffle_positions(df, id_col, seed, buckets=buckets)
+                    val_ratio: float = VAL_RATIO, seed: int = DEFAULT_SEED, buckets: int | None = None,
+                    index_col: str | None = None, n: int | None = None) -> DataFrame:
+    """Exact train/val/test split: the first ``int(n*0.8)`` positions, the next ``int(n*0.1)``, the rest.
+
+    With ``index_col``, the order of :func:`dense_positions`, else that of :func:`shuffle_positions`.
+    """
+    pos = _ordered(df, id_col, seed, None, buckets, index_col, n)
     n_train, n_val = cut_points(F.col("n"), train_ratio, val_ratio)
     split = (F.when(F.col("pos") < n_train, F.lit("train"))
              .when(F.col("pos") < n_train + n_val, F.lit("val"))
@@ -121,9 +142,9 @@ def split_sizes(df: DataFrame, train_ratio: float = TRAIN_RATIO, val_ratio: floa
 
 
 def train_val_split(df: DataFrame, id_col: str | list[str] = "rid", test_size: float = TEST_SIZE, seed: int = DEFAULT_SEED,
-                    buckets: int | None = None) -> DataFrame:
-    """Two-way split with ``ceil(test_size*n)`` validation rows first in a second seeded order."""
-    pos = shuffle_positions(df, id_col, seed, salt=TRAIN_VAL_SALT, buckets=buckets)
+                    buckets: int | None = None, index_col: str | None = None, n: int | None = None) -> DataFrame:
+    """Two-way split with ``ceil(test_size*n)`` validation rows first in a second seeded order (as D2's, by ``index_col`` where given)."""
+    pos = _ordered(df, id_col, seed, TRAIN_VAL_SALT, buckets, index_col, n)
     n_val = F.ceil(F.col("n").cast("double") * F.lit(float(test_size))).cast("long")
     return pos.withColumn("split", F.when(F.col("pos") < n_val, F.lit("val")).otherwise(F.lit("train"))).drop("n")
 

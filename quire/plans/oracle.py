@@ -200,6 +200,26 @@ pos AS (SELECT rid, row_number() OVER (ORDER BY md5(CAST(rid AS VARCHAR) || ':42
                count(*) OVER () AS n FROM pairs)"""
 
 
+def dense_positions(salt: str = "") -> str:
+    """The keyed permutation of row numbers: six rounds over two digits, again while the result is no row's number."""
+    def digest(digit: str, i: int) -> str:
+        return f"CAST('0x' || substr(md5('42:{salt}:{i}:' || {digit}), 1, 15) AS BIGINT)"
+
+    def rounds(src: str, x: str) -> str:
+        sql = f"SELECT rid, n, a, b, {x} // b AS l, {x} % b AS r FROM {src}"
+        for i in range(6):
+            digit = f"(l + {digest('r', i)}) % a AS l, r" if i % 2 == 0 else f"l, (r + {digest('l', i)}) % b AS r"
+            sql = f"SELECT rid, n, a, b, {digit} FROM ({sql})"
+        return f"SELECT rid, n, a, b, l * b + r AS y FROM ({sql})"
+
+    return f"""
+numbered AS (SELECT rid, row_number() OVER (ORDER BY rid) - 1 AS idx, count(*) OVER () AS n FROM docs_clean),
+based AS (SELECT rid, idx, n, a, (n + a - 1) // a AS b FROM (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM numbered)),
+walk AS ({rounds('based', 'idx')} UNION ALL SELECT * FROM ({rounds('(SELECT * FROM walk WHERE y >= n)', 'y')})),
+pos AS (SELECT rid, y AS pos, n FROM walk WHERE y < n),
+records AS (SELECT rid, md5(concat_ws(chr(10), question, answer, domain)) AS record FROM docs_clean)"""
+
+
 SPLIT = """
 split AS (SELECT rid, pos, CASE
     WHEN pos < floor(n * CAST(0.8 AS DOUBLE)) THEN 'train'
@@ -429,4 +449,8 @@ ORACLE: dict[str, str] = {
       means AS (SELECT label, metric, b, sum(w * floor(f * 1000000000 + 0.5)) / sum(w) / 1000000000 AS mean FROM f JOIN w USING (rid) GROUP BY ALL HAVING sum(w) > 0)
       SELECT label, metric, round(quantile_cont(mean, 0.025), 6) AS low, round(quantile_cont(mean, 0.5), 6) AS mid, round(quantile_cont(mean, 0.975), 6) AS high
       FROM means GROUP BY ALL""",
+    "d1_dense_shuffle": f"{with_(DOCS, dense_positions())} SELECT rid, idx, pos, record FROM pos JOIN records USING (rid) JOIN numbered USING (rid)",
+    "d2_dense_split": f"{with_(DOCS, dense_positions(), SPLIT)} SELECT rid, pos, split, record FROM split JOIN records USING (rid)",
+    "d4_dense_trainval": f"""{with_(DOCS, dense_positions('train_test_split'))}
+      SELECT rid, pos, CASE WHEN pos < ceil(n * CAST(0.1 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split, record FROM pos JOIN records USING (rid)""",
 }

@@ -19,10 +19,11 @@ from quire.operators import prompts as PR
 from quire.operators import split as D
 from quire.operators import validate as V
 from quire.operators.bootstrap import rouge_bootstrap
+from quire.operators.position import stored_index
 from quire.operators.predict import first_sentence_predictor, predict
 from quire.plans.file_queries import FILE_QUERIES
 from quire.plans.inputs import doc_clean, doc_pairs, lines, pairs, predictions, scored_pairs, validated
-from quire.session import ensure_conf
+from quire.session import ensure_conf, scratch_path
 from quire.sources import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +202,31 @@ def d5_head(spark, sf):
     return D.head_sample(test, D.EVAL_SAMPLES).select("rid", "pos")
 
 
+def stored_docs(spark, sf):
+    """Clean document pairs written in the order of their ids and numbered as stored."""
+    path = scratch_path(spark, "docs")
+    doc_clean(spark, sf).repartitionByRange("rid").sortWithinPartitions("rid").write.parquet(path)
+    return stored_index(spark, path)
+
+
+def _record():
+    """What shows that a position came to its whole record."""
+    return F.md5(F.concat_ws("\n", "question", "answer", "domain")).alias("record")
+
+
+def d1_dense_shuffle(spark, sf):
+    """D1 over numbered rows: no sort, window or shuffle of records or ids."""
+    return D.dense_positions(stored_docs(spark, sf), "idx").select("rid", "idx", "pos", _record())
+
+
+def d2_dense_split(spark, sf):
+    return D.three_way_split(stored_docs(spark, sf), index_col="idx").select("rid", "pos", "split", _record())
+
+
+def d4_dense_trainval(spark, sf):
+    return D.train_val_split(stored_docs(spark, sf), index_col="idx").select("rid", "pos", "split", _record())
+
+
 # -- E1-E7 -------------------------------------------------------------------
 
 def e1_predict(spark, sf):
@@ -263,7 +289,7 @@ QUERIES: dict[str, Query] = {
         a1_counts, a2_domains, a2_doc_domains, a3_lengths, a3_doc_lengths, a4_report,
         p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
         t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
-        d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head,
+        d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head, d1_dense_shuffle, d2_dense_split, d4_dense_trainval,
         e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e4_rouge_bootstrap, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
     ]
 } | FILE_QUERIES
