@@ -109,35 +109,44 @@ def long_rows():
     return [(p, r) for p in texts for r in texts]
 
 
-@pytest.mark.parametrize(("block", "tokens"), [(4096, 1 << 20), (64, 100), (7, 1)])
-def test_long_texts_as_brute_force(spark, monkeypatch, block, tokens):
-    """Any block of bits and any slice of tokens gives the same; a row longer than a slice is one of its own."""
+@pytest.mark.parametrize(("block", "size"), [(4096, 1 << 20), (64, 100), (7, 1)])
+def test_long_texts_as_brute_force(block, size):
+    """Any block of bits and any slice of rows gives the same; a row larger than a slice is one of its own."""
     import quire.functions.lcs as L
 
     pairs = [(p, r) for p, r in long_rows() if len(p) * len(r) < 10**7]
-    tokens_of = [[hash(t) for t in p.split()] for p, _ in pairs], [[hash(t) for t in r.split()] for _, r in pairs]
-    import pyarrow as pa
-
-    left, right = (L.Tokens(pa.array(side, pa.list_(pa.int64()))) for side in tokens_of)
+    left, right = (L.tokenized([pair[i] for pair in pairs], str.split) for i in (0, 1))
     sizes = left.sizes + right.sizes
-    assert sum((list(range(a, b)) for a, b in L._slices(sizes, tokens)), []) == list(range(len(pairs)))
-    assert all(sizes[a:b].sum() <= tokens or b == a + 1 for a, b in L._slices(sizes, tokens))
-    for i in range(0, len(pairs), 3):
-        a, b = tokens_of[0][i], tokens_of[1][i]
-        assert L.lcs_len(a, b, block) == pyref.lcs_len_dp(a, b)
+    assert sum((list(range(a, b)) for a, b in L._slices(sizes, size)), []) == list(range(len(pairs)))
+    assert all(sizes[a:b].sum() <= size or b == a + 1 for a, b in L._slices(sizes, size))
+    for p, r in pairs[::3]:
+        assert L.lcs_len(p.split(), r.split(), block) == pyref.lcs_len_dp(p.split(), r.split())
     matches = L.all_clipped_matches(left, right, 4)
-    for i, (a, b) in enumerate(zip(*tokens_of)):
-        assert [m[i] for m in matches] == [L.clipped_matches(a, b, n) for n in (1, 2, 3, 4)]
-
-
-def test_token_pairs_score_as_texts(spark):
-    rows = [*long_rows(), (None, "x y"), ("x y", None)]
-    texts = pairs_df(spark, rows)
-    want = [tuple(r) for r in M.row_scores(texts).orderBy("rid").collect()]
-    paired = M.pair_tokens(texts.select("label", "rid", "prediction"), texts.select("rid", F.col("reference").alias("answer")))
-    assert [tuple(r) for r in M.row_scores(paired).orderBy("rid").collect()] == want
-    for i, (p, r) in enumerate(rows[:30]):
-        assert want[i][2:] == tuple(pyref_row(p, r)), i
+    for i, (p, r) in enumerate(pairs):
+        assert [m[i] for m in matches] == [L.clipped_matches(p.split(), r.split(), n) for n in (1, 2, 3, 4)]
+
+
+def test_row_scores_as_brute_force(spark):
+    rows = [*long_rows()[:30], (None, "x y"), ("x y", None), ("a b", "a b"), ("c", "a b")]
+    got = [tuple(r) for r in M.row_scores(pairs_df(spark, rows)).orderBy("rid").collect()]
+    for i, (p, r) in enumerate(rows):
+        assert got[i][2:] == tuple(pyref_row(p or "", r or "")), i
+
+
+def test_tokens_agree_with_the_native_ones(spark):
+    """The task-side tokenizers, the native expressions and the published rules, on marks, digits and odd spaces."""
+    import random
+
+    from quire.functions.text import tokens_13a, tokens_rouge
+    from quire.functions.tokens import words_13a, words_rouge
+
+    rng = random.Random(8)
+    parts = ["a", "1", "23", ".", ",", ".,", "-", " ", "\n", "-\n", "&amp;", "&quot;", "/", "(", "'", "é", "\x85", "_", "<skipped>", "5.5", "x.", "\u212a", "\u3000", "İ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tokens_13a("t").alias("b"), tokens_rouge("t").alias("r"))
+    for row in df.collect():
+        assert words_13a(row.t) == row.b == pyref.tok13a(row.t), repr(row.t)
+        assert words_rouge(row.t) == row.r, repr(row.t)
 
 
 def pyref_row(p, r):
