@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.lcs import count_matches
 from quire.functions.numeric import py_round
-from quire.functions.text import tokens_13a, tokens_rouge
+from quire.functions.tokens import words_13a, words_rouge
 
 BLEU_ORDER = 4        # fixed value: BLEU's default max n-gram order
 ROUGE_ORDERS = (1, 2)  # fixed value: ROUGE-1 and ROUGE-2
@@ -44,26 +44,14 @@ def pair_predictions(predictions: DataFrame, references: DataFrame, id_col: str
             .select("label", "rid", "prediction", "reference"))
 
 
-_BLEU_KINDS = list(range(1, BLEU_ORDER + 1))
-
-
-def token_ids(df: DataFrame, text_col: str, side: str, bleu: bool = True, rouge: bool = True) -> DataFrame:
-    """Replaces a text by its tokens' 64-bit hashes: ``<side>b`` for BLEU's tokens, ``<side>r`` for ROUGE's.
-
-    Two different tokens of a row share a hash with a chance of 1 in 10**19 a pair.
-    """
-    tokens = ({f"{side}b": tokens_13a(text_col)} if bleu else {}) | ({f"{side}r": tokens_rouge(text_col)} if rouge else {})
-    ids = [F.transform(c, lambda t: F.xxhash64(t)).alias(n) for n, c in tokens.items()]
-    return df.select(*[c for c in df.columns if c != text_col], *ids)
+def pair_stored(predictions: DataFrame, references: DataFrame, id_col: str = "rid", reference_col: str = "answer") -> DataFrame:
+    """E2 for tables bucketed by ``id_col`` into equally many buckets (:mod:`quire.sources.buckets`): no shuffle, one task a bucket."""
+    refs = references.select(F.col(id_col).alias("rid"), F.col(reference_col).alias("reference"))
+    preds = predictions.select("label", F.col(id_col).alias("rid"), "prediction")
+    return preds.join(refs.hint("merge"), "rid").select("label", "rid", "prediction", "reference")
 
 
-def pair_tokens(predictions: DataFrame, references: DataFrame, id_col: str = "rid", reference_col: str = "answer", bleu: bool = True,
-                rouge: bool = True, partitions: int | None = None) -> DataFrame:
-    """E2 on tokens, for :func:`row_scores`: both sides are tokenized before they meet, so a reference is tokenized once for all labels."""
-    preds = token_ids(predictions.select("label", id_col, "prediction"), "prediction", "p", bleu, rouge)
-    refs = token_ids(references.select(id_col, reference_col), reference_col, "r", bleu, rouge)
-    n = partitions or int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return preds.repartition(n, id_col).join(refs.repartition(n, id_col).hint("merge"), id_col).withColumnRenamed(id_col, "rid")
+_BLEU_KINDS = list(range(1, BLEU_ORDER + 1))
 
 
 def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True, lcs: bool = True) -> DataFrame:
@@ -71,15 +59,13 @@ def row_scores(pairs: DataFrame, bleu: bool = True, rouge: bool = True, lcs: boo
 
     ``h<n>`` are clipped BLEU n-gram matches, ``hr<n>`` clipped ROUGE-N
     matches, ``plen``/``rlen`` token counts (the unigram totals).  ``bleu``,
-    ``rouge`` and ``lcs`` choose what is counted; the others are 0.  Pairs come
-    with texts (:func:`pair_predictions`) or tokens (:func:`pair_tokens`).
+    ``rouge`` and ``lcs`` choose what is counted; the others are 0.  Rows of
+    one reference that follow each other, as the pairing leaves them, share its tokens.
     """
-    if "prediction" in pairs.columns:
-        pairs = token_ids(pairs.select("label", "rid", "prediction", "reference"), "prediction", "p", bleu, rouge or lcs)
-        pairs = token_ids(pairs, "reference", "r", bleu, rouge or lcs)
-    grams = ({("pb", "rb"): [f"h{n}" for n in _BLEU_KINDS]} if bleu else {}) | ({("pr", "rr"): [f"hr{n}" for n in ROUGE_ORDERS]} if rouge else {})
-    counted = count_matches(pairs, ["label", "rid"], grams, {"lcs": ("pr", "rr")} if lcs else {})
-    sizes = {"plen_b": "n_pb", "rlen_b": "n_rb", "plen_r": "n_pr", "rlen_r": "n_rr"}
+    tokenizers = ({"b": words_13a} if bleu else {}) | ({"r": words_rouge} if rouge or lcs else {})
+    grams = ({"b": [f"h{n}" for n in _BLEU_KINDS]} if bleu else {}) | ({"r": [f"hr{n}" for n in ROUGE_ORDERS]} if rouge else {})
+    counted = count_matches(pairs, ["label", "rid"], ("prediction", "reference"), tokenizers, grams, {"lcs": "r"} if lcs else {})
+    sizes = {"plen_b": "n_left_b", "rlen_b": "n_right_b", "plen_r": "n_left_r", "rlen_r": "n_right_r"}
     zero = F.lit(0).cast("long")
     values = [f"h{n}" for n in _BLEU_KINDS] + [f"hr{n}" for n in ROUGE_ORDERS] + ["lcs"]
     return counted.select(

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions.subwords import MAX_PIECES, SubwordCounter
 from quire.functions.text import word_count
 
 DEFAULT_MAX_LENGTH = 512  # fixed value: the reference's token limit
@@ -107,23 +108,21 @@ def token_lengths(df: DataFrame, text_col: str = "text", out_col: str = "n_token
     return df.withColumn(out_col, fn(F.col(text_col)).cast("long"))
 
 
-def tokenizer_counter(tokenizer_file: str) -> Callable[[Column], Column]:
+def tokenizer_counter(tokenizer_file: str, max_pieces: int = MAX_PIECES) -> Callable[[Column], Column]:
     """A T1 counter backed by a ``tokenizers`` JSON file.
 
     The file is read once per task by an iterator pandas UDF (Arrow batches);
-    the file must be readable from every executor (a shared path).
+    the file must be readable from every executor (a shared path).  Pieces of
+    text are encoded once and their counts kept in a table of bounded size (:mod:`quire.functions.subwords`).
     """
     from pyspark.sql.functions import pandas_udf
     from pyspark.sql.types import LongType
 
     @pandas_udf(LongType())
     def count_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_file)
+        counter = SubwordCounter(tokenizer_file, max_pieces)
         for texts in batches:
-            enc = tok.encode_batch(texts.fillna("").tolist())
-            yield pd.Series([len(e.ids) for e in enc], dtype="int64")
+            yield pd.Series(list(counter.counts(texts)), dtype="int64")
 
     return count_tokens
 

@@ -17,8 +17,8 @@ from quire.operators import metrics as M
 from quire.operators import split as D
 from quire.operators.bootstrap import rouge_bootstrap
 from quire.operators.predict import PredictorFactory, predict
-from quire.session import remove_path, scratch_path
 from quire.sources import jsonl as J
+from quire.sources.buckets import drop_buckets, one_task_a_bucket, write_buckets
 
 
 @dataclass
@@ -29,12 +29,12 @@ class Evaluation:
     metrics: DataFrame      # E6
     comparison: DataFrame   # E7
     rouge_limits: DataFrame  # bootstrap of ROUGE: low, mid and high by label and metric
-    scratch: list[str] = field(default_factory=list)  # tables written on the way
+    scratch: list[str] = field(default_factory=list)  # names of tables written on the way
 
     def cleanup(self) -> None:
         """Deletes the written tables; the DataFrames above cannot be read after it."""
-        for path in self.scratch:
-            remove_path(self.sample.sparkSession, path)
+        for table in self.scratch:
+            drop_buckets(self.sample.sparkSession, table)
         self.scratch.clear()
 
 
@@ -46,27 +46,30 @@ def evaluate_rows(test: DataFrame, predictors: Mapping[str, PredictorFactory], n
     ``dense`` says that positions are consecutive, as those of a split are; the
     head is then a filter.
 
-    With ``materialize`` the predictions are written once to the shared
+    With ``materialize`` the sample and the predictions are written once to the shared
     checkpoint folder and scored from there: model inference is the costly
     step, the scoring reads predictions in two branches, and a model need not
-    be deterministic for a recomputed task to agree with the first run.
+    be deterministic for a recomputed task to agree with the first run.  Both are
+    bucketed by position, so the sample is shuffled once, when it is written, and
+    pairing needs no shuffle.
     """
     sample = D.head_sample(test, n_samples, order_col, dense) if n_samples is not None else test
     # Rows are identified by their stored position: unique within a split
     # even when line numbers repeat across input files.
-    keyed = sample.select(F.col(order_col).alias("rid"), "question", "answer")
-    preds = predict(keyed, predictors)
+    keyed = sample.select(F.col(order_col).cast("long").alias("rid"), "question", "answer")
     scratch = []
     if materialize:
-        # The sample too: it feeds every predictor and the pairing.
-        spark = preds.sparkSession
-        scratch += [scratch_path(spark, "sample"), scratch_path(spark, "predictions")]
-        keyed.write.parquet(scratch[0])
-        keyed = spark.read.parquet(scratch[0])
+        spark = test.sparkSession
         parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        predict(keyed.repartition(parts, "rid"), predictors).write.parquet(scratch[1])
-        preds = spark.read.parquet(scratch[1])
-    pairs = M.pair_predictions(preds, keyed)
+        scratch.append(write_buckets(keyed, "rid", parts, "sample"))
+        keyed = spark.table(scratch[0])
+        with one_task_a_bucket(spark):
+            scratch.append(write_buckets(predict(keyed, predictors), "rid", parts, "predictions", dealt=True))
+        preds = spark.table(scratch[1])
+        pairs = M.pair_stored(preds, keyed)
+    else:
+        preds = predict(keyed, predictors)
+        pairs = M.pair_predictions(preds, keyed)
     table = M.metric_table(pairs)
     limits = rouge_bootstrap(M.row_scores(pairs, bleu=False))
     labels = list(predictors)

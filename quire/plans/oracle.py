@@ -453,4 +453,10 @@ ORACLE: dict[str, str] = {
     "d2_dense_split": f"{with_(DOCS, dense_positions(), SPLIT)} SELECT rid, pos, split, record FROM split JOIN records USING (rid)",
     "d4_dense_trainval": f"""{with_(DOCS, dense_positions('train_test_split'))}
       SELECT rid, pos, CASE WHEN pos < ceil(n * CAST(0.1 AS DOUBLE)) THEN 'val' ELSE 'train' END AS split, record FROM pos JOIN records USING (rid)""",
+    "e2_stored_pairs": f"{_E2} SELECT label, rid, prediction, reference FROM e2",
+    "p1_model_chat": f"""{with_(DOCS)}, m AS (SELECT rid, question AS q, answer AS a, {lit(PR.PROFILE_SYSTEM_PROMPT)} AS s, chr(10) AS n FROM docs_clean)
+      SELECT rid, 'marked' AS template, '<|im_start|>system' || n || s || '<|im_end|>' || n || '<|im_start|>user' || n || q || '<|im_end|>' || n
+        || '<|im_start|>assistant' || n || a || '<|im_end|>' || n AS text FROM m
+      UNION ALL SELECT rid, 'headed', {chat_text(PR.PROFILE_SYSTEM_PROMPT)} FROM docs_clean
+      UNION ALL SELECT rid, 'tagged', '<|system|>' || n || s || '</s>' || n || '<|user|>' || n || q || '</s>' || n || '<|assistant|>' || n || a || '</s>' || n FROM m""",
 }

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.template import ModelTemplate
 from quire.operators import metrics as M
 from quire.operators import profile as P
 from quire.operators import prompts as PR
@@ -25,6 +26,7 @@ from quire.plans.file_queries import FILE_QUERIES
 from quire.plans.inputs import doc_clean, doc_pairs, lines, pairs, predictions, scored_pairs, validated
 from quire.session import ensure_conf, scratch_path
 from quire.sources import tables as T
+from quire.sources.buckets import write_buckets
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -135,6 +137,27 @@ def p3_chat_train(spark, sf):
     return PR.train_chat(pairs(spark, sf)).select("rid", "text")
 
 
+# Chat templates of three shapes that public models carry (fixed values).
+TEMPLATES = {
+    "marked": ("{% for message in messages %}{{'<|im_start|>' + message['role'] + '\\n' + message['content'] + '<|im_end|>' + '\\n'}}{% endfor %}", {}),
+    "headed": ("{% set loop_messages = messages %}{% for message in loop_messages %}{% set content = '<|start_header_id|>' + message['role'] + "
+               "'<|end_header_id|>\\n\\n' + message['content'] | trim + '<|eot_id|>' %}{% if loop.index0 == 0 %}"
+               "{% set content = bos_token + content %}{% endif %}{{ content }}{% endfor %}", {"bos_token": "<|begin_of_text|>"}),
+    "tagged": ("{% for message in messages %}\n{% if message['role'] == 'user' %}\n{{ '<|user|>\\n' + message['content'] + eos_token }}\n"
+               "{% elif message['role'] == 'system' %}\n{{ '<|system|>\\n' + message['content'] + eos_token }}\n"
+               "{% elif message['role'] == 'assistant' %}\n{{ '<|assistant|>\\n' + message['content'] + eos_token }}\n{% endif %}\n{% endfor %}",
+               {"eos_token": "</s>"}),
+}
+
+
+def p1_model_chat(spark, sf):
+    """P1 by models' own templates, over whole documents."""
+    docs = doc_clean(spark, sf)
+    texts = [PR.profile_chat(docs, ModelTemplate(source, names)).select("rid", F.lit(name).alias("template"), "text")
+             for name, (source, names) in TEMPLATES.items()]
+    return texts[0].unionByName(texts[1]).unionByName(texts[2])
+
+
 def p4_infer(spark, sf):
     return PR.inference_prompt(pairs(spark, sf)).select("rid", "prompt")
 
@@ -151,6 +174,14 @@ def t1_tokens(spark, sf):
     return chat_lengths(pairs(spark, sf))
 
 
+def t1_subword(spark, sf, tokenizer: str = "byte_bpe_50k.json"):
+    """T1 by a subword tokenizer over whole document texts."""
+    import public_tokenizers
+
+    docs = T.table(spark, sf, "documents").select(F.col("doc_id").alias("rid"), "text")
+    return P.token_lengths(docs, counter=P.tokenizer_counter(public_tokenizers.path(tokenizer))).select("rid", "n_tokens")
+
+
 def t2_overlimit(spark, sf):
     return P.flag_over_limit(chat_lengths(pairs(spark, sf)))
 
@@ -237,6 +268,13 @@ def e2_pairs(spark, sf):
     return scored_pairs(spark, sf)
 
 
+def e2_stored_pairs(spark, sf):
+    """E2 without a shuffle: both sides stored in buckets of ``rid``."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    preds, refs = write_buckets(predictions(spark, sf), "rid", n, "predictions"), write_buckets(pairs(spark, sf), "rid", n, "references")
+    return M.pair_stored(spark.table(preds), spark.table(refs))
+
+
 def e3_bleu(spark, sf):
     b = M.bleu(scored_pairs(spark, sf))
     return b.select("label", _r("bleu", "bleu"), _r("brevity_penalty", "brevity_penalty"),
@@ -262,21 +300,20 @@ def e6_metrics(spark, sf):
     return M.metric_table(scored_pairs(spark, sf)).select("label", *M.METRICS)
 
 
-def _doc_scores(spark, sf, **kinds):
-    """Predictions and references (whole documents) as tokens, tokenized before they are paired."""
+def scored_docs(spark, sf):
+    """E2 on long texts: the answers are whole documents."""
     long_pairs = doc_clean(spark, sf).select("rid", "question", "answer")
-    preds = T.predictions_fixture(long_pairs).select("label", "rid", "prediction")
-    return M.pair_tokens(preds, long_pairs, **kinds)
+    return M.pair_predictions(T.predictions_fixture(long_pairs).select("label", "rid", "prediction"), long_pairs)
 
 
 def e5_doc_rouge_l(spark, sf):
     """E5 over whole documents.  SQL cannot score texts of this length; a test holds it against brute force."""
-    return M.rouge_l(_doc_scores(spark, sf, bleu=False)).select("label", _r("rougeL", "rougeL"))
+    return M.rouge_l(scored_docs(spark, sf)).select("label", _r("rougeL", "rougeL"))
 
 
 def e6_doc_metrics(spark, sf):
-    """E6 over long texts: the answers are whole documents; their ROUGE-L is ``e5_doc_rouge_l``."""
-    return M.metric_table(_doc_scores(spark, sf), lcs=False).select("label", "bleu", "rouge1", "rouge2")
+    """E6 over long texts; their ROUGE-L is ``e5_doc_rouge_l``."""
+    return M.metric_table(scored_docs(spark, sf), lcs=False).select("label", "bleu", "rouge1", "rouge2")
 
 
 def e7_compare(spark, sf):
@@ -287,9 +324,9 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in [
         s1_doc_lines, s2_strict_json, s2_doc_json, v2_doc_json, v1_reasons, v1_doc_reasons, v2_clean, v2_doc_clean, v3_rejects, v4_first_rejects,
         a1_counts, a2_domains, a2_doc_domains, a3_lengths, a3_doc_lengths, a4_report,
-        p1_chat_profile, p2_plain, p3_chat_train, p4_infer, p5_strip,
-        t1_tokens, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
+        p1_chat_profile, p2_plain, p3_chat_train, p1_model_chat, p4_infer, p5_strip,
+        t1_tokens, t1_subword, t2_overlimit, t3_report, t3_doc_report, t4_p95, t4_doc_answer_p95,
         d1_shuffle, d2_split, d3_sizes, d4_trainval, d5_head, d1_dense_shuffle, d2_dense_split, d4_dense_trainval,
-        e1_predict, e2_pairs, e3_bleu, e4_rouge_n, e4_rouge_bootstrap, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
+        e1_predict, e2_pairs, e2_stored_pairs, e3_bleu, e4_rouge_n, e4_rouge_bootstrap, e5_rouge_l, e5_doc_rouge_l, e6_metrics, e6_doc_metrics, e7_compare,
     ]
 } | FILE_QUERIES
