@@ -23,7 +23,7 @@ MAX_PIECE_CHARS = 64     # longer pieces are rare and large, so they are not kep
 CHUNK_CHARS = 1 << 21
 
 # White space as Unicode defines it (fixed values).
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 
 
