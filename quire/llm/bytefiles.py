@@ -17,6 +17,6 @@ def write_records(df: DataFrame, path: str, column: str, separator: str) -> None
     df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").option("lineSep", separator).text(path)
 
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, content)``: each whole file as one row."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+def read_files(spark: SparkSession, path: str, names: str = "part-*") -> DataFrame:
+    """``(path, content)``: each whole file under ``path`` whose name fits the pattern ``names``, as one row."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("path", "content")

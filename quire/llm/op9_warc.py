@@ -6,15 +6,19 @@ equal payloads the one with the smallest id is a ``response``, the others are
 identical-payload-digest of the WARC 1.1 standard).
 
 Reader: files are read by Spark as whole byte strings and parsed member by
-member.  A member is accepted after its checks: the gzip checksum, the WARC
-version line, the header fields, the content length, and the block digest.
-After a failed check the reader goes on one byte later and searches for the
+member.  It takes any valid WARC 1.0 or 1.1 archive: all record types, any
+record ids, compressed by record, as a whole or not, with or without digests,
+with fields it does not know (kept in ``fields``).  A record is accepted after
+its checks: the gzip checksum, the WARC version line, the four fields that each
+record must have, the content length, and its block digest if it has one of a
+known kind.  After a failed check the reader goes on one byte later and searches for the
 next place that may start a record: a gzip member or, in files or stretches
 that are not compressed, a version line.  Bytes passed over are logged as a
-gap: (file, offset, length, reason).  So one damaged record costs that record.
+gap: (file, offset, length, reason).  So one damaged record costs that record;
+in a member of several records, those before it are kept and the rest of the member is the gap.
 
 A file's size is bounded by the writer (``FILE_BYTES`` of payload), so a file
-fits into a task.
+fits into a task; what a member unpacks to is bounded by ``MEMBER_BYTES``, and a larger one is a gap.
 """
 
 from __future__ import annotations
@@ -40,12 +44,16 @@ SALTS = 16                # parts into which the rows of one payload are dealt
 GZIP = b"\x1f\x8b\x08"
 EMPTY_MEMBER = zlib.compress(b"", wbits=31)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+MEMBER_BYTES = 1 << 30
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
+HASHES = {"sha1": hashlib.sha1, "md5": hashlib.md5, "sha256": hashlib.sha256}
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 # Every record is dated alike, so that a rerun writes the same bytes.
 DATE = "2000-01-01T00:00:00Z"
 
-RECORD_SCHEMA = ("file string, offset bigint, record_type string, page_id bigint, url string, payload_bytes bigint, "
-                 "payload_digest string, refers_to bigint, payload binary, gap_bytes bigint, reason string")
+COLUMNS = {"file": "string", "offset": "bigint", "record_type": "string", "record_id": "string", "date": "string", "page_id": "bigint", "url": "string",
+           "payload_bytes": "bigint", "payload_digest": "string", "refers_to": "bigint", "refers_to_id": "string", "payload": "binary",
+           "fields": "map<string,string>", "gap_bytes": "bigint", "reason": "string"}
 
 
 def sha1_base32(data: bytes) -> str:
@@ -135,80 +143,127 @@ class Damaged(Exception):
     """A check failed; the message names it."""
 
 
-def _unpack(content: bytes, at: int) -> tuple[bytes, int]:
+def _unpack(content: bytes, at: int, limit: int) -> tuple[bytes, int]:
     """The data of the gzip member at ``at`` and the offset behind it."""
-    d, view, fed = zlib.decompressobj(31), memoryview(content), at
+    d, view, fed, size = zlib.decompressobj(31), memoryview(content), at, 0
     parts = []
     try:
         while not d.eof:
             if fed >= len(content):
                 raise Damaged("truncated member")
             chunk = view[fed:fed + 65536]
-            parts.append(d.decompress(chunk))
+            parts.append(d.decompress(chunk, limit + 1 - size))
+            size += len(parts[-1])
+            if size > limit:
+                raise Damaged("member too large")
             fed += len(chunk)
     except zlib.error as e:
         raise Damaged("gzip check") from e
     return b"".join(parts), fed - len(d.unused_data)
 
 
-def _record(data: bytes, at: int, alone: bool) -> tuple[dict, int]:
-    """The record at ``at`` as a row, and the offset behind it; ``alone``: it must end with ``data``."""
+def _digest_fits(stated: str, block: bytes) -> bool:
+    """False if a digest of a known kind, in base 32 or hex, is not the block's."""
+    kind, _, value = stated.partition(":")
+    if kind.lower() not in HASHES:
+        return True
+    digest = HASHES[kind.lower()](block)
+    if len(value) == 2 * digest.digest_size:
+        return value.lower() == digest.hexdigest()
+    return value.upper().rstrip("=") == base64.b32encode(digest.digest()).decode().rstrip("=")
+
+
+def _page(record_id: str | None) -> int | None:
+    found = re.fullmatch(r"<urn:page:(-?\d+)>", record_id or "")
+    return int(found[1]) if found else None
+
+
+def _payload(kind: str, head: dict[str, str], block: bytes) -> bytes | None:
+    """What a record carries: of an HTTP response what follows its header, else the block; nothing for a revisit."""
+    if kind == "revisit":
+        return None
+    if kind == "response" and head.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        return block[block.find(b"\r\n\r\n") + 4:] if b"\r\n\r\n" in block else b""
+    return block
+
+
+def _record(data: bytes, at: int) -> tuple[dict, int]:
+    """The record at ``at`` as a row, and the offset behind it."""
     end = data.find(b"\r\n\r\n", at)
-    if not START.match(data, at) or end < 0 or START.search(data, at + 1, end):
+    if not START.match(data, at) or data.startswith(GZIP, at) or end < 0 or START.search(data, at + 1, end):
         raise Damaged("version line or header")
-    lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+    # A line that begins with white space goes on with the field before it.
+    lines = re.sub(r"\r\n[ \t]+", " ", data[at:end].decode("utf-8", "replace")).split("\r\n")[1:]
     head = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-    try:
-        length, payload_bytes = int(head["content-length"]), int(head["x-payload-length"])
-        ids = [head[k].removeprefix("<urn:page:").removesuffix(">") if k in head else "" for k in ("warc-record-id", "warc-refers-to")]
-        page_id, refers_to = (int(x) if x else None for x in ids)
-        kind, digest, block_digest = head["warc-type"], head["warc-payload-digest"], head["warc-block-digest"]
-    except (KeyError, ValueError) as e:
-        raise Damaged("header fields") from e
+    if any(not head.get(k) for k in REQUIRED) or not head["content-length"].isdecimal():
+        raise Damaged("header fields")
+    length = int(head["content-length"])
     block, stop = data[end + 4:end + 4 + length], end + 8 + length
-    if length < 0 or data[stop - 4:stop] != b"\r\n\r\n" or (alone and stop != len(data)):
+    if data[stop - 4:stop] != b"\r\n\r\n" or len(block) != length:
         raise Damaged("content length")
-    if block_digest != f"sha1:{sha1_base32(block)}":
+    if not _digest_fits(head.get("warc-block-digest", ""), block):
         raise Damaged("block digest")
-    url = head.get("warc-target-uri")
-    return {"record_type": kind, "page_id": page_id, "url": None if url is None else _plain(url), "payload_bytes": payload_bytes,
-            "payload_digest": digest.removeprefix("sha1:"), "refers_to": refers_to,
-            "payload": block if kind == "response" else None}, stop
-
-
-def salvage(content: bytes) -> Iterator[dict]:
+    kind, ours = head["warc-type"].lower(), head.get("x-payload-length", "").isdecimal()
+    payload, url, digest = _payload(kind, head, block), head.get("warc-target-uri"), head.get("warc-payload-digest")
+    size = int(head["x-payload-length"]) if ours else None if payload is None else len(payload)
+    if digest is None and payload is not None:
+        digest = sha1_base32(payload)
+    return {"record_type": kind, "record_id": head["warc-record-id"], "date": head["warc-date"], "page_id": _page(head["warc-record-id"]),
+            "url": _plain(url) if ours and url is not None else url.strip("<>") if url is not None else None, "payload_bytes": size,
+            "payload_digest": digest.removeprefix("sha1:") if digest is not None else None, "refers_to": _page(head.get("warc-refers-to")),
+            "refers_to_id": head.get("warc-refers-to"), "payload": payload, "fields": list(head.items())}, stop
+
+
+def _records(data: bytes) -> Iterator[dict]:
+    """The records of a member's data, which must fill it."""
+    at = 0
+    while at < len(data):
+        row, at = _record(data, at)
+        yield row
+
+
+def salvage(content: bytes, member_bytes: int = MEMBER_BYTES) -> Iterator[dict]:
     """The valid records of a file and its gaps, by offset.  Every byte is in a record, an empty member or a gap."""
     at, bad, reason = 0, None, None
     while at < len(content):
+        rows, failed, stop = [], None, None
         try:
             if content.startswith(GZIP, at):
-                data, stop = _unpack(content, at)
-                row = _record(data, 0, True)[0] if data else None
+                data, stop = _unpack(content, at, member_bytes)
+                for row in _records(data):
+                    rows.append(row)
             elif START.match(content, at):
-                row, stop = _record(content, at, False)
+                row, stop = _record(content, at)
+                rows.append(row)
             else:
                 raise Damaged("no record starts here")
         except Damaged as e:
-            if bad is None:
-                bad, reason = at, str(e)
-            found = START.search(content, at + 1)
-            at = found.start() if found else len(content)
+            failed = str(e)
+        if rows or failed is None:
+            if bad is not None:
+                yield {"offset": bad, "gap_bytes": at - bad, "reason": reason}
+                bad = None
+            yield from (row | {"offset": at} for row in rows)
+            if failed is not None:   # the member's records before the damage are kept, its rest cannot be told apart in the file
+                yield {"offset": at, "gap_bytes": stop - at, "reason": f"{failed} after {len(rows)} records"}
+            at = stop
             continue
-        if bad is not None:
-            yield {"offset": bad, "gap_bytes": at - bad, "reason": reason}
-            bad = None
-        if row is not None:
-            yield row | {"offset": at}
-        at = stop
+        if bad is None:
+            bad, reason = at, failed
+        found = START.search(content, at + 1)
+        at = found.start() if found else len(content)
     if bad is not None:
         yield {"offset": bad, "gap_bytes": len(content) - bad, "reason": reason}
 
 
-def read_warc(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int = 16 << 20) -> DataFrame:
-    """One row per record and one per gap (``record_type`` null) of the WARC files under ``path``; see RECORD_SCHEMA."""
-    names = [c.strip().split(" ")[0] for c in RECORD_SCHEMA.split(",")]
-    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
-    fields = pa.schema([(n, kinds[c.strip().split(" ")[1]]) for n, c in zip(names, RECORD_SCHEMA.split(","), strict=True)])
+def read_warc(spark: SparkSession, path: str, payloads: bool = True, batch_bytes: int = 16 << 20, names: str = "part-*") -> DataFrame:
+    """One row per record and one per gap (``record_type`` null) of the files ``names`` under ``path``; see COLUMNS.
+
+    ``page_id`` and ``refers_to`` are numbers in ids that this module writes, else null; ``fields`` has all header
+    fields, names in lower case.  A record without a payload digest gets its payload's SHA-1.
+    """
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "map<string,string>": pa.map_(pa.string(), pa.string())}
+    fields = pa.schema([(n, kinds[kind]) for n, kind in COLUMNS.items()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,7 +278,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True, batch_bytes
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, fields)
 
-    return read_files(spark, path).mapInArrow(run, RECORD_SCHEMA)
+    return read_files(spark, path, names).mapInArrow(run, ", ".join(f"{n} {kind}" for n, kind in COLUMNS.items()))
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:

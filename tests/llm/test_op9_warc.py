@@ -117,3 +117,94 @@ def test_small_payloads_may_stay_whole_and_empty_tables(spark, pages, tmp_path):
     assert {r.record_type for r in got} == {"response"}
     op.write_warc(spark.createDataFrame([], SCHEMA), str(tmp_path / "b"))
     assert op.read_warc(spark, str(tmp_path / "b")).count() == 0
+
+
+def foreign(kind, body, version="1.0", digest=None, **fields):
+    """A record as other software writes it."""
+    head = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{hashlib.md5(body + kind.encode()).hexdigest()}>", "WARC-Date": "2020-02-02T02:02:02Z",
+            **{k.replace("_", "-"): v for k, v in fields.items()}, "Content-Length": str(len(body))}
+    if digest:
+        head["WARC-Block-Digest"] = digest(body)
+    return f"WARC/{version}\r\n".encode() + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + body + b"\r\n\r\n"
+
+
+DIGESTS = [None, lambda b: "sha1:" + op.sha1_base32(b), lambda b: "sha1:" + hashlib.sha1(b).hexdigest(), lambda b: "SHA256:" + hashlib.sha256(b).hexdigest(),
+           lambda b: "md5:" + hashlib.md5(b).hexdigest().upper(), lambda b: "crc:whatever"]
+PAGE = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>page \xc3\xa9</p>\r\n\r\n"
+
+
+def archive(version, digest):
+    return [foreign("warcinfo", b"software: other\r\n", version, digest, Content_Type="application/warc-fields", X_Own="kept"),
+            foreign("request", b"GET / HTTP/1.1\r\n\r\n", version, digest, WARC_Target_URI="http://h/%25a", Content_Type="application/http; msgtype=request"),
+            foreign("response", PAGE, version, digest, WARC_Target_URI="<http://h/%25a>", Content_Type="application/http; msgtype=response"),
+            foreign("revisit", b"HTTP/1.1 304 Not\r\n modified\r\n\r\n", version, digest, WARC_Refers_To="<urn:uuid:1>", WARC_Profile="x\r\n  folded", WARC_Payload_Digest="sha1:ABC"),
+            foreign("metadata", b"", version, digest), foreign("resource", b"WARC/1.0\r\n not a record", version, digest, Content_Type="text/plain")]
+
+
+@pytest.mark.parametrize("packed", ["no", "records", "whole"])
+@pytest.mark.parametrize("digest", DIGESTS)
+@pytest.mark.parametrize("version", ["1.0", "1.1"])
+def test_archives_of_other_software(version, digest, packed):
+    import gzip
+
+    records = archive(version, digest)
+    content = {"no": b"".join(records), "records": b"".join(map(gzip.compress, records)), "whole": gzip.compress(b"".join(records))}[packed]
+    rows = list(op.salvage(content))
+    assert [r.get("record_type") for r in rows] == ["warcinfo", "request", "response", "revisit", "metadata", "resource"]
+    info, request, response, revisit, metadata, resource = rows
+    assert dict(info["fields"])["x-own"] == "kept" and info["page_id"] is None and info["record_id"].startswith("<urn:uuid:")
+    assert request["url"] == response["url"] == "http://h/%25a"
+    assert response["payload"] == PAGE.split(b"\r\n\r\n", 1)[1] and response["payload_bytes"] == len(response["payload"])
+    assert response["payload_digest"] == op.sha1_base32(response["payload"])
+    assert (revisit["payload"], revisit["payload_bytes"], revisit["payload_digest"], revisit["refers_to_id"]) == (None, None, "ABC", "<urn:uuid:1>")
+    assert dict(revisit["fields"])["warc-profile"] == "x folded" and metadata["payload"] == b"" and resource["payload"].startswith(b"WARC/1.0")
+
+
+@pytest.mark.parametrize("digest", DIGESTS[1:5])
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_damaged_foreign_record_costs_itself(digest, packed):
+    import gzip
+
+    records = archive("1.0", digest)
+    for hit in range(len(records)):
+        bad = bytearray(records[hit])
+        at = bytes(bad).find(b"\r\n\r\n") + 4 if hit != 4 else 5   # the block's first byte; the empty block's version
+        bad[at] ^= 0x20
+        if not packed:
+            parts = [*records[:hit], bytes(bad), *records[hit + 1:]]
+        else:
+            parts = [gzip.compress(x) for x in records]
+            parts[hit] = parts[hit][:-6] + b"\0\0" + parts[hit][-4:]
+        rows = list(op.salvage(b"".join(parts)))
+        kinds = ["warcinfo", "request", "response", "revisit", "metadata", "resource"]
+        assert [r["record_type"] for r in rows if "record_type" in r] == kinds[:hit] + kinds[hit + 1:]
+        assert sum(r["gap_bytes"] for r in rows if "gap_bytes" in r) == len(parts[hit])
+
+
+def test_a_member_of_several_records_keeps_those_before_the_damage():
+    import gzip
+
+    records = archive("1.1", DIGESTS[1])
+    bad = gzip.compress(b"".join([*records[:3], records[3].replace(b"304", b"305"), *records[4:]]))
+    rows = list(op.salvage(bad + gzip.compress(records[0])))
+    assert [r.get("record_type") for r in rows] == ["warcinfo", "request", "response", None, "warcinfo"]
+    assert rows[3]["gap_bytes"] == len(bad) and "block digest" in rows[3]["reason"]
+
+
+def test_missing_fields_and_large_members():
+    import gzip
+
+    for field in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"):
+        record = foreign("resource", b"x").replace(field.encode(), b"X-Other")
+        (row,) = op.salvage(record)
+        assert row["reason"] == "header fields" and row["gap_bytes"] == len(record)
+    packed = gzip.compress(foreign("resource", b"y" * 100_000))
+    assert [r.get("reason") for r in op.salvage(packed, 50_000)][0] == "member too large"
+    assert [r.get("record_type") for r in op.salvage(packed + packed)] == ["resource", "resource"]
+
+
+def test_files_of_other_names(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(b"".join(archive("1.0", None)) + b"tail")
+    rows = op.read_warc(spark, str(tmp_path), names="*.warc").orderBy("offset").collect()
+    assert [r.record_type for r in rows] == ["warcinfo", "request", "response", "revisit", "metadata", "resource", None]
+    assert rows[0].fields["x-own"] == "kept" and rows[-1].gap_bytes == 4 and rows[2].date == "2020-02-02T02:02:02Z"
