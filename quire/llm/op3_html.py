@@ -2,20 +2,27 @@
 
 A page is read tag by tag: block-level tags end lines, other markup goes, and
 character references are decoded.  Each line has a weight, its text's length
-outside links, without white space.  Lines of menus, page headers, footers,
-sidebars, notices, adverts, forms and reader comments weigh nothing and keep no
-text; they are known by their element, or by a word of its class, id or role (not headings; an
-``article`` only where it is a reader's comment).  A dropped element whose end
-tag may be left out ends where HTML says.
-
-Where a page has an ``article`` or ``main`` element with text outside links,
-its lines are the main text, those of links too, and no others.
-
-On other pages the block distribution decides.  It is the sum of weights over a window of ``WINDOW``
-lines.  A surge is a line with weight whose window sum reaches the threshold,
-a share of the page's largest sum but ``ENOUGH`` characters at most; the dive behind it is the first line whose
+outside links, without white space, and the block distribution is the sum of
+weights over a window of ``WINDOW`` lines.  A surge is a line with weight whose
+window sum reaches the threshold, a share of the page's largest sum but
+``ENOUGH`` characters at most; the dive behind it is the first line whose
 window sum is zero.  The text from surge to dive is kept, together with lines
 of weight right before the surge, such as a title.
+
+Elements and names set weights, and the distribution decides on every page:
+
+- Where an ``article`` or ``main`` element holds text outside links, its lines
+  weigh ``ENOUGH`` at least, those of links too, and lines outside weigh nothing.
+- Lines of menus, page headers, footers, sidebars, notices, adverts, forms and
+  reader comments weigh nothing.  They are known by their element, or by their
+  class, id or role (not headings; an ``article`` only where it is a reader's
+  comment), if it is made up of words for such parts.  A dropped element whose
+  end tag may be left out ends where HTML says.
+- A name that only holds such a word beside others (``related-work``) or names
+  a part that may be anything (``widget``) is no more than a hint: its element
+  weighs nothing unless it has running text of its own (:func:`_is_text`).
+- An ``article`` whose heading is all link weighs nothing beside one that holds over
+  ``TEASER`` times its text: it only points to another page.
 """
 
 from __future__ import annotations
@@ -24,6 +31,8 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +41,10 @@ from pyspark.sql import functions as F
 WINDOW = 3
 THRESHOLD = 0.1           # of the page's largest window sum
 ENOUGH = 40               # a window sum that reaches the threshold on any page: about a sentence
+RUNNING = 20              # characters outside links that make running text of a part in an article
+MUCH = 200                # and of one on a page without an article
+TEASER = 4
+HINT_DEPTH = 4            # each level reads its text once more
 
 # HTML element names and common names of page parts.
 BLOCK_TAGS = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption
@@ -40,11 +53,19 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body br button captio
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style noscript template textarea title svg math iframe object".split())
 DROPPED_TAGS = frozenset("nav footer aside form menu dialog button select head".split())
-DROPPED_WORDS = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies
-    disqus footer masthead menu modal nav navbar navigation newsletter notice pagination pager popup promo related reply replies share sharing
-    sidebar signup social sponsor sponsored subscribe toolbar widget widgets""".split())
+# Words that name such a part wherever they stand in a name, words that do so where the rest of the name says nothing else, and
+# those that may also be around a page's text.
+PART_WORDS = frozenset("""ad ads advert advertisement advertising adverts breadcrumb breadcrumbs consent cookie cookies disqus nav navbar pager
+    pagination sponsor sponsored""".split())
+DROPPED_WORDS = PART_WORDS | frozenset("""comment comments footer masthead menu navigation newsletter notice related reply replies share sharing
+    sidebar signup social subscribe""".split())
+LOOSE_WORDS = frozenset("banner modal popup promo toolbar widget widgets".split())
+SAY_NOTHING = frozenset("""area article articles author bar block body bottom box button buttons close container content count date footer form header heading
+    icon icons inline inner item items left link links list main message meta outer overlay panel post posts primary row section secondary
+    slot small sticky stories story text thread title top unit view wrap wrapper""".split())
 ONLY_SAY = frozenset("has no with without".split())   # first words of names that say whether a part exists
 COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[-_]?\d+)?")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 DROPPED_NAMES = frozenset("header site-header page-header top-bar topbar complementary contentinfo search".split())
 
 # Elements whose end tag may be left out, and the start tags that end them.
@@ -58,34 +79,71 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^\"'<>]+
 NAME = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 
-def _dropped(tag: str, attributes: str, inside: bool) -> bool:
+KEPT, HINT, LOOSE, DROPPED = range(4)
+
+
+def _named(name: str) -> int:
+    """What a class, id or role says of its element."""
+    words = re.split(r"[-_]+", name)
+    if words[0] in ONLY_SAY:
+        return KEPT
+    if name in DROPPED_NAMES or not PART_WORDS.isdisjoint(words):
+        return DROPPED
+    if DROPPED_WORDS.isdisjoint(words) and LOOSE_WORDS.isdisjoint(words):
+        return KEPT
+    if all(w in DROPPED_WORDS or w in LOOSE_WORDS or w in SAY_NOTHING or w.isdecimal() or not w for w in words):
+        return DROPPED if not DROPPED_WORDS.isdisjoint(words) else LOOSE
+    return HINT
+
+
+def _dropped(tag: str, attributes: str, inside: bool) -> int:
     """Whether an element is a part of the page that is not its main text.  ``inside``: within article or main."""
     if tag in ("html", "body", "main", "h1", "h2", "h3", "h4", "h5", "h6"):
-        return False
+        return KEPT
     if tag in DROPPED_TAGS or (tag == "header" and not inside):
-        return True
-    for m in NAME.finditer(attributes):
-        for name in next(g for g in m.groups() if g is not None).lower().split():
-            if tag == "article":          # only a reader's comment is an article that is not main text
-                if COMMENT.fullmatch(name):
-                    return True
-                continue
-            if re.split(r"[-_]", name)[0] in ONLY_SAY:
-                continue
-            if name in DROPPED_NAMES or not DROPPED_WORDS.isdisjoint(re.split(r"[-_]", name)):
-                return True
-    return False
+        return DROPPED
+    names = [n for m in NAME.finditer(attributes) for n in next(g for g in m.groups() if g is not None).lower().split()]
+    if tag == "article":              # only a reader's comment is an article that is not main text
+        return DROPPED if any(COMMENT.fullmatch(n) for n in names) else KEPT
+    return max(map(_named, names), default=KEPT)
+
+
+class Line(NamedTuple):
+    text: str
+    weight: int
+    inside: bool          # within article or main
+    article: int          # the innermost open article, by number; 0 outside
+    heading: bool
+    part: tuple | None    # of a part that is hinted at: (what its name says, where it starts, where it ends in the page)
+
+
+def _is_text(kind: int, part: list[Line], inside: bool, rest: int) -> bool:
+    """Whether a part whose name only hints at something else has running text of its own, beside ``rest`` characters of the page."""
+    weight, size = sum(x.weight for x in part), sum(len("".join(x.text.split())) for x in part)
+    if kind == LOOSE:                 # it holds most of the page
+        return weight >= MUCH and weight > rest
+    return weight >= (RUNNING if inside else MUCH) and 2 * weight >= size
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, inside article or main) of the lines that are not dropped, and an empty line for each dropped part."""
-    out: list[tuple[str, int, bool]] = []
+def lines(page: str, hints: bool = True) -> list[Line]:
+    """The lines that are not dropped, and an empty line for each dropped part.  Without ``hints`` all parts of such names are dropped."""
+    out: list[Line] = []
     parts: list[str] = []
     weight = inside = links = 0
+    open_articles: list[int] = []
+    articles, heading = 0, False
     drop, depth = "", 0               # the element that is being dropped, and how often its name is open
     around: Counter = Counter()       # open block elements outside of dropped parts
     within: Counter = Counter()       # and inside the one that is being dropped, if its end tag may be left out
 
+    def line(text: str, chars: int, part: tuple | None = None) -> None:
+        out.append(Line(text, chars, inside > 0, open_articles[-1] if open_articles else 0, heading, part))
+
+    def dropped_to(stop: int) -> None:
+        """The dropped part, if it is only hinted at, ends at ``stop``."""
+        if out and out[-1].part and out[-1].part[2] is None:
+            out[-1] = out[-1]._replace(part=(*out[-1].part[:2], stop))
+
     def goes_on() -> bool:
         """Whether the dropped element, whose end tag may be left out, is open behind this tag's start; counts what is in it."""
         nested = any(within[t] for t in NESTS)
@@ -107,7 +165,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal parts, weight
         text = " ".join("".join(parts).split())
         if text:
-            out.append((text, weight, inside > 0))
+            line(text, weight)
         parts, weight = [], 0
 
     def add(raw: str) -> None:
@@ -139,28 +197,40 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if drop:
             if tag in ("article", "main") and not closing and drop != "article":
                 drop = ""             # an unclosed part ends where the main text begins
+                dropped_to(m.start())
             elif drop in ENDED_BY:
                 if closing and tag == drop and not within[tag]:
                     drop = ""
+                    dropped_to(m.start())
                     continue
                 if goes_on():
                     continue
                 drop = ""             # a start tag or the parent's end tag ends it and counts itself
+                dropped_to(m.start())
             else:
                 if tag == drop and not alone:
                     depth += -1 if closing else 1
                     if not depth:
                         drop = ""
+                        dropped_to(m.start())
                 continue
         if tag in BLOCK_TAGS:
             end()
-        if not closing and not alone and _dropped(tag, attributes, inside > 0):
+        says = KEPT if closing or alone else _dropped(tag, attributes, inside > 0)
+        if says != KEPT:
             end()
-            out.append(("", 0, inside > 0))
+            line("", 0, (says, at, None) if hints and says != DROPPED else None)
             drop, depth = tag, 1
             within.clear()
         elif tag in ("article", "main"):
             inside = max(0, inside + (-1 if closing else 1))
+            if tag == "article" and not closing:
+                articles += 1
+                open_articles.append(articles)
+            elif tag == "article" and open_articles:
+                open_articles.pop()
+        elif tag in HEADINGS:
+            heading = not closing
         elif tag == "a" and not alone:
             links = 0 if closing else 1
         if tag in BLOCK_TAGS and not alone and not drop:
@@ -168,16 +238,50 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if tag in BLOCK_TAGS and links and tag not in ("li", "br"):
             links = 0                 # an unclosed link ends with its block
     end()
+    dropped_to(len(page))
+    return out
+
+
+def _opened(page: str, rows: list[Line], rest: int, depth: int) -> list[Line]:
+    """The lines with those of hinted parts that are text in their places; parts within parts down to ``depth``, deeper ones are dropped."""
+    out: list[Line] = []
+    for x in rows:
+        inner = page[x.part[1]:x.part[2]] if x.part else ""
+        part = _opened(inner, lines(inner, depth > 1), rest, depth - 1) if inner else []
+        if part and _is_text(x.part[0], part, x.inside, rest):
+            out += [y._replace(inside=x.inside, article=x.article) for y in part]
+        else:
+            out.append(x)
     return out
 
 
+def weighed(page: str) -> list[tuple[str, int]]:
+    """(text, weight) of a page's lines, with what elements and names say put into the weights."""
+    rows = lines(page)
+    out = _opened(page, rows, sum(x.weight for x in rows), HINT_DEPTH)
+    if not any(x.weight for x in out if x.inside):
+        return [(x.text, x.weight) for x in out]
+    mass, titles = Counter(), {}
+    for x in out:
+        mass[x.article] += x.weight
+        if x.text:
+            titles.setdefault(x.article, x.heading and not x.weight)
+    most = max(mass.values())
+    teasers = {a for a, only_link in titles.items() if a and only_link and TEASER * mass[a] < most}
+    return [(x.text, max(x.weight, ENOUGH) if x.text else 0) if x.inside and x.article not in teasers else ("", 0) for x in out]
+
+
+def block_sums(weights: list[int], window: int = WINDOW) -> list[int]:
+    """The block distribution: each line's weight and those of the ``window - 1`` lines behind it."""
+    ends = [0, *accumulate(weights)]
+    return [ends[min(i + window, len(weights))] - ends[i] for i in range(len(weights))]
+
+
 def main_text(page: str, window: int = WINDOW, threshold: float = THRESHOLD) -> str:
     """The blocks of a page's main text, joined by line ends; empty if there is none."""
-    rows = lines(page)
-    if any(w for _, w, inside in rows if inside):
-        return "\n".join(text for text, _, inside in rows if inside and text)
-    weights = [w for _, w, _ in rows]
-    sums = [sum(weights[i:i + window]) for i in range(len(rows))]
+    rows = weighed(page)
+    weights = [w for _, w in rows]
+    sums = block_sums(weights, window)
     if not any(sums):
         return ""
     least = max(1, min(threshold * max(sums), ENOUGH))
@@ -192,7 +296,7 @@ def main_text(page: str, window: int = WINDOW, threshold: float = THRESHOLD) ->
         dive = i
         while dive < len(rows) and sums[dive]:
             dive += 1
-        kept += [text for text, _, _ in rows[start:dive] if text]
+        kept += [text for text, _ in rows[start:dive] if text]
         i = dive
     return "\n".join(kept)
 

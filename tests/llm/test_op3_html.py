@@ -88,3 +88,60 @@ def test_a_very_long_block_does_not_hide_later_paragraphs():
     gap = "<p><a href=x>more</a></p>" * 4
     page = f"<p>{SENTENCE * 100}</p>{gap}<p>{SENTENCE}</p>{gap}<p>end</p>"
     assert op.main_text(page) == f"{(SENTENCE * 100).strip()}\n{SENTENCE.strip()}"
+
+
+def test_the_distribution_decides_every_page(monkeypatch):
+    """Whatever its elements, a page's text lies between surges and dives of its block sums."""
+    import duckdb
+
+    pages = [r[0] or "" for r in duckdb.sql("SELECT html FROM '/root/testdata/sf0.001/pages.parquet'").fetchall()]
+    pages += [PAGE, PAGE.replace("article>", "div>"), "<p>a<p>b"]
+    seen = []
+    whole = op.block_sums
+    monkeypatch.setattr(op, "block_sums", lambda weights, window: seen.append(whole(weights, window)) or seen[-1])
+    texts = [op.main_text(p) for p in pages]
+    assert len(seen) == len(pages) and all(bool(t) == any(sums) for t, sums in zip(texts, seen, strict=True))
+    monkeypatch.setattr(op, "block_sums", lambda weights, window: [0] * len(weights))
+    assert not any(op.main_text(p) for p in pages)
+
+
+def test_block_sums_by_brute_force():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(300):
+        weights, window = [rng.choice([0, 0, 1, 7, 300]) for _ in range(rng.randrange(20))], rng.randrange(1, 6)
+        assert op.block_sums(weights, window) == [sum(weights[i:i + window]) for i in range(len(weights))]
+
+
+LONG = "It goes on and on about this at some length. " * 20
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ('<article><p>one</p><section id="related-work"><h2>Related work</h2><p>Earlier papers said as much, and more.</p></section></article>',
+     "one\nRelated work\nEarlier papers said as much, and more."),
+    ('<article><p class="comments-intro">Readers wrote to us in great numbers.</p><p>two</p></article>', "Readers wrote to us in great numbers.\ntwo"),
+    ('<article><p>one</p><div class="newsletter-history"><p>It began in 1990 and went on and on.</p></div></article>', "one\nIt began in 1990 and went on and on."),
+    (f'<main><article><h1>T</h1><p>{LONG}</p></article><article class="teaser"><h3><a href=x>Other</a></h3><p>Short words.</p></article></main>',
+     f"T\n{LONG.strip()}"),
+    (f'<main><article><h1>T</h1><p>{LONG}</p></article><article><h2>Second</h2><p>Short words.</p></article></main>', f"T\n{LONG.strip()}\nSecond\nShort words."),
+    (f'<article><h1><a href=x>T</a></h1><p>{LONG}</p></article>', f"T\n{LONG.strip()}"),
+    (f'<article><p>one</p><section class="comment-list"><p>{LONG}</p></section><div class="ad-placement">{LONG}</div></article>', "one"),
+    ('<article><p>one</p><div class="promo-box">Subscribe now and get half off of everything in here.</div></article>', "one"),
+    (f'<div class="widget"><p>{LONG}</p></div><p>short</p>', f"{LONG.strip()}\nshort"),
+    (f'<article><p>{LONG}</p><div class="widget"><p>Weather today: sunny and warm with some wind.</p></div></article>', LONG.strip()),
+    ('<article><div class="related-reading"><a href=x>One</a> <a href=y>Two of them, a longer one</a></div><p>one</p></article>', "one"),
+    (f'<div class="share-stories"><p>no</p></div><div class="share-market"><p>{LONG}</p></div><div class="menu-planning"><p>no more than this</p></div>', LONG.strip()),
+    ('<article><p>one</p><p class="related-work">never closed but long enough to be text<p>two</article>',
+     "one\nnever closed but long enough to be text\ntwo"),
+])
+def test_names_are_hints_and_text_decides(page, text):
+    assert op.main_text(page) == text
+
+
+def test_a_very_long_page_and_nested_hints():
+    page = "<article>" + "".join(f"<div class='related-{i}x'><p>{SENTENCE}</p></div>" for i in range(300)) + f"<p>{SENTENCE * 20_000}</p></article>"
+    assert len(op.main_text(page)) > 1_000_000
+    op.main_text("<div class='promo'>" * 30_000 + LONG)
+    nested = "<article><p>one</p>" + "<div class='related-work'>" * 3 + f"<p>{SENTENCE}</p>" + "</div>" * 3 + "</article>"
+    assert op.main_text(nested) == f"one\n{SENTENCE.strip()}"
