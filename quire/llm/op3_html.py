@@ -242,13 +242,14 @@ def lines(page: str, hints: bool = True) -> list[Line]:
     return out
 
 
-def _opened(page: str, rows: list[Line], rest: int, depth: int) -> list[Line]:
+def _opened(page: str, rows: list[Line], rest: int, depth: int, inside: bool = False) -> list[Line]:
     """The lines with those of hinted parts that are text in their places; parts within parts down to ``depth``, deeper ones are dropped."""
     out: list[Line] = []
     for x in rows:
         inner = page[x.part[1]:x.part[2]] if x.part else ""
-        part = _opened(inner, lines(inner, depth > 1), rest, depth - 1) if inner else []
-        if part and _is_text(x.part[0], part, x.inside, rest):
+        within = inside or x.inside
+        part = _opened(inner, lines(inner, depth > 1), rest, depth - 1, within) if inner else []
+        if part and _is_text(x.part[0], part, within, rest):
             out += [y._replace(inside=x.inside, article=x.article) for y in part]
         else:
             out.append(x)
