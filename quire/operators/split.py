@@ -162,3 +162,20 @@ def head_sample(df: DataFrame, n: int = EVAL_SAMPLES, order_col: str = "pos", de
         return df.where(F.col(order_col) < df.select(F.min(order_col)).scalar() + n)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return df.orderBy(order_col).limit(n).repartition(parts, order_col)
+
+
+def split_head(df: DataFrame, split: str, n: int = EVAL_SAMPLES, id_col: str | list[str] = "rid", train_ratio: float = TRAIN_RATIO,
+               val_ratio: float = VAL_RATIO, seed: int = DEFAULT_SEED, buckets: int | None = None, index_col: str | None = None, rows: int | None = None) -> DataFrame:
+    """D5 of a split of D2 without the split: its first ``min(n, rows)`` rows, with ``pos``.
+
+    Where a split begins and ends follows from the number of rows and the ratios, so rows are ranked once and filtered.
+    """
+    if n < 0:
+        raise ValueError("n must be >= 0")
+    pos = _ordered(df, id_col, seed, None, buckets, index_col, rows)
+    n_train, n_val = cut_points(F.col("n"), train_ratio, val_ratio)
+    begins = {"train": F.lit(0), "val": n_train, "test": n_train + n_val}
+    ends = {"train": n_train, "val": n_train + n_val, "test": F.col("n")}
+    if split not in begins:
+        raise ValueError(f"no split {split!r}")
+    return pos.where((F.col("pos") >= begins[split]) & (F.col("pos") < F.least(begins[split] + n, ends[split]))).drop("n")

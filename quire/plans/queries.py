@@ -229,8 +229,7 @@ def d4_trainval(spark, sf):
 
 
 def d5_head(spark, sf):
-    test = D.three_way_split(pairs(spark, sf).select("rid")).where(F.col("split") == "test")
-    return D.head_sample(test, D.EVAL_SAMPLES).select("rid", "pos")
+    return D.split_head(pairs(spark, sf).select("rid"), "test", D.EVAL_SAMPLES).select("rid", "pos")
 
 
 def stored_docs(spark, sf):

@@ -117,3 +117,19 @@ def test_f3_index_is_row_number(spark):
     lines = T.defective_lines(Q.pairs(spark, "/root/testdata/sf0.01"))
     got = sorted(r.idx for r in lines.collect())
     assert got == list(range(233))
+
+
+@pytest.mark.parametrize("split", ["train", "val", "test"])
+@pytest.mark.parametrize("n", [0, 3, 10**6])
+def test_head_of_a_split_ranks_once(spark, split, n):
+    df = spark.range(137).select(F.col("id").alias("rid"), F.lit("x").alias("question"))
+    rows = D.three_way_split(df).where(F.col("split") == split).orderBy("pos").limit(n).drop("split").collect()
+    head = D.split_head(df, split, n)
+    assert sorted(map(tuple, head.collect())) == sorted(map(tuple, rows)) and head.columns == ["rid", "question", "pos"]
+    numbered = df.withColumnRenamed("rid", "idx")
+    dense = D.three_way_split(numbered, index_col="idx").where(F.col("split") == split).orderBy("pos").limit(n).select("pos").collect()
+    assert sorted(r.pos for r in D.split_head(numbered, split, n, index_col="idx").collect()) == [r.pos for r in dense]
+    plan = D.split_head(df.select("rid"), split, n)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number") == 1
+    with pytest.raises(ValueError):
+        D.split_head(df, "other")
