@@ -1,25 +1,26 @@
 """Exact top-k inner products by no-random-access aggregation (NRA).
 
 Candidates come in blocks.  In a block each dimension is a list of its values
-in order; a query reads list d from the end where q_d * x_d is largest.  At a
-depth the last value read of a list is its frontier: whatever was not read
-there contributes at most the frontier and at least the list's last value.
-So a candidate has
-
-    upper = sum over lists of (its contribution if read, else the frontier)
-    lower = sum over lists of (its contribution if read, else the least one)
-
-All lists are read on together, depth by depth.  A candidate goes when its
-upper bound is below the k-th largest lower bound, or below the k-th score that
-the query already has from the task's earlier blocks.  Reading stops when no
-more than k candidates are left or the lists end; then the scores of those
-left are resolved.  Candidates that tie with the k-th stay, so ties are exact.
-
-A contribution is in the read part of its list exactly when it is not below
-the frontier, so a depth costs one vectorised pass over the candidates left.
-
-The query set is met with all rows in blocks: each block of queries with each
-block of candidates.
+in order, sorted once for all queries; a query reads list d from the end where
+q_d * x_d is largest, in slices that grow.  What it reads it adds to the
+candidate's sum.  At a depth the last value read of a list is its frontier:
+whatever was not read there contributes at most the frontier and at least the
+list's last value.  So a candidate has
+
+    upper = what was read + sum over its unread lists of the frontier
+    lower = what was read + sum over its unread lists of the least contribution
+
+A candidate goes when its upper bound is below the k-th largest lower bound, or
+below the k-th score that the query already has.  Reading stops when no
+outsider can qualify and few candidates (``FEW``) are left; then the scores of those
+are resolved.  Candidates that tie with the k-th stay, so ties are exact.
+
+Candidates stay where they are read.  Queries come to them by broadcast, in
+rounds of at most ``ROUND_BYTES``.  Each round meets the candidates in three
+steps of growing shares (``STEPS``, by a hash of the id), and the k-th score of
+a query after one step is its bound in the next: a task hands on the
+candidates that reach it, about as many in all tasks together as the shares'
+ratio times k.  So what is shuffled grows with the queries, not with queries times tasks.
 """
 
 from __future__ import annotations
@@ -38,9 +39,10 @@ SCALE = 256
 QUERY_MOD = 50
 K = 5
 BLOCK_ROWS = 8192
-QUERY_ROWS = 256
-DEPTHS = (0.5, 0.7, 0.85, 1.0)   # shares of the lists read before bounds are compared
-BROADCAST_BYTES = 32 << 20       # query blocks up to this size are broadcast, larger ones are joined by their number
+SLICES = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 3 / 4, 1.0)   # depths, as shares of a list, at which bounds are compared
+FEW = 64                         # candidates of a block whose scores are resolved rather than read on
+ROUND_BYTES = 32 << 20           # of query vectors that are broadcast at once
+PARTS, STEPS = 64, (1, 8, 64)    # candidates are cut into 64 parts; the steps end at these
 
 
 def integer_vectors(table: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
@@ -51,42 +53,6 @@ def integer_vectors(table: DataFrame, id_col: str, vec_col: str, scale: int = SC
         F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long")).alias("v"))
 
 
-BLOCK_SCHEMA = "block bigint, dim int, ids binary, data binary"
-
-
-def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """Rows of one task and dimension packed into blocks of at most ``most`` rows.  ``rows``: (block, id, v) sorted by block."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], tuple[list, list]] = {}
-
-        def flush(key: tuple[int, int]) -> pa.RecordBatch:
-            ids, vectors = held.pop(key)
-            return pa.RecordBatch.from_arrays([
-                pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int32()),
-                pa.array([np.concatenate(ids).tobytes()], pa.binary()), pa.array([np.concatenate(vectors).tobytes()], pa.binary())],
-                ["block", "dim", "ids", "data"])
-
-        for batch in batches:
-            block, ids, v = (batch.column(i) for i in range(3))
-            block, ids = block.to_numpy(), ids.to_numpy()
-            flat, ends = v.flatten().to_numpy(), np.cumsum(np.asarray(v.value_lengths()))
-            width = np.diff(ends, prepend=0)
-            for b, w in {*zip(block.tolist(), width.tolist(), strict=True)}:
-                at = np.flatnonzero((block == b) & (width == w))
-                for i in range(0, len(at), most):
-                    part = at[i:i + most]
-                    rows_ = flat[(ends[part] - w)[:, None] + np.arange(w)[None, :]] if w else np.empty((len(part), 0), np.int64)
-                    h = held.setdefault((b, w), ([], []))
-                    h[0].append(ids[part])
-                    h[1].append(rows_)
-                    if sum(map(len, h[0])) >= most:
-                        yield flush((b, w))
-        for key in list(held):
-            yield flush(key)
-
-    return rows.mapInArrow(run, BLOCK_SCHEMA)
-
-
 def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products as longs; by Python's integers where 64 bits may not hold a term."""
     most = (int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0))) * max(1, len(q))
@@ -106,47 +72,90 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.floats = x.astype(np.float64 if np.abs(x).max(initial=0) >= 1 << 20 else np.float32)
-        self.sorted = np.sort(x, axis=0).astype(np.float64)
-
-    def frontier(self, q: np.ndarray, share: float) -> np.ndarray:
-        """The contribution of the last entry read of each list at a depth."""
-        last = min(len(self.ids) - 1, max(0, math.ceil(share * len(self.ids)) - 1))
-        return np.where(q >= 0, self.sorted[len(self.ids) - 1 - last], self.sorted[last]) * q
-
-    def top(self, q: np.ndarray, own: int, k: int, so_far: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of ``so_far`` (scores, ids) and this block for one query."""
-        qf = q.astype(self.floats.dtype)
-        at, parts = None, self.floats * qf
-        least = self.frontier(q, 1.0)
-        # Sums of floats differ from the integers by far less than this part of the largest possible sum.
-        slack = 1e-4 * float(np.abs(self.sorted[[0, -1]] * q).max(axis=0, initial=0).sum()) if self.floats.dtype == np.float32 else 1e-9 * float(
-            np.abs(self.sorted[[0, -1]] * q).max(axis=0, initial=0).sum())
-        floor = float(so_far[0][-1]) if len(so_far[0]) == k else -math.inf
-        for share in DEPTHS[:-1]:
-            front = self.frontier(q, share).astype(qf.dtype)
-            upper = np.maximum(parts, front).sum(axis=1)
-            alive = np.flatnonzero(upper >= floor - slack)
-            if len(alive) < len(upper):
-                at = alive if at is None else at[alive]
-                parts, upper = parts[alive], upper[alive]
-            if len(parts) > k:
-                lower = np.where(parts >= front, parts, least.astype(qf.dtype)).sum(axis=1)
-                if at is None:
-                    lower[self.ids == own] = -math.inf
-                else:
-                    lower[self.ids[at] == own] = -math.inf
-                bound = float(np.partition(lower, len(lower) - k)[len(lower) - k])
-                if bound > floor:
-                    floor = bound
-                    alive = np.flatnonzero(upper >= floor - slack)
-                    at = alive if at is None else at[alive]
-                    parts = parts[alive]
-            if len(parts) <= k:
+        self.columns = np.ascontiguousarray(x.T).astype(np.float64)
+        self.order = np.argsort(self.columns, axis=1).astype(np.int32)
+        self.ends = np.take_along_axis(self.columns, self.order, 1)
+
+    def candidates(self, q: np.ndarray, own: int, k: int, floor: float) -> tuple[np.ndarray, int]:
+        """Rows that may be among the query's k best with a score of ``floor`` or more, and how many entries of lists were read."""
+        n, dim = self.x.shape
+        signed = q.astype(np.float64)
+        least = np.where(signed >= 0, self.ends[:, 0], self.ends[:, -1]) * signed
+        largest = np.abs(self.ends[:, [0, -1]] * signed[:, None]).max(axis=1, initial=0).sum()
+        slack = 1e-9 * float(largest)      # sums of doubles differ from the integers by far less
+        total, unread = np.zeros(n), np.ones((n, dim), bool)
+        others, at, read, alive = self.ids != own, 0, 0, np.arange(n)
+        for share in SLICES:
+            to = max(at, min(n, math.ceil(share * n)))
+            for d in range(dim):
+                rows = self.order[d, n - to:n - at] if signed[d] >= 0 else self.order[d, at:to]
+                total[rows] += self.columns[d, rows] * signed[d]
+                unread[rows, d] = False
+            read, at = read + (to - at) * dim, to
+            front = np.where(signed >= 0, self.ends[:, n - to], self.ends[:, to - 1]) * signed
+            left = unread[alive]
+            lower = total[alive] + left @ least
+            mine = lower[others[alive]]
+            if len(mine) >= k:
+                floor = max(floor, float(np.partition(mine, len(mine) - k)[len(mine) - k]))
+            alive = alive[total[alive] + left @ front >= floor - slack]
+            if len(alive) <= max(k, FEW):
                 break
-        at = np.arange(len(self.ids)) if at is None else at
-        at = at[self.ids[at] != own]
-        return _merge(so_far, _exact(self.x[at], q), self.ids[at], k)
+        return alive[others[alive]], read
+
+    def top(self, q: np.ndarray, own: int, k: int, so_far: tuple[np.ndarray, np.ndarray], bound: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of ``so_far`` (scores, ids) and this block for one query, of those that reach ``bound``."""
+        floor = max(bound, float(so_far[0][-1]) if len(so_far[0]) == k else -math.inf)
+        at, _ = self.candidates(q, own, k, floor)
+        scores = _exact(self.x[at], q)
+        reach = scores >= bound
+        return _merge(so_far, scores[reach], self.ids[at][reach], k)
+
+
+def _met(sent, k: int):
+    """Of a task's candidates (id, v), the best of each query that was sent: (query id, vector, bound) by length of the vector."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}   # (dim, row of the query) -> scores, ids
+        held: dict[int, list] = {}
+
+        def meet(dim: int) -> None:
+            ids, x = (np.concatenate(part) for part in zip(*held.pop(dim), strict=True))
+            if dim not in sent.value:
+                return
+            query_ids, vectors, bounds = sent.value[dim]
+            lists, none = Lists(ids, x), (np.empty(0, np.int64), np.empty(0, np.int64))
+            for r, own in enumerate(query_ids.tolist()):
+                found = lists.top(vectors[r], own, k, best.get((dim, r), none), float(bounds[r]))
+                if len(found[0]):
+                    best[dim, r] = found
+
+        for batch in batches:
+            ids, v = batch.column(0).to_numpy(), batch.column(1)
+            flat, ends = v.flatten().to_numpy(), np.cumsum(np.asarray(v.value_lengths()))
+            width = np.diff(ends, prepend=0)
+            for dim in np.unique(width).tolist():
+                rows = np.flatnonzero(width == dim)
+                for i in range(0, len(rows), BLOCK_ROWS):
+                    part = rows[i:i + BLOCK_ROWS]
+                    held.setdefault(dim, []).append((ids[part], flat[(ends[part] - dim)[:, None] + np.arange(dim)[None, :]] if dim
+                                                     else np.empty((len(part), 0), np.int64)))
+                    if sum(len(h[0]) for h in held[dim]) >= BLOCK_ROWS:
+                        meet(dim)
+        for dim in list(held):
+            meet(dim)
+        if best:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(sent.value[dim][0][r]) for (dim, r), (s, _) in best.items() for _ in range(len(s))], pa.int64()),
+                pa.array([int(x) for _, i in best.values() for x in i], pa.int64()),
+                pa.array([int(x) for s, _ in best.values() for x in s], pa.int64())], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    # Queries of one id with unlike vectors are ranked together: an id is one query.
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", query: Column | None = None, k: int = K,
@@ -165,53 +174,27 @@ def top_k(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     vectors = integer_vectors(table, id_col, vec_col, scale)
     asked = vectors.where(query).distinct()
     n, width = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
-    blocks = max(1, -(-n // QUERY_ROWS))
-    spread = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).repartition("block").sortWithinPartitions("block")
-    queries = checkpointed(_blocks(spread.select("block", "id", "v"), QUERY_ROWS).select(
-        F.col("block").alias("q"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data")))
-    rows = vectors.select(F.lit(0).cast("long").alias("block"), "id", "v")
-    candidates = _blocks(rows, BLOCK_ROWS).drop("block").withColumn(
-        "q", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-    # Pairs of blocks are dealt evenly; those of one block of queries lie together in a task.
-    dealt = candidates.repartition(tasks, F.col("q"), F.xxhash64("ids") % 4)
-    small = n * (width + 1) * 8 <= BROADCAST_BYTES
-    pairs = dealt.join(F.broadcast(queries) if small else queries, ["q", "dim"]).select("q", "dim", "q_ids", "q_data", "ids", "data")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[tuple[int, int], tuple] = {}  # of one block of queries: (its block, its row) -> scores, ids
-        ids_of: dict[tuple[int, int], int] = {}
-        now = None
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if best:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([ids_of[key] for key, (s, _) in best.items() for _ in range(len(s))], pa.int64()),
-                    pa.array([int(x) for _, i in best.values() for x in i], pa.int64()),
-                    pa.array([int(x) for s, _ in best.values() for x in s], pa.int64())], ["query_id", "vec_id", "score"])
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q, dim, q_ids, q_data, ids, data = (batch.column(c)[i].as_py() for c in range(6))
-                if now != q:
-                    yield from out()
-                    best, ids_of, now = {}, {}, q
-                asks = np.frombuffer(q_ids, np.int64)
-                matrix = np.frombuffer(q_data, np.int64).reshape(len(asks), dim)
-                own = np.frombuffer(ids, np.int64)
-                lists = Lists(own, np.frombuffer(data, np.int64).reshape(len(own), dim))
-                for r, a in enumerate(asks.tolist()):
-                    # A query may be in one of several blocks of its number, so its vector is part of its name.
-                    key = (a, matrix[r].tobytes())
-                    ids_of[key] = a
-                    empty = (np.empty(0, np.int64), np.empty(0, np.int64))
-                    best[key] = lists.top(matrix[r], a, k, best.get(key, empty))
-        yield from out()
-
-    found = pairs.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    # Queries of one id with unlike vectors are ranked together: an id is one query.
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rounds = max(1, -(-n * (width + 2) * 8 // ROUND_BYTES))
+    asked = checkpointed(asked.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(rounds))))
+    parted = vectors.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)))
+    schema = "query_id bigint, vec_id bigint, score bigint"
+    results = None
+    for number in range(rounds):
+        by_dim: dict[int, list] = {}
+        for r in asked.where(F.col("round") == number).collect():
+            by_dim.setdefault(len(r.v), []).append((r.id, r.v))
+        best, bounds, begin = None, {}, 0
+        for end in STEPS:
+            sent = spark.sparkContext.broadcast({dim: (np.array([i for i, _ in of], np.int64), np.array([v for _, v in of], np.int64).reshape(len(of), dim),
+                                                       np.array([bounds.get(i, -math.inf) for i, _ in of])) for dim, of in by_dim.items()})
+            found = parted.where((F.col("part") >= begin) & (F.col("part") < end)).select("id", "v").mapInArrow(_met(sent, k), schema)
+            best = checkpointed(_ranked(found if best is None else best.select("query_id", "vec_id", "score").unionByName(found), k))
+            sent.destroy()                 # the step is written, so no lost executor needs it again
+            if end != STEPS[-1]:
+                bounds = {r.query_id: r.score for r in best.where(F.col("rank") == k).collect()}   # a number for each query of the round
+            begin = end
+        results = best if results is None else results.unionByName(best)
+    return results.select("query_id", "rank", "vec_id", "score")
 
 
 def op8_topk(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,6 @@ def got(df, **settings):
 
 def test_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_ROWS", 37)
-    monkeypatch.setattr(op, "QUERY_ROWS", 3)
     rng = random.Random(1)
     rows = [(i, [float(rng.gauss(0, 1)) for _ in range(12)]) for i in range(700)]
     copy = rows[13][1]
@@ -35,7 +34,8 @@ def test_equals_brute_force(spark, monkeypatch):
     result = got(df)
     assert len(result) == len(set(result))
     assert set(result) == brute(rows)
-    monkeypatch.setattr(op, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(op, "ROUND_BYTES", 700)           # several rounds of queries
+    monkeypatch.setattr(op, "FEW", 0)
     assert set(got(df)) == brute(rows)
 
 
@@ -56,3 +56,36 @@ def test_repeated_queries_and_extra_columns(spark):
     rows = [(0, [1.0, 0.0], 9), (0, [1.0, 0.0], 9), (1, [1.0, 1.0], 9), (1, [1.0, 1.0], 9)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
     assert sorted(got(df)) == [(0, 1, 1, 65536), (0, 2, 1, 65536)]
+
+
+def test_lists_are_read_in_part():
+    """With a bound from earlier candidates reading stops before the lists end, and no row that reaches it is lost."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = (256 * rng.normal(size=(4000, 16))).astype(np.int64)
+    lists, ids = op.Lists(np.arange(4000), x), np.arange(4000)
+    for i in range(20):
+        q = x[i] * (1 if i % 2 else -1)
+        scores = np.where(ids == i, -(1 << 60), x @ q)
+        fifth = np.sort(scores)[-5]
+        rows, read = lists.candidates(q, i, 5, float(fifth))
+        assert set(np.flatnonzero(scores >= fifth)) <= set(rows.tolist()) and i not in rows
+        assert read < 0.8 * x.size and len(rows) <= op.FEW
+        rows, _ = lists.candidates(q, i, 5, -math.inf)
+        assert set(np.flatnonzero(scores >= fifth)) <= set(rows.tolist())
+
+
+def test_bounds_keep_what_is_handed_on_small(spark, monkeypatch):
+    """Rows handed on by all tasks together follow the queries, not queries times tasks."""
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(60)
+    handed = []
+    ranked = op._ranked
+    monkeypatch.setattr(op, "_ranked", lambda found, k: handed.append(found.cache().count()) or ranked(found, k))
+    out = got(df)
+    assert len(out) == 120 * 5
+    assert handed[-1] < 120 * 5 * 10 < 120 * 60 * 5 / 4
+    monkeypatch.setattr(op, "_ranked", ranked)
+    assert set(out) == brute([(r.vec_id, r.embedding) for r in df.collect()])
