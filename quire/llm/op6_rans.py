@@ -36,6 +36,7 @@ END_ID = 2
 LANES = 512
 BLOCK = 1 << 18
 CHECKPOINT = 128          # steps between checkpoints
+FILE_BYTES = 32 << 20     # bytes of text a file holds, about
 TABLE_IDS = 1 << 23       # ids a frequency table is counted over, about
 MAGIC, VERSION = b"QRNS", 1
 TABLE, DATA = 0, 1
@@ -206,15 +207,18 @@ def encode_share(doc_ids: list, docs: list[np.ndarray], block: int = BLOCK) -> I
 # -- files ---------------------------------------------------------------------------
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text",
-                 files: int | None = None, table_ids: int = TABLE_IDS) -> None:
-    """Writes the ids of every row, by ascending id (null first, ties by text), into ``files`` files (default: shuffle partitions).
+                 file_bytes: int = FILE_BYTES, table_ids: int = TABLE_IDS) -> None:
+    """Writes the ids of every row, by ascending id (null first, ties by the text's hash, then the text), into files of about
+    ``file_bytes`` of text, so that a task reads a file of bounded size, however large the table is.
 
     Texts are shuffled once, before they are tokenized, so that finding the
     ranges does not tokenize them.
     """
-    files = files or max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(files, "id").sortWithinPartitions("id", "text")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long") + 8)).first()[0] or 0
+    files = max(1, -(-size // file_bytes))
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    dealt = hashed.repartitionByRange(files, "id", "hash").sortWithinPartitions("id", "hash", "text").select("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(tokenizer)

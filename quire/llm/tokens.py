@@ -1,93 +1,72 @@
 """Token ids of whole texts by a tokenizer file, as a task-side helper.
 
-A text is cut at white space where the tokenizer cuts too, each piece is
-encoded once and kept in a bounded table, and the ids of the pieces are joined.
-White space belongs to pieces as byte-level BPE patterns take it: one space
-goes with the word behind it, a longer run gives all but its last character a
-piece of their own.
+Byte-level BPE files are encoded by the tiktoken library, which takes less than
+half the time of the tokenizers library for the same ids.  Its ranks are the
+file's ids, so this holds only where merges come in the order of their ids,
+and each token that ends a word is what its own letters merge to; both are
+checked on loading.  A file that marks word ends (suffix) gets each word with a
+zero byte behind it: the letters with the suffix have the lowest ids of all
+pairs, so the last letter and the mark merge first.  Texts with a special
+token's string, a zero byte or a capital sigma (whose lower case depends on
+its place), and files of other kinds, go through the tokenizers library.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
 import os
 import re
-from collections.abc import Callable, Iterator
+import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-# White space as Unicode defines it (fixed values).
+# How byte-level tokenizers cut texts that name no pattern of their own (fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# White space as Unicode defines it, for patterns in a library that counts more to it (fixed values).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-PIECE = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-# White space other than single spaces and single line ends.
-ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|  |\n\n| \n|\n ")
-MAX_PIECES = 800_000     # pieces a worker keeps; about 200 MB
+WORD_END = b"\0"
+# A run of twice so many characters without a space goes through the tokenizers library, whose time grows less with its length.
+LONG_RUN = 4096
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[str, int]:
     """The letters by which byte-level tokenizers write bytes (fixed values): printable Latin-1 as it is, the others from U+0100 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-def _direct(file: dict) -> Callable[[str], list[str] | None] | None:
-    """For byte-level tokenizers: what a piece of letters only (up to U+012F), or letters and one full stop or
-    comma, is to the model, as one or two words; None for other pieces.
-
-    The pattern takes the letters whole, alone or with the space before them
-    if it takes one, and the mark behind them by itself.  Normalization is
-    lower-casing, if any.
-    """
-    letters, pre, norm = _byte_letters(), file["pre_tokenizer"] or {}, file["normalizer"]
-    steps = [s.get("type") for s in pre.get("pretokenizers", [])]
-    kinds = [s.get("type") for s in (norm or {}).get("normalizers", [])]
-    spaced = norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-    lower = steps == ["Split", "ByteLevel"] and kinds == ["NFC", "Replace", "Lowercase"] and not any(
-        s.get("use_regex") or s.get("add_prefix_space") for s in pre["pretokenizers"])
-    if not spaced and not lower:
+def ranks_of(model: dict) -> dict[bytes, int] | None:
+    """Bytes -> id of a byte-level BPE whose merges come in the order of their ids; None for others."""
+    if model.get("type") != "BPE" or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges") or model.get("continuing_subword_prefix"):
+        return None
+    letters, suffix, vocab = byte_letters(), model.get("end_of_word_suffix") or "", model["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    merged = [a + b for a, b in pairs]
+    base = [*letters, *(x + suffix for x in letters if suffix)]
+    if set(vocab) != {*base, *merged} or len(vocab) != len(base) + len(merged):
+        return None
+    ids = [vocab[t] for t in merged]
+    if any(a >= b for a, b in zip(ids, ids[1:])) or ids and max(vocab[t] for t in base) > ids[0]:
         return None
 
-    def words(piece: str) -> list[str] | None:
-        core, mark = (piece[:-1], piece[-1]) if piece[-1] in ".," else (piece, "")
-        bare = core[1:] if core[:1] == " " else core
-        if not bare.isalpha() or not (bare.isascii() or max(bare) < "\u0130"):
-            return None
-        word = (core if spaced else bare.lower()).encode().decode("latin-1").translate(letters)
-        return [word, mark] if mark else [word]
-
-    return words
-
-
-class _Table(dict):
-    """Piece -> its place in the encoder's table; unknown pieces are queued for encoding as they come."""
-
-    def __init__(self, encoder: Encoder, prefix: str):
-        super().__init__()
-        self.encoder, self.prefix = encoder, prefix
+    def in_bytes(token: str) -> bytes:
+        word = token[:-len(suffix)] if suffix and token.endswith(suffix) and len(token) > len(suffix) else token
+        return bytes(letters[x] for x in word) + (WORD_END if word is not token else b"")
 
-    def __missing__(self, piece: str) -> int:
-        place = self[piece] = self.encoder.n
-        self.encoder.n += 1
-        # Without its mark the piece may be known: its place goes along.
-        self.encoder.queue.append((self.prefix + piece, self.get(piece[:-1]) if piece[-1] in ".," else None))
-        return place
+    return {in_bytes(t): i for t, i in vocab.items()}
 
 
-class _Numbers:
-    """A growing array of integers."""
+def _latin(category: str) -> str:
+    """The Latin-1 characters of a Unicode category, escaped for a pattern's class."""
+    return "".join(f"\\x{c:02x}" for c in range(256) if unicodedata.category(chr(c)).startswith(category))
 
-    def __init__(self, kind: type):
-        self.values, self.n = np.empty(1 << 16, kind), 0
 
-    def extend(self, more: list[int] | np.ndarray) -> None:
-        end = self.n + len(more)
-        while end > len(self.values):
-            self.values = np.concatenate([self.values, np.empty_like(self.values)])
-        self.values[self.n:end] = more
-        self.n = end
+def _long_run(text: str) -> bool:
+    """Whether some block of ``LONG_RUN`` characters has neither a space nor a line end."""
+    return any(" " not in block and "\n" not in block for i in range(0, len(text) - LONG_RUN + 1, LONG_RUN) if (block := text[i:i + LONG_RUN]))
 
 
 class Encoder:
@@ -100,74 +79,62 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # The strings of special tokens end a run of white space, so texts that hold one are encoded whole.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.direct, self.marks = _direct(json.loads(self.tokenizer.to_str())), {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.plain, self.spaced, self.n, self.queue = _Table(self, ""), _Table(self, " "), 0, []
-        self.flat, self.ends = _Numbers(np.uint32), _Numbers(np.int64)
-        self.ends.extend([0])
-
-    def _places(self, text: str) -> list[int]:
-        """The table's places of the pieces of a text."""
-        if ODD_SPACE.search(text):
-            return [self.plain[p] for p in PIECE.findall(text)]
-        # Single spaces and single line ends only: the same pieces by splitting.
-        out: list[int] = []
-        end = self.plain["\n"]
-        for i, line in enumerate(text.split("\n") if text else []):
-            if i:
-                out.append(end)
-            first, *words = line.split(" ")
-            if first:
-                out.append(self.plain[first])
-            last = bool(words) and not words[-1]  # the line ends in a space
-            out.extend(map(self.spaced.__getitem__, words[:-1] if last else words))
-            if last:
-                out.append(self.plain[" "])
-        return out
-
-    def _encode(self, queue: list[tuple[str, int | None]]) -> list[list[int]]:
-        """Ids of new pieces.  What the steps before the model leave whole goes to the tokenizer's model at once; a known
-        word with a mark behind it takes the word's ids."""
-        words = [self.direct(p) for p, _ in queue] if self.direct else [None] * len(queue)
-        rest = iter(self.tokenizer.encode_batch_fast([p for (p, _), w in zip(queue, words, strict=True) if w is None], add_special_tokens=False))
-        tokenize, first, out = self.tokenizer.model.tokenize, self.ends.n - 1, []
-        for (_, bare), w in zip(queue, words, strict=True):
-            if w is None:
-                out.append(next(rest).ids)
-            elif bare is None or len(w) == 1:
-                out.append([t.id for x in w for t in tokenize(x)])
-            else:
-                known = out[bare - first] if bare >= first else self.flat.values[self.ends.values[bare]:self.ends.values[bare + 1]].tolist()
-                if w[1] not in self.marks:
-                    self.marks[w[1]] = [t.id for t in tokenize(w[1])]
-                out.append(known + self.marks[w[1]])
-        return out
+        self.words = self.latin_words = self.core = None
+        self._load(json.loads(self.tokenizer.to_str()))
+
+    def _load(self, file: dict) -> None:
+        import regex
+        import tiktoken
+
+        pre, norm, suffix = file["pre_tokenizer"] or {}, file["normalizer"], file["model"].get("end_of_word_suffix") or ""
+        steps = pre.get("pretokenizers", [])
+        kinds = [(s.get("type"), s.get("pattern"), s.get("content")) for s in (norm or {}).get("normalizers", [])]
+        plain = norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not suffix
+        lower = (kinds == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)] and suffix
+                 and [s.get("type") for s in steps] == ["Split", "ByteLevel"] and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
+                 and "Regex" in steps[0]["pattern"] and not steps[1].get("use_regex") and not steps[1].get("add_prefix_space"))
+        ranks = ranks_of(file["model"]) if plain or lower else None
+        if ranks is None:
+            return
+        core = tiktoken.Encoding("file", pat_str=PATTERN if plain else r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        # A piece that is a token is taken whole there: the merges must come to the same.
+        ends = [t for t in file["model"]["vocab"] if t.endswith(suffix) and len(t) > len(suffix)]
+        if all(len(self.tokenizer.model.tokenize(t[:len(t) - len(suffix)])) == 1 for t in ends):
+            self.core = core
+            if lower:
+                pattern = steps[0]["pattern"]["Regex"].replace(r"[^\s", f"[^{SPACE}")
+                self.words = regex.compile(pattern).findall
+                self.latin_words = re.compile(pattern.replace("[\\p{L}]", f"[{_latin('L')}]").replace("[\\p{N}]", f"[{_latin('N')}]").replace(
+                    "\\p{L}", _latin("L")).replace("\\p{N}", _latin("N"))).findall
+
+    def _words(self, text: str) -> list[str]:
+        """The words of a text in lower case."""
+        try:
+            text.encode("latin-1")    # nothing to compose, and the standard library's patterns do
+        except UnicodeEncodeError:
+            return self.words(unicodedata.normalize("NFC", text).lower())
+        return self.latin_words(text.lower())
+
+    def _ids(self, text: str) -> np.ndarray | None:
+        """Ids by the core; None where the text must go through the tokenizer."""
+        if self.core is None or any(s in text for s in self.special) or _long_run(text):
+            return None
+        if self.words is not None:
+            if "\0" in text or "Σ" in text:
+                return None
+            words = self._words(text)
+            if not words:
+                return np.zeros(0, np.uint32)
+            text = "\0".join(words) + "\0"
+        return np.array(self.core.encode_ordinary(text), np.uint32)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text as uint32."""
-        if self.n > MAX_PIECES or self.flat.n > 16 * MAX_PIECES:
-            self.clear()
-        whole = [any(s in t for s in self.special) for t in texts]
-        places = [np.array([] if w else self._places(t), np.int64) for w, t in zip(whole, texts, strict=True)]
-        if self.queue:
-            new = self._encode(self.queue)
-            lengths = np.fromiter(map(len, new), np.int64, len(new))
-            self.ends.extend(self.flat.n + np.cumsum(lengths))
-            self.flat.extend(np.fromiter(itertools.chain.from_iterable(new), np.uint32, int(lengths.sum())))
-            self.queue = []
-        out = []
-        for w, t, at in zip(whole, texts, places, strict=True):
-            if w:
-                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32))
-                continue
-            starts = self.ends.values[at]
-            n = self.ends.values[at + 1] - starts
-            before = np.cumsum(n) - n
-            out.append(self.flat.values[np.arange(n.sum()) + np.repeat(starts - before, n)])
+        out = [self._ids(t) for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, np.uint32)
         return out
 
 

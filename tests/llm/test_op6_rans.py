@@ -63,8 +63,9 @@ def test_damage_is_noticed():
 def test_files_hold_documents_in_order(spark, odd_docs, odd_rows, tmp_path):
     whole = Tokenizer.from_file(PATH)
     path = str(tmp_path / "files")
-    op.write_tokens(odd_docs, path, PATH, files=3, table_ids=5000)
-    assert read_files(spark, path).count() == 3
+    op.write_tokens(odd_docs, path, PATH, file_bytes=80_000, table_ids=5000)
+    size = sum(len((r[1] or "").encode()) + 8 for r in odd_rows)
+    assert read_files(spark, path).count() == -(-size // 80_000) > 2
     rows = {r.doc_id: r for r in op.starts(op.read_tokens(spark, path)).collect()}
     at = 0
     for d, text, *_ in sorted(odd_rows, key=lambda r: r[0]):
@@ -76,10 +77,21 @@ def test_files_hold_documents_in_order(spark, odd_docs, odd_rows, tmp_path):
 
 def test_odd_inputs(spark, clashing, no_docs, tmp_path):
     for name, docs in (("a", clashing), ("b", no_docs)):
-        op.write_tokens(docs, str(tmp_path / name), PATH, files=2)
+        op.write_tokens(docs, str(tmp_path / name), PATH, file_bytes=2000)
         rows = op.starts(op.read_tokens(spark, str(tmp_path / name), with_ids=False)).collect()
         assert len(rows) == docs.count()
         ends = sorted((r.start, r.start + r.n_tokens) for r in rows)
         assert all(a[1] == b[0] for a, b in zip(ends, ends[1:]))  # noqa: B905
         if rows:
             assert min(rows, key=lambda r: r.start).doc_id is None  # null is first
+
+
+def test_any_bound_of_file_size_gives_the_same_rows(spark, odd_docs, tmp_path):
+    """Many small files, or one: the same starts, lengths and checksums."""
+    got = []
+    for size in (3000, 1 << 30):
+        path = str(tmp_path / str(size))
+        op.write_tokens(odd_docs, path, PATH, file_bytes=size)
+        got.append((read_files(spark, path).count(), sorted(tuple(r) for r in op.starts(op.read_tokens(spark, path, with_ids=False)).select(
+            "doc_id", "start", "n_tokens", "ids_crc32").collect())))
+    assert got[0][0] > 20 and got[1][0] == 1 and got[0][1] == got[1][1]
