@@ -15,17 +15,13 @@ bracket around each root turns a step that would leave it into a bisection.
 
 Rates become whole copies by error diffusion over the same histogram, one row
 per size, largest sizes first: the copies of all documents of a size are the
-words their rates say plus the error carried so far, rounded to whole copies.
-What the last size leaves over is settled by a copy more or less of a few of
-the smallest sizes.  The copies of a size are dealt evenly to its documents,
+words their rates say plus the error carried so far, rounded to whole copies,
+up or down as the smaller sizes can take up what is over.  So a source misses
+its target by about half the size of its smallest documents, and by more only where one document
+outweighs all that the smaller ones can take up (or there are hardly any
+documents): documents are taken whole, never in part.  The copies of a size are dealt evenly to its documents,
 which are cut into hash buckets of bounded size; each bucket starts where the
 running sum of the buckets before it ends, so a hot size is spread over tasks.
-
-Only where a source has no such whole copies, because one document outweighs
-all that the smaller ones can take up (or there are hardly any documents), one
-document of the source is also taken in part: so many of its first words that
-no error remains.  Thus every source meets its target but for the rounding of
-a single word.
 """
 
 from __future__ import annotations
@@ -40,10 +36,8 @@ WEIGHTS = (3, 1, 2)       # by the source's place in code point order, repeating
 SHARE = 1.5               # of all sizes
 MAX_COPIES = 2
 BUCKET_ROWS = 2_000       # documents of one size that are numbered together, by one task
-SETTLE_SIZES = 40         # smallest sizes of a source that may settle its last error
 MAX_ROUNDS = 80
 TOLERANCE = 1e-9          # of a source's target
-WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, cap: int = MAX_COPIES) -> DataFrame:
@@ -121,85 +115,41 @@ def solve(histogram: DataFrame, targets: DataFrame, cap: int = MAX_COPIES, max_r
     return state.select("source", "scale", "lam")
 
 
-def settle(sizes: list[int], copies: list[int], room: list[int], gap: int) -> bool:
-    """Raises the words taken by ``gap`` by a copy more or less of some of the last ``SETTLE_SIZES`` sizes; False if none fit.
-
-    ``copies`` is changed in place and stays within 0 and ``room``.
-    """
-    last = range(max(0, len(sizes) - SETTLE_SIZES), len(sizes))
-    if not last or abs(gap) > 2 * sizes[last[0]]:
-        return gap == 0
-    bound = abs(gap) + 2 * sizes[last[0]]
-    found: dict[int, tuple] = {0: ()}
-    for i in reversed(last):
-        if gap in found:
-            break
-        new = {}
-        for by in (1, -1):
-            if 0 <= copies[i] + by <= room[i]:
-                for total, moves in found.items():
-                    to = total + by * sizes[i]
-                    if abs(to) <= bound and to not in found and to not in new:
-                        new[to] = (*moves, (i, by))
-        found |= new
-    for i, by in found.get(gap, ()):
-        copies[i] += by
-    return gap in found
-
-
-def whole_copies(sizes: list[int], docs: list[int], rates: list[float], cap: int) -> tuple[list[int], int | None, int]:
-    """``(copies of all documents of each size, place of the size with a cut document or None, words of the cut)``.
-
-    ``sizes`` of one source, largest first, with their numbers of documents and rates.
-    """
+def whole_copies(sizes: list[int], docs: list[int], rates: list[float], cap: int) -> list[int]:
+    """Copies of all documents of each size.  ``sizes`` of one source, largest first, with their numbers of documents and rates."""
     room = [cap * n for n in docs]
     less, more = [0.0] * (len(sizes) + 1), [0.0] * (len(sizes) + 1)  # what the sizes from a place on can give up or add
     for i in range(len(sizes) - 1, -1, -1):
         words = sizes[i] * docs[i] * rates[i]
         less[i], more[i] = less[i + 1] + words, more[i + 1] + sizes[i] * room[i] - words
-    copies, first, error = [], None, 0.0
+    copies, error = [], 0.0
     for i, (s, n, r) in enumerate(zip(sizes, docs, rates, strict=True)):
         want = s * n * r + error
         near = min(room[i], max(0, int(want / s + 0.5)))
         other = min(room[i], max(0, near + (1 if want > near * s else -1)))
-        fits = [k for k in (near, other) if -more[i + 1] <= k * s - want <= less[i + 1]]
-        if not fits and first is None:
-            first = i
-        copies.append(fits[0] if fits else near)
+        copies.append(next((k for k in (near, other) if -more[i + 1] <= k * s - want <= less[i + 1]), near))
         error = want - copies[i] * s
-    gap = round(error)
-    if gap == 0 or settle(sizes, copies, room, gap):
-        return copies, None, 0
-    # No whole copies were found: the first size whose error the smaller ones could not take up has one document cut.
-    cut = len(sizes) - 1 if first is None else first
-    copies, error, behind = copies[:cut], sum(s * n * r for s, n, r in zip(sizes[:cut + 1], docs, rates, strict=False)) - sum(
-        s * k for s, k in zip(sizes, copies[:cut], strict=False)), []
-    taken, error = error, 0.0
-    for s, n, r in zip(sizes[cut + 1:], docs[cut + 1:], rates[cut + 1:], strict=True):
-        want = s * n * r + error
-        behind.append(min(cap * n, max(0, int(want / s + 0.5))))
-        error = want - behind[-1] * s
-    words = min(sizes[cut] * room[cut], max(0, round(taken + error)))
-    return [*copies, words // sizes[cut], *behind], cut if words % sizes[cut] else None, words % sizes[cut]
+    return copies
 
 
 def deal(histogram: DataFrame, cap: int) -> DataFrame:
-    """``(source, size, docs, rate, copies, part)`` from rows of ``(source, size, docs, rate)``: the copies of all documents of
-    a size, and the words of its cut document (0: none).  A task holds one source's distinct sizes."""
+    """``(source, size, docs, rate, copies)`` from rows of ``(source, size, docs, rate)``: the copies of all documents of a size.
+
+    A task holds one source's distinct sizes, five numbers each: as many as its longest text has words at most, whatever
+    the number of its documents.
+    """
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("size", "descending")])
-        copies, cut, words = whole_copies(*(group.column(c).to_pylist() for c in ("size", "docs", "rate")), cap)
-        part = [words if i == cut else 0 for i in range(len(copies))]
-        return group.append_column("copies", pa.array(copies, pa.int64())).append_column("part", pa.array(part, pa.int64()))
+        copies = whole_copies(*(group.column(c).to_pylist() for c in ("size", "docs", "rate")), cap)
+        return group.append_column("copies", pa.array(copies, pa.int64()))
 
-    schema = "source string, size bigint, docs bigint, rate double, copies bigint, part bigint"
+    schema = "source string, size bigint, docs bigint, rate double, copies bigint"
     return histogram.select("source", "size", "docs", "rate").groupBy("source").applyInArrow(run, schema)
 
 
 def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", keys: list[str] | None = None,
         weights: tuple = WEIGHTS, share: float = SHARE, cap: int = MAX_COPIES) -> DataFrame:
-    """The columns ``keys`` of every row plus ``size, source_size, target, rate, copies, part, taken``;
-    ``taken`` = ``copies * size + part``, with ``part`` < ``size`` words of a cut copy, of one document a source at most.
+    """The columns ``keys`` of every row plus ``size, source_size, target, rate, copies, taken``; ``taken`` = ``copies * size``.
 
     Null or empty text: size 0, rate 1, no copy.  A null source is a source of
     its own, in the last place.  Repeated rows are documents of their own;
@@ -219,7 +169,7 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", key
     dealt = checkpointed(deal(rated.withColumn("rate", F.coalesce(rate, F.lit(1.0))), cap))
     sized = sized.join(counted_broadcast(targets.withColumnRenamed("source", "_t")), F.col("_source").eqNullSafe(F.col("_t"))).drop("_t")
     per_size = dealt.select(F.col("source").alias("_t"), F.col("size").alias("_size"), F.col("docs").alias("_docs"), F.col("rate"),
-                            F.col("copies").alias("_copies"), F.col("part").alias("_part"))
+                            F.col("copies").alias("_copies"))
     joined = sized.where("_n > 0").join(counted_broadcast(per_size), F.col("_source").eqNullSafe(F.col("_t")) & (F.col("_n") == F.col("_size")))
     cut = joined.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.ceil(F.col("_docs") / BUCKET_ROWS))).drop("_t", "_size")
     # A bucket's first place is the number of documents in the buckets before it; sizes of one bucket start at 0.
@@ -231,36 +181,27 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", key
     ranked = cut.withColumn("_rank", F.row_number().over(inside)).join(
         counted_broadcast(starts), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_n") == F.col("_m")) & (F.col("_bucket") == F.col("_b")), "left")
     ranked = ranked.withColumn("_place", F.coalesce(F.col("_start"), F.lit(0)) + F.col("_rank"))  # from 1
-    ranked = ranked.withColumns({"copies": F.expr("_place * _copies div _docs - (_place - 1) * _copies div _docs"),
-                                 "part": F.when(F.col("_place") == 1, F.col("_part")).otherwise(F.lit(0).cast("long"))})
-    kept = [F.col(k) for k in keys] + [F.col("_n").alias("size"), "source_size", "target", "rate", "copies", "part"]
-    none = F.lit(0).cast("long")
-    empty = sized.where("_n = 0").withColumns({"rate": F.lit(1.0), "copies": none, "part": none})
-    return ranked.select(*kept).unionByName(empty.select(*kept)).withColumn("taken", F.col("copies") * F.col("size") + F.col("part"))
+    ranked = ranked.withColumn("copies", F.expr("_place * _copies div _docs - (_place - 1) * _copies div _docs"))
+    kept = [F.col(k) for k in keys] + [F.col("_n").alias("size"), "source_size", "target", "rate", "copies"]
+    empty = sized.where("_n = 0").withColumns({"rate": F.lit(1.0), "copies": F.lit(0).cast("long")})
+    return ranked.select(*kept).unionByName(empty.select(*kept)).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def repeat(docs: DataFrame, text_col: str = "text", source_col: str = "source", count_col: str = "n_chars", **settings) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it has copies, and once cut to its first words if it is taken in part.
+def repeat(docs: DataFrame, text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """The mix itself: each row of ``docs``, whole, as often as it has copies.
 
-    A cut text keeps its white space up to its last word; ``count_col`` (if there is
-    one) is counted anew for it.  Rows are named by the hash of all columns; rows that
-    share it are equal, and each takes one of their results.
+    Rows are named by the hash of all columns; rows that share it are equal, and each takes one of their results.
     """
-    hashed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    found = mix(hashed, source_col, text_col, ["_row"], **settings).select("_row", "copies", "part")
+    # Under names of its own, so that no column clashes with the result's.
+    place = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    hashed = docs.toDF(*place.values()).withColumn("_row", F.xxhash64(*place.values()))
+    found = mix(hashed, place[source_col], place[text_col], ["_row"], **settings).select("_row", "copies")
     left = hashed.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(1))))
-    right = found.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy("copies", "part"))).where("copies + part > 0")
-    # One entry per row that comes out: 0 for a whole copy, else the words of a cut one.
-    outs = F.concat(F.array_repeat(F.lit(0).cast("long"), F.col("copies").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
-    rows = left.join(right, ["_row", "_nth"]).withColumn("_words", F.explode(outs))
-    words = F.split(F.col(text_col), WORD_END)  # each with the white space before it
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), "")
-    new = {text_col: F.when(F.col("_words") > 0, cut).otherwise(F.col(text_col))}
-    if count_col in docs.columns:
-        new[count_col] = F.when(F.col("_words") > 0, F.length(cut).cast(docs.schema[count_col].dataType)).otherwise(F.col(count_col))
-    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    right = found.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy("copies"))).where("copies > 0")
+    rows = left.join(right, ["_row", "_nth"]).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return rows.select(*[F.col(place[c]).alias(c) for c in docs.columns])
 
 
 def op1_mix_sources(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies", "part")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")

@@ -39,8 +39,10 @@ def test_targets_sizes_and_copies(odd_docs, odd_rows):
             r = rows[d]
             assert (r.size, r.source_size) == (size[d], totals[s])
             assert r.target == pytest.approx(target[s], rel=1e-9, abs=1e-6)
-            assert r.taken == r.copies * r.size + r.part and 0 <= r.taken <= 2 * r.size and 0 <= r.part <= max(0, r.size - 1)
-        assert abs(sum(rows[d].taken for d in ds) - target[s]) <= 1
+            assert r.taken == r.copies * r.size and 0 <= r.taken <= 2 * r.size
+        miss, sizes = abs(sum(rows[d].taken for d in ds) - target[s]), [size[d] for d in ds if size[d]]
+        # Whole documents only: half the smallest one, or half one that outweighs what the others can take up.
+        assert miss <= min(sizes, default=0) / 2 + 1e-6 or max(sizes) > sum(sizes) / 3 and miss <= max(sizes) / 2
 
 
 def test_rates_are_the_tilted_solution(odd_docs):
@@ -64,14 +66,15 @@ def test_small_buckets_come_near_their_targets(odd_docs, monkeypatch):
     monkeypatch.setattr(op, "BUCKET_ROWS", 7)
     rows = op.mix(odd_docs).collect()
     hot = [r for r in rows if r.source_size == max(x.source_size for x in rows)]
-    # Each of the few documents' buckets is off by a word at most.
-    assert abs(sum(r.taken for r in hot) - hot[0].target) <= 1 + len(hot) / 3
+    assert abs(sum(r.taken for r in hot) - hot[0].target) <= max(r.size for r in hot) / 2
 
 
 def test_repeat_gives_the_rows_their_copies(odd_docs, clashing, no_docs):
     rows = op.repeat(odd_docs)
     words = rows.selectExpr("sum(coalesce(regexp_count(text, '[^ \\n\\t]+'), 0))").first()[0]
-    assert abs(words - 1.5 * sum(r.size for r in op.mix(odd_docs).collect())) < 0.01 * words
+    assert words == sum(r.taken for r in op.mix(odd_docs).collect())
+    texts = {r.text for r in odd_docs.collect()}
+    assert all(r.text in texts for r in rows.collect())
     assert {r[0] for r in rows.groupBy("doc_id").count().select("count").collect()} <= {1, 2, 3}
     assert op.repeat(clashing).columns == clashing.columns
     # The row that is there twice may be taken twice each time.
@@ -90,9 +93,9 @@ def test_sources_of_many_documents_are_taken_in_whole_copies(spark, monkeypatch)
     rows = [(i, "\n".join(f"w{j}" for j in range(20 + i * i % 61)), f"s{i % 3}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     mixed = op.mix(docs).collect()
-    assert len(mixed) == 600 and {r.part for r in mixed} == {0} and {r.copies for r in mixed} == {0, 1, 2}
+    assert len(mixed) == 600 and {r.copies for r in mixed} == {0, 1, 2}
     for source in {(r.source_size, r.target) for r in mixed}:
-        assert abs(sum(r.taken for r in mixed if (r.source_size, r.target) == source) - source[1]) <= 1
+        assert abs(sum(r.taken for r in mixed if (r.source_size, r.target) == source) - source[1]) <= 10
     texts = {r[0]: r[1] for r in rows}
     assert all(r.text == texts[r.doc_id] for r in op.repeat(docs).collect())
 
@@ -105,12 +108,12 @@ def test_copies_of_one_size_are_dealt_over_its_buckets(spark, monkeypatch):
     assert sum(r.copies for r in mixed) == round(mixed[0].target / 4)
 
 
-def test_a_cut_text_keeps_its_line_breaks(spark):
+def test_a_document_is_never_cut(spark):
+    """A target that whole copies cannot meet is missed: no document is taken in part."""
     big = " first  line\nand\tmore\n\n" * 500
     rows = [(0, big, "a"), (1, "x y z", "a"), (2, "u v", "b")]
-    out = op.repeat(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).where("doc_id = 0").collect()
-    cut = [r.text for r in out if r.text != big]
-    assert len(cut) == 1 and big.startswith(cut[0]) and "\n\n" in cut[0]
+    out = op.repeat(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert out and all(r.text == rows[r.doc_id][1] for r in out)
 
 
 def test_whole_copies_of_random_sources():
@@ -118,9 +121,18 @@ def test_whole_copies_of_random_sources():
     for _ in range(200):
         sizes = sorted(rng.sample(range(1, 400), rng.randrange(1, 60)), reverse=True)
         docs, rates = [rng.randrange(1, 9) for _ in sizes], [2 * rng.random() for _ in sizes]
-        copies, cut, words = op.whole_copies(sizes, docs, rates, 2)
+        copies = op.whole_copies(sizes, docs, rates, 2)
         assert all(0 <= k <= 2 * n for k, n in zip(copies, docs, strict=True))
-        assert cut is None or (0 < words < sizes[cut] and copies[cut] < 2 * docs[cut])
-        assert cut is None or len(sizes) < 12
-        assert abs(sum(s * k for s, k in zip(sizes, copies, strict=True)) + words - sum(
-            s * n * r for s, n, r in zip(sizes, docs, rates, strict=True))) <= 0.51
+        miss = abs(sum(s * k for s, k in zip(sizes, copies, strict=True)) - sum(s * n * r for s, n, r in zip(sizes, docs, rates, strict=True)))
+        assert miss <= max(sizes[-4:]) / 2 + 1e-6 or len(sizes) < 12
+
+
+def test_many_long_documents_are_dealt_at_once():
+    """Memory and time follow the number of sizes, not the length of documents."""
+    import time
+
+    rng = random.Random(6)
+    sizes = sorted({rng.randrange(200_000, 4_000_000) for _ in range(5000)}, reverse=True)
+    began = time.time()
+    copies = op.whole_copies(sizes, [1] * len(sizes), [2 * rng.random() for _ in sizes], 2)
+    assert len(copies) == len(sizes) and time.time() - began < 2
