@@ -6,9 +6,10 @@ too (in a smaller document, or earlier in the same one).  Three stages:
 1. **Blocks.**  Every window of ``length`` bytes names the least hash of its
    ``GRAM``-byte grams (leftmost on ties) as its anchor, so equal windows have
    equal anchors at equal distances.  Successive windows with one anchor form a
-   block, about 130 bytes long.  Narrow rows (anchor hash, block hash, place)
-   are dealt by anchor hash.  Equal blocks merge: the earliest stands for all,
-   and its later copies are covered completely.  Anchors with one distinct
+   block, about 130 bytes long.  Equal blocks merge: the earliest stands for all,
+   and its later copies are covered completely.  A task merges its own first, so
+   a block that is everywhere gives a row for each ``COMBINE_ROWS`` of a task, not one for each copy; then
+   narrow rows (anchor hash, block hash, place) are dealt by anchor hash.  Anchors with one distinct
    block are done, since no other block can share a window with them.
 2. **Transform.**  The distinct blocks of the other anchors, with their bytes,
    are dealt by anchor hash.  A task joins whole anchors to texts of about
@@ -46,6 +47,7 @@ GRAM = 32
 CHUNK = 1 << 19           # bytes hashed at once
 TEXT_BYTES = 1 << 20      # bytes transformed at once, about
 HOT_BLOCKS = 20_000       # about 3 MB
+COMBINE_ROWS = 1 << 19    # block rows that a task merges at once, some 20 MB
 SYMBOL_BITS = 9           # bytes are symbols 1 to 256, 0 ends a block
 ODD = 0x9E3779B97F4A7C15
 
@@ -131,7 +133,37 @@ def _chunks(texts: Iterator[tuple[int, bytes]], length: int) -> Iterator[tuple[l
 
 
 # A block's place in its document in one long: first window << 8 | last window - first window.
-BLOCK_SCHEMA = "anchor bigint, block bigint, d bigint, e bigint, place bigint"
+BLOCK_SCHEMA = "kind int, anchor bigint, block bigint, d bigint, e bigint, place bigint"
+COVERED, DISTINCT, HOT, BLOCK = 0, 1, 2, 3
+
+
+def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of BLOCK_SCHEMA from a task's rows without ``kind``: of equal blocks the earliest is a BLOCK, the others are COVERED,
+    as whatever other tasks hold can only be earlier still.  Those are dealt by document, not by anchor."""
+    def merged(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        anchor, block, d, e, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        by = np.argsort(anchor.view(np.uint64) * np.uint64(ODD) ^ block.view(np.uint64))
+        same = (anchor[by][1:] == anchor[by][:-1]) & (block[by][1:] == block[by][:-1])
+        later = np.zeros(len(by), bool)
+        if same.any():
+            grouped = np.concatenate((same, [False])) | np.concatenate(([False], same))
+            row, group = by[grouped], np.cumsum(np.concatenate(([True], ~same)))[grouped]
+            order = np.lexsort((place[row], e[row], d[row], group))
+            later[row[order][np.concatenate(([False], group[order][1:] == group[order][:-1]))]] = True
+        anchor = np.where(later, (d.view(np.uint64) * np.uint64(ODD)).view(np.int64), anchor)
+        return pa.RecordBatch.from_arrays([pa.array(np.where(later, COVERED, BLOCK).astype(np.int32)), *map(pa.array, (anchor, block, d, e, place))],
+                                          ["kind", "anchor", "block", "d", "e", "place"])
+
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append([c.to_numpy() for c in batch.columns])
+            n += batch.num_rows
+        if n >= COMBINE_ROWS:
+            yield merged(held)
+            held, n = [], 0
+    if held:
+        yield merged(held)
 
 
 def block_rows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -152,16 +184,13 @@ def block_rows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     [pa.array(x) for x in (anchor.view(np.int64), whole.view(np.int64), d[row], e[row], (start << 8) | (last - first))],
                     ["anchor", "block", "d", "e", "place"])
 
-    return docs.mapInArrow(run, BLOCK_SCHEMA)
-
-
-COVERED, DISTINCT, HOT = 0, 1, 2
+    return docs.mapInArrow(lambda batches: combined(run(batches)), BLOCK_SCHEMA)
 
 
 def merge_blocks(rows: DataFrame, length: int = LENGTH, hot: int = HOT_BLOCKS) -> DataFrame:
     """``(kind, anchor, d, e, first, last)``: later copies of equal blocks are COVERED (bytes first to last - 1 of the
     document); the earliest is DISTINCT (windows first to last) if its anchor has other blocks, HOT if too many."""
-    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "block", "d", "e", "place")
+    dealt = rows.repartition("anchor").sortWithinPartitions("kind", "anchor", "block", "d", "e", "place")
     names = ["kind", "anchor", "d", "e", "first", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,9 +204,13 @@ def merge_blocks(rows: DataFrame, length: int = LENGTH, hot: int = HOT_BLOCKS) -
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(anchor), kind, np.int32)), *map(pa.array, (anchor, d, e, first, last))], names)
 
         for batch in batches:
-            if not batch.num_rows:
+            kind, *columns = (c.to_numpy() for c in batch.columns)
+            known = kind == COVERED
+            anchor, block, d, e, place = (c[known] for c in columns)
+            yield from out(COVERED, anchor, d, e, place)
+            anchor, block, d, e, place = (c[~known] for c in columns)
+            if not len(anchor):
                 continue
-            anchor, block, d, e, place = (c.to_numpy() for c in batch.columns)
             new = np.ones(len(anchor), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])
             new[0] = before != (anchor[0], block[0])
@@ -382,28 +415,38 @@ def covered(keyed: DataFrame, tied: bool, text_col: str, length: int, hot: int,
     fetched = both.mapInArrow(fetch, "kind int, anchor bigint, block bigint, d bigint, e bigint, first bigint, bytes binary")
     ends = transform(fetched.where(F.col("kind") == DISTINCT).select("anchor", "d", "e", "first", "bytes"), length, text_bytes)
     single = fetched.where(F.col("kind") == HOT).select("anchor", "block", "d", "e", F.shiftleft("first", 8).alias("place"))
-    again = merge_blocks(single, length, hot)
+    again = merge_blocks(single.mapInArrow(combined, BLOCK_SCHEMA), length, hot)
     spans = ends.unionByName(merged.where(F.col("kind") == COVERED).select("d", "e", "first", "last")).unionByName(
         again.where(F.col("kind") == COVERED).select("d", "e", "first", "last"))
     return spans.groupBy("d", "e").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT_BLOCKS,
-                   text_bytes: int = TEXT_BYTES) -> DataFrame:
+ADDED = ["n_bytes", "n_removed", "n_spans", "kept"]
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The columns of ``docs`` plus ``n_bytes, n_removed, n_spans`` (long) and ``kept`` (binary: the remaining bytes).
 
     Null or empty text: empty, nothing removed.  Rows with one id are ordered
     by their texts' hashes; a null id is behind all others.  Rows repeated
     with id and text are one document: each gets its result.  An empty table
-    gives an empty result.  ``docs`` must not hold the columns added here, nor
-    ``d``, ``e`` or names with an underscore in front.
+    gives an empty result.  A column of ``docs`` that has the name of one of these is replaced by it.
     """
+    place = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    result = _remove(docs.toDF(*place.values()), place[id_col], place[text_col], **settings)
+    return result.select(*[F.col(place[c]).alias(c) for c in docs.columns if c not in ADDED], *ADDED)
+
+
+def _remove(docs: DataFrame, id_col: str, text_col: str, length: int = LENGTH, hot: int = HOT_BLOCKS, text_bytes: int = TEXT_BYTES,
+            as_text: bool = False) -> DataFrame:
+    """``docs``, whose columns are named ``_c<number>``, plus ``ADDED``; with ``as_text``, ``kept`` is a string of the whole characters
+    that remain (what is left of one that was covered in part is dropped)."""
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
     keyed, tied = _keyed(docs, id_col, text_col)
     spans = covered(keyed, tied, text_col, length, hot, text_bytes)
     joined = keyed.join(spans, ["d", "e"], "left").select(*docs.columns, "_spans")
-    names = [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept"]
+    names = [*docs.columns, *ADDED]
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,12 +467,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     at = end
                 left.append(data[at:])
                 numbers.append((len(data), removed, runs))
-                kept.append(b"".join(left))
+                # Part by part, so that no character comes about from pieces of two.
+                kept.append("".join(part.decode("utf-8", "ignore") for part in left) if as_text else b"".join(left))
             columns = [pa.array([n[i] for n in numbers], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns, pa.array(kept, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns, pa.array(kept, pa.string() if as_text else pa.binary())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(cut, schema + ", n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    return joined.mapInArrow(cut, schema + ", n_bytes bigint, n_removed bigint, n_spans bigint, kept " + ("string" if as_text else "binary"))
 
 
 def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars", **settings) -> DataFrame:
@@ -438,13 +482,11 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     A character stays in part only if some of its bytes are covered; such
     torn characters are dropped.  Null texts stay null.
     """
-    # Under names of its own, so that no column clashes with the result's.
     place = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
-    result = remove_repeats(docs.toDF(*place.values()), place[id_col], place[text_col], **settings)
+    result = _remove(docs.toDF(*place.values()), place[id_col], place[text_col], **settings, as_text=True)
     old = F.col(place[text_col])
     same = (F.col("n_removed") == 0) | old.isNull()
-    # Bytes that no longer form a character are left out, others are as they were.
-    text = F.when(same, old).otherwise(F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    text = F.when(same, old).otherwise(F.col("kept"))
     new = {text_col: text}
     if count_col in place:
         new[count_col] = F.when(same, F.col(place[count_col])).otherwise(F.length(text).cast(docs.schema[count_col].dataType))

@@ -88,3 +88,41 @@ def test_cut_texts_hold_whole_characters(spark):
     df = spark.createDataFrame([(1, "a" + passage, "x"), (2, "bc" + passage + "tail", "y"), (3, None, "z")], "doc_id bigint, text string, source string")
     got = {r.doc_id: r.text for r in op.cut_texts(df).collect()}
     assert got == {1: "a" + passage, 2: "bctail", 3: None}
+
+
+def test_cut_texts_keep_characters_that_look_torn(spark):
+    """A replacement character of the text itself stays; bytes of two torn characters do not make a new one."""
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdef") for _ in range(150))
+    df = spark.createDataFrame([(1, "x" + passage + "y"), (2, "bad \ufffd mark." + passage + "\ufffd end")], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in op.cut_texts(df).collect()}[2] == "bad \ufffd mark.\ufffd end"
+    shared = "\u00a9" + passage + "\u00c3"   # covered without its first and last byte where the neighbours differ
+    df = spark.createDataFrame([(1, shared), (2, "\u00e9" + passage + "\u00c9"), (3, "\u0169" + passage + "z")], "doc_id bigint, text string")
+    for r in op.cut_texts(df).collect():
+        assert "\ufffd" not in r.text and all(c in (shared + "\u00e9\u00c9\u0169z") for c in r.text)
+
+
+def test_clashing_names(spark, clashing):
+    docs = clashing.withColumnRenamed("lang", "d").withColumnRenamed("source", "e").withColumnRenamed("n_chars", "n_bytes").withColumn("_spans", clashing["doc_id"])
+    rows = op.remove_repeats(docs)
+    assert rows.columns == ["doc_id", "text", "d", "e", "score", "_spans", *op.ADDED] and rows.count() == docs.count()
+    assert op.cut_texts(docs).columns == docs.columns
+    want = {(r.doc_id, r.text): r.n_removed for r in op.remove_repeats(clashing.select("doc_id", "text")).collect()}
+    assert {(r.doc_id, r.text): r.n_removed for r in rows.collect()} == want
+
+
+def test_a_task_merges_its_own_blocks_first(spark, monkeypatch):
+    """A passage that all documents hold gives a row a task, not one a document; what is removed stays the same."""
+    monkeypatch.setattr(op, "COMBINE_ROWS", 300)
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(60))) + passage + f" {i}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    texts = df.selectExpr("doc_id AS d", "0L AS e", "cast(text AS binary) AS text")
+    found = op.block_rows(texts).collect()
+    blocks = [(r.anchor, r.block) for r in found if r.kind == op.BLOCK]
+    assert sum(r.kind == op.COVERED for r in found) > len(blocks) and max(map(blocks.count, set(blocks))) <= 40
+    got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in op.remove_repeats(df).collect()}
+    monkeypatch.setattr(op, "COMBINE_ROWS", 1)
+    assert got == {r.doc_id: (r.n_removed, bytes(r.kept)) for r in op.remove_repeats(df).collect()}
+    assert all(got[i][0] >= 400 for i, _ in rows[1:])
