@@ -210,12 +210,14 @@ def quality(docs: DataFrame, keys: list[str], text_col: str = "text", lang: str
 def keep_good(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` whose verdict is ``kept``.
 
-    A verdict follows from a row's values, so rejected rows are named by a
-    hash of all columns: few are broadcast, many are joined by that hash.
+    A verdict follows from a row's values, so rejected rows are named by two
+    64-bit hashes of all columns: few are broadcast, many are joined by them.
     """
-    hashed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
-    bad = checkpointed(quality(hashed, ["_row"], **settings).where(~F.col("kept")).select("_row").distinct())
-    return hashed.join(counted_broadcast(bad), "_row", "left_anti").select(*docs.columns)
+    names = ["_row", "_row2"]
+    columns = [F.col(c) for c in docs.columns]
+    hashed = docs.withColumns({"_row": F.xxhash64(*columns), "_row2": F.xxhash64(F.lit(1), *columns)})
+    bad = checkpointed(quality(hashed, names, **settings).where(~F.col("kept")).select(*names).distinct())
+    return hashed.join(counted_broadcast(bad), names, "left_anti").select(*docs.columns)
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
