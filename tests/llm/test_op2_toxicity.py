@@ -97,3 +97,50 @@ def test_odd_inputs(spark, corpus, clashing, no_docs):
     assert op.toxicity(no_docs, none).count() == 0
     empty = spark.createDataFrame([(1, None), (2, ""), (3, " ")], "doc_id bigint, text string")
     assert len({r.score for r in op.toxicity(empty, labels).collect()}) == 1
+
+
+@pytest.fixture(scope="module")
+def quoting(spark):
+    """Abuse said to the reader, the same words quoted by clean texts, and abuse that is always misspelled."""
+    rng = random.Random(4)
+
+    def filler(n):
+        return ["".join(rng.choice("aeioulnrst") for _ in range(rng.randrange(2, 9))) for _ in range(n)]
+
+    rows, labels = [], []
+    for i in range(1600):
+        kind = ["direct", "misspelled", "quoted", "clean", "clean", "clean", "clean", "clean"][i % 8] if i % 16 < 8 else "clean"
+        w = filler(30)
+        for _ in range(3):
+            word = rng.choice(["grobnak", "vilsnort", "plodwick"])
+            at = rng.randrange(2, len(w) - 2)
+            if kind == "direct":
+                w[at] = word
+            elif kind == "misspelled":
+                k, letter = rng.randrange(2, 4), rng.choice("0123456789äöüéèàñçß")   # no stem of the word is left
+                w[at] = rng.choice([word[:k] + letter + word[k:], word[:k] + letter + word[k + 1:]])
+            elif kind == "quoted" and i % 32 < 8:
+                w[at:at] = ["they", "wrote", f'"{word}"', "there"]
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(kind in ("direct", "misspelled"))))
+    return spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+
+
+def measured(docs, labels):
+    """Precision and recall of the held-out documents."""
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [(r.predicted, toxic[r.doc_id]) for r in op.toxicity(docs, labels).collect() if r.held_out]
+    both = sum(p and t for p, t in rows)
+    return both / max(1, sum(p for p, _ in rows)), both / max(1, sum(t for _, t in rows))
+
+
+def test_quotations_raise_precision_and_misspellings_recall(quoting, monkeypatch):
+    precision, recall = measured(*quoting)
+    assert precision > 0.95 and recall > 0.85, (precision, recall)
+    with monkeypatch.context() as m:
+        m.setattr(op, "quoted", lambda words, i: False)
+        blind, _ = measured(*quoting)
+    with monkeypatch.context() as m:
+        m.setattr(op.Lexicon, "near", lambda self, word: False)
+        _, exact = measured(*quoting)
+    assert blind < precision - 0.02 and exact < recall - 0.2, (precision, recall, blind, exact)
