@@ -132,14 +132,14 @@ def _chunks(texts: Iterator[tuple[int, bytes]], length: int) -> Iterator[tuple[l
         yield names, parts
 
 
-# A block's place in its document in one long: first window << 8 | last window - first window.
-BLOCK_SCHEMA = "kind int, anchor bigint, block bigint, d bigint, e bigint, place bigint"
-COVERED, DISTINCT, HOT, BLOCK = 0, 1, 2, 3
+# A block's place in its document in one long: first window << 8 | last window - first window; the complement for a covered block.
+BLOCK_SCHEMA = "anchor bigint, block bigint, d bigint, e bigint, place bigint"
+COVERED, DISTINCT, HOT = 0, 1, 2
 
 
 def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of BLOCK_SCHEMA from a task's rows without ``kind``: of equal blocks the earliest is a BLOCK, the others are COVERED,
-    as whatever other tasks hold can only be earlier still.  Those are dealt by document, not by anchor."""
+    """A task's rows of BLOCK_SCHEMA with all but the earliest of equal blocks marked as covered: whatever other tasks hold
+    can only be earlier still.  Those are dealt by document, not by anchor."""
     def merged(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         anchor, block, d, e, place = (np.concatenate(x) for x in zip(*held, strict=True))
         by = np.argsort(anchor.view(np.uint64) * np.uint64(ODD) ^ block.view(np.uint64))
@@ -151,8 +151,7 @@ def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((place[row], e[row], d[row], group))
             later[row[order][np.concatenate(([False], group[order][1:] == group[order][:-1]))]] = True
         anchor = np.where(later, (d.view(np.uint64) * np.uint64(ODD)).view(np.int64), anchor)
-        return pa.RecordBatch.from_arrays([pa.array(np.where(later, COVERED, BLOCK).astype(np.int32)), *map(pa.array, (anchor, block, d, e, place))],
-                                          ["kind", "anchor", "block", "d", "e", "place"])
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, block, d, e, np.where(later, ~place, place))], ["anchor", "block", "d", "e", "place"])
 
     held, n = [], 0
     for batch in batches:
@@ -190,7 +189,7 @@ def block_rows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def merge_blocks(rows: DataFrame, length: int = LENGTH, hot: int = HOT_BLOCKS) -> DataFrame:
     """``(kind, anchor, d, e, first, last)``: later copies of equal blocks are COVERED (bytes first to last - 1 of the
     document); the earliest is DISTINCT (windows first to last) if its anchor has other blocks, HOT if too many."""
-    dealt = rows.repartition("anchor").sortWithinPartitions("kind", "anchor", "block", "d", "e", "place")
+    dealt = rows.repartition("anchor").sortWithinPartitions("anchor", "block", "d", "e", "place")
     names = ["kind", "anchor", "d", "e", "first", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +203,10 @@ def merge_blocks(rows: DataFrame, length: int = LENGTH, hot: int = HOT_BLOCKS) -
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(anchor), kind, np.int32)), *map(pa.array, (anchor, d, e, first, last))], names)
 
         for batch in batches:
-            kind, *columns = (c.to_numpy() for c in batch.columns)
-            known = kind == COVERED
+            columns = [c.to_numpy() for c in batch.columns]
+            known = columns[4] < 0
             anchor, block, d, e, place = (c[known] for c in columns)
-            yield from out(COVERED, anchor, d, e, place)
+            yield from out(COVERED, anchor, d, e, ~place)
             anchor, block, d, e, place = (c[~known] for c in columns)
             if not len(anchor):
                 continue

@@ -120,8 +120,8 @@ def test_a_task_merges_its_own_blocks_first(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     texts = df.selectExpr("doc_id AS d", "0L AS e", "cast(text AS binary) AS text")
     found = op.block_rows(texts).collect()
-    blocks = [(r.anchor, r.block) for r in found if r.kind == op.BLOCK]
-    assert sum(r.kind == op.COVERED for r in found) > len(blocks) and max(map(blocks.count, set(blocks))) <= 40
+    blocks = [(r.anchor, r.block) for r in found if r.place >= 0]
+    assert sum(r.place < 0 for r in found) > len(blocks) and max(map(blocks.count, set(blocks))) <= 40
     got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in op.remove_repeats(df).collect()}
     monkeypatch.setattr(op, "COMBINE_ROWS", 1)
     assert got == {r.doc_id: (r.n_removed, bytes(r.kept)) for r in op.remove_repeats(df).collect()}
