@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from quire.functions.tokens import numbers
 
 BLOCK = 4096
-MAX_BYTES = 4 << 20
+MAX_BYTES = 1 << 19   # n-gram numbers of a slice stay in the processor's cache
 
 
 def lcs_len(a: Sequence, b: Sequence, block: int = BLOCK) -> int:
