@@ -31,19 +31,32 @@ BLOCK = 4096
 MAX_BYTES = 1 << 19   # n-gram numbers of a slice stay in the processor's cache
 
 
+def _masks(tokens: Sequence) -> dict:
+    """For each token the bits of its places."""
+    masks: dict = {}
+    bit = 1
+    for token in tokens:
+        masks[token] = masks.get(token, 0) | bit
+        bit <<= 1
+    return masks
+
+
 def lcs_len(a: Sequence, b: Sequence, block: int = BLOCK) -> int:
     """Length of the longest common subsequence of ``a`` and ``b``."""
     if len(b) > len(a):
         a, b = b, a
-    shared = set(a) & set(b)
-    a, b = [t for t in a if t in shared], [t for t in b if t in shared]
+    if len(b) <= block:
+        get, full = _masks(b).get, (1 << len(b)) - 1
+        v = full
+        for token in a:
+            if mask := get(token):
+                u = v & mask
+                v = ((v + u) | (v - u)) & full
+        return len(b) - v.bit_count()
     carries, length = bytearray(len(a)), 0
     for start in range(0, len(b), block):
         part = b[start:start + block]
-        masks: dict = {}
-        for j, token in enumerate(part):
-            masks[token] = masks.get(token, 0) | (1 << j)
-        bits, get, last = len(part), masks.get, start + block >= len(b)
+        bits, get, last = len(part), _masks(part).get, start + block >= len(b)
         full = v = (1 << bits) - 1
         for i, token in enumerate(a):
             mask, carry = get(token, 0), carries[i]
