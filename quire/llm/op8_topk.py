@@ -1,19 +1,21 @@
 """Exact top-k inner products by no-random-access aggregation (NRA).
 
 Candidates come in blocks.  In a block each dimension is a list of its values
-in order, sorted once for all queries; a query reads list d from the end where
-q_d * x_d is largest, in slices that grow.  What it reads it adds to the
-candidate's sum.  At a depth the last value read of a list is its frontier:
-whatever was not read there contributes at most the frontier and at least the
-list's last value.  So a candidate has
-
-    upper = what was read + sum over its unread lists of the frontier
-    lower = what was read + sum over its unread lists of the least contribution
-
-A candidate goes when its upper bound is below the k-th largest lower bound, or
-below the k-th score that the query already has.  Reading stops when no
-outsider can qualify and few candidates (``FEW``) are left; then the scores of those
-are resolved.  Candidates that tie with the k-th stay, so ties are exact.
+in order, sorted once for all queries; a query reads list d from the end where q_d * x_d is largest.  At a
+depth the last value read of a list is its frontier: whatever was not read
+there contributes at most the frontier and at least the list's last value.
+So a candidate has
+
+    upper = sum over lists of (its contribution if read, else the frontier)
+    lower = sum over lists of (its contribution if read, else the least one)
+
+All lists are read on together, depth by depth.  A candidate goes when its
+upper bound is below the k-th largest lower bound, or below the k-th score that
+the query already has.  Reading stops when no more
+than k candidates are left or the lists end; then the scores of those
+left are resolved.  Candidates that tie with the k-th stay, so ties are exact.
+A contribution is in the read part of its list exactly when it is not below
+the frontier, so a depth costs one vectorised pass over the candidates left.
 
 Candidates stay where they are read.  Queries come to them by broadcast, in
 rounds of at most ``ROUND_BYTES``.  Each round meets the candidates in three
@@ -39,8 +41,7 @@ SCALE = 256
 QUERY_MOD = 50
 K = 5
 BLOCK_ROWS = 8192
-SLICES = (1 / 16, 1 / 8, 1 / 4, 3 / 8, 1 / 2, 3 / 4, 1.0)   # depths, as shares of a list, at which bounds are compared
-FEW = 64                         # candidates of a block whose scores are resolved rather than read on
+DEPTHS = (0.5, 0.7, 0.85, 1.0)   # shares of the lists read before bounds are compared
 ROUND_BYTES = 32 << 20           # of query vectors that are broadcast at once
 PARTS, STEPS = 64, (1, 8, 64)    # candidates are cut into 64 parts; the steps end at these
 
@@ -72,44 +73,49 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         self.ids, self.x = ids, x
-        self.columns = np.ascontiguousarray(x.T).astype(np.float64)
-        self.order = np.argsort(self.columns, axis=1).astype(np.int32)
-        self.ends = np.take_along_axis(self.columns, self.order, 1)
-
-    def candidates(self, q: np.ndarray, own: int, k: int, floor: float) -> tuple[np.ndarray, int]:
-        """Rows that may be among the query's k best with a score of ``floor`` or more, and how many entries of lists were read."""
-        n, dim = self.x.shape
-        signed = q.astype(np.float64)
-        least = np.where(signed >= 0, self.ends[:, 0], self.ends[:, -1]) * signed
-        largest = np.abs(self.ends[:, [0, -1]] * signed[:, None]).max(axis=1, initial=0).sum()
-        slack = 1e-9 * float(largest)      # sums of doubles differ from the integers by far less
-        total, unread = np.zeros(n), np.ones((n, dim), bool)
-        others, at, read, alive = self.ids != own, 0, 0, np.arange(n)
-        for share in SLICES:
-            to = max(at, min(n, math.ceil(share * n)))
-            for d in range(dim):
-                rows = self.order[d, n - to:n - at] if signed[d] >= 0 else self.order[d, at:to]
-                total[rows] += self.columns[d, rows] * signed[d]
-                unread[rows, d] = False
-            read, at = read + (to - at) * dim, to
-            front = np.where(signed >= 0, self.ends[:, n - to], self.ends[:, to - 1]) * signed
-            left = unread[alive]
-            lower = total[alive] + left @ least
-            mine = lower[others[alive]]
-            if len(mine) >= k:
-                floor = max(floor, float(np.partition(mine, len(mine) - k)[len(mine) - k]))
-            alive = alive[total[alive] + left @ front >= floor - slack]
-            if len(alive) <= max(k, FEW):
+        self.floats = x.astype(np.float64 if np.abs(x).max(initial=0) >= 1 << 20 else np.float32)
+        self.sorted = np.sort(x, axis=0).astype(np.float64)
+
+    def frontier(self, q: np.ndarray, share: float) -> np.ndarray:
+        """The contribution of the last entry read of each list at a depth."""
+        last = min(len(self.ids) - 1, max(0, math.ceil(share * len(self.ids)) - 1))
+        return np.where(q >= 0, self.sorted[len(self.ids) - 1 - last], self.sorted[last]) * q
+
+    def top(self, q: np.ndarray, own: int, k: int, so_far: tuple[np.ndarray, np.ndarray], reach: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
+        """The k best of ``so_far`` (scores, ids) and this block for one query, of those that score ``reach`` or more."""
+        qf = q.astype(self.floats.dtype)
+        at, parts = None, self.floats * qf
+        least = self.frontier(q, 1.0)
+        # Sums of floats differ from the integers by far less than this part of the largest possible sum.
+        slack = 1e-4 * float(np.abs(self.sorted[[0, -1]] * q).max(axis=0, initial=0).sum()) if self.floats.dtype == np.float32 else 1e-9 * float(
+            np.abs(self.sorted[[0, -1]] * q).max(axis=0, initial=0).sum())
+        floor = max(reach, float(so_far[0][-1]) if len(so_far[0]) == k else -math.inf)
+        for share in DEPTHS[:-1]:
+            front = self.frontier(q, share).astype(qf.dtype)
+            upper = np.maximum(parts, front).sum(axis=1)
+            alive = np.flatnonzero(upper >= floor - slack)
+            if len(alive) < len(upper):
+                at = alive if at is None else at[alive]
+                parts, upper = parts[alive], upper[alive]
+            if len(parts) > k:
+                lower = np.where(parts >= front, parts, least.astype(qf.dtype)).sum(axis=1)
+                if at is None:
+                    lower[self.ids == own] = -math.inf
+                else:
+                    lower[self.ids[at] == own] = -math.inf
+                bound = float(np.partition(lower, len(lower) - k)[len(lower) - k])
+                if bound > floor:
+                    floor = bound
+                    alive = np.flatnonzero(upper >= floor - slack)
+                    at = alive if at is None else at[alive]
+                    parts = parts[alive]
+            if len(parts) <= k:
                 break
-        return alive[others[alive]], read
-
-    def top(self, q: np.ndarray, own: int, k: int, so_far: tuple[np.ndarray, np.ndarray], bound: float = -math.inf) -> tuple[np.ndarray, np.ndarray]:
-        """The k best of ``so_far`` (scores, ids) and this block for one query, of those that reach ``bound``."""
-        floor = max(bound, float(so_far[0][-1]) if len(so_far[0]) == k else -math.inf)
-        at, _ = self.candidates(q, own, k, floor)
+        at = np.arange(len(self.ids)) if at is None else at
+        at = at[self.ids[at] != own]
         scores = _exact(self.x[at], q)
-        reach = scores >= bound
-        return _merge(so_far, scores[reach], self.ids[at][reach], k)
+        high = scores >= reach
+        return _merge(so_far, scores[high], self.ids[at][high], k)
 
 
 def _met(sent, k: int):

@@ -35,7 +35,6 @@ def test_equals_brute_force(spark, monkeypatch):
     assert len(result) == len(set(result))
     assert set(result) == brute(rows)
     monkeypatch.setattr(op, "ROUND_BYTES", 700)           # several rounds of queries
-    monkeypatch.setattr(op, "FEW", 0)
     assert set(got(df)) == brute(rows)
 
 
@@ -58,22 +57,21 @@ def test_repeated_queries_and_extra_columns(spark):
     assert sorted(got(df)) == [(0, 1, 1, 65536), (0, 2, 1, 65536)]
 
 
-def test_lists_are_read_in_part():
-    """With a bound from earlier candidates reading stops before the lists end, and no row that reaches it is lost."""
+def test_a_bound_loses_no_row_that_reaches_it():
+    """With the k-th score of earlier candidates as the bound, the rows that reach it are found, and none below it is handed on."""
     import numpy as np
 
     rng = np.random.default_rng(3)
     x = (256 * rng.normal(size=(4000, 16))).astype(np.int64)
-    lists, ids = op.Lists(np.arange(4000), x), np.arange(4000)
+    lists, ids, none = op.Lists(np.arange(4000), x), np.arange(4000), (np.empty(0, np.int64), np.empty(0, np.int64))
     for i in range(20):
         q = x[i] * (1 if i % 2 else -1)
         scores = np.where(ids == i, -(1 << 60), x @ q)
-        fifth = np.sort(scores)[-5]
-        rows, read = lists.candidates(q, i, 5, float(fifth))
-        assert set(np.flatnonzero(scores >= fifth)) <= set(rows.tolist()) and i not in rows
-        assert read < 0.8 * x.size and len(rows) <= op.FEW
-        rows, _ = lists.candidates(q, i, 5, -math.inf)
-        assert set(np.flatnonzero(scores >= fifth)) <= set(rows.tolist())
+        order = np.lexsort((ids, -scores))[:5]
+        for place in (0, 2, 4):
+            found = lists.top(q, i, 5, none, float(scores[order[place]]))
+            assert found[1].tolist() == order[:place + 1].tolist() and found[0].tolist() == scores[order[:place + 1]].tolist()
+        assert lists.top(q, i, 5, none)[1].tolist() == order.tolist()
 
 
 def test_bounds_keep_what_is_handed_on_small(spark, monkeypatch):
