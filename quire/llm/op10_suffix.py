@@ -36,6 +36,7 @@ hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ CHUNK = 1 << 19           # bytes hashed at once
 TEXT_BYTES = 1 << 20      # bytes transformed at once, about
 HOT_BLOCKS = 20_000       # about 3 MB
 COMBINE_ROWS = 1 << 19    # block rows that a task merges at once, some 20 MB
+FETCH_ROWS = 20_000       # blocks, or windows of hot ones, that are handed on at once, about
 SYMBOL_BITS = 9           # bytes are symbols 1 to 256, 0 ends a block
 ODD = 0x9E3779B97F4A7C15
 
@@ -247,19 +249,22 @@ def merge_blocks(rows: DataFrame, length: int = LENGTH, hot: int = HOT_BLOCKS) -
 # -- stage 2: the transform ------------------------------------------------------------
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` symbols or more; prefix doubling."""
+    """Suffixes in the order of their first ``depth`` symbols or more; prefix doubling.
+
+    Places and ranks have 32 bits here and below, as a task's peak memory is some 50 bytes a symbol.
+    """
     n, size = len(text), 63 // SYMBOL_BITS
     key = np.zeros(n, np.uint64)
     for i in range(size):
         key[:n - i] |= text[i:].astype(np.uint64) << np.uint64(SYMBOL_BITS * (size - 1 - i))
     while True:
-        order = np.argsort(key)
-        ranked = key[order]
-        rank = np.empty(n, np.uint64)
-        steps = np.concatenate(([False], ranked[1:] != ranked[:-1]))
-        rank[order] = np.cumsum(steps).astype(np.uint64)
+        order = np.argsort(key).astype(np.int32)
+        key = key[order]
+        steps = np.concatenate(([False], key[1:] != key[:-1]))
         if size >= depth or steps.sum() == n - 1:
             return order
+        rank = np.empty(n, np.uint64)
+        rank[order] = np.cumsum(steps, dtype=np.uint32)
         key = rank << np.uint64(32)
         key[:n - size] |= rank[size:] + np.uint64(1)
         size *= 2
@@ -273,26 +278,29 @@ def open_boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndar
     """
     n = len(text)
     bwt = text[order - 1]
-    by_symbol = np.argsort(bwt, kind="stable")          # place of the first column -> place of the last column
-    to_first = np.empty(n, np.int64)
-    to_first[by_symbol] = np.arange(n)
-    sorted_symbols = bwt[by_symbol].astype(np.int64)
+    by_symbol = np.argsort(bwt, kind="stable").astype(np.int32)  # place of the first column -> place of the last column
+    to_first = np.empty(n, np.int32)
+    to_first[by_symbol] = np.arange(n, dtype=np.int32)
+    sorted_symbols = bwt[by_symbol]
     same = sorted_symbols[1:] == sorted_symbols[:-1]
-    following = np.full(n, n, np.int64)                   # the next place with the same symbol
+    following = np.full(n, n, np.int32)                   # the next place with the same symbol
     following[by_symbol[:-1][same]] = by_symbol[1:][same]
-    ranks = sorted_symbols * (n + 1) + by_symbol          # increasing: occurrences of a symbol before a place, by search
+    ranks = sorted_symbols.astype(np.int64) * (n + 1)     # increasing: occurrences of a symbol before a place, by search
+    ranks += by_symbol
+    del by_symbol, sorted_symbols, same
     closed = np.zeros(n + 1, bool)
     closed[0] = closed[n] = True
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], np.int32), np.array([n], np.int32)
     for level in range(length):
         # The last occurrence of each symbol in each interval ends the interval of the string with that symbol in front.
         sizes = high - low
-        total = np.cumsum(sizes)
-        place = np.arange(total[-1]) + np.repeat(low - (total - sizes), sizes)
+        total = np.cumsum(sizes, dtype=np.int32)
+        place = np.arange(total[-1], dtype=np.int32)
+        place += np.repeat(low - (total - sizes), sizes)
         last = following[place] >= np.repeat(high, sizes)
         if level:
             last &= bwt[place] != 0
-        own = np.repeat(np.arange(len(low)), sizes)[last]
+        own = np.repeat(np.arange(len(low), dtype=np.int32), sizes)[last]
         place = place[last]
         end = to_first[place] + 1
         fresh = ~closed[end]
@@ -300,7 +308,7 @@ def open_boundaries(text: np.ndarray, order: np.ndarray, length: int) -> np.ndar
         if not len(place):
             break
         closed[end] = True                                # the common prefix at this boundary is ``level`` long
-        low, high = np.searchsorted(ranks, bwt[place].astype(np.int64) * (n + 1) + low[own]), end
+        low, high = np.searchsorted(ranks, bwt[place].astype(np.int64) * (n + 1) + low[own]).astype(np.int32), end
     return ~closed[:n]
 
 
@@ -309,15 +317,17 @@ def repeated_windows(pieces: list[bytes], d: np.ndarray, e: np.ndarray, first: n
 
     ``first`` is the place of each block's first byte in document (d, e).
     """
-    sizes = np.array([len(p) for p in pieces])
-    begins = np.cumsum(sizes + 1) - sizes - 1
+    sizes = np.array([len(p) for p in pieces], np.int32)
+    begins = np.cumsum(sizes + 1, dtype=np.int32) - sizes - 1
     text = np.zeros(int(sizes.sum()) + len(pieces), np.uint16)
-    block = np.repeat(np.arange(len(pieces)), sizes + 1)
-    offset = np.arange(len(text)) - begins[block]
+    block = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes + 1)
+    offset = np.arange(len(text), dtype=np.int32)
+    offset -= begins[block]
     text[offset < sizes[block]] = np.frombuffer(b"".join(pieces), np.uint8).astype(np.uint16) + 1
     order = suffix_order(text, length + 2)
-    group = np.cumsum(~open_boundaries(text, order, length))
+    group = np.cumsum(~open_boundaries(text, order, length), dtype=np.int32)
     at_block, at = block[order], offset[order]
+    del block, offset, order
     window = at <= sizes[at_block] - length
     group, at_block, at = group[window], at_block[window], at[window]
     # Windows alone in their group are first; of the others, all but the earliest.
@@ -386,35 +396,40 @@ def covered(keyed: DataFrame, tied: bool, text_col: str, length: int, hot: int,
         both = both.dropDuplicates(["d", "e"])
     places = [both.columns.index(c) for c in ("d", "e", text_col, "_wanted")]
 
+    def asked(batch: pa.RecordBatch, kind: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+        """(anchor, d, e, first, bytes) of the blocks of a kind that a batch's documents are asked for."""
+        for d, e, text, wanted_ in zip(*(batch.column(i) for i in places), strict=True):
+            blocks_ = [w for w in wanted_.as_py() if w["kind"] == kind]
+            if blocks_:
+                d, e, text = d.as_py(), e.as_py(), (text.as_py() or "").encode()
+                for w in blocks_:
+                    yield w["anchor"], d, e, w["first"], text[w["first"]:w["last"] + length]
+
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["anchor", "d", "e", "first", "bytes"], [pa.int64()] * 4 + [pa.binary()]
+        for batch in batches:
+            rows = asked(batch, DISTINCT)
+            while some := list(islice(rows, FETCH_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(2 * (256 + length))
-        names = ["kind", "anchor", "block", "d", "e", "first", "bytes"]
         for batch in batches:
-            rows: list[tuple] = []
-            for d, e, text, wanted_ in zip(*(batch.column(i) for i in places), strict=True):
-                d, e, text = d.as_py(), e.as_py(), (text.as_py() or "").encode()
-                for w in wanted_.as_py():
-                    data = text[w["first"]:w["last"] + length]
-                    if w["kind"] == DISTINCT:
-                        rows.append((DISTINCT, w["anchor"], 0, d, e, w["first"], data))
-                        continue
+            rows = asked(batch, HOT)
+            while some := list(islice(rows, FETCH_ROWS // 64)):
+                anchor, d, e, first = (np.array(c, np.int64) for c in list(zip(*some, strict=True))[:4])
+                whole, place = [], []
+                for start, (*_, data) in zip(first, some, strict=True):
                     at = np.arange(len(data) - length + 1)
-                    whole = hasher.of(hasher.sums(np.frombuffer(data, np.uint8)), at, at + length).view(np.int64)
-                    rows += [(HOT, h, w["anchor"], d, e, w["first"] + i, None) for i, h in enumerate(whole.tolist())]
-                if len(rows) > 20_000:
-                    yield batch_of(rows, names)
-                    rows = []
-            if rows:
-                yield batch_of(rows, names)
-
-    def batch_of(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-        kinds = [pa.int32()] + [pa.int64()] * 5 + [pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-    fetched = both.mapInArrow(fetch, "kind int, anchor bigint, block bigint, d bigint, e bigint, first bigint, bytes binary")
-    ends = transform(fetched.where(F.col("kind") == DISTINCT).select("anchor", "d", "e", "first", "bytes"), length, text_bytes)
-    single = fetched.where(F.col("kind") == HOT).select("anchor", "block", "d", "e", F.shiftleft("first", 8).alias("place"))
-    again = merge_blocks(single.mapInArrow(combined, BLOCK_SCHEMA), length, hot)
+                    whole.append(hasher.of(hasher.sums(np.frombuffer(data, np.uint8)), at, at + length).view(np.int64))
+                    place.append((start + at) << 8)
+                n = list(map(len, whole))
+                columns = (np.concatenate(whole), np.repeat(anchor, n), np.repeat(d, n), np.repeat(e, n), np.concatenate(place))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "block", "d", "e", "place"])
+
+    ends = transform(both.mapInArrow(fetch, "anchor bigint, d bigint, e bigint, first bigint, bytes binary"), length, text_bytes)
+    # Windows are cut and merged by one Python worker: a second mapInArrow in the stage would take one more for each core.
+    again = merge_blocks(both.mapInArrow(lambda batches: combined(windows(batches)), BLOCK_SCHEMA), length, hot)
     spans = ends.unionByName(merged.where(F.col("kind") == COVERED).select("d", "e", "first", "last")).unionByName(
         again.where(F.col("kind") == COVERED).select("d", "e", "first", "last"))
     return spans.groupBy("d", "e").agg(F.collect_list(F.struct("first", "last")).alias("_spans"))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -126,3 +127,31 @@ def test_a_task_merges_its_own_blocks_first(spark, monkeypatch):
     monkeypatch.setattr(op, "COMBINE_ROWS", 1)
     assert got == {r.doc_id: (r.n_removed, bytes(r.kept)) for r in op.remove_repeats(df).collect()}
     assert all(got[i][0] >= 400 for i, _ in rows[1:])
+
+
+def test_a_task_has_one_python_worker(spark, repeats):
+    """Each further mapInArrow of a stage would take one more worker for every core of an executor."""
+    docs = spark.createDataFrame([*repeats.items()], "doc_id bigint, text string")
+
+    def chained(node, above):
+        name = node.nodeName()
+        if name == "MapInArrow" and above:
+            return True
+        below = name == "MapInArrow" or above and name in ("Project", "Filter", "Sort")
+        return any(chained(node.children().apply(i), below) for i in range(node.children().size()))
+
+    for df in (op.remove_repeats(docs), op.cut_texts(docs)):
+        plan = df._jdf.queryExecution().sparkPlan()
+        assert plan.toString().count("MapInArrow") >= 5
+        assert not chained(plan, False)
+
+
+def test_the_transform_takes_few_bytes_a_symbol():
+    rng = np.random.default_rng(3)
+    pieces = [b"".join((bytes(rng.integers(97, 123, 17, np.uint8)), bytes(100 * [i % 256]), bytes(rng.integers(97, 123, 17, np.uint8)))) for i in range(2000)]
+    d, zero = np.arange(2000), np.zeros(2000, np.int64)
+    tracemalloc.start()
+    found = list(op.repeated_windows(pieces, d, zero, zero, 100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) >= 2000 - 256 and peak < 75 * sum(len(p) + 1 for p in pieces)
